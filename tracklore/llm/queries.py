@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, quality, toxicity
+from tracklore.llm import decontaminate, mixing, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op5_mixing": mixing.op5_mixing,
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
     }

@@ -1,7 +1,8 @@
 """Toxicity: a word classifier regularised by counterfactuals.
 
-A text is the set of its words (A-Z lower-cased, split at anything but letters, digits and apostrophes). Training picks
-words whose link with the label is beyond chance, and fits a logistic model whose loss adds, for each labelled
+A text is the set of its words (A-Z lower-cased, split at anything but letters, digits and apostrophes) and of their
+beginnings of 4 to 6 bytes, which stand for inflected and compound forms not seen in training. Training picks terms
+ whose link with the label is beyond chance, and fits a logistic model whose loss adds, for each labelled
 sentence that names a group of people, the squared change of its score when the group term is swapped for another of its
 family. Group terms themselves are always candidates, so that the penalty, not their absence, keeps their
 weights alike: a neutral mention must not raise a score.
@@ -49,8 +50,18 @@ FAMILY_OF = {w.encode(): [v.encode() for v in family if v != w] for family in FA
 TERM_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() or b == 0x27 else 0x20 for b in range(256))
 
 
+#: Stands for all texts in the word counts.
+ALL = b" "
+#: Lengths in bytes of the beginnings of longer words that count as terms of their own, marked by a star.
+BEGINNINGS = (4, 5, 6)
+
+
 def terms(text: str | None) -> set[bytes]:
-    return set((text or "").encode().lower().translate(TERM_BYTES).split())
+    words = set((text or "").encode().lower().translate(TERM_BYTES).split())
+    found = set(words)
+    for n in BEGINNINGS:
+        found |= {w[:n] + b"*" for w in words if len(w) > n}
+    return found
 
 
 @dataclass
@@ -92,7 +103,7 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, swap_weight: float, r
     return float(w[0]), w[1:]
 
 
-def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None, max_rows: int = 20_000, max_words: int = 400, least: int = 4, z: float = 5.0, swap_weight: float = 1.0, ridge: float = 0.5) -> WordModel:
+def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None, max_rows: int = 20_000, max_words: int = 600, least: int = 4, z: float = 5.0, swap_weight: float = 1.0, ridge: float = 0.5) -> WordModel:
     """Fit on at most max_rows labelled documents.
 
     Word counts are summed by Spark; the driver gets the counts of words that at least ``least`` sampled texts hold,
@@ -109,19 +120,20 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
                 c = counts.setdefault(w, [0, 0])
                 c[0] += 1
                 c[1] += y
-        counts[b" "] = [len(ys), sum(ys)]
-        yield pa.RecordBatch.from_arrays([pa.array([k.decode() for k in counts], pa.string()), pa.array([v[0] for v in counts.values()], pa.int64()), pa.array([v[1] for v in counts.values()], pa.int64())], names=["word", "df", "pos"])
+        counts[ALL] = [len(ys), sum(ys)]
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([v[0] for v in counts.values()], pa.int64()), pa.array([v[1] for v in counts.values()], pa.int64())], names=["word", "df", "pos"])
 
-    counted = map_chunks(sample, split, "word string, df long, pos long").groupBy("word").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos"))
+    counted = map_chunks(sample, split, "word binary, df long, pos long").groupBy("word").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos"))
     # the sample is bounded, and a word must be far from its expected share to be sent
-    rows = sorted(counted.filter((F.col("word") == " ") | (F.col("df") >= least)).filter((F.col("word") == " ") | (F.col("pos") > 0) | (F.col("df") >= 50)).collect())
-    totals = {r["word"]: r for r in rows}.get(" ")
-    n, n_pos = (totals["df"], totals["pos"]) if totals else (0, 0)
+    total_row = F.col("word") == F.lit(ALL)
+    rows = sorted((bytes(r["word"]), r["df"], r["pos"]) for r in counted.filter(total_row | (F.col("df") >= least)).filter(total_row | (F.col("pos") > 0) | (F.col("df") >= 50)).collect())
+    totals = next((r for r in rows if r[0] == ALL), None)
+    n, n_pos = totals[1:] if totals else (0, 0)
     base = float(np.log((n_pos + 0.5) / (n - n_pos + 0.5)))
-    rows = [r for r in rows if r["word"] != " "]
+    rows = [r for r in rows if r[0] != ALL]
     if n_pos in (0, n) or not rows:
         return WordModel(base, {})
-    chosen = [rows[i]["word"].encode() for i in choose(np.array([r["df"] for r in rows], float), np.array([r["pos"] for r in rows], float), n, n_pos, least, z, max_words)]
+    chosen = [rows[i][0] for i in choose(np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float), n, n_pos, least, z, max_words)]
     vocabulary = sorted(set(chosen) | FAMILY_OF.keys())
     index = {w: i for i, w in enumerate(vocabulary)}
 
