@@ -1,0 +1,402 @@
+"""Personal data: fixed patterns, and a linear-chain conditional random field over word shapes.
+
+Patterns find e-mail addresses, IP addresses, card and phone numbers (leftmost, non-overlapping per kind). Around every
+stretch that holds a digit or an at sign, the random field then tags the tokens of a window of text (``REACH`` characters on
+either side, grown to whole words); runs of one tag become spans, and those that no pattern span overlaps are added. The field is
+trained from a small labelled table (text, start, end, kind; at most ``max_rows`` rows) by Adam on the exact
+likelihood, and decoded by Viterbi in numpy over batches of windows padded to one length.
+
+Defined cases: null and empty texts have no spans; repeated rows each get a row; null doc_id stays null; a labelled table
+with no usable row trains a field that tags nothing. Extra columns are not read by ``find_pii`` and are kept by ``redact``.
+
+Scale: each text is read once where it lies, with no shuffle; only the field's weights (FEATURES x kinds) are broadcast.
+Patterns run in time linear in the text.
+"""
+
+from __future__ import annotations
+
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tracklore.llm.common import map_chunks, table
+
+KINDS = ("email", "ip", "card", "phone", "secret")
+BASE_KINDS = KINDS[:4]
+
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+# Possessive forms: what follows a run can't be part of it, so nothing is lost and no run is read twice.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def luhn(digits: str) -> bool:
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        d = int(c)
+        if i % 2:
+            d = d * 2 - 9 if d > 4 else d * 2
+        total += d
+    return total % 10 == 0
+
+
+def emails(text: str) -> list[tuple[int, int]]:
+    """Each at sign looks back for the local part, no further than the last match, and ahead for the domain."""
+    found, last, at = [], 0, text.find("@")
+    while at >= 0:
+        start = at
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        end = at + 1
+        if start < at and (m := DOMAIN.match(text, at + 1)):
+            end = last = m.end()
+            found.append((start, last))
+        at = text.find("@", end)
+    return found
+
+
+def _digits(s: str) -> str:
+    return "".join(c for c in s if "0" <= c <= "9")
+
+
+def base_spans(text: str) -> list[tuple[str, int, int]]:
+    """(kind, start, end) by kind as listed, then start; end is exclusive, in code points."""
+    out = [("email", *s) for s in emails(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 16 <= len(d := _digits(m[0])) <= 19 and luhn(d)]
+    out += [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(_digits(m[0])) <= 15]
+    return out
+
+
+# --- the random field -------------------------------------------------------------------------------------------------
+
+TAGS = ("O", *KINDS)
+FEATURES = 4096
+#: Characters of context on either side of a stretch with a digit or an at sign.
+REACH = 48
+SEED = re.compile(r"[0-9@]")
+TOKEN = re.compile(r"[^\W\d_]+|\d+|\s+|.", re.DOTALL)
+
+
+def _shape(token: str) -> str:
+    c = token[0]
+    if c.isspace():
+        return "_"
+    if c.isdigit():
+        return f"d{min(len(token), 20)}"
+    if c.isalpha():
+        hexlike = "h" if len(token) <= 8 and all(x in "abcdefABCDEF" for x in token) else "w"
+        return hexlike + ("A" if token.isupper() else "a" if token.islower() else "M") + str(min(len(token), 8))
+    return token
+
+
+def _features(tokens: list[str]) -> list[list[int]]:
+    """Hashed features of each token: its shape, its word if short, and the shapes around it."""
+    s = ["<", "<", *map(_shape, tokens), ">", ">"]
+    out = []
+    for i, t in enumerate(tokens):
+        names = [f"0{s[i + 2]}", f"-1{s[i + 1]}", f"-2{s[i]}", f"+1{s[i + 3]}", f"+2{s[i + 4]}", f"-10{s[i + 1]}{s[i + 2]}", f"0+1{s[i + 2]}{s[i + 3]}", f"-10+1{s[i + 1]}{s[i + 2]}{s[i + 3]}"]
+        if len(t) <= 8:
+            names.append(f"w{t.lower()}")
+        if 16 <= len(t) <= 19 and t.isdigit():
+            names.append(f"luhn{luhn(t) if t.isascii() else False}")
+        out.append([zlib.crc32(n.encode()) % FEATURES for n in names])
+    return out
+
+
+def windows(text: str) -> list[tuple[int, int]]:
+    """Stretches of text that the field reads: around digits and at signs, cut at white space, merged where they touch."""
+    out: list[list[int]] = []
+    n, at = len(text), 0
+    while m := SEED.search(text, at):
+        lo, hi = max(0, m.start() - REACH), min(n, m.end() + REACH)
+        while lo > 0 and m.start() - lo < 2 * REACH and not text[lo - 1].isspace():
+            lo -= 1
+        while hi < n and hi - m.end() < 2 * REACH and not text[hi].isspace():
+            hi += 1
+        if out and lo <= out[-1][1]:
+            out[-1][1] = hi
+        else:
+            out.append([lo, hi])
+        at = max(m.end(), hi - REACH)
+    return [(a, b) for a, b in out]
+
+
+class Field:
+    """Weights of the random field."""
+
+    def __init__(self, emit: np.ndarray, step: np.ndarray):
+        self.emit, self.step = emit, step
+
+    def scores(self, tokens: list[list[int]]) -> np.ndarray:
+        flat = np.fromiter((f for t in tokens for f in t), np.int64)
+        bounds = np.cumsum([0, *(len(t) for t in tokens)])[:-1]
+        return np.add.reduceat(self.emit[flat], bounds, axis=0)
+
+    def decode(self, sequences: list[list[list[int]]], most: int = 200_000) -> list[np.ndarray]:
+        """Viterbi over batches of sequences of like length; a batch holds about ``most`` tokens with its padding."""
+        out: list[np.ndarray] = [np.zeros(0, np.int8)] * len(sequences)
+        order = sorted(range(len(sequences)), key=lambda i: len(sequences[i]))
+        at = 0
+        while at < len(order):
+            end = at + 1
+            while end < len(order) and len(sequences[order[end]]) * (end + 1 - at) <= most:
+                end += 1
+            group = order[at:end]
+            at = end
+            length, k = len(sequences[group[-1]]), len(TAGS)
+            if not length:
+                continue
+            scores = np.zeros((length, len(group), k))
+            lengths = np.array([len(sequences[i]) for i in group])
+            for b, i in enumerate(group):
+                if lengths[b]:
+                    scores[: lengths[b], b] = self.scores(sequences[i])
+            best, back = scores[0].copy(), np.zeros((length, len(group), k), np.int8)
+            for t in range(1, length):
+                reach = best[:, :, None] + self.step
+                back[t] = reach.argmax(1)
+                grown = reach.max(1) + scores[t]
+                live = (t < lengths)[:, None]
+                best = np.where(live, grown, best)
+                back[t] = np.where(live, back[t], np.arange(k, dtype=np.int8))
+            tags = np.zeros((length, len(group)), np.int8)
+            tags[-1] = best.argmax(1)
+            for t in range(length - 1, 0, -1):
+                tags[t - 1] = back[t][np.arange(len(group)), tags[t]]
+            for b, i in enumerate(group):
+                out[i] = tags[: lengths[b], b]
+        return out
+
+
+def fit(rows: list[tuple[str, list[tuple[int, int, str]]]], steps: int = 120, ridge: float = 0.02, rate: float = 0.08) -> Field:
+    """Adam on the exact log-likelihood, all sequences in one padded batch. rows: text and its spans."""
+    k = len(TAGS)
+    tokens, golds = [], []
+    for text, spans in rows:
+        at = [m.span() for m in TOKEN.finditer(text)]
+        if at:
+            tokens.append(_features([text[a:b] for a, b in at]))
+            golds.append([next((TAGS.index(kind) for s, e, kind in spans if s <= a and b <= e and kind in TAGS), 0) for a, b in at])
+    emit, step = np.zeros((FEATURES, k)), np.zeros((k, k))
+    if not tokens:
+        emit[:, 0] = 1.0
+        return Field(emit, step)
+    n, length = len(tokens), max(map(len, tokens))
+    lengths = np.array([len(t) for t in tokens])
+    row, col, feature = (np.array(v) for v in zip(*((i, t, f) for i, seq in enumerate(tokens) for t, fs in enumerate(seq) for f in fs), strict=True))
+    gold = np.zeros((n, length), int)
+    for i, g in enumerate(golds):
+        gold[i, : len(g)] = g
+    mask = np.arange(length) < lengths[:, None]
+    seen = np.zeros((FEATURES, k))
+    np.add.at(seen, feature, np.eye(k)[gold[row, col]])
+    pairs = np.zeros((k, k))
+    for t in range(1, length):
+        np.add.at(pairs, (gold[mask[:, t], t - 1], gold[mask[:, t], t]), 1)
+    state = [np.zeros_like(emit), np.zeros_like(emit), np.zeros_like(step), np.zeros_like(step)]
+    place = row * length + col
+    for it in range(1, steps + 1):
+        # sums of features by token, through bincount per tag
+        scores = np.stack([np.bincount(place, emit[feature, j], n * length) for j in range(k)], 1).reshape(n, length, k)
+        ahead, scale = np.zeros((n, length, k)), np.zeros((n, length, 1))
+        top = scores.max(2, keepdims=True)
+        e, m = np.exp(scores - top), np.exp(step)
+        ahead[:, 0] = e[:, 0]
+        scale[:, 0] = ahead[:, 0].sum(1, keepdims=True)
+        ahead[:, 0] /= scale[:, 0]
+        for t in range(1, length):
+            ahead[:, t] = (ahead[:, t - 1] @ m) * e[:, t]
+            scale[:, t] = ahead[:, t].sum(1, keepdims=True)
+            ahead[:, t] /= scale[:, t]
+        behind = np.ones((n, length, k))
+        for t in range(length - 2, -1, -1):
+            b = ((behind[:, t + 1] * e[:, t + 1]) @ m.T) / scale[:, t + 1]
+            behind[:, t] = np.where(mask[:, t + 1, None], b, 1.0)
+        both = ahead * behind
+        p = both / both.sum(2, keepdims=True) * mask[:, :, None]
+        expect = np.stack([np.bincount(feature, p[row, col, j], FEATURES) for j in range(k)], 1)
+        trans = np.zeros((k, k))
+        for t in range(1, length):
+            live = mask[:, t]
+            joint = ahead[live, t - 1][:, :, None] * m * (e[live, t] * behind[live, t] / scale[live, t])[:, None, :]
+            trans += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
+        for j, (w, g) in enumerate(((emit, (seen - expect) / n - ridge * emit / n), (step, (pairs - trans) / n - ridge * step / n))):
+            state[2 * j] = 0.9 * state[2 * j] + 0.1 * g
+            state[2 * j + 1] = 0.999 * state[2 * j + 1] + 0.001 * g**2
+            w += rate * (state[2 * j] / (1 - 0.9**it)) / (np.sqrt(state[2 * j + 1] / (1 - 0.999**it)) + 1e-8)
+    return Field(emit, step)
+
+
+def example_rows(n: int = 400, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """A small labelled table made by rule: each text is filler words around one thing, personal or harmless."""
+    r = np.random.default_rng(seed)
+    pick = lambda *x: x[r.integers(len(x))]
+    num = lambda k: "".join(str(d) for d in r.integers(0, 10, k))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda a=2, b=9: "".join(letters[i] for i in r.integers(0, 26, r.integers(a, b)))
+    octet = lambda: str(r.integers(0, 256))
+
+    def card() -> str:
+        body = num(15)
+        whole = next(body + str(c) for c in range(10) if luhn(body + str(c)))
+        return pick(whole, " ".join(whole[i : i + 4] for i in range(0, 16, 4)), "-".join(whole[i : i + 4] for i in range(0, 16, 4)))
+
+    makers = {
+        "email": lambda: f"{word()}{pick('', '.', '_')}{pick(word(), num(2))}@{word()}{pick('', num(1))}.{pick('example.com', 'net', 'org', 'co.uk')}",
+        "ip": lambda: ".".join(octet() for _ in range(4)),
+        "card": card,
+        "phone": lambda: pick("+1 ", "+49 ", "+33 ", "", "") + pick(f"({num(3)}) {num(3)}-{num(4)}", f"{num(3)}-{num(3)}-{num(4)}", f"({num(3)}) {num(3)} {num(4)}"),
+        "secret": lambda: "".join("0123456789abcdef"[i] for i in r.integers(0, 16, pick(32, 40, 40, 64))),
+    }
+    harmless = (
+        lambda: f"{pick('version', 'Version', 'release', 'v')} {num(1)}.{pick(num(1), num(2), '0')}",
+        lambda: f"{r.integers(1900, 2100)}",
+        lambda: f"{r.integers(1, 32)}.{r.integers(1, 13)}.{r.integers(1900, 2100)}",
+        lambda: f"{r.integers(1900, 2100)}-{r.integers(10, 13)}-{r.integers(10, 29)}",
+        lambda: num(r.integers(1, 8)),
+        lambda: f"{num(r.integers(1, 3))}.{num(2)} {pick('km', 'eur', 'usd', '%')}",
+        lambda: f"{num(2)}:{num(2)}",
+        lambda: f"{pick('page', 'chapter', 'section', 'item')} {num(2)}",
+        lambda: f"{num(1)}.{num(1)}.{num(1)}",
+        lambda: f"{word()} @ {word()}",
+        lambda: f"{word()}. {word().capitalize()} {word()}ação {num(2)} {word()}ß {word()}.",
+    )
+    rows = []
+    for i in range(n):
+        before, after = (pick("", " ").join([" ".join(pick(word(), word().capitalize(), "ação", "über") for _ in range(r.integers(0, 7)))]) for _ in range(2))
+        tail = pick("", "", "", ".", ",", "!!", "###", "$$$", "%%%", "&&&", "***")
+        lead = f"{before}{pick(' ', chr(10))}" if before else ""
+        if i % 3 == 2:
+            rows.append((f"{lead}{pick(*harmless)()}{tail} {after}", []))
+            continue
+        kind = KINDS[i // 3 * 2 % 5] if i % 3 == 0 else KINDS[(i // 3 * 2 + 1) % 5]
+        thing = makers[kind]()
+        if kind == "secret":
+            lead += pick('token = "', 'key: ', 'password="', 'secret = ')
+            tail = ('"' if lead.endswith('"') else "") + tail
+        rows.append((f"{lead}{thing}{tail} {after}", [(len(lead), len(lead) + len(thing), kind)]))
+    return rows
+
+
+def example_table(spark: SparkSession, n: int = 400, seed: int = 7) -> DataFrame:
+    return spark.createDataFrame([(t, [{"start": s, "end": e, "kind": k} for s, e, k in spans]) for t, spans in example_rows(n, seed)], "text string, spans array<struct<start:int,end:int,kind:string>>")
+
+
+def train(labelled: DataFrame, max_rows: int = 5_000) -> Field:
+    """Fit on the labelled table (text, spans); of a larger one the rows with the smallest hash count."""
+    rows = labelled.select("text", "spans").filter("text IS NOT NULL").orderBy(F.xxhash64("text"), "text").limit(max_rows).collect()
+    return fit([(r["text"], [(s["start"], s["end"], s["kind"]) for s in r["spans"] or []]) for r in rows])
+
+
+def added_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int]]]:
+    """Spans that the field finds in each text."""
+    where, sequences = [], []
+    for i, text in enumerate(texts):
+        for a, b in windows(text) if text else []:
+            at = [(a + m.start(), a + m.end()) for m in TOKEN.finditer(text[a:b])]
+            where.append((i, at))
+            sequences.append(_features([text[s:e] for s, e in at]))
+    out: list[list[tuple[str, int, int]]] = [[] for _ in texts]
+    for (i, at), tags in zip(where, field.decode(sequences), strict=True):
+        t = 0
+        while t < len(tags):
+            end = t + 1
+            while end < len(tags) and tags[end] == tags[t]:
+                end += 1
+            if tags[t]:
+                s, e = at[t][0], at[end - 1][1]
+                while s < e and texts[i][s].isspace():
+                    s += 1
+                while e > s and texts[i][e - 1].isspace():
+                    e -= 1
+                kind = TAGS[tags[t]]
+                # a piece too short to be personal, or without the mark of its kind, is a fragment
+                part = texts[i][s:e]
+                if len(part) >= (20 if kind == "secret" else 7) and ("@" in part if kind == "email" else any(c.isdigit() for c in part)):
+                    out[i].append((kind, s, e))
+            t = end
+    return out
+
+
+def all_spans(texts: list[str | None], field: Field) -> list[tuple[list, list]]:
+    """Per text: the pattern spans, and these with the field's further ones, by kind, then start."""
+    plain = [t or "" for t in texts]
+    out = []
+    for text, more in zip(plain, added_spans(plain, field), strict=True):
+        base = base_spans(text)
+        taken = sorted((s, e) for _, s, e in base)
+        extra, starts = [], [s for s, _ in taken]
+        for kind, s, e in more:
+            k = np.searchsorted(starts, e)
+            if all(b <= s for _, b in taken[max(0, k - 8) : k]):
+                extra.append((kind, s, e))
+        out.append((base, sorted(base + extra, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))))
+    return out
+
+
+FOUND = "doc_id long, base array<struct<kind:string,start:int,end:int>>, spans array<struct<kind:string,start:int,end:int>>"
+_SPAN = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+
+
+def find_pii(docs: DataFrame, field: Field) -> DataFrame:
+    """doc_id, base (pattern spans) and spans (all), each sorted by kind as in KINDS, then start. docs(doc_id, text)."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def work(batch: pa.RecordBatch):
+        rows = all_spans(batch.column("text").to_pylist(), shared.value)
+        columns = [pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in r[j]] for r in rows], _SPAN) for j in (0, 1)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.int64()), *columns], names=["doc_id", "base", "spans"])
+
+    return map_chunks(docs.select("doc_id", "text"), work, FOUND)
+
+
+def mask(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
+    """Each span becomes its kind in angle brackets; of overlapping spans the union is replaced, under the first one's kind."""
+    if not spans:
+        return text
+    parts, at = [], 0
+    for kind, s, e in sorted(spans, key=lambda x: (x[1], -x[2])):
+        if s >= at:
+            parts += [text[at:s], f"<{kind}>"]
+        at = max(at, e)
+    return "".join([*parts, text[at:]])
+
+
+def redact(docs: DataFrame, field: Field) -> DataFrame:
+    """The documents with all spans masked, and n_chars, where there is one, counted anew for those changed."""
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def work(batch: pa.RecordBatch):
+        texts = batch.column("text").to_pylist()
+        masked = [mask(t, spans) for t, (_, spans) in zip(texts, all_spans(texts, shared.value), strict=True)]
+        names = batch.schema.names
+        out = batch.set_column(names.index("text"), batch.schema.field("text"), pa.array(masked, batch.schema.field("text").type))
+        if "n_chars" in names:
+            f = batch.schema.field("n_chars")
+            counted = [n if a is b or a == b else len(b) for n, a, b in zip(batch.column("n_chars").to_pylist(), texts, masked, strict=True)]
+            out = out.set_column(names.index("n_chars"), f, pa.array(counted, f.type))
+        yield out
+
+    return map_chunks(docs, work, docs.schema)
+
+
+def joined(spans):
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def _count(kind: str):
+    return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents"), train(example_table(spark)))
+    counts = [_count(kind).alias(f"n_{kind}") for kind in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))

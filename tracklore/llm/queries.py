@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, mixing, quality, toxicity
+from tracklore.llm import decontaminate, mixing, pii, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_pii": pii.op2_pii,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op5_mixing": mixing.op5_mixing,
         "op8_quality": quality.op8_quality,
