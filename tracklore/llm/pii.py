@@ -320,7 +320,9 @@ def added_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int
                 kind = TAGS[tags[t]]
                 # a piece too short to be personal, or without the mark of its kind, is a fragment
                 part = texts[i][s:e]
-                if len(part) >= (20 if kind == "secret" else 7) and ("@" in part if kind == "email" else any(c.isdigit() for c in part)):
+                digits = _digits(part)
+                marked = {"email": "@" in part, "card": 13 <= len(digits) <= 19 and luhn(digits), "secret": len(part) >= 20}.get(kind, len(digits) >= 4)
+                if len(part) >= 7 and marked and (digits or kind == "email"):
                     out[i].append((kind, s, e))
             t = end
     return out
