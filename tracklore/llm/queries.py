@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, mixing, pii, quality, toxicity
+from tracklore.llm import decontaminate, mixing, near_dedup, pii, quality, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_pii": pii.op2_pii,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op5_mixing": mixing.op5_mixing,
+        "op6_near_dedup": near_dedup.op6_near_dedup,
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
     }
