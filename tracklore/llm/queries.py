@@ -6,19 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, mixing, near_dedup, pii, quality, toxicity
+from tracklore.llm import decontaminate, mixing, near_dedup, nearest, pii, quality, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_pii": pii.op2_pii,
         "op3_decontaminate": decontaminate.op3_decontaminate,
+        "op4_url_filter": url_filter.op4_url_filter,
         "op5_mixing": mixing.op5_mixing,
         "op6_near_dedup": near_dedup.op6_near_dedup,
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
+        "op10_nearest": nearest.op10_nearest,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_url_filter": url_filter.SQL}
