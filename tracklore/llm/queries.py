@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, mixing, near_dedup, nearest, pii, quality, toxicity, url_filter
+from tracklore.llm import decontaminate, language_model, mixing, near_dedup, nearest, pii, quality, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_url_filter": url_filter.op4_url_filter,
         "op5_mixing": mixing.op5_mixing,
         "op6_near_dedup": near_dedup.op6_near_dedup,
+        "op7_language_model": language_model.op7_language_model,
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_nearest": nearest.op10_nearest,
