@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, language_model, mixing, near_dedup, nearest, pii, quality, toxicity, url_filter
+from tracklore.llm import decontaminate, language_model, mixing, near_dedup, nearest, pii, quality, token_count, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_count": token_count.op1_token_count,
         "op2_pii": pii.op2_pii,
         "op3_decontaminate": decontaminate.op3_decontaminate,
         "op4_url_filter": url_filter.op4_url_filter,
