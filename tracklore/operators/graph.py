@@ -5,18 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Cut the lineage through a table in the folder that the executors share (a temporary one where none is set)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
-    path = f"{folder}/tables/{uuid.uuid4().hex}"
+    return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Cut the lineage through a table in the shared folder."""
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

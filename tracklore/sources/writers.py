@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from tracklore.operators.reports import enrich_cluster_names
 
 
+#: Text formats keep microseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**TIMES).csv(path)
 
 
 def by_format(df: DataFrame, path: str, kind: str) -> None:
     if kind not in ("csv", "parquet", "json"):
         raise ValueError(f"unsupported format: {kind}")
-    df.write.mode("overwrite").options(**({"header": True} if kind == "csv" else {})).format(kind).save(path)
+    df.write.mode("overwrite").options(**({"header": True} if kind == "csv" else {}), **({} if kind == "parquet" else TIMES)).format(kind).save(path)
 
 
 def partitioned_by_day(df: DataFrame, path: str, ts: str = "timestamp") -> None:
