@@ -57,3 +57,4 @@ STEP = "greatest(1, cast(floor(fps * 0.5e0) AS int))"
 SAMPLE = f"SELECT video_id, frame_no FROM (SELECT *, {STEP} AS step, row_number() OVER (PARTITION BY video_id ORDER BY frame_no) - 1 AS i, count(*) OVER (PARTITION BY video_id) AS total FROM frames) WHERE i % step = 0 AND i / step < least(floor(total / step), 100)"
 query("frame_sampling", "frames", SAMPLE)(e.frame_sampling)
 query("video_summary", "frames", f"SELECT f.video_id, frames, fps, round(frames / fps, 6) AS duration_seconds, coalesce(extracted, 0) AS extracted FROM (SELECT video_id, count(*) AS frames, max(fps) AS fps FROM frames GROUP BY 1) f LEFT JOIN (SELECT video_id, count(*) AS extracted FROM ({SAMPLE}) GROUP BY 1) s ON f.video_id = s.video_id")(e.video_summary)
+query("is_video_crop", "manifest", "SELECT contains(crop_path, '_frame_') AS is_video, count(*) AS n FROM manifest GROUP BY 1")(lambda m: m.groupBy(e.is_video(F.col("crop_path")).alias("is_video")).agg(F.count("*").alias("n")))

@@ -151,3 +151,6 @@ def _apply_delta(o, c):
 
 
 query("apply_exif_delta", "observations exif_corrections", f"SELECT observation_id, timestamp + to_seconds(coalesce(delta_seconds, 0)) AS corrected FROM (SELECT o.observation_id, o.timestamp, c.delta_seconds FROM observations o LEFT JOIN exif_corrections c ON {VALID} QUALIFY row_number() OVER (PARTITION BY o.observation_id ORDER BY c.created_seq DESC NULLS LAST) = 1)")(_apply_delta)
+query("numeric_range", "observations", "SELECT observation_id, top_confidence BETWEEN 0.2 AND 0.9 AS valid FROM observations")(lambda o: o.select("observation_id", F.col("top_confidence").between(0.2, 0.9).alias("valid")))
+query("string_length", "observations", "SELECT observation_id, length(observation_id) BETWEEN 5 AND 7 AS valid FROM observations")(lambda o: o.select("observation_id", F.length("observation_id").between(5, 7).alias("valid")))
+query("content_hash", "file_listing", "SELECT path, sha256(path) AS hash FROM file_listing")(lambda l: l.select("path", F.sha2("path", 256).alias("hash")))

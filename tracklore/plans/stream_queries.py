@@ -219,3 +219,6 @@ def _compressed(m: DataFrame, p: DataFrame) -> DataFrame:
 
 
 query("stream_compress", "manifest predictions", "SELECT camera_id, species, start_time, end_time, frame_count, max_confidence FROM episodes", more=common(360), recursive=True)(_compressed)
+query("enrich_names_pandas", NAMED, "SELECT o.observation_id, coalesce(n.cluster_name, o.cluster_id) AS cluster_name FROM observations o LEFT JOIN cluster_names n ON o.cluster_id = n.cluster_id")(
+    lambda o, n: r.enrich_cluster_names(o, readers.from_pandas(n.sparkSession, n.toPandas(), "cluster_id string, cluster_name string")).select("observation_id", "cluster_name")
+)
