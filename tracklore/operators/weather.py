@@ -74,7 +74,7 @@ def condition_code_pct(precipitation: Column, cloud: Column) -> Column:
 
 def wind_cardinal(degrees: Column) -> Column:
     names = F.array(*[F.lit(x) for x in ("N", "NE", "E", "SE", "S", "SW", "W", "NW")])
-    return F.element_at(names, F.floor((degrees + 22.5) / 45).cast("int") % 8 + 1)
+    return F.when(degrees.isNotNull(), F.element_at(names, F.floor((degrees + 22.5) / 45).cast("int") % 8 + 1))
 
 
 def fields(rows: DataFrame) -> DataFrame:
