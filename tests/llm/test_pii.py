@@ -1,0 +1,61 @@
+import re
+
+from tracklore.llm import pii
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def digits(s):
+    return re.sub(r"[^0-9]", "", s)
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def plain(text):
+    out = [("email", *m.span()) for m in EMAIL.finditer(text)]
+    out += [("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [("card", *m.span()) for m in CARD.finditer(text) if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    return out + [("phone", *m.span()) for m in PHONE.finditer(text) if 8 <= len(digits(m[0])) <= 15]
+
+
+def test_patterns_equal_plain_ones():
+    import random
+
+    r = random.Random(5)
+    parts = ["a", "@", ".", "b.c", "-", "+", "1", "12", "255", "999", " ", "(", ")", "4111111111111111", "10.0.0.1", "é", "x@y.z", "+1 (743) 555-3824", "00", "4111 1111 1111 1111"]
+    for _ in range(20_000):
+        text = "".join(r.choice(parts) for _ in range(r.randint(1, 14)))
+        assert pii.base_spans(text) == plain(text), text
+
+
+def test_long_runs_take_linear_time():
+    for text in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "+1" + " " * 100_000, "a@" * 50_000):
+        pii.base_spans(text)
+
+
+def test_held_out_spans():
+    field = pii.fit(pii.example_rows())
+    rows = pii.example_rows(300, seed=99)
+    got = pii.added_spans([t for t, _ in rows], field)
+    wanted = [{(k, s, e) for s, e, k in spans if k in ("phone", "secret", "card")} for _, spans in rows]
+    found = sum(len(w & set(g)) for w, g in zip(wanted, got, strict=True))
+    assert found >= 0.9 * sum(map(len, wanted))
+    assert sum(bool(g) for (t, spans), g in zip(rows, got, strict=True) if not spans) <= 6
+
+
+def test_columns_cases_and_redaction(spark):
+    field = pii.train(pii.example_table(spark))
+    docs = spark.createDataFrame([(1, "mail a.b@c.org or +1 (743) 555-3824", "en", 35, "k"), (2, None, None, None, None), (3, "", "en", 0, None), (None, "1.2.3.4", None, 7, None), (1, "plain", "en", 5, None)], "doc_id long, text string, lang string, n_chars long, spans string")
+    got = {r["doc_id"]: r for r in pii.find_pii(docs, field).filter("size(base) > 0 OR doc_id > 1").collect()}
+    assert [(s["kind"], s["start"], s["end"]) for s in got[1]["base"]] == [("email", 5, 14), ("phone", 18, 35)]
+    assert got[2]["spans"] == got[3]["spans"] == [] and got[None]["base"][0]["kind"] == "ip"
+    out = {(r["doc_id"], r["text"]): r["n_chars"] for r in pii.redact(docs, field).collect()}
+    assert out[1, "mail <email> or <phone>"] == 23 and out[2, None] is None and out[1, "plain"] == 5
+    assert pii.redact(docs.filter("false"), field).count() == 0
+    nothing = pii.train(spark.createDataFrame([], "text string, spans array<struct<start:int,end:int,kind:string>>"))
+    assert pii.added_spans(["call 12345678901"], nothing) == [[]]
