@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """The folder that executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
