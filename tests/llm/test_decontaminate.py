@@ -19,7 +19,7 @@ def brute(text, items, n=10):
             for a in range(len(w) - len(win) + 1):
                 if w[a : a + len(win)] == win:
                     hit |= set(range(a, a + len(win)))
-                    found.add(k)
+                    found |= {k} - {None}
     return len(w), sorted(hit), sorted(found)
 
 

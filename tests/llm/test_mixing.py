@@ -29,7 +29,8 @@ def test_query(spark):
     for s in names:
         own = [r for r in rows if r["source"] == s]
         assert own[0]["source_size"] == sum(r["size"] for r in own) and own[0]["target"] == pytest.approx(want[s])
-        assert abs(sum(r["taken"] for r in own) - want[s]) <= max(0.02 * want[s], 60)
+        small = sorted(r["size"] for r in own)[len(own) // 4]  # ten documents a source here: one small document is the grain
+        assert abs(sum(r["taken"] for r in own) - want[s]) <= max(0.02 * want[s], small)
     for r in rows:
         assert r["size"] == len(r["text"].encode().split()) and 0 <= r["taken"] <= 3 * r["size"]
     again = {r["doc_id"]: r["taken"] for r in m.op5_mixing(spark, SF).collect()}

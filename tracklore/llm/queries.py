@@ -27,4 +27,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": url_filter.SQL}
+    return {"op3_decontaminate": decontaminate.SQL, "op4_url_filter": url_filter.SQL}
