@@ -134,7 +134,7 @@ def _lookup(urls: DataFrame, keys: Sequence[tuple[str, str]], max_listed: int):
     if len(texts) > max_listed:
         raise ValueError(f"more than {max_listed} listed keys: use join_listed")
     universe = materialise(urls.select(F.explode(F.array(*[key_of(*s) for s in _shapes(keys)])).alias("key")).filter("key IS NOT NULL").distinct())
-    return build_cascade(spark.createDataFrame([(t,) for t in texts], "key string"), universe).contains
+    return build_cascade(spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in texts])).alias("key")), universe).contains
 
 
 def join_listed(urls: DataFrame, listed: DataFrame, labels: Sequence[int]) -> DataFrame:
@@ -152,8 +152,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, hosts
     listed = {v: _lookup(urls, names[v], max_listed) for v in names}
     in_hosts = _lookup(urls, [(h, "") for h in hosts], max_listed)
     # structs compare by their first fields: the length, then the host's length
+    nothing = F.lit(None).cast("struct<length:int,host_length:int,rule:string,verdict:string>")
     found = F.array_compact(
         F.array(
+            nothing,
             *[
                 F.when(listed[v](key_of(k, n)), F.struct((F.length(F.substring_index("host", ".", -k)) + n).alias("length"), F.length(F.substring_index("host", ".", -k)).alias("host_length"), key_of(k, n).alias("rule"), F.lit(v).alias("verdict")))
                 for v in ("allow", "block")
