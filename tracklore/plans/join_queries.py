@@ -58,9 +58,9 @@ query("detections_with_gps", BOTH, "SELECT o.observation_id, o.gps_latitude, o.g
 )
 query("weather_with_camera_count", "weather observations", "SELECT count(*) AS n FROM weather WHERE cluster_id IN (SELECT cluster_id FROM observations WHERE camera_id IS NOT NULL)")(j.weather_with_camera_count)
 query("unknown_clusters_from_data", NAMED, "SELECT DISTINCT cluster_id FROM observations WHERE cluster_id NOT IN (SELECT cluster_id FROM cluster_names)")(j.unknown_ids)
-DONE = "SELECT observation_id FROM observations WHERE seq % 3 = 0"
-query("skip_already_assigned", "observations", f"SELECT observation_id, cluster_id FROM observations WHERE observation_id NOT IN ({DONE})")(lambda o: j.not_yet(o.select("observation_id", "cluster_id"), o.filter("seq % 3 = 0"), "observation_id"))
-query("skip_already_enriched", "observations", f"SELECT count(*) FILTER (observation_id IN ({DONE})) AS already, count(*) FILTER (observation_id NOT IN ({DONE})) AS pending FROM observations")(lambda o: j.already_counts(o.select("observation_id"), o.filter("seq % 3 = 0"), "observation_id"))
+DONE = "SELECT observation_id FROM observations WHERE NOT needs_review"
+query("skip_already_assigned", "observations", f"SELECT observation_id, cluster_id FROM observations WHERE observation_id NOT IN ({DONE})")(lambda o: j.not_yet(o.select("observation_id", "cluster_id"), o.filter("NOT needs_review"), "observation_id"))
+query("skip_already_enriched", "observations", f"SELECT count(*) FILTER (observation_id IN ({DONE})) AS already, count(*) FILTER (observation_id NOT IN ({DONE})) AS pending FROM observations")(lambda o: j.already_counts(o.select("observation_id"), o.filter("NOT needs_review"), "observation_id"))
 READINGS = "readings AS (SELECT cluster_id, wid, temp_c, precip_mm, cast('2024-01-01 00:00:00' AS timestamp) + to_hours(cast(hour_offset AS int)) AS at FROM weather)"
 
 
@@ -77,9 +77,9 @@ query("asof_nearest_weather", "observations weather", f"SELECT observation_id, c
 query(
     "asof_cached_weather",
     "observations weather",
-    f"SELECT observation_id, cluster_id, timestamp, b.a AS at_matched, b.w AS wid, b.t AS temp_c FROM ({NEAREST.replace('o.cluster_id = r.cluster_id', 'o.cluster_id = r.cluster_id AND r.wid % 5 = 0')})",
+    f"SELECT observation_id, cluster_id, timestamp, b.a AS at_matched, b.w AS wid, b.t AS temp_c FROM ({NEAREST.replace('o.cluster_id = r.cluster_id', 'o.cluster_id = r.cluster_id AND r.at >= cast(\'2024-01-16 00:00:00\' AS timestamp)')})",
     more=READINGS,
-)(lambda o, w: _nearest(o, w.filter("wid % 5 = 0")))
+)(lambda o, w: _nearest(o, w.filter("hour_offset >= 360")))
 SITES = "sites AS (SELECT cluster_id AS site, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude FROM observations WHERE gps_latitude IS NOT NULL GROUP BY 1 HAVING cluster_id < 'cluster_008')"
 POINTS = "(SELECT observation_id, gps_latitude AS latitude, gps_longitude AS longitude FROM observations)"
 KM = "2 * asin(least(sqrt(pow(sin(radians(s.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2)), 1.0e0)) * 6371.0e0"
@@ -98,8 +98,8 @@ query("proximity_weather_join", "observations", PROBE.format("10"), more=SITES)(
 query("proximity_probe", "observations", f"SELECT observation_id, near_site IS NOT NULL AS found, near_site, round(distance_km, 2) AS distance_km FROM ({PROBE.format('0.5')})", more=SITES)(
     lambda o: _near(o, 0.5).select("observation_id", F.col("near_site").isNotNull().alias("found"), "near_site", F.round("distance_km", 2).alias("distance_km"))
 )
-query("proximity_then_exact_then_miss", "observations", f"SELECT CASE WHEN near_site IS NOT NULL THEN 'proximity' WHEN observation_id IN (SELECT observation_id FROM observations WHERE seq % 4 = 0) THEN 'exact' ELSE 'miss' END AS source, count(*) AS n FROM ({PROBE.format('0.5')}) GROUP BY 1", more=SITES)(
-    lambda o: j.proximity_then_exact_then_miss(_near(o, 0.5), o.filter("seq % 4 = 0"), "observation_id", "site")
+query("proximity_then_exact_then_miss", "observations", f"SELECT CASE WHEN near_site IS NOT NULL THEN 'proximity' WHEN observation_id IN (SELECT observation_id FROM observations WHERE needs_review) THEN 'exact' ELSE 'miss' END AS source, count(*) AS n FROM ({PROBE.format('0.5')}) GROUP BY 1", more=SITES)(
+    lambda o: j.proximity_then_exact_then_miss(_near(o, 0.5), o.filter("needs_review"), "observation_id", "site")
 )
 query("is_within_proximity", "observations", f"SELECT p.observation_id, {KM} <= 30 AS near FROM {POINTS} p, (SELECT 59.0e0 AS latitude, 18.0e0 AS longitude) s")(
     lambda o: o.select("observation_id", within(F.col("gps_latitude"), F.col("gps_longitude"), F.lit(59.0), F.lit(18.0), 30).alias("near"))

@@ -16,7 +16,7 @@ query("haversine_km", "points", f"SELECT seq, round({KM}, 9) AS km, round({KM} *
     lambda p: p.select("seq", F.round(geo.haversine_km(F.col("latitude"), F.col("longitude"), F.lit(59.0), F.lit(18.0)), 9).alias("km"), F.round(geo.haversine_m(F.col("latitude"), F.col("longitude"), F.lit(59.0), F.lit(18.0)), 6).alias("m"))
 )
 query("gps_leader_clusters", "points")(s.leader_clusters)
-query("cluster_batch_stats", "points")(lambda p: s.batch_stats(p, p.filter("seq % 3 = 0")))
+query("cluster_batch_stats", "points")(lambda p: s.batch_stats(p, p.filter("latitude >= 59.0001")))
 query("process_observations", OBS)(s.process_observations)
 query("cluster_assignments", "points")(lambda p: s.assignments(s.leader_clusters(p)))
 query("gps_cell_clusters", "points", "SELECT cast(floor(latitude / 0.0001e0) AS bigint) AS r, cast(floor(longitude / 0.0001e0) AS bigint) AS c, count(*) AS n, round(avg(latitude), 9) AS latitude, round(avg(longitude), 9) AS longitude FROM points GROUP BY 1, 2")(s.cell_clusters)

@@ -87,8 +87,8 @@ def _enriched(o, x):
 
 MET = f"met AS (SELECT observation_id, b.w AS wid, b.t AS temp_c FROM ({NEAREST}) n WHERE observation_id IN (SELECT observation_id FROM observations WHERE gps_latitude IS NOT NULL AND gps_longitude IS NOT NULL))"
 query("enrich_observations_weather", "observations weather", "SELECT o.observation_id, o.camera_id, m.wid, m.temp_c FROM observations o LEFT JOIN met m ON o.observation_id = m.observation_id", more=f"{READINGS}, {MET}")(_enriched)
-query("enrichment_outcome_counts", "observations weather", "SELECT CASE WHEN o.seq % 3 = 0 THEN 'already' WHEN m.wid IS NULL THEN 'failed' ELSE 'successful' END AS status, count(*) AS n FROM observations o LEFT JOIN met m ON o.observation_id = m.observation_id GROUP BY 1", more=f"{READINGS}, {MET}")(
-    lambda o, x: _enriched(o, x).join(o.select("observation_id", "seq"), "observation_id").groupBy(F.when(F.col("seq") % 3 == 0, "already").when(F.col("wid").isNull(), "failed").otherwise("successful").alias("status")).agg(F.count("*").alias("n"))
+query("enrichment_outcome_counts", "observations weather", "SELECT CASE WHEN NOT o.needs_review THEN 'already' WHEN m.wid IS NULL THEN 'failed' ELSE 'successful' END AS status, count(*) AS n FROM observations o LEFT JOIN met m ON o.observation_id = m.observation_id GROUP BY 1", more=f"{READINGS}, {MET}")(
+    lambda o, x: _enriched(o, x).join(o.select("observation_id", "needs_review"), "observation_id").groupBy(F.when(~F.col("needs_review"), "already").when(F.col("wid").isNull(), "failed").otherwise("successful").alias("status")).agg(F.count("*").alias("n"))
 )
 query("weather_for_observation", "observations weather", "SELECT observation_id, wid, temp_c FROM met WHERE observation_id = 'obs_17'", more=f"{READINGS}, {MET}")(lambda o, x: _enriched(o.filter("observation_id = 'obs_17'"), x).filter("wid IS NOT NULL").drop("camera_id"))
 query("hourly_weather", "observations weather", f"SELECT n.observation_id, date_trunc('hour', n.timestamp) AS hour, b.w AS wid, 'met' AS met_source FROM ({NEAREST}) n", more=READINGS)(
@@ -96,8 +96,8 @@ query("hourly_weather", "observations weather", f"SELECT n.observation_id, date_
 )
 MEANS = "means AS (SELECT cluster_id, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude, count(*) AS point_count FROM observations WHERE gps_latitude IS NOT NULL AND gps_longitude IS NOT NULL GROUP BY 1)"
 query("cluster_weather_request", "observations", "SELECT cluster_id, latitude, longitude, cast(day AS date) AS day FROM means, (SELECT unnest(range(timestamp '2024-01-08', timestamp '2024-01-16', INTERVAL 1 DAY)) AS day)", more=MEANS)(lambda o: w.requests(r.cluster_means(o), F.expr("date'2024-01-15'")))
-query("cluster_enrichment_outcome", "observations weather", "SELECT m.cluster_id, CASE WHEN count(r.wid) > 0 THEN 'ok' ELSE 'failed' END AS status, CASE WHEN count(r.wid) = 0 THEN 'no weather' END AS error FROM means m LEFT JOIN readings r ON m.cluster_id = r.cluster_id AND r.wid % 1000 < 3 GROUP BY 1", more=f"{READINGS}, {MEANS}")(
-    lambda o, x: r.cluster_means(o).select("cluster_id").join(x.filter("wid % 1000 < 3").groupBy("cluster_id").agg(F.count("*").alias("n")), "cluster_id", "left").select("cluster_id", F.when(F.col("n") > 0, "ok").otherwise("failed").alias("status"), F.when(F.col("n").isNull(), "no weather").alias("error"))
+query("cluster_enrichment_outcome", "observations weather", "SELECT m.cluster_id, CASE WHEN count(r.wid) > 0 THEN 'ok' ELSE 'failed' END AS status, CASE WHEN count(r.wid) = 0 THEN 'no weather' END AS error FROM means m LEFT JOIN readings r ON m.cluster_id = r.cluster_id AND r.at >= cast('2024-01-30 23:00:00' AS timestamp) GROUP BY 1", more=f"{READINGS}, {MEANS}")(
+    lambda o, x: r.cluster_means(o).select("cluster_id").join(x.filter("hour_offset >= 719").groupBy("cluster_id").agg(F.count("*").alias("n")), "cluster_id", "left").select("cluster_id", F.when(F.col("n") > 0, "ok").otherwise("failed").alias("status"), F.when(F.col("n").isNull(), "no weather").alias("error"))
 )
 CUT = "cast('2024-01-15 12:00:00' AS timestamp)"
 
