@@ -7,11 +7,12 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Texts of about so many characters are handled together inside a task.
-CHUNK_CHARS = 4_000_000
+#: Texts of about so many bytes are handled together inside a task.
+CHUNK_CHARS = 2_000_000
 
 _own_folder: dict[str, str] = {}
 
@@ -23,7 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
     context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir") or _own_folder.get(context.applicationId)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or _own_folder.get(context.applicationId)
     if not folder:
         folder = _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
@@ -38,6 +39,20 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Id tables of up to so many rows (8 bytes each) are broadcast to filter a wider table.
+MOST_BROADCAST_IDS = 1_000_000
+
+
+def filter_by_ids(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """left_semi or left_anti join of df with ids(key), a stored table of distinct ids.
+
+    The ids are counted first: while they are few, they are broadcast and df stays where it lies; a larger table is joined by
+    shuffle, with the same result.
+    """
+    few = ids.count() <= MOST_BROADCAST_IDS
+    return df.join(F.broadcast(ids) if few else ids, key, how)
+
+
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n
@@ -52,7 +67,7 @@ def map_chunks(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.Recor
                 yield from work(batch)
                 continue
             at = 0
-            sizes = [len(x) if x else 0 for x in batch.column(text).to_pylist()] if batch.num_rows else []
+            sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_pylist()
             while at < batch.num_rows:
                 end, total = at, 0
                 while end < batch.num_rows and (end == at or total + sizes[end] <= CHUNK_CHARS):
