@@ -6,9 +6,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def one_decimal(x: Column) -> Column:
+    """Half to even on the exact binary value, as C and Python print; format_string rounds the decimal form instead."""
+    return F.replace(F.format_number(x, 1), F.lit(","), F.lit(""))
+
+
 def format_duration(seconds: Column) -> Column:
     """Seconds under a minute, minutes under an hour, else hours; one decimal."""
-    return F.when(seconds < 60, F.format_string("%.1fs", seconds)).when(seconds < 3600, F.format_string("%.1fm", seconds / 60)).otherwise(F.format_string("%.1fh", seconds / 3600))
+    unit = lambda x, name: F.concat(one_decimal(x), F.lit(name))
+    return F.when(seconds < 60, unit(seconds, "s")).when(seconds < 3600, unit(seconds / 60, "m")).otherwise(unit(seconds / 3600, "h"))
 
 
 # Corrections of common misreadings, which come first, then direct names.
