@@ -70,7 +70,7 @@ def _cells(p):
     return p.groupBy(key.alias("cluster_id")).agg(F.avg("latitude").alias("center_latitude"), F.avg("longitude").alias("center_longitude"))
 
 
-query("cluster_overlap_pairs", "points", f"SELECT p.cluster_id AS a, s.cluster_id AS b, round({KM} * 1000, 3) AS distance_m FROM cells p JOIN cells s ON p.cluster_id < s.cluster_id WHERE {KM} * 1000 <= 3", more=NEAR)(lambda p: s.overlap_pairs(_cells(p), 3.0).withColumn("distance_m", F.round("distance_m", 3)))
+query("cluster_overlap_pairs", "points", f"SELECT p.cluster_id AS a, s.cluster_id AS b, round(round({KM} * 1000, 6), 3) AS distance_m FROM cells p JOIN cells s ON p.cluster_id < s.cluster_id WHERE {KM} * 1000 <= 3", more=NEAR)(lambda p: s.overlap_pairs(_cells(p), 3.0).withColumn("distance_m", F.round("distance_m", 3)))
 query("cluster_overlap_groups", "points")(lambda p: s.overlap_groups(_cells(p), 2.0))
 query("cluster_locations", OBS, f"SELECT observation_id AS id, gps_latitude AS latitude, gps_longitude AS longitude FROM observations WHERE {GPS} AND cluster_id = 'cluster_004'")(lambda o: points_of(o).filter("cluster_id = 'cluster_004'").drop("cluster_id"))
 query("cluster_mean", OBS, f"SELECT cluster_id, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude, count(*) AS point_count FROM observations WHERE {GPS} AND cluster_id = 'cluster_004' GROUP BY 1")(lambda o: r.cluster_means(o.filter("cluster_id = 'cluster_004'")))
