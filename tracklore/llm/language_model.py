@@ -34,12 +34,12 @@ CLASSES = 128
 WORDS = SYMBOLS - CLASSES - 2
 END, START = WORDS, WORDS + 1
 DIM = 16
-HEAD = 200_000
+HEAD = 100_000
 NOISE = 64
 BATCH = 8_192
 HELD_OUT = (7, 2)
 #: Distinct words that a task counts before it hands them on.
-FLUSH = 400_000
+FLUSH = 250_000
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -186,17 +186,28 @@ class Vocabulary:
 
 
 def learn_vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
-    head = counts.orderBy(F.desc("n"), "word").limit(HEAD).select("word", "n").collect()
+    """The head is every word over a count that at most HEAD words pass, found from a histogram of counts, so that tasks send
+    the driver no more than it keeps."""
+    step = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    over, bound = 0, None
+    for r in sorted(counts.groupBy(step.alias("b")).agg(F.count("*").alias("k")).collect(), reverse=True):
+        if over + r["k"] > HEAD:
+            break
+        over, bound = over + r["k"], r["b"]
+    top = counts.select("word", "n").filter(step >= bound if bound is not None else F.lit(False)).toArrow()
+    head = sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     last = F.lit(None)
     if len(head) > WORDS:
-        last = F.struct(F.lit(-head[WORDS - 1]["n"]).alias("m"), F.lit(bytearray(head[WORDS - 1]["word"])).alias("word"))
+        last = F.struct(F.lit(-head[WORDS - 1][1]).alias("m"), F.lit(bytearray(head[WORDS - 1][0])).alias("word"))
         rest = counts.filter(F.struct((-F.col("n")).alias("m"), F.col("word")) > last)
+    elif bound is None:
+        rest = counts
     else:
-        rest = counts.filter(F.lit(False))
+        rest = counts.filter(step < bound)
     tokens_, words_ = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in rest.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
         tokens_[r["class"]], words_[r["class"]] = r["n"], r["k"]
-    return Vocabulary([(bytes(r["word"]), r["n"]) for r in head], tokens_, words_, texts)
+    return Vocabulary(head, tokens_, words_, texts)
 
 
 def train(docs: DataFrame, shared, unigram: np.ndarray) -> Parameters:
