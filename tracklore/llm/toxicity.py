@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklore.llm.common import fold, map_chunks, table
+from tracklore.llm.common import fold, map_chunks, materialise, table
 from tracklore.llm.quality import labelled_sample, labelled_texts
 
 # Families of group terms that may stand for one another.
@@ -87,7 +87,6 @@ def choose(df: np.ndarray, pos: np.ndarray, n: int, n_pos: int, least: int, z: f
 def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, swap_weight: float, ridge: float, steps: int = 60) -> tuple[float, np.ndarray]:
     """Newton steps on the logistic loss + ridge + swap_weight * mean squared score change. changes: a row per swap."""
     n, d = x.shape
-    a = np.column_stack([np.ones(n), x])
     w = np.zeros(d + 1)
     w[0] = np.log((y.sum() + 0.5) / (n - y.sum() + 0.5))
     prior = np.diag(np.r_[1e-6, np.full(d, ridge)])
@@ -95,8 +94,13 @@ def fit(x: np.ndarray, y: np.ndarray, changes: np.ndarray, swap_weight: float, r
         c = np.column_stack([np.zeros(len(changes)), changes])
         prior = prior + swap_weight * n / len(changes) * (c.T @ c)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve(a.T @ (a * (p * (1 - p))[:, None]) + prior + 1e-9 * np.eye(d + 1), a.T @ (y - p) - prior @ w)
+        curve, slope = prior + 1e-9 * np.eye(d + 1), -prior @ w
+        for at in range(0, n, 1000):  # a few rows at a time in double precision
+            a = np.column_stack([np.ones(min(1000, n - at)), x[at : at + 1000]])
+            p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
+            curve += a.T @ (a * (p * (1 - p))[:, None])
+            slope += a.T @ (y[at : at + 1000] - p)
+        step = np.linalg.solve(curve, slope)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-8:
             break
@@ -125,12 +129,13 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
 
     counted = map_chunks(sample, split, "word binary, df long, pos long").groupBy("word").agg(F.sum("df").alias("df"), F.sum("pos").alias("pos"))
     # the sample is bounded, and a word must be far from its expected share to be sent
-    total_row = F.col("word") == F.lit(ALL)
-    rows = sorted((bytes(r["word"]), r["df"], r["pos"]) for r in counted.filter(total_row | (F.col("df") >= least)).filter(total_row | (F.col("pos") > 0) | (F.col("df") >= 50)).collect())
-    totals = next((r for r in rows if r[0] == ALL), None)
-    n, n_pos = totals[1:] if totals else (0, 0)
+    counted = materialise(counted.filter((F.col("df") >= least) | (F.col("word") == F.lit(ALL))))
+    totals = counted.filter(F.col("word") == F.lit(ALL)).first()
+    n, n_pos = (totals["df"], totals["pos"]) if totals else (0, 0)
     base = float(np.log((n_pos + 0.5) / (n - n_pos + 0.5)))
-    rows = [r for r in rows if r[0] != ALL]
+    expected = F.col("df") * (n_pos / max(n, 1))
+    far = F.abs(F.col("pos") - expected) > z * F.sqrt(F.greatest(expected * (1 - n_pos / max(n, 1)) * (1 - F.col("df") / max(n, 1)), F.lit(1e-9)))
+    rows = sorted((bytes(r["word"]), r["df"], r["pos"]) for r in counted.filter(far & (F.col("word") != F.lit(ALL))).collect())
     if n_pos in (0, n) or not rows:
         return WordModel(base, {})
     chosen = [rows[i][0] for i in choose(np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float), n, n_pos, least, z, max_words)]
@@ -142,22 +147,21 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(hits, pa.list_(pa.int32()))], names=["doc_id", "y", "hits"])
 
     got = sorted(map_chunks(sample, present, "doc_id long, y int, hits array<int>").collect(), key=lambda r: (r["doc_id"], r["hits"]))
-    x = np.zeros((len(got), len(vocabulary)), np.float32)
-    changes = []
+    x = np.zeros((len(got), len(vocabulary)), np.uint8)
+    changes: dict[tuple[int, int, int], int] = {}
     for i, r in enumerate(got):
         x[i, r["hits"]] = 1
         for h in r["hits"]:
             for other in FAMILY_OF.get(vocabulary[h], []):
-                change = np.zeros(len(vocabulary), np.float32)
-                change[h] -= 1
-                if index[other] not in r["hits"]:
-                    change[index[other]] += 1
-                changes.append(change)
-    # equal swaps add up: keep one row per distinct change, scaled by the root of its count
-    if changes:
-        kinds, times = np.unique(np.array(changes), axis=0, return_counts=True)
-        changes = kinds * np.sqrt(times / len(changes) * len(kinds))[:, None]
-    b, w = fit(x.astype(np.float64), np.array([r["y"] for r in got], float), np.array(changes, float), swap_weight, ridge)
+                kind = (h, index[other], int(index[other] not in r["hits"]))
+                changes[kind] = changes.get(kind, 0) + 1
+    # equal swaps add up: one row per distinct change, scaled by the root of its share
+    swaps = np.zeros((len(changes), len(vocabulary)))
+    for row, ((h, other, new), times) in zip(swaps, sorted(changes.items()), strict=True):
+        row[h] -= 1
+        row[other] += new
+        row *= np.sqrt(times / sum(changes.values()) * len(changes))
+    b, w = fit(x, np.array([r["y"] for r in got], float), swaps, swap_weight, ridge)
     return WordModel(b, {v: float(w[i]) for v, i in index.items() if abs(w[i]) > 1e-6})
 
 
