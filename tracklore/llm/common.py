@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Texts of about so many bytes are handled together inside a task.
 CHUNK_CHARS = 2_000_000
 
+ROWS_PER_BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2_000
+
 _own_folder: dict[str, str] = {}
 
 
@@ -59,7 +61,14 @@ def fold(doc_id: Column, n: int) -> Column:
 
 
 def map_chunks(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, text: str | None = "text") -> DataFrame:
-    """mapInArrow, with batches cut so that each holds about CHUNK_CHARS bytes of text (a longer text stands alone)."""
+    """mapInArrow, with batches cut so that each holds about CHUNK_CHARS bytes of text (a longer text stands alone).
+
+    Spark's default of 10,000 rows a batch is lowered for the session: such a batch of texts is held once by the JVM and once
+    by Python for every running task.
+    """
+    conf = df.sparkSession.conf
+    if text is not None and not 0 < int(conf.get(ROWS_PER_BATCH)) <= BATCH_ROWS:
+        conf.set(ROWS_PER_BATCH, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,5 +84,6 @@ def map_chunks(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.Recor
                     end += 1
                 yield from work(batch.slice(at, end - at))
                 at = end
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
