@@ -79,6 +79,20 @@ def test_large_group_of_near_copies_and_cases(spark):
     assert n.near_duplicate_classes(frame.filter("false")).count() == 0 and n.drop_near_duplicates(frame.filter("false")).count() == 0
 
 
+def test_template_family_with_planted_pairs(spark):
+    r = random.Random(5)
+    base = [f"b{i}" for i in range(180)]
+    fill = lambda k: [f"x{r.randrange(10**9)}" for _ in range(k)]
+    docs = [(i, " ".join(base + fill(26))) for i in range(300)]  # 0.77 alike
+    for i in range(60):  # texts 300.. are 0.8 to 0.9 alike to one filled template each
+        w = docs[i][1].split()
+        docs.append((300 + i, " ".join(w[: 180 + 8 + i % 8] + fill(18 - i % 8))))
+    want = brute(docs)
+    assert 250 < len(set(want.values())) < 350
+    got = n.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == want
+
+
 @pytest.mark.parametrize("edges,want", [([(1, 2), (3, 2), (4, 5)], {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}), ([(i, i + 1) for i in range(30)], {i: 0 for i in range(31)}), ([], {})])
 def test_components(spark, edges, want):
     assert {r["node"]: r["label"] for r in n.components(spark.createDataFrame(edges, "a long, b long")).collect()} == want

@@ -13,9 +13,10 @@ need be drawn: about ten per register, however long the text.
 Links: equal texts are collapsed first. Signatures are cut into bands; the members of a bucket are compared with its most
 central member, verified on their whole multisets, and merged. Then what lies in one bucket but still in different
 classes is compared as well: all such pairs in buckets of up to ``SMALL`` members; in larger ones the members outside
-the bucket's largest class against all its members, or, where there are more than SMALL of those, inside buckets
-made narrower by four more registers, three times over. So candidates grow with the rows, not with the square of a group.
-A pair at 0.8 shares a band with a chance of 0.99997.
+the bucket's largest class against all its members, or, where there are more than SMALL of those, by an exact join of
+all such texts on their rarest shingles (prefix and position filters), whose pairs are verified in the same way. A pair at
+0.8 shares a band with a chance of 0.99997. Only pairs that may still reach 0.8 leave the exact join; in a family of texts
+that are all just about 0.8 alike their number grows with the square of the family.
 
 Defined cases: null and empty texts, and texts of white space only, are alone in their class; a null doc_id has a null
 class; rows that repeat a doc_id share its class, and where their texts differ they join both classes; empty tables give
@@ -43,6 +44,8 @@ ROWS = 4
 BANDS = REGISTERS // ROWS
 THRESHOLD = (4, 5)
 SMALL = 24
+#: Parts that the texts of one common shingle are dealt into by the exact join.
+SALTS = 16
 #: Signature agreement under which a pair at the threshold is all but impossible (4.5 standard deviations).
 LEAST_AGREEMENT = 0.6
 
@@ -256,27 +259,67 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     return grouped.select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
-def _large_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs across classes in larger buckets: the few outside the main class against all, else inside narrower buckets."""
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """token, rep, label, n, rest, f: the rarest shingles of each text of texts(rep, label, key, text), enough that two texts
+    which overlap by the threshold have their first common one among them.
+
+    A token is a shingle with its occurrence in the text, so multisets are sets of n tokens. Tokens are put in one order, by
+    their number f of texts; rest is the number of tokens from this one on that other texts have too. Of n tokens at least
+    4/5 n must be common, so the first n - 4/5 n + 1 cannot all be missing in the other text.
+    """
+
+    def work(batch: pa.RecordBatch):
+        h, at = shingles(word_lists(batch.column("text").to_pylist()))
+        order = np.lexsort((h, at))
+        h, at = h[order], at[order]
+        first = np.ones(len(h), bool)
+        first[1:] = (h[1:] != h[:-1]) | (at[1:] != at[:-1])
+        starts = np.flatnonzero(first)
+        occurrence = (np.arange(len(h)) - np.repeat(starts, np.diff(np.append(starts, len(h))))).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            token = _mix(h + occurrence * _P[2]).view(np.int64)
+        n = np.bincount(at, minlength=batch.num_rows)
+        owner = pa.array(at)
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(owner) for c in ("rep", "label", "key")] + [pa.array(n[at], pa.int64()), pa.array(token)], names=["rep", "label", "key", "n", "token"])
+
+    tokens = materialise(map_chunks(texts, work, "rep long, label long, key long, n long, token long"))
+    common = tokens.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
+    # tokens of one text alone come first in the order and need no place in the list
+    listed = tokens.join(common, "token").groupBy("rep", "label", "key", "n").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("m"))
+    length = F.expr("CAST(n - (4 * n + 4) DIV 5 + 1 - (n - size(m)) AS INT)")
+    prefix = listed.filter(length > 0).select("rep", "label", "n", F.size("m").alias("size"), F.posexplode(F.slice("m", F.lit(1), length)).alias("i", "t"))
+    return prefix.select(F.col("t.token").alias("token"), "rep", "label", "n", (F.col("size") - F.col("i")).alias("rest"), F.col("t.f").alias("f"))
+
+
+def _exact_pairs(texts: DataFrame) -> DataFrame:
+    """Pairs across classes of texts(rep, label, key, text), among them every pair that overlaps by the threshold.
+
+    At the first common token of a pair no more than the smaller rest can be common, which must be 4/9 of both sizes. Tokens
+    of many texts are salted: one side is dealt out, the other copied.
+    """
+    prefix = materialise(_prefixes(texts))
+    hot = F.col("f") > SMALL
+    left = prefix.withColumn("salt", F.when(hot, F.pmod(F.xxhash64("rep"), F.lit(SALTS)).cast("int")).otherwise(0)).select("token", "salt", *[F.col(c).alias(f"{c}_a") for c in ("rep", "label", "n", "rest")])
+    right = prefix.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).select("token", "salt", *[F.col(c).alias(f"{c}_b") for c in ("rep", "label", "n", "rest")])
+    enough = F.least("rest_a", "rest_b") * (THRESHOLD[0] + THRESHOLD[1]) >= (F.col("n_a") + F.col("n_b")) * THRESHOLD[0]
+    both = left.join(right, ["token", "salt"]).filter((F.col("rep_a") < F.col("rep_b")) & (F.col("label_a") != F.col("label_b")) & enough)
+    return both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
+def _large_pairs(members: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs across classes in larger buckets: the few outside the main class against all, else those of the exact join."""
     large = members.filter(F.col("n") > SMALL)
     per = large.groupBy("bucket", "label").agg(F.count("*").alias("k"))
     main = per.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.max("k").alias("k"), F.sum("k").alias("all")).withColumn("rest", F.col("all") - F.col("k")).filter("rest > 0")
     few = main.filter(F.col("rest") <= SMALL).select("bucket", "main")
     outside = large.join(few, "bucket").filter("label <> main").select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
     against = large.join(outside, "bucket").filter("label <> la").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-    many = large.join(main.filter(F.col("rest") > SMALL).select("bucket"), "bucket", "left_semi").select("bucket", "rep", "label")
-    many = materialise(many.join(sketches.select(F.col("doc_id").alias("rep"), "codes"), "rep"))
-    pairs = against
-    for v in range(3):
-        # four further registers of two bytes each, at a place that differs by bucket and round
-        part = F.substring("codes", (1 + 2 * F.pmod(F.abs(F.col("bucket") % 7) * 5 + v * 27, F.lit(REGISTERS - 4))).cast("int"), F.lit(8))
-        narrow = many.select("rep", "label", F.xxhash64("bucket", part).alias("bucket"))
-        # only buckets that still hold several classes go on
-        mixed = narrow.groupBy("bucket").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y"), F.min("rep").alias("hub"), F.min_by("label", "rep").alias("lh")).filter("x <> y").drop("x", "y")
-        sized = narrow.join(mixed, "bucket")
-        star = sized.filter((F.col("n") > SMALL) & (F.col("label") != F.col("lh")))
-        pairs = pairs.unionByName(_cross_pairs(sized)).unionByName(star.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")))
-    return pairs
+    many = materialise(large.join(main.filter(F.col("rest") > SMALL).select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("doc_id"), "label").distinct())
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = filter_by_ids(texts, materialise(many.select("doc_id")), "doc_id", "left_semi").join(many, "doc_id")
+    # a repeated doc_id brings all its texts, each once
+    texts = texts.select(F.col("doc_id").alias("rep"), "label", F.xxhash64("text").alias("key"), "text").dropDuplicates(["rep", "key"])
+    return against.unionByName(_exact_pairs(texts))
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -299,7 +342,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     same_id = members.filter("rep <> rep2").select("doc_id", F.col("rep").alias("a")).join(owners.withColumnRenamed("rep", "b"), "doc_id").select("a", "b")
     labels = materialise(components(first.unionByName(same_id)))
     tagged = materialise(buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")))
-    rest = _cross_pairs(tagged).unionByName(_large_pairs(tagged, unique)).distinct()
+    rest = _cross_pairs(tagged).unionByName(_large_pairs(tagged, texts)).distinct()
     second = materialise(_verify(_agree(rest, unique), texts))
     lifted = second
     for side in ("a", "b"):
