@@ -49,3 +49,12 @@ def test_large_item_tables_are_dealt_into_parts(spark):
     whole, parts = (sorted((r["doc_id"], r["n_words"], r["hit_words"], r["items"]) for r in d.find_contamination(docs, items, max_item_chars=m).collect()) for m in (10**6, 5))
     assert whole == parts
     assert d.drop_contaminated(docs, items).count() == 1 and d.find_contamination(docs, items.filter("false")).count() == 4
+
+
+def test_dropping_is_the_same_in_parts(spark):
+    rows = [(1, "one two", 7), (1, "clean text", 8), (None, "six", 9), (None, "seven", 10), (2, None, 11), (3, "four five", 12), (4, "", 13), (4, "", 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    items = spark.createDataFrame([(i, t) for i, t in enumerate(["one two", "three", "four", "six", None])], "item_id long, text string")
+    for bound in (10**6, 5):
+        got = d.drop_contaminated(docs, items, max_item_chars=bound)
+        assert got.columns == docs.columns and sorted(r["y"] for r in got.collect()) == [8, 10, 11, 13, 13]

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracklore.llm.common import map_chunks
+from tracklore.llm.common import filter_by_ids, map_chunks, materialise
 
 #: Byte to byte: word bytes stay, all others become a space.
 WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
@@ -143,26 +143,39 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     return keyed.select("doc_id", "key").join(counted, "key", "left").join(merged, "key", "left").select("doc_id", "n_words", *empty)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """The documents without any hit word, with all their columns.
-
-    The scan travels with the row (one pass, no join): each text is tested where it lies.
-    """
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).filter(F.col("text").isNotNull())
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    if total > 32_000_000:
-        hits = find_contamination(docs, benchmark, window).filter(F.size("hit_words") > 0).select("doc_id").distinct()
-        return docs.join(hits, "doc_id", "left_anti")
-    shared = docs.sparkSession.sparkContext.broadcast(tuple((r[0], r[1]) for r in items.collect()))
+def _by_hits(docs: DataFrame, items: list[tuple], window: int, hit: bool) -> DataFrame:
+    """The rows of docs whose text has a hit word, or those whose text has none."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(items))
 
     def work(batch: pa.RecordBatch):
         scanner = _scanner(shared.value, window)
-        clean = [not scanner.scan(x)[1] for x in batch.column("text").to_pylist()]
-        yield batch.filter(pa.array(clean, pa.bool_()))
+        keep = [bool(scanner.scan(x)[1]) == hit for x in batch.column("text").to_pylist()]
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
     return map_chunks(docs, work, docs.schema)
 
 
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = 32_000_000) -> DataFrame:
+    """The documents without any hit word, with all their columns.
+
+    Each text is tested where it lies (one pass, no join). Over max_item_chars the items are dealt into parts with one pass
+    each; a row leaves when its own text, known by its SHA-256, has a hit in any part, whatever its doc_id.
+    """
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).filter(F.col("text").isNotNull())
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    if total <= max_item_chars:
+        return _by_hits(docs, [(r[0], r[1]) for r in items.collect()], window, False)
+    parts = -(-total // max_item_chars) * 2
+    key = F.sha2("text", 256).alias("__text_key")
+    found = None
+    for part in range(parts):
+        mine = [(r[0], r[1]) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()]
+        if mine:
+            hits = materialise(_by_hits(docs.select("text"), mine, window, True).select(key))
+            found = hits if found is None else found.unionByName(hits)
+    gone = materialise(found.distinct())
+    return filter_by_ids(docs.withColumn("__text_key", F.sha2("text", 256)), gone, "__text_key", "left_anti").select(*docs.columns)
+
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:
     from tracklore.llm.common import table
