@@ -93,6 +93,16 @@ def test_template_family_with_planted_pairs(spark):
     assert {x["doc_id"]: x["class_id"] for x in got} == want
 
 
+def test_links_of_every_text_of_a_repeated_id(spark):
+    r = random.Random(7)
+    texts = [[f"w{r.randrange(10**6)}" for _ in range(100)] for _ in range(6)]
+    near = [" ".join(t[:-3]) for t in texts]
+    texts = [" ".join(t) for t in texts]
+    docs = [(0, t) for t in texts] + [(10 + i, t) for i, t in enumerate(near)]  # id 0 has six texts, each with a near copy
+    got = n.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {x["doc_id"]: x["class_id"] for x in got} == {i: 0 for i in [0, *range(10, 16)]}
+
+
 @pytest.mark.parametrize("edges,want", [([(1, 2), (3, 2), (4, 5)], {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}), ([(i, i + 1) for i in range(30)], {i: 0 for i in range(31)}), ([], {})])
 def test_components(spark, edges, want):
     assert {r["node"]: r["label"] for r in n.components(spark.createDataFrame(edges, "a long, b long")).collect()} == want

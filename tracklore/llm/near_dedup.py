@@ -206,7 +206,7 @@ def _agree(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
                 batch = batch.filter(pa.array((x == y).mean(1) >= LEAST_AGREEMENT, pa.bool_()))
             yield batch.select(["a", "b"])
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -221,9 +221,9 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         last, left = None, np.zeros(0, np.uint64)
         for batch in batches:
             keep = []
-            for a, i in zip(batch.column("a").to_pylist(), range(batch.num_rows), strict=True):
-                if a != last:
-                    left, last = shingles(word_lists([batch.column("text_a")[i].as_py()]))[0], a
+            for a, i in zip(batch.column("text_a").to_pylist(), range(batch.num_rows), strict=True):
+                if a != last:  # by text: an id may have several
+                    left, last = shingles(word_lists([a]))[0], a
                 small, large = overlap(left, shingles(word_lists([batch.column("text_b")[i].as_py()]))[0])
                 keep.append(small * THRESHOLD[1] >= large * THRESHOLD[0])
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
@@ -328,9 +328,9 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"))
     owners = materialise(sketches.select("doc_id", "digest").join(groups, "digest").select("doc_id", "rep"))
     members = owners.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("rep2"))
-    unique = materialise(groups.select(F.col("rep").alias("doc_id")).distinct().join(sketches.select("doc_id", "bands", "codes"), "doc_id").dropDuplicates(["doc_id"]))
-    # one text of a repeated doc_id stands for it; its other texts are linked by equal ids below
-    in_bucket = unique.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket"))
+    # a doc_id that is the least of several texts keeps a sketch of each, so that links of any of them are its links
+    unique = materialise(groups.select(F.col("rep").alias("doc_id"), "digest").join(sketches, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]).select("doc_id", "bands", "codes"))
+    in_bucket = unique.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     buckets = materialise(in_bucket.join(shared, "bucket"))
     # a text's weight is the number of neighbours it meets over its at most BANDS buckets
