@@ -41,6 +41,24 @@ def test_counterfactuals_even_out_group_terms():
     assert abs(held[0] - held[1]) < 0.1 * abs(free[0] - free[1]) and held[2] > 2
 
 
+def test_swaps_move_beginnings_and_even_out_neutral_mentions(spark):
+    index = {t: i for i, t in enumerate(sorted(toxicity.terms("muslim hindu hindus muslimah")))}
+    at = {i: t for t, i in index.items()}
+    moved = {(frozenset(at[i] for i in g), frozenset(at[i] for i in c)) for g, c in toxicity.swap_changes("a muslim", index)}
+    assert (frozenset([b"muslim", b"musl*", b"musli*"]), frozenset([b"hindu", b"hind*"])) in moved
+    assert all(b"musl*" not in [at[i] for i in g] for g, _ in toxicity.swap_changes("muslim muslimah", index))
+    r = np.random.default_rng(3)
+    docs, labels = [], []
+    for i in range(1200):  # one group is met with insults more often
+        group = ["muslims", "hindus", "christians"][i % 3]
+        toxic = r.random() < (0.8 if group == "muslims" else 0.1)
+        docs.append((i, f"the {group} live here w{r.integers(50)} {'idiot' if toxic and r.random() < 0.7 else 'fine'}"))
+        labels.append((i, int(toxic)))
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    free, held = (toxicity.train(docs, labels, swap_weight=w).score(["the muslims live here", "the hindus live here"]) for w in (0.0, 10.0))
+    assert free[0] - free[1] > 0.2 and abs(held[0] - held[1]) < 0.05
+
+
 def test_cases(spark):
     docs = spark.createDataFrame([(1, "fine text", 1), (2, None, 1), (3, "", 1), (None, "x", 1), (4, "bad idiot", 1), (4, "bad idiot", 1)], "doc_id long, text string, y int")
     some = spark.createDataFrame([(1, 1, 0), (4, 0, 1), (9, 1, 1), (3, None, 7), (None, 1, 1), (4, 0, None)], "doc_id long, quality int, toxic int")

@@ -4,8 +4,9 @@ A text is the set of its words (A-Z lower-cased, split at anything but letters,
 beginnings of 4 to 6 bytes, which stand for inflected and compound forms not seen in training. Training picks terms
  whose link with the label is beyond chance, and fits a logistic model whose loss adds, for each labelled
 sentence that names a group of people, the squared change of its score when the group term is swapped for another of its
-family. Group terms themselves are always candidates, so that the penalty, not their absence, keeps their
-weights alike: a neutral mention must not raise a score.
+family: the words and beginnings that leave the sentence and those that come in. Group terms and their beginnings are
+always candidates, so that the penalty, not their absence, keeps their weights alike: a neutral mention must not raise
+a score.
 
 Training reads a bounded sample of labelled rows (``max_rows``, smallest hash of the id first); their distinct words
 are counted by Spark, and at most ``max_words`` of them become weights. Every text is scored whole where it lies.
@@ -34,12 +35,17 @@ FAMILIES = (
     ("man", "woman", "person"),
     ("men", "women", "people"),
     ("boy", "girl", "child"),
+    ("boys", "girls", "children"),
     ("muslim", "christian", "jewish", "hindu", "buddhist", "atheist"),
+    ("muslims", "christians", "jews", "hindus", "buddhists", "atheists"),
     ("black", "white", "asian", "latino", "arab", "african", "european"),
+    ("blacks", "whites", "asians", "latinos", "arabs", "africans", "europeans"),
     ("gay", "lesbian", "straight", "bisexual", "trans", "queer"),
+    ("gays", "lesbians", "straights", "bisexuals", "queers"),
     ("old", "young", "elderly", "teenage"),
     ("deaf", "blind", "disabled", "autistic"),
     ("immigrant", "refugee", "native", "foreign"),
+    ("immigrants", "refugees", "natives", "foreigners"),
     ("el", "ella"),
     ("il", "elle"),
     ("er", "sie"),
@@ -56,14 +62,38 @@ ALL = b" "
 BEGINNINGS = (4, 5, 6)
 
 
-def terms(text: str | None) -> set[bytes]:
-    words = set((text or "").encode().lower().translate(TERM_BYTES).split())
+def words_of(text: str | None) -> set[bytes]:
+    return set((text or "").encode().lower().translate(TERM_BYTES).split())
+
+
+def with_beginnings(words: set[bytes]) -> set[bytes]:
     found = set(words)
     for n in BEGINNINGS:
         found |= {w[:n] + b"*" for w in words if len(w) > n}
     return found
 
 
+def terms(text: str | None) -> set[bytes]:
+    return with_beginnings(words_of(text))
+
+
+def swap_changes(text: str | None, index: dict[bytes, int]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+    """For each group term of the text and each other term of its family: the places of the terms that leave the text and of
+    those that come in when every mention of the one becomes the other."""
+    words = words_of(text)
+    named = words & FAMILY_OF.keys()
+    if not named:
+        return []
+    now = with_beginnings(words)
+    out = []
+    for w in sorted(named):
+        rest = words - {w}
+        for other in FAMILY_OF[w]:
+            then = with_beginnings(rest | {other})
+            out.append((tuple(sorted(index[t] for t in (now - then) & index.keys())), tuple(sorted(index[t] for t in (then - now) & index.keys()))))
+    return out
+
+
 @dataclass
 class WordModel:
     base: float
@@ -111,7 +141,7 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
     """Fit on at most max_rows labelled documents.
 
     Word counts are summed by Spark; the driver gets the counts of words that at least ``least`` sampled texts hold,
-    then, per sampled text, the chosen words and the group terms only.
+    then, per sampled text, the chosen words and the group terms only, and the number of each distinct change by a swap.
     """
     keep = F.lit(True) if keep is None else keep
     sample = labelled_texts(docs, labelled_sample(labels, target, keep, max_rows))
@@ -139,27 +169,29 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
     if n_pos in (0, n) or not rows:
         return WordModel(base, {})
     chosen = [rows[i][0] for i in choose(np.array([r[1] for r in rows], float), np.array([r[2] for r in rows], float), n, n_pos, least, z, max_words)]
-    vocabulary = sorted(set(chosen) | FAMILY_OF.keys())
+    vocabulary = sorted(set(chosen) | with_beginnings(set(FAMILY_OF)))
     index = {w: i for i, w in enumerate(vocabulary)}
 
     def present(batch: pa.RecordBatch):
-        hits = [sorted(index[w] for w in index.keys() & terms(t)) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(hits, pa.list_(pa.int32()))], names=["doc_id", "y", "hits"])
-
-    got = sorted(map_chunks(sample, present, "doc_id long, y int, hits array<int>").collect(), key=lambda r: (r["doc_id"], r["hits"]))
+        texts = batch.column("text").to_pylist()
+        hits = [sorted(index[w] for w in index.keys() & terms(t)) for t in texts]
+        swaps = [[{"gone": g, "come": c} for g, c in swap_changes(t, index)] for t in texts]
+        places = pa.list_(pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(hits, places), pa.array(swaps, pa.list_(pa.struct([("gone", places), ("come", places)])))], names=["doc_id", "y", "hits", "swaps"])
+
+    # equal swaps of one text and another are counted by Spark
+    seen = materialise(map_chunks(sample, present, "doc_id long, y int, hits array<int>, swaps array<struct<gone:array<int>,come:array<int>>>"))
+    got = sorted(seen.select("doc_id", "y", "hits").collect(), key=lambda r: (r["doc_id"], r["hits"]))
     x = np.zeros((len(got), len(vocabulary)), np.uint8)
-    changes: dict[tuple[int, int, int], int] = {}
     for i, r in enumerate(got):
         x[i, r["hits"]] = 1
-        for h in r["hits"]:
-            for other in FAMILY_OF.get(vocabulary[h], []):
-                kind = (h, index[other], int(index[other] not in r["hits"]))
-                changes[kind] = changes.get(kind, 0) + 1
+    counted = seen.select(F.explode("swaps").alias("s")).groupBy("s.gone", "s.come").count().collect()
+    changes = {(tuple(r["gone"]), tuple(r["come"])): r["count"] for r in counted}
     # equal swaps add up: one row per distinct change, scaled by the root of its share
     swaps = np.zeros((len(changes), len(vocabulary)))
-    for row, ((h, other, new), times) in zip(swaps, sorted(changes.items()), strict=True):
-        row[h] -= 1
-        row[other] += new
+    for row, ((gone, come), times) in zip(swaps, sorted(changes.items()), strict=True):
+        row[list(gone)] = -1
+        row[list(come)] = 1
         row *= np.sqrt(times / sum(changes.values()) * len(changes))
     b, w = fit(x, np.array([r["y"] for r in got], float), swaps, swap_weight, ridge)
     return WordModel(b, {v: float(w[i]) for v, i in index.items() if abs(w[i]) > 1e-6})
