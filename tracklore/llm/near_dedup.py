@@ -11,12 +11,14 @@ chance of exactly their weighted Jaccard similarity, and only points before a ho
 need be drawn: about ten per register, however long the text.
 
 Links: equal texts are collapsed first. Signatures are cut into bands; the members of a bucket are compared with its most
-central member, verified on their whole multisets, and merged. Then what lies in one bucket but still in different
-classes is compared as well: all such pairs in buckets of up to ``SMALL`` members; in larger ones the members outside
-the bucket's largest class against all its members, or, where there are more than SMALL of those, by an exact join of
-all such texts on their rarest shingles (prefix and position filters), whose pairs are verified in the same way. A pair at
-0.8 shares a band with a chance of 0.99997. Only pairs that may still reach 0.8 leave the exact join; in a family of texts
-that are all just about 0.8 alike their number grows with the square of the family.
+central member, verified on their whole multisets, and merged. Large buckets that still hold several classes are gone
+through again with ``HUBS`` other central members each, while that merges a good share of their classes. Then what lies in
+one bucket but still in different classes is compared as well: all such pairs in buckets of up to ``SMALL`` members; in
+larger ones the members outside the bucket's largest class against all its members, or, where there are more than SMALL of
+those, by an exact join of all such texts on their rarest shingles (prefix and position filters), whose pairs are verified
+in the same way. So every pair of one bucket is compared or excluded by a bound; no bucket is cut. A pair at 0.8 shares a
+band with a chance of 0.99997. Only pairs across classes that may still reach 0.8 leave the exact join; in a family of
+texts that are all a little less than 0.8 alike their number grows with the square of the family.
 
 Defined cases: null and empty texts, and texts of white space only, are alone in their class; a null doc_id has a null
 class; rows that repeat a doc_id share its class, and where their texts differ they join both classes; empty tables give
@@ -46,8 +48,14 @@ THRESHOLD = (4, 5)
 SMALL = 24
 #: Parts that the texts of one common shingle are dealt into by the exact join.
 SALTS = 16
-#: Signature agreement under which a pair at the threshold is all but impossible (4.5 standard deviations).
-LEAST_AGREEMENT = 0.6
+#: Members of a large mixed bucket that its other members are compared with in one further round.
+HUBS = 4
+#: A further round follows while one merges at least this share of the classes that large mixed buckets hold.
+GOOD_SHARE = 0.1
+#: Pairs of one hot text that are verified together.
+DEALT = 512
+#: Signature agreement under which a pair at the threshold is all but impossible (5.6 standard deviations).
+LEAST_AGREEMENT = 0.55
 
 _MASK44 = np.uint64((1 << 44) - 1)
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)]
@@ -210,12 +218,18 @@ def _agree(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose whole multisets overlap enough. Only texts of pairs are shuffled."""
+    """The pairs whose whole multisets overlap enough. Only texts of pairs are shuffled.
+
+    The pairs of a text that is in many are dealt into groups of about DEALT, each of which gets the text once.
+    """
     pairs = materialise(pairs)
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     texts = filter_by_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id", "left_semi")
-    side = lambda n: texts.select(F.col("doc_id").alias(n), F.col("text").alias(f"text_{n}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
+    groups = pairs.groupBy("a").agg((F.floor(F.count("*") / DEALT) + 1).alias("groups"))
+    dealt = pairs.join(groups, "a").withColumn("deal", F.pmod(F.xxhash64("b"), F.col("groups"))).drop("groups")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(groups, "a").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    both = dealt.join(right, "b").join(left, ["a", "deal"]).select("a", "b", "text_a", "text_b")
 
     def run(batches):
         last, left = None, np.zeros(0, np.uint64)
@@ -231,14 +245,15 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long").distinct()
 
 
-def components(links: DataFrame, most: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node and label (the least node of its component) for each node of the links (a, b).
 
-    Alternating large and small stars: each round joins and takes minima by node, written to the shared folder.
+    Alternating large and small stars: each round joins and takes minima by node, written to the shared folder, until a
+    round changes nothing.
     """
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
     seen = None
-    for _ in range(most):
+    while True:
         state = tuple(edges.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
         if state[0] == 0 or state == seen:
             break
@@ -306,20 +321,47 @@ def _exact_pairs(texts: DataFrame) -> DataFrame:
     return both.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
 
 
-def _large_pairs(members: DataFrame, docs: DataFrame) -> DataFrame:
-    """Pairs across classes in larger buckets: the few outside the main class against all, else those of the exact join."""
+def _main_classes(members: DataFrame) -> DataFrame:
+    """bucket, main and rest of each large bucket with more than one class: its largest class, and the members outside it."""
+    per = members.filter(F.col("n") > SMALL).groupBy("bucket", "label").agg(F.count("*").alias("k"))
+    return per.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), (F.sum("k") - F.max("k")).alias("rest")).filter("rest > 0")
+
+
+def _hub_pairs(members: DataFrame, main: DataFrame, seed: int) -> DataFrame:
+    """Pairs across classes of HUBS central members of each bucket of main with its other members. members has weight."""
+    mixed = members.join(main.select("bucket"), "bucket", "left_semi")
+    part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(HUBS))
+    hubs = mixed.groupBy("bucket", part.alias("part")).agg(F.max_by(F.struct("rep", "label"), F.struct(F.col("weight"), -F.col("rep"))).alias("hub"))
+    both = mixed.join(hubs.select("bucket", "hub"), "bucket").filter("label <> hub.label")
+    return both.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+
+
+def _large_pairs(members: DataFrame, main: DataFrame) -> DataFrame:
+    """Pairs across classes in large buckets with few members outside the main class: those against all others."""
     large = members.filter(F.col("n") > SMALL)
-    per = large.groupBy("bucket", "label").agg(F.count("*").alias("k"))
-    main = per.groupBy("bucket").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.max("k").alias("k"), F.sum("k").alias("all")).withColumn("rest", F.col("all") - F.col("k")).filter("rest > 0")
-    few = main.filter(F.col("rest") <= SMALL).select("bucket", "main")
-    outside = large.join(few, "bucket").filter("label <> main").select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
-    against = large.join(outside, "bucket").filter("label <> la").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
-    many = materialise(large.join(main.filter(F.col("rest") > SMALL).select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("doc_id"), "label").distinct())
+    outside = large.join(main.filter(F.col("rest") <= SMALL).select("bucket", "main"), "bucket").filter("label <> main").select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
+    return large.join(outside, "bucket").filter("label <> la").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+
+
+def _wide_pairs(members: DataFrame, main: DataFrame, docs: DataFrame) -> DataFrame:
+    """Pairs across classes of all texts in large buckets with many members outside the main class, by the exact join."""
+    wide = materialise(members.join(main.filter(F.col("rest") > SMALL).select("bucket"), "bucket", "left_semi").select(F.col("rep").alias("doc_id"), "label").distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = filter_by_ids(texts, materialise(many.select("doc_id")), "doc_id", "left_semi").join(many, "doc_id")
+    texts = filter_by_ids(texts, materialise(wide.select("doc_id")), "doc_id", "left_semi").join(wide, "doc_id")
     # a repeated doc_id brings all its texts, each once
     texts = texts.select(F.col("doc_id").alias("rep"), "label", F.xxhash64("text").alias("key"), "text").dropDuplicates(["rep", "key"])
-    return against.unionByName(_exact_pairs(texts))
+    return _exact_pairs(texts)
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels(node, label) after the links (a, b) between nodes, which may be new, have joined classes."""
+    lifted = links
+    for side in ("a", "b"):
+        lifted = lifted.join(labels.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
+    merged = components(lifted.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("final"))
+    named = labels.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label"))
+    more = merged.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(F.col("label").alias("node"), F.col("final").alias("label"))
+    return materialise(named.unionByName(more))
 
 
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -332,39 +374,54 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     unique = materialise(groups.select(F.col("rep").alias("doc_id"), "digest").join(sketches, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]).select("doc_id", "bands", "codes"))
     in_bucket = unique.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    buckets = materialise(in_bucket.join(shared, "bucket"))
     # a text's weight is the number of neighbours it meets over its at most BANDS buckets
-    central = buckets.withColumn("weight", F.sum("n").over(Window.partitionBy("rep")))
-    hubs = central.groupBy("bucket").agg(F.max_by("rep", F.struct(F.col("weight"), -F.col("rep"))).alias("hub"))
+    buckets = materialise(in_bucket.join(shared, "bucket").withColumn("weight", F.sum("n").over(Window.partitionBy("rep"))))
+    hubs = buckets.groupBy("bucket").agg(F.max_by("rep", F.struct(F.col("weight"), -F.col("rep"))).alias("hub"))
     stars = buckets.join(hubs, "bucket").filter("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     texts = docs.select("doc_id", "text").filter("text IS NOT NULL")
     first = materialise(_verify(_agree(stars, unique), texts))
     same_id = members.filter("rep <> rep2").select("doc_id", F.col("rep").alias("a")).join(owners.withColumnRenamed("rep", "b"), "doc_id").select("a", "b")
     labels = materialise(components(first.unionByName(same_id)))
-    tagged = materialise(buckets.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")))
-    rest = _cross_pairs(tagged).unionByName(_large_pairs(tagged, texts)).distinct()
-    second = materialise(_verify(_agree(rest, unique), texts))
-    lifted = second
-    for side in ("a", "b"):
-        lifted = lifted.join(labels.withColumnRenamed("node", side), side, "left").withColumn(side, F.coalesce("label", side)).drop("label")
-    merged = components(lifted.select("a", "b")).select(F.col("node").alias("label"), F.col("label").alias("final"))
-    named = labels.join(merged, "label", "left").select("node", F.coalesce("final", "label").alias("label"))
-    more = merged.join(labels.select(F.col("node").alias("label")), "label", "left_anti").select(F.col("label").alias("node"), F.col("final").alias("label"))
-    named = named.unionByName(more)
+    tag = lambda rows: rows.drop("label").join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    large = buckets.filter(F.col("n") > SMALL)
+    seed = 0
+    while True:
+        tagged = materialise(tag(large))
+        main = materialise(_main_classes(tagged))
+        wide = main.filter(F.col("rest") > SMALL)
+        large = tagged.join(wide.select("bucket"), "bucket", "left_semi")
+        classes = large.select("label").distinct().count()
+        if classes == 0:
+            break
+        found = materialise(_verify(_agree(_hub_pairs(tagged, wide, seed), unique), texts))
+        labels = _merged(labels, found)
+        seed += 1
+        if classes - tag(large).select("label").distinct().count() < GOOD_SHARE * classes:
+            break
+    tagged = materialise(tag(buckets))
+    main = materialise(_main_classes(tagged))
+    rest = _agree(_cross_pairs(tagged).unionByName(_large_pairs(tagged, main)).distinct(), unique)
+    if not main.filter(F.col("rest") > SMALL).isEmpty():
+        rest = rest.unionByName(_wide_pairs(tagged, main, texts)).distinct()
+    named = _merged(labels, materialise(_verify(rest, texts)))
     classes = members.join(named.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("class_id"))
     # rows of a repeated doc_id meet one class row
     return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each class, the one with the least doc_id, with all columns; rows with null doc_id all stay."""
+    """One document of each class, the one with the least doc_id, with all columns; rows with null doc_id all stay.
+
+    Of several rows with that doc_id the one whose columns, written as JSON, have the least SHA-256 stays.
+    """
     classes = materialise(near_duplicate_classes(docs))
     gone = materialise(classes.filter("doc_id <> class_id").select("doc_id").distinct())
     kept = filter_by_ids(docs, gone, "doc_id", "left_anti").select(*docs.columns)
     repeated = classes.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = kept.join(repeated, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("__id")).agg(F.min_by(row, F.sha2(F.to_json(row), 256)).alias("__row")).select("__row.*")
     return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(once)
 
 
