@@ -4,22 +4,24 @@ Vectors are brought to length one and cut into pairs of components; each pair is
 centres minimise |r|^2 + (ETA - 1) * (r . x)^2 for the residual r of the vector x, since the part of a residual parallel to its
 vector disturbs large inner products most. A query's inner products with all centres form tables; summing table entries
 by code, two codes to a byte, gives a rough score of every row. Rows whose rough score comes within ``MARGIN`` residual
-deviations of the best k exact scores are scored exactly, however many they are, so that copies of one vector
-crowd out nothing.
+deviations of the best k exact scores are scored exactly, however many they are. Exact scores are cosines of the original
+vectors, each summed by itself in one fixed order, so that equal vectors have equal scores wherever they lie.
 
-Defined cases: vectors that are null, zero, hold a null or non-finite component, or have another length than most take
-no part, nor do rows with a null id; rows that repeat an id are one vector (the least by hash); ties go to the smaller id;
-a query with fewer candidates gets all of them; an empty table gives an empty result. Extra columns are not read.
+Defined cases: vectors that are null, zero, or hold a null or non-finite component take no part, nor do rows with a null id;
+vectors meet those of their own length only; each row is a candidate and each row with a fitting id a query, also where ids
+repeat (a query leaves out its own row alone); ties go to the smaller id; a query with fewer candidates gets all of them; an
+empty table gives an empty result. Extra columns are not read.
 
-Scale: centres are fitted on a bounded sample (``max_sample`` rows, smallest hash of the id first). Every row is indexed where
-it lies, in packs of a few thousand; queries go out in blocks of ``BLOCK`` (a bounded broadcast), each scanned over all
-packs in parallel; only the k best of each query and pack are shuffled.
+Scale: centres are fitted on a bounded sample (``max_sample`` rows of each length, smallest hash first). Every row is indexed
+where it lies, in packs of a few thousand, equal vectors of a pack once; queries go out in blocks of ``BLOCK`` (a bounded
+broadcast), each scanned over all packs in parallel; only the k best of each query and pack are shuffled.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ CENTRES = 16
 #: Weight of the parallel residual; for inner products over 0.2 of the largest in 64 dimensions.
 ETA = 2.6
 MARGIN = 3.0
-BLOCK = 8_192
+BLOCK = 4_096
 #: Queries scored together inside a task.
 TILE = 256
 PACK = 8_192
@@ -101,106 +103,170 @@ def _usable(embeddings: DataFrame) -> DataFrame:
     return v.filter(F.coalesce(good, F.lit(False)))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two each, so that no square overflows; this changes no cosine."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    return np.sqrt((x * x).sum(1))
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    x = x / np.abs(x).max(1, keepdims=True)
-    return x / np.sqrt((x * x).sum(1, keepdims=True))
+    x = _scaled(x)
+    return x / _norms(x)[:, None]
+
 
+def cosines(x: np.ndarray, norms: np.ndarray, q: np.ndarray, norm: float) -> np.ndarray:
+    """Cosine of each row with q; a row's value does not depend on the rows beside it."""
+    return (x * q).sum(1) / (norms * norm)
 
-def _matrix(column: pa.Array, dim: int) -> np.ndarray:
-    return np.asarray(column.flatten()).reshape(-1, dim)
 
+PACKS = "pack long, ids array<long>, starts array<int>, vectors binary, codes binary, deviation double"
 
-def build_index(vectors: DataFrame, dim: int, max_sample: int = 20_000) -> tuple[Codebook, DataFrame]:
-    """The codebook, and packs (ids, unit vectors, codes two to a byte) over all rows, written to the shared folder."""
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(max_sample).toPandas()
+
+def build_index(vectors: DataFrame, dim: int, max_sample: int = 20_000, pack: int = PACK) -> tuple[Codebook, DataFrame]:
+    """The codebook, and packs over all rows, written to the shared folder: the distinct vectors, their codes two to a byte,
+    and the ids of the rows that have them (those of vector i start at starts[i], in order)."""
+    sample = vectors.orderBy(F.xxhash64("vec_id", "vector"), "vec_id").limit(max_sample).toPandas()
     book = fit(_unit(np.stack(sample["vector"])))
     shared = vectors.sparkSession.sparkContext.broadcast(book)
 
     def run(batches):
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for at in range(0, batch.num_rows, PACK):
-                part = batch.slice(at, PACK)
-                x = _unit(_matrix(part.column("vector"), dim))
-                codes = shared.value.encode(x)
+            for at in range(0, batch.num_rows, pack):
+                part = batch.slice(at, pack)
+                x = np.ascontiguousarray(np.asarray(part.column("vector").flatten(), np.float64).reshape(-1, dim))
+                _, first, which = np.unique(x.view(f"V{8 * dim}").ravel(), return_index=True, return_inverse=True)
+                ids = np.asarray(part.column("vec_id"), np.int64)
+                order = np.lexsort((ids, which))
+                starts = np.searchsorted(which[order], np.arange(len(first)))
+                x = _scaled(x[first])
+                codes = shared.value.encode(_unit(x))
                 if codes.shape[1] % 2:
                     codes = np.pad(codes, ((0, 0), (0, 1)))
-                deviation = np.sqrt(((x - shared.value.decode(codes)) ** 2).sum(1) / dim)
+                deviation = np.sqrt(((_unit(x) - shared.value.decode(codes)) ** 2).sum(1) / dim)
                 packed = (codes[:, 0::2] << 4) | codes[:, 1::2]
-                yield pa.RecordBatch.from_arrays([pa.array([part.column("vec_id").to_pylist()], pa.list_(pa.int64())), pa.array([x.tobytes()], pa.binary()), pa.array([packed.T.tobytes()], pa.binary()), pa.array([float(deviation.max())])], names=["ids", "vectors", "codes", "deviation"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number]), pa.array([ids[order]], pa.list_(pa.int64())), pa.array([starts], pa.list_(pa.int32())), pa.array([x.tobytes()], pa.binary()), pa.array([packed.T.tobytes()], pa.binary()), pa.array([float(deviation.max())])],
+                    names=["pack", "ids", "starts", "vectors", "codes", "deviation"],
+                )
+                number += 1
 
-    return book, materialise(vectors.mapInArrow(run, "ids array<long>, vectors binary, codes binary, deviation double"))
+    return book, materialise(vectors.mapInArrow(run, PACKS))
 
 
-def _scan(ids: np.ndarray, x: np.ndarray, packed: np.ndarray, deviation: float, book: Codebook, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The k best rows of one pack for each query: (query, row, exact score)."""
+def _scan(x: np.ndarray, packed: np.ndarray, starts: np.ndarray, ids: np.ndarray, deviation: float, book: Codebook, queries: np.ndarray, own: np.ndarray, k: int):
+    """The k best rows of one pack for each query: (query, id, exact score). own: the query's row in this pack, or -1."""
     out = []
+    norms = _norms(x)
+    lengths = np.diff(np.append(starts, len(ids)))
     for at in range(0, len(queries), TILE):
         q = queries[at : at + TILE]
-        tables = np.einsum("qmj,mcj->qmc", book.pairs(q), book.centres).astype(np.float32)
+        q_norms = _norms(q)
+        tables = np.einsum("qmj,mcj->qmc", book.pairs(q / q_norms[:, None]), book.centres).astype(np.float32)
         if tables.shape[1] % 2:
             tables = np.pad(tables, ((0, 0), (0, 1), (0, 0)))
-        rough = np.zeros((len(q), len(ids)), np.float32)
+        rough = np.zeros((len(q), len(x)), np.float32)
         for m, byte in enumerate(packed):
             two = (tables[:, 2 * m, :, None] + tables[:, 2 * m + 1, None, :]).reshape(len(q), 256)
             rough += two[:, byte]
-        first = min(len(ids), 8 * k + 1)
+        first = min(len(x), 8 * k + 1)
         top = np.argpartition(-rough, first - 1, axis=1)[:, :first]
         for i in range(len(q)):
-            exact = x[top[i]] @ q[i]
-            exact[ids[top[i]] == query_ids[at + i]] = -np.inf
-            floor = np.partition(exact, -k)[-k] if len(exact) > k else -np.inf
+            # one more than k, since one of these vectors may be the query's own row
+            exact = cosines(x[top[i]], norms[top[i]], q[i], q_norms[i])
+            floor = np.partition(exact, -k - 1)[-k - 1] if len(exact) > k + 1 else -np.inf
             near = np.flatnonzero(rough[i] >= floor - MARGIN * deviation)
-            near = near[ids[near] != query_ids[at + i]]
-            score = x[near] @ q[i]
-            best = np.lexsort((ids[near], -score))[:k]
-            out += [(at + i, near[b], score[b]) for b in best]
+            score = cosines(x[near], norms[near], q[i], q_norms[i])
+            if len(near) > k + 1:
+                good = score >= np.partition(score, -k - 1)[-k - 1]
+                near, score = near[good], score[good]
+            # the first k + 1 rows of each vector, smaller ids first
+            take = np.minimum(lengths[near], k + 1)
+            rows = np.repeat(starts[near] - np.cumsum(take) + take, take) + np.arange(take.sum())
+            score = np.repeat(score, take)
+            other = rows != own[at + i]
+            rows, score = rows[other], score[other]
+            best = np.lexsort((ids[rows], -score))[:k]
+            out += [(at + i, ids[rows[b]], score[b]) for b in best]
     return out
 
 
-def search(embeddings: DataFrame, queries: DataFrame | None = None, k: int = 5, every: int = 50) -> DataFrame:
-    """query_id, rank, vec_id and score of the k nearest rows found for each query.
+def _packed_queries(packs: DataFrame, every: int) -> DataFrame:
+    """pack, row, vec_id and vector of the rows of all packs whose id is divisible by ``every``."""
 
-    embeddings(vec_id, embedding). queries: a table of the same columns, by default the rows whose vec_id is divisible by ``every``.
-    """
-    spark = embeddings.sparkSession
-    vectors = _usable(embeddings)
-    schema = "query_id long, rank int, vec_id long, score double"
-    sizes = vectors.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if sizes is None:
-        return spark.createDataFrame([], schema)
-    dim = sizes["n"]
-    vectors = vectors.filter(F.size("vector") == dim)
-    if not vectors.groupBy("vec_id").count().filter("count > 1").isEmpty():
-        vectors = materialise(vectors.groupBy("vec_id").agg(F.min_by("vector", F.xxhash64("vector")).alias("vector")))
-    book, packs = build_index(vectors, dim)
-    asked = vectors.filter(F.col("vec_id") % every == 0) if queries is None else _usable(queries).filter(F.size("vector") == dim).dropDuplicates(["vec_id"])
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, starts = np.asarray(batch.column("ids")[i].values), np.asarray(batch.column("starts")[i].values)
+                x = np.frombuffer(batch.column("vectors")[i].as_py(), np.float64).reshape(len(starts), -1)
+                rows = np.flatnonzero(ids % every == 0)
+                which = np.searchsorted(starts, rows, side="right") - 1
+                pack = batch.column("pack")[i].as_py()
+                yield pa.RecordBatch.from_arrays([pa.array([pack] * len(rows), pa.int64()), pa.array(rows, pa.int32()), pa.array(ids[rows]), pa.array([x[j].tobytes() for j in which], pa.binary())], names=["pack", "row", "vec_id", "vector"])
+
+    return packs.mapInArrow(run, "pack long, row int, vec_id long, vector binary")
+
+
+def _search_length(vectors: DataFrame, queries: DataFrame | None, dim: int, k: int, every: int, pack: int) -> list[DataFrame]:
+    """Hits (query, query_id, vec_id, score) among the vectors of one length, a table per block of queries."""
+    spark = vectors.sparkSession
+    book, packs = build_index(vectors, dim, pack=pack)
+    if queries is None:
+        asked = materialise(_packed_queries(packs, every))
+    else:
+        # a table of its own: its rows lie in no pack
+        as_bytes = F.pandas_udf(lambda v: v.map(lambda x: _scaled(np.array([x], np.float64)).tobytes()), "binary")
+        asked = materialise(queries.select(F.lit(-1).cast("long").alias("pack"), F.monotonically_increasing_id().alias("row"), "vec_id", as_bytes("vector").alias("vector")))
     blocks = max(1, -(-asked.count() // (BLOCK // 2)))
     shared_book = spark.sparkContext.broadcast(book)
     found = []
     for block in range(blocks):
-        own = asked.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).orderBy("vec_id").toPandas() if blocks > 1 else asked.orderBy("vec_id").toPandas()
+        own = (asked.filter(F.pmod(F.xxhash64("pack", "row"), F.lit(blocks)) == block) if blocks > 1 else asked).orderBy("vec_id", "pack", "row").toPandas()
         if not len(own):
             continue
-        shared = spark.sparkContext.broadcast((own["vec_id"].to_numpy(np.int64), _unit(np.stack(own["vector"]))))
+        q = np.frombuffer(b"".join(own["vector"]), np.float64).reshape(-1, dim)
+        shared = spark.sparkContext.broadcast((own["pack"].to_numpy(np.int64), own["row"].to_numpy(np.int64), own["vec_id"].to_numpy(np.int64), q))
 
         def run(batches, shared=shared):
-            query_ids, q = shared.value
+            query_pack, query_row, query_ids, q = shared.value
             for batch in batches:
                 for i in range(batch.num_rows):
-                    ids = np.asarray(batch.column("ids")[i].values)
+                    ids, starts = np.asarray(batch.column("ids")[i].values), np.asarray(batch.column("starts")[i].values)
                     x = np.frombuffer(batch.column("vectors")[i].as_py(), np.float64).reshape(-1, dim)
-                    packed = np.frombuffer(batch.column("codes")[i].as_py(), np.uint8).reshape(-1, len(ids))
-                    hits = _scan(ids, x, packed, batch.column("deviation")[i].as_py(), shared_book.value, query_ids, q, k)
-                    yield pa.RecordBatch.from_arrays([pa.array(query_ids[[h[0] for h in hits]], pa.int64()), pa.array(ids[[h[1] for h in hits]], pa.int64()), pa.array([float(h[2]) for h in hits], pa.float64())], names=["query_id", "vec_id", "score"])
-
-        hits = packs.mapInArrow(run, "query_id long, vec_id long, score double")
+                    packed = np.frombuffer(batch.column("codes")[i].as_py(), np.uint8).reshape(-1, len(x))
+                    mine = np.where(query_pack == batch.column("pack")[i].as_py(), query_row, -1)
+                    hits = _scan(x, packed, starts, ids, batch.column("deviation")[i].as_py(), shared_book.value, q, mine, k)
+                    at = [h[0] for h in hits]
+                    key = pa.array([f"{p}:{r}" for p, r in zip(query_pack[at], query_row[at], strict=True)], pa.string())
+                    yield pa.RecordBatch.from_arrays([key, pa.array(query_ids[at], pa.int64()), pa.array([int(h[1]) for h in hits], pa.int64()), pa.array([float(h[2]) for h in hits], pa.float64())], names=["query", "query_id", "vec_id", "score"])
+
+        hits = packs.mapInArrow(run, "query string, query_id long, vec_id long, score double")
         found.append(materialise(hits) if blocks > 1 else hits)
+    return found
+
+
+def search(embeddings: DataFrame, queries: DataFrame | None = None, k: int = 5, every: int = 50, pack: int = PACK) -> DataFrame:
+    """query_id, rank, vec_id and score of the k nearest rows found for each query.
+
+    embeddings(vec_id, embedding). queries: by default the rows whose vec_id is divisible by ``every``; else a table of the same
+    columns, none of whose rows counts as one of embeddings.
+    """
+    spark = embeddings.sparkSession
+    vectors = _usable(embeddings)
+    asked = None if queries is None else _usable(queries)
+    found: list[DataFrame] = []
+    for r in vectors.groupBy(F.size("vector").alias("n")).count().orderBy("n").collect():
+        of_length = lambda v, n=r["n"]: v.filter(F.size("vector") == n)
+        found += _search_length(of_length(vectors), None if asked is None else of_length(asked), r["n"], k, every, pack)
     if not found:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     hits = found[0]
     for more in found[1:]:
         hits = hits.unionByName(more)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
