@@ -1,3 +1,5 @@
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,15 +51,31 @@ def test_cases(spark):
 def test_two_groupings_meet_their_targets(spark):
     sizes = spark.createDataFrame([("a", "en", 500), ("a", "de", 300), ("b", "en", 200), ("b", "de", 400)], "source string, lang string, size long")
     targets = {"source": spark.createDataFrame([("a", 700.0), ("b", 700.0)], "source string, target double"), "lang": spark.createDataFrame([("en", 600.0), ("de", 800.0)], "lang string, target double")}
-    found = {c: dict(v) for c, v in m.balance(sizes, targets).items()}
-    import math
-
+    got = m.balance(sizes, targets)
+    assert got.steps > 0 and got.gap <= 1e-9
+    found = {c: dict(v) for c, v in got.multipliers.items()}
     rate = lambda r: min(3, math.exp(found["source"][r["source"]] + found["lang"][r["lang"]]))
     for c, t in targets.items():
         for group, want in t.collect():
             assert sum(rate(r) * r["size"] for r in sizes.collect() if r[c] == group) == pytest.approx(want, rel=1e-6)
 
 
+def test_newton_meets_the_closed_form(spark):
+    sizes = spark.createDataFrame([("a", 500), ("a", 10), ("b", 40), ("c", 900), (None, 7), ("d", 0)], "source string, size long")
+    targets = spark.createDataFrame([("a", 255.0), ("b", 120.0), ("c", 1000.0), (None, 7.0), ("d", 0.0)], "source string, target double")
+    got = m.balance(sizes, {"source": targets})
+    assert got.steps > 2 and got.gap <= 1e-9
+    rates = {g: min(3, math.exp(x)) for g, x in got.multipliers["source"]}
+    assert rates == pytest.approx({"a": 0.5, "b": 3.0, "c": 1000 / 900, None: 1.0}, rel=1e-8)
+
+
+def test_wide_plans_are_joined_with_the_same_result(spark):
+    docs = spark.createDataFrame([(i, "w " * (1 + i * 7 % 50), f"s{i % 9}" if i % 9 else None) for i in range(300)], "doc_id long, text string, source string")
+    key = lambda df: sorted((r["doc_id"], r["size"], r["target"], r["copies"]) for r in df.collect())
+    assert key(m.mix(docs)) == key(m.mix(docs, most_broadcast=0))
+    assert sorted(m.mixed_documents(docs.withColumn("copy", docs.doc_id)).select("doc_id", "copy", "_copy").collect()) == sorted(m.mixed_documents(docs, most_broadcast=0).select("doc_id", docs.doc_id.alias("copy"), m.F.col("copy").alias("_copy")).collect())
+
+
 def test_sizes(spark):
     got = spark.createDataFrame([("a b c\td",), (" ",), (None,)], "t string").select(m.size_of(F.col("t"))).collect()
     assert [r[0] for r in got] == [3, 0, 0]

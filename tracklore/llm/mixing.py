@@ -1,10 +1,10 @@
 """Mixing sources to target weights by entropy balancing.
 
 Each source gets a target number of words. Among all ways to weigh the words of the corpus that meet the targets, entropy
-balancing takes the one nearest to uniform weights: its dual is convex and smooth, Newton's method solves it, and each
-document's rate is the exponential of the sum of its groups' multipliers, held at ``cap``. Sources are one grouping;
-further groupings with targets of their own may be balanced at once. Each Newton step reads sums that Spark makes over
-cells (one row per combination of groups).
+balancing takes the one nearest to uniform weights: its dual is convex and smooth, Newton's method solves it from
+multipliers of zero, and each document's rate is the exponential of the sum of its groups' multipliers, held at ``cap``.
+Sources are one grouping; further groupings with targets of their own may be balanced at once. Each Newton step reads the
+words reached and their curvature, which Spark sums over cells (one row per combination of groups).
 
 Rates become whole copies: a document gets floor(rate) copies, and one more if its hashed number lies low enough. The bound is set
 per source and size class from a histogram, largest texts first, each class making good what the last one missed, so
@@ -12,15 +12,18 @@ that a source's words come within about one small document of its target, withou
 
 Defined cases: a null source is a source of its own, last in order; null or empty texts have size 0 and take 0 words;
 repeated rows get equal copies; rows with a null doc_id are mixed like others; an empty table gives an empty table.
-Extra columns are not read by ``mix`` and are carried along by ``mixed_documents``.
+Extra columns are not read by ``mix`` and are carried along by ``mixed_documents``, whose number of the copy is named
+``copy``, with underscores before it while the table has such a column.
 
-Scale: texts are read where they lie. Sums per source, cell and histogram bucket are shuffled, nothing else; what is
-broadcast has one row per source (and size class), of which more than ``MAX_SOURCES`` are refused with an error.
+Scale: texts are read where they lie. Sums per source, cell and histogram bucket are shuffled, nothing else. The driver
+holds one row per source, of which more than ``MAX_SOURCES`` are refused with an error; the plan by source and size class
+is a stored table, broadcast while it has at most ``MOST_BROADCAST`` rows and joined by shuffle beyond, with the same result.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from tracklore.llm.common import materialise, table
 
 MAX_SOURCES = 100_000
+#: Rows of the plan (about 60 bytes each) up to which it is broadcast.
+MOST_BROADCAST = 200_000
 CAP = 3.0
 #: Histogram buckets over the hashed numbers.
 BUCKETS = 1024
@@ -70,54 +75,68 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0
     return spark.createDataFrame([(r[0], int(r[1]), float(t)) for r, t in zip(found, target, strict=True)], "source string, source_size long, target double")
 
 
-def balance(sizes: DataFrame, targets: dict[str, DataFrame], cap: float = CAP, steps: int = 50, near: float = 1e-9) -> dict[str, list[tuple]]:
+@dataclass
+class Balance:
+    """Multipliers [(group, multiplier)] by grouping, and how they were found."""
+
+    multipliers: dict[str, list[tuple]]
+    steps: int
+    #: Largest gap to a target, as a share of it, when the steps ended.
+    gap: float
+
+
+def balance(sizes: DataFrame, targets: dict[str, DataFrame], cap: float = CAP, most_steps: int = 200, near: float = 1e-9) -> Balance:
     """Multipliers of each grouping. targets: by column, a table (column, target) of words wanted; sizes has the columns and size.
 
-    Solves min sum(size * r * log r) under the targets, r <= cap. Returns [(group, multiplier)] by column.
+    Solves min sum(size * r * log r) under the targets, r <= cap, by Newton steps on the dual, each cut to 2 in the multiplier.
     """
     columns = list(targets)
     cells = materialise(sizes.groupBy(*columns).agg(F.sum("size").cast("double").alias("mass")).filter("mass > 0"))
+    kinds = dict(cells.dtypes)
     wanted = {c: {r[0]: r[1] for r in targets[c].collect()} for c in columns}
     own = {c: {r[0]: r[1] for r in cells.groupBy(c).agg(F.sum("mass")).collect()} for c in columns}
     index = {(c, g): i for i, (c, g) in enumerate((c, g) for c in columns for g in own[c])}
     want = np.array([wanted[c].get(g, 0.0) for c, g in index])
     have = np.array([own[c][g] for c, g in index])
-    #: An unmet target of 0 words asks for a rate of 0: a very small one stands for it.
+    #: A target of 0 words asks for a rate of 0: a very small one stands for it.
     want = np.maximum(want, 1e-9 * have)
     multiplier = np.zeros(len(index))
-    first = [i for (c, _), i in index.items() if c == columns[0]]
-    multiplier[first] = np.log(want[first] / have[first])
     spark = sizes.sparkSession
-    for _ in range(steps):
+    # the groupings of one column each, and of each pair of columns for the curvature
+    sets = [(c,) for c in columns] + [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
+    level = ", ".join("(" + ", ".join(f"`{c}`" for c in one) + ")" for one in sets)
+    steps, gap = 0, np.zeros(0)
+    while len(index):
         held = cells
         for c in columns:
-            now = spark.createDataFrame([(g, float(multiplier[i])) for (k, g), i in index.items() if k == c], f"__group {dict(cells.dtypes)[c]}, __m_{c} double")
+            now = spark.createDataFrame([(g, float(multiplier[i])) for (k, g), i in index.items() if k == c], f"__group {kinds[c]}, `__m_{c}` double")
             held = held.join(F.broadcast(now), F.col(c).eqNullSafe(F.col("__group"))).drop("__group")
         rate = F.exp(sum((F.col(f"__m_{c}") for c in columns), F.lit(0.0)))
         held = held.withColumn("__r", F.least(rate, F.lit(cap)) * F.col("mass")).withColumn("__free", F.when(rate < cap, rate * F.col("mass")).otherwise(0.0))
-        reached, curve = np.zeros(len(index)), np.zeros((len(index), len(index))) if len(columns) > 1 else np.zeros(len(index))
-        for c in columns:
-            for r in held.groupBy(c).agg(F.sum("__r"), F.sum("__free")).collect():
-                i = index[c, r[0]]
-                reached[i] = r[1]
-                if len(columns) > 1:
-                    curve[i, i] = r[2]
-                else:
-                    curve[i] = r[2]
-        for a in range(len(columns)):
-            for b in range(a + 1, len(columns)):
-                for r in held.groupBy(columns[a], columns[b]).agg(F.sum("__free")).collect():
-                    i, j = index[columns[a], r[0]], index[columns[b], r[1]]
-                    curve[i, j] = curve[j, i] = r[2]
-        gap = want - reached
-        if (np.abs(gap) <= near * np.maximum(want, 1)).all():
+        held.createOrReplaceTempView("__balance")
+        names = ", ".join(f"`{c}`" for c in columns)
+        sums = spark.sql(f"SELECT {names}, {', '.join(f'grouping(`{c}`) AS `__g_{c}`' for c in columns)}, sum(__r) AS r, sum(__free) AS free FROM __balance GROUP BY GROUPING SETS ({level})").collect()
+        spark.catalog.dropTempView("__balance")
+        reached = np.zeros(len(index))
+        curve = np.zeros((len(index), len(index))) if len(columns) > 1 else np.zeros(len(index))
+        for row in sums:
+            at = [index[c, row[c]] for c in columns if row[f"__g_{c}"] == 0]
+            if len(at) == 1:
+                reached[at[0]] = row["r"]
+                curve[(at[0],) * curve.ndim] = row["free"]
+            else:
+                curve[at[0], at[1]] = curve[at[1], at[0]] = row["free"]
+        gap = np.abs(want - reached) / np.maximum(want, 1)
+        if (gap <= near).all() or steps == most_steps:
             break
         if len(columns) > 1:
-            step = np.linalg.lstsq(curve + 1e-9 * np.diag(have), gap, rcond=None)[0]
+            step = np.linalg.lstsq(curve + 1e-9 * np.diag(have), want - reached, rcond=None)[0]
         else:
-            step = np.where(curve > 0, gap / np.maximum(curve, 1e-300), 0.0)
+            # a group held at the cap has no curvature: back to just below it
+            step = np.where(curve > 0, (want - reached) / np.maximum(curve, 1e-300), np.where(want < reached, -0.5, 0.5))
         multiplier += np.clip(step, -2.0, 2.0)
-    return {c: [(g, float(multiplier[i])) for (k, g), i in index.items() if k == c] for c in columns}
+        steps += 1
+    return Balance({c: [(g, float(multiplier[i])) for (k, g), i in index.items() if k == c] for c in columns}, steps, float(gap.max(initial=0.0)))
 
 
 def size_class(size: Column) -> Column:
@@ -142,25 +161,24 @@ def _bounds(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def plan_mix(sizes: DataFrame, cap: float = CAP) -> DataFrame:
-    """source, class, source_size, target, rate, bound: all that turns a document's size and number into copies."""
-    targets = source_targets(sizes, cap=cap)
-    multipliers = balance(sizes, {"source": targets.select("source", "target")}, cap)["source"]
-    rates = sizes.sparkSession.createDataFrame([(g, min(cap, math.exp(m))) for g, m in multipliers], "__source string, rate double")
-    plan = targets.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source").na.fill(0.0, ["rate"])
-    plan = plan.sparkSession.createDataFrame(plan.collect(), plan.schema)
-    placed = _with_plan(sizes, plan).withColumn("class", size_class(F.col("size"))).filter((F.col("size") > 0) & (F.col("rate") < cap))
+    """source, class, source_size, target, rate, bound: all that turns a document's size and number into copies; a stored table
+    with a row for every size class that a source has."""
+    spark = sizes.sparkSession
+    found = source_targets(sizes, cap=cap)
+    rates = {g: min(cap, math.exp(m)) for g, m in balance(sizes, {"source": found.select("source", "target")}, cap).multipliers["source"]}
+    plan = spark.createDataFrame([(r["source"], r["source_size"], r["target"], rates.get(r["source"], 0.0)) for r in found.collect()], "source string, source_size long, target double, rate double")
+    classed = sizes.withColumn("class", size_class(F.col("size")))
+    named = plan.select(F.col("source").alias("__source"), "rate")
+    # one row per source: at most MAX_SOURCES are broadcast
+    placed = classed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("__source"))).filter((F.col("size") > 0) & (F.col("rate") < cap))
     histogram = placed.groupBy("source", "class", bucket_of(F.col("number"), F.col("rate")).alias("bucket")).agg(
         F.sum("size").cast("double").alias("words"), F.sum(F.col("size") * (F.col("rate") - F.floor("rate"))).alias("due")
     )
     bounds = histogram.groupBy("source").applyInPandas(_bounds, "source string, class int, bound int")
-    rows = bounds.limit(MAX_SOURCES * 40).collect()
-    bounds = sizes.sparkSession.createDataFrame(rows, "__source string, class int, bound int")
-    return plan.join(F.broadcast(bounds), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-
-
-def _with_plan(sizes: DataFrame, plan: DataFrame) -> DataFrame:
-    named = plan.select(F.col("source").alias("__source"), *[c for c in plan.columns if c != "source"])
-    return sizes.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    every = classed.select("source", "class").distinct()
+    full = every.join(F.broadcast(plan.withColumnRenamed("source", "__source")), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
+    bounds = bounds.select(F.col("source").alias("__source"), F.col("class").alias("__class"), "bound")
+    return materialise(full.join(bounds, F.col("source").eqNullSafe(F.col("__source")) & (F.col("class") == F.col("__class")), "left").drop("__source", "__class"))
 
 
 def copies(size: Column, number: Column, rate: Column, bound: Column, cap: float = CAP) -> Column:
@@ -172,36 +190,30 @@ def measured(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), number_of(F.col("doc_id")).alias("number"))
 
 
-def _joined(docs: DataFrame, plan: DataFrame, source: str, size: str) -> DataFrame:
+def _joined(docs: DataFrame, plan: DataFrame, source: str, size: str, most: int) -> DataFrame:
     """Adds the plan's columns; the plan has one row per source and size class."""
     named = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
     on = F.col(source).cast("string").eqNullSafe(F.col("__source")) & (F.col("__class") == size_class(F.col(size)))
-    return docs.join(F.broadcast(named), on, "left")
-
-
-def _full_plan(plan: DataFrame) -> DataFrame:
-    """The plan with a row for every size class of every source, so that each document meets one row."""
-    base = plan.select("source", "source_size", "target", "rate").distinct()
-    bounds = plan.filter("class IS NOT NULL").select(F.col("source").alias("__s"), F.col("class").alias("__c"), "bound")
-    every = base.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(63))))
-    on = F.col("source").eqNullSafe(F.col("__s")) & (F.col("__k") == F.col("__c"))
-    return every.join(F.broadcast(bounds), on, "left").select("source", F.col("__k").alias("class"), "source_size", "target", "rate", "bound")
+    return docs.join(F.broadcast(named) if plan.count() <= most else named.hint("shuffle_hash"), on, "left")
 
 
-def mix(docs: DataFrame, cap: float = CAP) -> DataFrame:
+def mix(docs: DataFrame, cap: float = CAP, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies of each document. docs(doc_id, text, source)."""
     sizes = materialise(measured(docs))
-    out = _joined(sizes, _full_plan(plan_mix(sizes, cap)), "source", "size")
+    out = _joined(sizes, plan_mix(sizes, cap), "source", "size", most_broadcast)
     return out.select("doc_id", "source", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__rate").alias("rate"), copies(F.col("size"), F.col("number"), F.col("__rate"), F.col("__bound"), cap).alias("copies"))
 
 
-def mixed_documents(docs: DataFrame, cap: float = CAP) -> DataFrame:
-    """The mix itself: each document as often as it has copies, with a column ``copy`` from 1. Texts are not shuffled."""
+def mixed_documents(docs: DataFrame, cap: float = CAP, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The mix itself: each document as often as it has copies, with a column ``copy`` from 1. Texts are not shuffled while the
+    plan is small."""
     sizes = materialise(measured(docs))
     sized = docs.withColumn("__size", size_of(F.col("text"))).withColumn("__number", number_of(F.col("doc_id")))
-    out = _joined(sized, _full_plan(plan_mix(sizes, cap)), "source", "__size").withColumn("__copies", copies(F.col("__size"), F.col("__number"), F.col("__rate"), F.col("__bound"), cap))
-    kept = out.filter("__copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy"))
-    return kept
+    out = _joined(sized, plan_mix(sizes, cap), "source", "__size", most_broadcast).withColumn("__copies", copies(F.col("__size"), F.col("__number"), F.col("__rate"), F.col("__bound"), cap))
+    name = "copy"
+    while name in docs.columns:
+        name = f"_{name}"
+    return out.filter("__copies > 0").select(*[F.col(f"`{c}`") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias(name))
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
