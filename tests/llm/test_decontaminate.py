@@ -51,6 +51,15 @@ def test_large_item_tables_are_dealt_into_parts(spark):
     assert d.drop_contaminated(docs, items).count() == 1 and d.find_contamination(docs, items.filter("false")).count() == 4
 
 
+def test_parts_give_the_same_spans(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    docs = spark.createDataFrame([(1, f"x {long} y"), (2, "Ünï " + long[:60]), (None, long), (2, "w1 w2"), (3, None), (4, "")], "doc_id long, text string")
+    items = spark.createDataFrame([(9, long), (8, long[20:90]), (7, "ünï w0"), (None, "w1 w2")], "item_id long, text string")
+    whole, parts = (sorted(map(repr, d.find_contamination(docs, items, max_item_chars=m).collect())) for m in (10**6, 60))
+    assert whole == parts
+    assert [(s["start"], s["end"]) for r in d.find_contamination(docs, items, max_item_chars=60).filter("doc_id = 1").collect() for s in r["spans"]] == [(2, 2 + len(long))]
+
+
 def test_dropping_is_the_same_in_parts(spark):
     rows = [(1, "one two", 7), (1, "clean text", 8), (None, "six", 9), (None, "seven", 10), (2, None, 11), (3, "four five", 12), (4, "", 13), (4, "", 13)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, y int")

@@ -48,6 +48,22 @@ def test_held_out_spans():
     assert sum(bool(g) for (t, spans), g in zip(rows, got, strict=True) if not spans) <= 6
 
 
+def test_added_spans_never_overlap_patterns():
+    text = "_".join(f"1.2.3.{i}" for i in range(12)) + "_tok_5551234567890@example.org"
+
+    class Fixed:
+        def decode(self, sequences):
+            return []
+
+    base = pii.base_spans(text)
+    assert base[0] == ("email", 0, len(text)) and len(base) == 13
+    real, pii.added_spans = pii.added_spans, lambda texts, field: [[("email", 101, len(text)), ("secret", 3, 9)] for _ in texts]
+    try:
+        assert pii.all_spans([text], Fixed())[0][1] == sorted(base, key=lambda x: (pii.KINDS.index(x[0]), x[1], x[2]))
+    finally:
+        pii.added_spans = real
+
+
 def test_columns_cases_and_redaction(spark):
     field = pii.train(pii.example_table(spark))
     docs = spark.createDataFrame([(1, "mail a.b@c.org or +1 (743) 555-3824", "en", 35, "k"), (2, None, None, None, None), (3, "", "en", 0, None), (None, "1.2.3.4", None, 7, None), (1, "plain", "en", 5, None)], "doc_id long, text string, lang string, n_chars long, spans string")

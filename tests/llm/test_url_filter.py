@@ -32,6 +32,11 @@ def test_rules_and_cases(spark):
 
 
 def test_long_lists_are_joined(spark):
-    urls = u.with_host_and_path(spark.createDataFrame([("http://a.b.c/",), ("http://d.c/",)], "url string"))
-    got = {r["host"]: r["listed"] for r in u.join_listed(urls, spark.createDataFrame([("b.c",)], "key string"), (1, 2, 3)).collect()}
-    assert got == {"a.b.c": True, "d.c": False}
+    urls = ["http://a.Example.ORG/es/x?q", "https://example.org/en/12#t", "http://x.org", "ftp://b.com/fr/", None, "http://m.cheap-pills.example.com/a", "http://b.com/de/fr/", "://", "http://b.com/de/fr/", "http://com/", "http://www.b.c.d/x"]
+    pages = spark.createDataFrame([(i, t) for i, t in enumerate(urls)] + [(None, urls[0])], "page_id long, url string")
+    key = lambda df: sorted(map(repr, df.collect()))
+    more = {"rules": (*u.RULES, ("block", "b.c.d", ""), ("allow", "c.d", "/x")), "hosts": (*u.BLOCKED_HOSTS, "com")}
+    assert key(u.judge(pages)) == key(u.judge(pages, max_listed=1))
+    assert key(u.judge(pages, **more)) == key(u.judge(pages, **more, max_listed=1))
+    real = spark.read.parquet(f"{SF}/pages.parquet")
+    assert key(u.judge(real)) == key(u.judge(real, max_listed=1))

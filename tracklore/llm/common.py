@@ -24,10 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that all executors share: spark.checkpoint.dir, or, in local mode only, a temporary one where that is unset."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or _own_folder.get(context.applicationId)
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = _own_folder[context.applicationId] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
     return folder
@@ -63,11 +65,12 @@ def fold(doc_id: Column, n: int) -> Column:
 def map_chunks(df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch]], schema: str, text: str | None = "text") -> DataFrame:
     """mapInArrow, with batches cut so that each holds about CHUNK_CHARS bytes of text (a longer text stands alone).
 
-    Spark's default of 10,000 rows a batch is lowered for the session: such a batch of texts is held once by the JVM and once
-    by Python for every running task.
+    A batch of texts is held once by the JVM and once by Python for every running task. Spark takes the rows of a batch from
+    the session when a plan runs, so where the session has Spark's own default of 10,000 it is lowered there, for the session;
+    a number that the caller has set is left alone. No result depends on it.
     """
     conf = df.sparkSession.conf
-    if text is not None and not 0 < int(conf.get(ROWS_PER_BATCH)) <= BATCH_ROWS:
+    if text is not None and conf.get(ROWS_PER_BATCH) == "10000":
         conf.set(ROWS_PER_BATCH, BATCH_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,13 +9,15 @@ item_id stays null (a null item_id still marks words but is not named in ``items
 Extra columns of either table are not read.
 
 Scale: documents are scanned where they lie, with no shuffle. The items are broadcast only while their text is at most
-``max_item_chars``; a larger item table is dealt into parts of that size, each scanned by its own pass, and the hits of
-a document are then merged by a shuffle of ids and word positions only.
+``max_item_chars``; a larger item table is read in parts of at most that size (a single longer item is a part), each with
+an automaton and a pass of its own, and what the parts find is merged by the text's SHA-256, which alone decides: by a
+shuffle of digests, word positions and items. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
 import functools
+import hashlib
 import re
 
 import ahocorasick
@@ -48,6 +50,12 @@ def windows(text: str | None, size: int) -> list[tuple[bytes, int]]:
     return [(b" ".join(w[i : i + size]), size) for i in range(len(w) - size + 1)]
 
 
+def stretches(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
+    """Code point offsets of the runs of hit words."""
+    at = [m.span() for m in WORD.finditer(text)]
+    return [(at[run[0]][0], at[run[-1]][1]) for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)]
+
+
 class Scanner:
     """The automaton; keys are window bytes as Latin-1 text between spaces, so matches start and end at word ends."""
 
@@ -85,11 +93,7 @@ class Scanner:
             change[last] -= 1
             items |= ids
         hit = np.flatnonzero(np.cumsum(change[:-1]) > 0)
-        at = [m.span() for m in WORD.finditer(text)]
-        spans: list[tuple[int, int]] = []
-        for run in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1):
-            spans.append((at[run[0]][0], at[run[-1]][1]))
-        return len(w), hit.tolist(), sorted(items), spans
+        return len(w), hit.tolist(), sorted(items), stretches(text, hit)
 
 
 @functools.lru_cache(maxsize=2)
@@ -97,6 +101,28 @@ def _scanner(items: tuple, size: int) -> Scanner:
     return Scanner(list(items), size)
 
 
+def _usable(benchmark: DataFrame) -> tuple[DataFrame, int]:
+    """item_id and text of the items with a text, and the number of their characters."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter(F.col("text").isNotNull())
+    return items, items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+
+
+def _parts(items: DataFrame, max_item_chars: int):
+    """The items in lists of at most max_item_chars characters; a longer item is alone. One partition at a time comes here."""
+    part, size = [], 0
+    for r in items.toLocalIterator():
+        if part and size + len(r["text"]) > max_item_chars:
+            yield part
+            part, size = [], 0
+        part.append((r["item_id"], r["text"]))
+        size += len(r["text"])
+    if part:
+        yield part
+
+
+_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
 def _scan_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(tuple(items))
 
@@ -109,7 +135,7 @@ def _scan_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
                 pa.array([r[0] for r in rows], pa.int64()),
                 pa.array([r[1] for r in rows], pa.list_(pa.int32())),
                 pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-                pa.array([[{"start": s, "end": e} for s, e in r[3]] for r in rows], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                pa.array([[{"start": s, "end": e} for s, e in r[3]] for r in rows], _SPANS),
             ],
             names=["doc_id", "n_words", "hit_words", "items", "spans"],
         )
@@ -117,64 +143,76 @@ def _scan_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
     return map_chunks(docs.select("doc_id", "text"), work, HITS)
 
 
+def _hits_of_part(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
+    """key (SHA-256 of the text), hit_words and items of the distinct texts of docs with a hit."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(items))
+
+    def work(batch: pa.RecordBatch):
+        scanner = _scanner(shared.value, window)
+        texts = batch.column("text").to_pylist()
+        found = [(hashlib.sha256(t.encode()).digest(), *scanner.scan(t)[1:3]) for t in texts if t]
+        found = [f for f in found if f[1]]
+        yield pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], t) for j, t in enumerate((pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int64())))], names=["key", "hit_words", "items"])
+
+    return map_chunks(docs.select("text"), work, "key binary, hit_words array<int>, items array<long>").dropDuplicates(["key"])
+
+
+def _hits_of_parts(docs: DataFrame, items: DataFrame, window: int, max_item_chars: int) -> DataFrame:
+    """key, hit_words and items of each text with a hit in any part, merged over the parts."""
+    found = None
+    for part in _parts(items, max_item_chars):
+        hits = materialise(_hits_of_part(docs, part, window))
+        found = hits if found is None else found.unionByName(hits)
+    union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return materialise(found.groupBy("key").agg(union("hit_words"), union("items")))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = 32_000_000) -> DataFrame:
     """Per document: number of words, positions of hit words, ids of the items found and hit stretches of the text.
 
     docs(doc_id, text), benchmark(item_id, text). See the module for the cases.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).filter(F.col("text").isNotNull())
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    items, total = _usable(benchmark)
     if total <= max_item_chars:
         return _scan_part(docs, [(r[0], r[1]) for r in items.collect()], window)
-    parts = -(-total // max_item_chars) * 2
-    keyed = docs.select(F.col("doc_id"), F.col("text"), F.xxhash64("doc_id", "text").alias("key"))
-    found = None
-    for part in range(parts):
-        mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()
-        hits = _scan_part(keyed.select(F.col("key").alias("doc_id"), "text"), [(r[0], r[1]) for r in mine], window).filter(F.size("hit_words") > 0)
-        found = hits if found is None else found.unionByName(hits)
-    merged = found.groupBy(F.col("doc_id").alias("key")).agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
-    )
-    counted = _scan_part(keyed.select(F.col("key").alias("doc_id"), "text"), [], window).select(F.col("doc_id").alias("key"), "n_words").distinct()
-    empty = [F.coalesce(F.col(c), F.array().cast(t)).alias(c) for c, t in (("hit_words", "array<int>"), ("items", "array<long>"), ("spans", "array<struct<start:int,end:int>>"))]
-    return keyed.select("doc_id", "key").join(counted, "key", "left").join(merged, "key", "left").select("doc_id", "n_words", *empty)
-
-
-def _by_hits(docs: DataFrame, items: list[tuple], window: int, hit: bool) -> DataFrame:
-    """The rows of docs whose text has a hit word, or those whose text has none."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(items))
+    hits = _hits_of_parts(docs, items, window, max_item_chars)
+    joined = docs.select("doc_id", "text", F.unhex(F.sha2("text", 256)).alias("key")).join(hits, "key", "left")
 
     def work(batch: pa.RecordBatch):
-        scanner = _scanner(shared.value, window)
-        keep = [bool(scanner.scan(x)[1]) == hit for x in batch.column("text").to_pylist()]
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        texts, hit = batch.column("text").to_pylist(), batch.column("hit_words").to_pylist()
+        spans = [[{"start": s, "end": e} for s, e in stretches(t, np.array(h))] if h else [] for t, h in zip(texts, hit, strict=True)]
+        found = batch.column("items").to_pylist()
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("doc_id").cast(pa.int64()),
+                pa.array([len(words(t)) for t in texts], pa.int64()),
+                pa.array([h or [] for h in hit], pa.list_(pa.int32())),
+                pa.array([f or [] for f in found], pa.list_(pa.int64())),
+                pa.array(spans, _SPANS),
+            ],
+            names=["doc_id", "n_words", "hit_words", "items", "spans"],
+        )
 
-    return map_chunks(docs, work, docs.schema)
+    return map_chunks(joined.select("doc_id", "text", "hit_words", "items"), work, HITS)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = 32_000_000) -> DataFrame:
-    """The documents without any hit word, with all their columns.
+    """The documents without any hit word, with all their columns: each row is judged by its own text, whatever its doc_id.
 
-    Each text is tested where it lies (one pass, no join). Over max_item_chars the items are dealt into parts with one pass
-    each; a row leaves when its own text, known by its SHA-256, has a hit in any part, whatever its doc_id.
+    Each text is tested where it lies (one pass, no join); over max_item_chars one pass a part, and an anti join by the
+    text's SHA-256.
     """
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text")).filter(F.col("text").isNotNull())
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    if total <= max_item_chars:
-        return _by_hits(docs, [(r[0], r[1]) for r in items.collect()], window, False)
-    parts = -(-total // max_item_chars) * 2
-    key = F.sha2("text", 256).alias("__text_key")
-    found = None
-    for part in range(parts):
-        mine = [(r[0], r[1]) for r in items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).collect()]
-        if mine:
-            hits = materialise(_by_hits(docs.select("text"), mine, window, True).select(key))
-            found = hits if found is None else found.unionByName(hits)
-    gone = materialise(found.distinct())
-    return filter_by_ids(docs.withColumn("__text_key", F.sha2("text", 256)), gone, "__text_key", "left_anti").select(*docs.columns)
+    items, total = _usable(benchmark)
+    if total > max_item_chars:
+        gone = _hits_of_parts(docs, items, window, max_item_chars).select(F.col("key").alias("__text_key"))
+        return filter_by_ids(docs.withColumn("__text_key", F.unhex(F.sha2("text", 256))), gone, "__text_key", "left_anti").select(*docs.columns)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple((r[0], r[1]) for r in items.collect()))
+
+    def work(batch: pa.RecordBatch):
+        scanner = _scanner(shared.value, window)
+        yield batch.filter(pa.array([not scanner.scan(x)[1] for x in batch.column("text").to_pylist()], pa.bool_()))
+
+    return map_chunks(docs, work, docs.schema)
 
 
 def op3_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -15,9 +15,10 @@ Patterns run in time linear in the text.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import zlib
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -335,11 +336,8 @@ def all_spans(texts: list[str | None], field: Field) -> list[tuple[list, list]]:
     for text, more in zip(plain, added_spans(plain, field), strict=True):
         base = base_spans(text)
         taken = sorted((s, e) for _, s, e in base)
-        extra, starts = [], [s for s, _ in taken]
-        for kind, s, e in more:
-            k = np.searchsorted(starts, e)
-            if all(b <= s for _, b in taken[max(0, k - 8) : k]):
-                extra.append((kind, s, e))
+        starts, reach = [s for s, _ in taken], list(itertools.accumulate((e for _, e in taken), max))
+        extra = [(kind, s, e) for kind, s, e in more if (k := bisect.bisect_left(starts, e)) == 0 or reach[k - 1] <= s]
         out.append((base, sorted(base + extra, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))))
     return out
 

@@ -14,8 +14,9 @@ page ids are judged like others; an empty table gives an empty table; extra colu
 
 Scale: one pass over the urls collects the distinct keys of the shapes that the lists can name (so many last labels, so
 many first characters of the path); that universe, not the pages, is shuffled. Level 0 is sized to let through about as many
-other keys as are listed, so all levels together take a few bytes per listed key, whatever the corpus. Lists of more
-than ``max_listed`` keys are joined instead.
+other keys as are listed, so all levels together take a few bytes per listed key, whatever the corpus. Where the lists
+name more than ``max_listed`` keys, which is too many for constants in an expression, each url's distinct host and path
+prefixes meet the lists in a shuffle join instead, with the same verdicts.
 """
 
 from __future__ import annotations
@@ -125,50 +126,58 @@ def _shapes(keys: Sequence[tuple[str, str]]) -> list[tuple[int, int]]:
     return sorted({(len(h.split(".")), len(p)) for h, p in keys})
 
 
-def _lookup(urls: DataFrame, keys: Sequence[tuple[str, str]], max_listed: int):
+def _lookup(urls: DataFrame, keys: Sequence[tuple[str, str]]):
     """A function from a key column to whether it is listed, exact for the keys that urls can give."""
     spark = urls.sparkSession
     texts = sorted({h + p for h, p in keys})
     if not texts:
         return lambda key: F.lit(False)
-    if len(texts) > max_listed:
-        raise ValueError(f"more than {max_listed} listed keys: use join_listed")
     universe = materialise(urls.select(F.explode(F.array(*[key_of(*s) for s in _shapes(keys)])).alias("key")).filter("key IS NOT NULL").distinct())
     return build_cascade(spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in texts])).alias("key")), universe).contains
 
 
-def join_listed(urls: DataFrame, listed: DataFrame, labels: Sequence[int]) -> DataFrame:
-    """For lists too large for constants: adds ``listed``, whether the host or a domain above it is in listed(key)."""
-    named = urls.withColumn("__row", F.monotonically_increasing_id())
-    keys = named.select("__row", F.explode(F.array(*[key_of(k, 0) for k in labels])).alias("key")).filter("key IS NOT NULL")
-    hit = keys.join(listed.select("key").distinct(), "key", "left_semi").select("__row").distinct().withColumn("listed", F.lit(True))
-    return named.join(hit, "__row", "left").withColumn("listed", F.coalesce("listed", F.lit(False))).drop("__row")
+#: A fitting rule; structs compare by their first fields.
+FOUND = "struct<length:int,host_length:int,rule:string,verdict:string>"
+
+
+def _found(labels: int, chars: int, verdict: Column) -> Column:
+    host_length = F.length(F.substring_index("host", ".", -labels))
+    return F.struct((host_length + chars).alias("length"), host_length.alias("host_length"), key_of(labels, chars).alias("rule"), verdict.alias("verdict"))
+
+
+def _verdicts(best: DataFrame, by_host: Column) -> DataFrame:
+    return best.select("page_id", "host", "path", F.col("__best.rule").alias("rule"), F.coalesce(F.col("__best.verdict"), F.when(by_host, "block").otherwise("allow")).alias("verdict"))
+
+
+def _judge_by_join(urls: DataFrame, rules: Sequence[tuple[str, str, str]], hosts: Sequence[str]) -> DataFrame:
+    """The lists as tables: the distinct hosts and paths are taken apart into keys once, joined with the lists, and the best
+    rule of each goes back to its urls. A host and path that many urls share is one row of that join."""
+    spark = urls.sparkSession
+    listed = spark.createDataFrame(sorted({(h + p, v) for v, h, p in rules} | {(h, "host") for h in hosts}), "key string, kind string")
+    shapes = [(k, n, False) for k, n in _shapes([(h, p) for _, h, p in rules])] + [(k, 0, True) for k, _ in _shapes([(h, "") for h in hosts])]
+    places = urls.select("host", "path").distinct()
+    of = F.array(*[F.struct(key_of(k, n).alias("key"), F.lit(h).alias("of_host"), _found(k, n, F.lit("")).alias("found")) for k, n, h in shapes])
+    keys = places.select("host", "path", F.explode(of).alias("k")).select("host", "path", "k.*").filter("key IS NOT NULL")
+    met = keys.join(listed, "key").filter((F.col("kind") == "host") == F.col("of_host"))
+    rule = F.when(F.col("kind") != "host", F.struct("found.length", "found.host_length", "found.rule", F.col("kind").alias("verdict")))
+    best = materialise(met.groupBy("host", "path").agg(F.max(rule).alias("__best"), F.max((F.col("kind") == "host")).alias("__host")))
+    return _verdicts(urls.join(best, ["host", "path"], "left"), F.coalesce("__host", F.lit(False)))
 
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, hosts: Sequence[str] = BLOCKED_HOSTS, max_listed: int = 100_000) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of pages(page_id, url)."""
     urls = with_host_and_path(pages.select("page_id", "url"))
+    if len({h + p for _, h, p in rules} | set(hosts)) > max_listed:
+        return _judge_by_join(urls, rules, hosts)
     names = {v: [(h, p) for kind, h, p in rules if kind == v] for v in ("allow", "block")}
-    listed = {v: _lookup(urls, names[v], max_listed) for v in names}
-    in_hosts = _lookup(urls, [(h, "") for h in hosts], max_listed)
-    # structs compare by their first fields: the length, then the host's length
-    nothing = F.lit(None).cast("struct<length:int,host_length:int,rule:string,verdict:string>")
-    found = F.array_compact(
-        F.array(
-            nothing,
-            *[
-                F.when(listed[v](key_of(k, n)), F.struct((F.length(F.substring_index("host", ".", -k)) + n).alias("length"), F.length(F.substring_index("host", ".", -k)).alias("host_length"), key_of(k, n).alias("rule"), F.lit(v).alias("verdict")))
-                for v in ("allow", "block")
-                for k, n in _shapes(names[v])
-            ]
-        )
-    )
-    best = urls.withColumn("__best", F.array_max(found))
-    rule, verdict = F.col("__best.rule"), F.col("__best.verdict")
+    listed = {v: _lookup(urls, names[v]) for v in names}
+    in_hosts = _lookup(urls, [(h, "") for h in hosts])
+    found = [F.when(listed[v](key_of(k, n)), _found(k, n, F.lit(v))) for v in ("allow", "block") for k, n in _shapes(names[v])]
+    best = urls.withColumn("__best", F.array_max(F.array_compact(F.array(F.lit(None).cast(FOUND), *found))))
     by_host = F.lit(False)
     for k, _ in _shapes([(h, "") for h in hosts]):
         by_host = by_host | F.coalesce(in_hosts(key_of(k, 0)), F.lit(False))
-    return best.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(by_host, "block").otherwise("allow")).alias("verdict"))
+    return _verdicts(best, by_host)
 
 
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
