@@ -278,9 +278,10 @@ def _prefixes(texts: DataFrame) -> DataFrame:
     """token, rep, label, n, rest, f: the rarest shingles of each text of texts(rep, label, key, text), enough that two texts
     which overlap by the threshold have their first common one among them.
 
-    A token is a shingle with its occurrence in the text, so multisets are sets of n tokens. Tokens are put in one order, by
-    their number f of texts; rest is the number of tokens from this one on that other texts have too. Of n tokens at least
-    4/5 n must be common, so the first n - 4/5 n + 1 cannot all be missing in the other text.
+    A token is a shingle with its occurrence in the text, so multisets are sets of n tokens. Tokens are put in one order: those
+    that only one class has, which no pair across classes has in common, then the others by their number f of texts; rest is
+    the number of tokens from this one on that other classes have too. Of n tokens at least 4/5 n must be common, so the
+    first n - 4/5 n + 1 cannot all be missing in the other text.
     """
 
     def work(batch: pa.RecordBatch):
@@ -298,8 +299,8 @@ def _prefixes(texts: DataFrame) -> DataFrame:
         yield pa.RecordBatch.from_arrays([batch.column(c).take(owner) for c in ("rep", "label", "key")] + [pa.array(n[at], pa.int64()), pa.array(token)], names=["rep", "label", "key", "n", "token"])
 
     tokens = materialise(map_chunks(texts, work, "rep long, label long, key long, n long, token long"))
-    common = tokens.groupBy("token").agg(F.count("*").alias("f")).filter("f > 1")
-    # tokens of one text alone come first in the order and need no place in the list
+    common = tokens.groupBy("token").agg(F.count("*").alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token", "f")
+    # tokens of one class alone come first in the order and need no place in the list
     listed = tokens.join(common, "token").groupBy("rep", "label", "key", "n").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("m"))
     length = F.expr("CAST(n - (4 * n + 4) DIV 5 + 1 - (n - size(m)) AS INT)")
     prefix = listed.filter(length > 0).select("rep", "label", "n", F.size("m").alias("size"), F.posexplode(F.slice("m", F.lit(1), length)).alias("i", "t"))
