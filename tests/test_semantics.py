@@ -93,6 +93,60 @@ def test_nearest_in_time_ties_and_ends(spark):
     assert got == {1: 7, 2: 6, 3: 7, 4: None}
 
 
+def test_nearest_in_time_over_blocks_equals_brute_force(spark):
+    import random
+
+    r = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    when = lambda: start + dt.timedelta(seconds=r.randrange(0, 12 * 86_400, 1800))
+    left = [(i, r.choice(["a", "a", "b", "none", None]), when() if i % 37 else None) for i in range(300)]
+    right = [(j, r.choice(["a", "b", "other", None]), when() if j % 11 else None) for j in range(60)]
+    got = joins.asof_nearest(
+        spark.createDataFrame(left, "id int, k string, t timestamp_ntz"), spark.createDataFrame(right, "w int, k string, u timestamp_ntz"), "k", "t", "u", ["w"], "w"
+    ).collect()
+    assert len(got) == len(left)
+    for g in got:
+        near = sorted((abs(g["t"] - u), u, w) for w, k, u in right if k is not None and k == g["k"] and u is not None and g["t"] is not None)
+        assert (g["u_matched"], g["w"]) == (near[0][1:] if near else (None, None))
+
+
+@pytest.mark.parametrize("minutes", [10, 360])
+def test_anchors_over_blocks_equal_a_loop(spark, minutes):
+    import random
+
+    r = random.Random(minutes)
+    start = dt.datetime(2023, 11, 3)
+    rows = [(c, label, start + dt.timedelta(minutes=r.randrange(0, 200 * 1440, 5), microseconds=r.randrange(3)), i) for i, (c, label) in enumerate([("c1", "fox")] * 4000 + [("c2", "fox")] * 30 + [("c1", None)] * 40)]
+    got = {g["i"]: g["anchor"] for g in episodes.with_anchor(spark.createDataFrame(rows, "camera_id string, label string, timestamp timestamp_ntz, i int"), minutes).collect()}
+    anchor = {}
+    for c, label, t, i in sorted(rows, key=lambda x: x[2]):
+        a = anchor.get((c, label))
+        if a is None or t > a + dt.timedelta(minutes=minutes):
+            a = anchor[c, label] = t
+        assert got[i] == a
+    assert len(got) == len(rows)
+
+
+def test_places_over_the_date_line(spark):
+    points = [(1, 10.0, 179.99999), (2, 10.0, -179.99999), (3, 10.0, 0.0), (4, -10.0, -179.995)]
+    df = spark.createDataFrame(points, "seq long, latitude double, longitude double")
+    near = joins.proximity(df.filter("seq = 1"), spark.createDataFrame([("s", 10.0, -179.9999)], "site string, latitude double, longitude double"), 1.0, "seq", "site").first()
+    assert near["near_site"] == "s" and near["distance_km"] < 0.02
+    pairs = space.overlap_pairs(df.select(df.seq.alias("cluster_id"), df.latitude.alias("center_latitude"), df.longitude.alias("center_longitude")), 5.0).collect()
+    assert [(p["a"], p["b"]) for p in pairs] == [(1, 2)]
+    assert {r["seq"]: r["cluster"] for r in space.leader_clusters(df).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+
+
+def test_a_batch_that_runs_again_overwrites_itself(spark, tmp_path):
+    from tracklore.streaming import streams
+
+    rows = spark.createDataFrame([(1, "JPEG"), (2, "GIF")], "id int, image_format string")
+    rules = tuple(x for x in contracts.EVENTS if x.name == "image_format")
+    for number in (0, 1, 1):
+        streams.split_valid(rows, number, rules, f"{tmp_path}/good", f"{tmp_path}/bad")
+    assert [spark.read.parquet(f"{tmp_path}/{k}/batch_*").count() for k in ("good", "bad")] == [2, 2]
+
+
 def test_last_wins(spark):
     rows = spark.createDataFrame([("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", 1, None)], "k string, seq int, v string")
     assert {(r["k"], r["v"]) for r in joins.last_wins(rows, "k", "seq").collect()} == {("a", "z"), ("b", None)}

@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracklore.operators.graph import stored
 from tracklore.operators.reports import mean
 
 KEYS = ["camera_id", "label"]
@@ -21,19 +22,67 @@ def frame_number(path: Column) -> Column:
     return F.regexp_extract(path, r"_frame_([^/]*?)\.[^./]*$", 1).try_cast("int")
 
 
-def _anchors(minutes: float):
-    """First rows of the episodes of one island: the next one is the first row more than the window after the last."""
-    window = np.timedelta64(int(minutes * 60_000_000), "us")
+#: A block of time is at least so many windows and so many days long.
+BLOCK_WINDOWS, BLOCK_DAYS = 64, 30
+
+
+def _chain(times: np.ndarray, at: int, window: int) -> list[int]:
+    """Places of the anchors from place ``at`` on: each the first time more than the window after the last."""
+    out = []
+    while at < len(times):
+        out.append(at)
+        at = int(np.searchsorted(times, times[at] + window, side="right"))
+    return out
+
+
+def _lasts(window: int, span: int):
+    """Of one key and block: for each time that may be the block's first anchor, the block's last anchor, as runs of times."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        times = np.sort(rows["us"].to_numpy())
+        block = int(rows["block"].iloc[0])
+        # the anchor before the block reaches less than a window into it
+        count = min(len(times), int(np.searchsorted(times, block * span + window)) + 1)
+        # the chain from any time passes one of the window before its end: last anchors by places, from the back
+        onward = np.searchsorted(times, times + window, side="right")
+        last = np.arange(len(times))
+        for i in range(len(times) - 1, -1, -1):
+            if onward[i] < len(times):
+                last[i] = last[onward[i]]
+        last = last[:count]
+        ends = np.flatnonzero(np.r_[last[1:] != last[:-1], True])
+        return pd.DataFrame({"camera_id": rows["camera_id"].iloc[0], "label": rows["label"].iloc[0], "block": block, "until": times[ends], "last": times[last[ends]]})
+
+    return run
+
+
+def _carries(window: int):
+    """Of one key: the last anchor before each block."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["block", "until"])
+        carry, out = None, []
+        for block, part in rows.groupby("block", sort=True):
+            out.append((rows["camera_id"].iloc[0], rows["label"].iloc[0], block, carry))
+            k = 0 if carry is None else int(np.searchsorted(part["until"].to_numpy(), carry + window, side="right"))
+            if k < len(part):
+                carry = int(part["last"].iloc[k])
+        return pd.DataFrame(out, columns=["camera_id", "label", "block", "carry"]).astype({"carry": "Int64"})
+
+    return run
+
+
+def _assigned(window: int):
+    """Of one key and block, with the last anchor before it: the anchor of each time."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(rows["timestamp"].to_numpy("datetime64[us]"))
-        starts, at = [], 0
-        while at < len(times):
-            starts.append(times[at])
-            at = int(np.searchsorted(times, times[at] + window, side="right"))
-        starts = np.array(starts)
-        place = np.searchsorted(starts, rows["timestamp"].to_numpy("datetime64[us]"), side="right") - 1
-        return rows.assign(anchor=starts[place])
+        rows = rows.sort_values("us")
+        times, carry = rows["us"].to_numpy(), rows["carry"].iloc[0]
+        start = 0 if pd.isna(carry) else int(np.searchsorted(times, int(carry) + window, side="right"))
+        anchors = times[_chain(times, start, window)] if start < len(times) else times[:0]
+        place = np.searchsorted(anchors, times, side="right") - 1
+        own = np.r_[anchors, 0 if pd.isna(carry) else int(carry)][place]  # -1: the anchor carried in
+        return pd.DataFrame({"camera_id": rows["camera_id"], "label": rows["label"], "us": times, "anchor_us": own})
 
     return run
 
@@ -41,19 +90,25 @@ def _anchors(minutes: float):
 def with_anchor(rows: DataFrame, minutes: float = 10) -> DataFrame:
     """Adds ``anchor``, the time of the first row of each row's episode: all rows within the window *of that row*.
 
-    A gap over the window always starts an episode, so rows fall into islands by their gaps; islands no longer than the
-    window are one episode, found without leaving the JVM, and only longer ones are folded, each by itself.
+    Each anchor depends on the one before, over the whole series of a camera and label. The distinct times of a series are cut
+    into blocks; each block tells, for every time that may come to be its first anchor, which one would be its last; a fold
+    over blocks (a row or a few each) carries the true one along; then each block places its times. So no task holds a
+    whole series, however hot its key, and rows meet their anchor in a join on key and time.
     """
-    step = F.expr(f"INTERVAL {int(minutes * 60)} SECOND")
-    order = Window.partitionBy(*KEYS).orderBy("timestamp")
-    gap = F.col("timestamp") > F.lag("timestamp").over(order) + step
-    split = rows.withColumn("__island", F.sum(F.coalesce(gap, F.lit(False)).cast("long")).over(order))
-    island = Window.partitionBy(*KEYS, "__island")
-    split = split.withColumn("anchor", F.min("timestamp").over(island)).withColumn("__end", F.max("timestamp").over(island))
-    short = split.filter(F.col("__end") <= F.col("anchor") + step).drop("__island", "__end")
-    long = split.filter(F.col("__end") > F.col("anchor") + step)
-    folded = long.drop("__end").groupBy(*KEYS, "__island").applyInPandas(_anchors(minutes), long.drop("__end").schema).drop("__island")
-    return short.unionByName(folded)
+    window = int(minutes * 60_000_000)
+    span = max(BLOCK_WINDOWS * window, BLOCK_DAYS * 86_400_000_000)
+    us = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    keyed = rows.withColumn("__us", us)
+    times = stored(keyed.filter("__us IS NOT NULL").select(*KEYS, F.col("__us").alias("us")).distinct().withColumn("block", F.floor(F.col("us") / span)))
+    lasts = times.groupBy(*KEYS, "block").applyInPandas(lambda g: _lasts(window, span)(g), "camera_id string, label string, block long, until long, last long")
+    carries = lasts.groupBy(*KEYS).applyInPandas(lambda g: _carries(window)(g), "camera_id string, label string, block long, carry long")
+    on = lambda a, b, names: [F.col(f"{a}.{n}").eqNullSafe(F.col(f"{b}.{n}")) for n in names]
+    placed = times.alias("t").join(carries.alias("c"), on("t", "c", [*KEYS, "block"])).select("t.*", "c.carry")
+    anchors = placed.groupBy(*KEYS, "block").applyInPandas(lambda g: _assigned(window)(g), "camera_id string, label string, us long, anchor_us long")
+    anchors = anchors.select(*[F.col(k).alias(f"__{k}") for k in KEYS], F.col("us").alias("__at"), F.col("anchor_us").alias("__anchor"))
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in KEYS] + [F.col("__us") == F.col("__at")]
+    kind = rows.schema["timestamp"].dataType
+    return keyed.join(anchors, same).withColumn("anchor", F.timestamp_micros("__anchor").cast(kind)).select(*rows.columns, "anchor")
 
 
 def compress(rows: DataFrame, minutes: float = 10, least_seconds: float = 5) -> DataFrame:

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that executors share: spark.checkpoint.dir, or a temporary one where that is unset."""
+    """The folder that executors share: spark.checkpoint.dir, or, in local mode only, a temporary one where that is unset."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         context.setCheckpointDir(folder)
     return folder

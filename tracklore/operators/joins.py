@@ -69,22 +69,30 @@ def already_counts(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return marked.agg(F.count("there").alias("already"), F.count(F.when(F.col("there").isNull(), 1)).alias("pending"))
 
 
-def asof_nearest(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, columns: list[str], tie: str) -> DataFrame:
+def asof_nearest(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, columns: list[str], tie: str, block_seconds: int = 86_400) -> DataFrame:
     """Each left row with the right row of the same ``by`` that is nearest in time; ties go to the earlier, then the smaller ``tie``.
 
-    Both sides are unioned and ordered by time within ``by``: the last right row before and the first after are the only
-    candidates, so the work is one shuffle and sort, never a product of the sides. Rows without a match keep nulls.
+    Both sides are unioned and dealt by ``by`` and block of time, so a hot key is many tasks. Inside a block the last right
+    row before and the first after come from two running windows, one up and one down in time, each linear; what lies
+    beyond the block's ends is carried in from the nearest blocks with a right row, by windows over one row per block. Rows
+    without a match, a time or a key keep nulls.
     """
     payload = F.struct(F.col(right_time).alias("t"), *columns)
-    points = right.filter(F.col(right_time).isNotNull()).groupBy(by, right_time).agg(F.min_by(payload, F.col(tie)).alias("__r")).select(by, F.col(right_time).alias("__t"), "__r")
+    points = right.filter(F.col(right_time).isNotNull() & F.col(by).isNotNull()).groupBy(by, right_time).agg(F.min_by(payload, F.col(tie)).alias("__r")).select(by, F.col(right_time).alias("__t"), "__r")
     kind = dict(points.dtypes)["__r"]
     rows = left.select(F.col(by), F.col(left_time).alias("__t"), F.struct(*left.columns).alias("__l"))
-    both = rows.withColumn("__r", F.lit(None).cast(kind)).unionByName(points.withColumn("__l", F.lit(None).cast(dict(rows.dtypes)["__l"])))
-    order = Window.partitionBy(by).orderBy("__t")
-    before = F.last("__r", ignorenulls=True).over(order.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first("__r", ignorenulls=True).over(order.rangeBetween(0, Window.unboundedFollowing))
-    found = both.withColumn("__b", before).withColumn("__a", after).filter("__l IS NOT NULL")
-    gap = lambda c: F.abs(F.unix_micros(F.col("__t").cast("timestamp")) - F.unix_micros(F.col(f"{c}.t").cast("timestamp")))
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    block = F.floor(micros(F.col("__t")) / (block_seconds * 1_000_000)).alias("__k")
+    both = rows.withColumn("__r", F.lit(None).cast(kind)).unionByName(points.withColumn("__l", F.lit(None).cast(dict(rows.dtypes)["__l"]))).withColumn("__k", block)
+    ends = points.withColumn("__k", block).groupBy(by, "__k").agg(F.min_by("__r", "__t").alias("__first"), F.max_by("__r", "__t").alias("__last"))
+    blocks = rows.select(by, block).distinct().join(ends, [by, "__k"], "full")
+    along = Window.partitionBy(by).orderBy("__k").rowsBetween(Window.unboundedPreceding, -1)
+    back = Window.partitionBy(by).orderBy(F.desc("__k")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select(by, "__k", F.last("__last", ignorenulls=True).over(along).alias("__cb"), F.last("__first", ignorenulls=True).over(back).alias("__ca"))
+    running = lambda time: F.last("__r", ignorenulls=True).over(Window.partitionBy(by, "__k").orderBy(time).rangeBetween(Window.unboundedPreceding, 0))
+    found = both.withColumn("__b", running(F.col("__t"))).withColumn("__a", running(F.desc("__t"))).filter("__l IS NOT NULL").join(carried, [by, "__k"], "left")
+    found = found.withColumn("__b", F.coalesce("__b", "__cb")).withColumn("__a", F.coalesce("__a", "__ca"))
+    gap = lambda c: F.abs(micros(F.col("__t")) - micros(F.col(f"{c}.t")))
     nearest = F.when(F.col("__b").isNull(), F.col("__a")).when(F.col("__a").isNull(), F.col("__b")).when(gap("__b") <= gap("__a"), F.col("__b")).otherwise(F.col("__a"))
     return found.withColumn("__n", nearest).select("__l.*", F.col("__n.t").alias(f"{right_time}_matched"), *[F.col(f"__n.{c}") for c in columns])
 
@@ -110,33 +118,30 @@ def active_at(versions: DataFrame, at: Column) -> DataFrame:
 KM_PER_DEGREE = 111.0
 
 
-def _cell(lat: Column, lon: Column, radius_km: float) -> tuple[Column, Column]:
-    """Grid cell at least radius wide; longitude cells are scaled by the cosine at the cell row's far edge."""
-    step = radius_km / KM_PER_DEGREE
-    row = F.floor(lat / step)
-    return row, F.floor(lon / _lon_step(row, radius_km))
+def lon_cells(row: Column, step: float) -> Column:
+    """Number of longitude cells of a row of cells that is ``step`` degrees high: each at least as wide as it is high on the
+    ground at the row's far edge. They go round, so the last one lies beside the first."""
+    edge = F.least(F.greatest(F.abs(row * step), F.abs((row + 1) * step)), F.lit(89.0))
+    return F.greatest(F.floor(F.lit(360 / step) * F.cos(F.radians(edge))), F.lit(1))
 
 
-def _lon_step(row: Column, radius_km: float) -> Column:
-    step = radius_km / KM_PER_DEGREE
-    edge = F.least(F.greatest(F.abs(row * step), F.abs((row + 1) * step)) , F.lit(89.0))
-    return F.lit(step) / F.cos(F.radians(edge))
+def lon_cell(lon: Column, row: Column, step: float, beside: int = 0) -> Column:
+    n = lon_cells(row, step)
+    return F.pmod(F.floor((lon + 180) / 360 * n) + beside, n)
 
 
 def proximity(points: DataFrame, sites: DataFrame, radius_km: float, point_key: str, site_key: str) -> DataFrame:
     """Nearest site within the radius for each point (ties to the smaller key): grid cells make it an equi join.
 
     points(point_key, latitude, longitude), sites(site_key, latitude, longitude). A site is entered in its own cell row and
-    the two beside it, under that row's longitude cells, so each point looks in one cell only.
+    the two beside it, under that row's longitude cells, so each point looks in one cell only; cells go on over the date line.
     """
     step = radius_km / KM_PER_DEGREE
     p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col(point_key).alias("__pk"), F.col("latitude").alias("__la"), F.col("longitude").alias("__lo"))
-    row, column = _cell(F.col("__la"), F.col("__lo"), radius_km)
-    p = p.withColumn("__r", row).withColumn("__c", column)
+    p = p.withColumn("__r", F.floor(F.col("__la") / step)).withColumn("__c", lon_cell(F.col("__lo"), F.col("__r"), step))
     s = sites.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col(site_key).alias("__sk"), F.col("latitude").alias("__sla"), F.col("longitude").alias("__slo"))
     s = s.withColumn("__r", F.explode(F.array(*[F.floor(F.col("__sla") / step) + d for d in (-1, 0, 1)])))
-    at = F.floor(F.col("__slo") / _lon_step(F.col("__r"), radius_km))
-    s = s.withColumn("__c", F.explode(F.array(at - 1, at, at + 1)))
+    s = s.withColumn("__c", F.explode(F.array_distinct(F.array(*[lon_cell(F.col("__slo"), F.col("__r"), step, d) for d in (-1, 0, 1)]))))
     distance = haversine_km(F.col("__la"), F.col("__lo"), F.col("__sla"), F.col("__slo"))
     near = p.join(s, ["__r", "__c"]).withColumn("__d", distance).filter(F.col("__d") <= radius_km)
     best = near.groupBy("__pk").agg(F.min(F.struct("__d", "__sk")).alias("m"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -11,31 +12,72 @@ from pyspark.sql import functions as F
 
 from tracklore.functions.geo import EARTH_M, haversine_m, ring_area_m2, ring_perimeter_m
 from tracklore.operators.graph import components
-from tracklore.operators.joins import proximity
+from tracklore.operators.joins import lon_cell, proximity
 from tracklore.operators.reports import count_true, mean
 
 
+class _Leaders:
+    """Greedy clustering in order: the first cluster, by creation, whose moving centroid lies within the radius, else a new one.
+
+    Centroids lie in a grid of cells at least a radius wide, so a point looks at the few around it only.
+    """
+
+    def __init__(self, radius: float):
+        self.radius, self.step = radius, radius * 1.000001 / (EARTH_M * math.pi / 180)
+        self.clusters: list[list] = []
+        self.cells: dict[tuple[int, int], list[int]] = {}
+
+    def _columns(self, row: int) -> int:
+        edge = min(max(abs(row * self.step), abs((row + 1) * self.step)), 89.9)
+        return max(1, int(360 / self.step * math.cos(math.radians(edge))))
+
+    def _cell(self, lat: float, lon: float) -> tuple[int, int]:
+        row = math.floor(lat / self.step)
+        n = self._columns(row)
+        return row, math.floor((lon + 180) / 360 * n) % n
+
+    def add(self, seq: int, lat: float, lon: float) -> int:
+        row = math.floor(lat / self.step)
+        near: set[int] = set()
+        for r in (row - 1, row, row + 1):
+            n = self._columns(r)
+            c = math.floor((lon + 180) / 360 * n)
+            for k in {(c - 1) % n, c % n, (c + 1) % n}:
+                near.update(self.cells.get((r, k), ()))
+        a, o = math.radians(lat), math.radians(lon)
+        for k in sorted(near):
+            x, y, count, _, _ = self.clusters[k]
+            h = math.sin((x / count - a) / 2) ** 2 + math.cos(a) * math.cos(x / count) * math.sin((y / count - o) / 2) ** 2
+            if 2 * EARTH_M * math.asin(min(1.0, math.sqrt(h))) <= self.radius:
+                break
+        else:
+            k = len(self.clusters)
+            self.clusters.append([0.0, 0.0, 0, seq, None])
+        one = self.clusters[k]
+        if one[2]:  # over the date line, longitudes go on from the centroid's side
+            o += 2 * math.pi * round((one[1] / one[2] - o) / (2 * math.pi))
+        one[0], one[1], one[2] = one[0] + a, one[1] + o, one[2] + 1
+        cell = self._cell(math.degrees(one[0] / one[2]), math.degrees(one[1] / one[2]))
+        if cell != one[4]:
+            if one[4] is not None:
+                self.cells[one[4]].remove(k)
+            self.cells.setdefault(cell, []).append(k)
+            one[4] = cell
+        return one[3]
+
+
 def _lead(radius: float):
-    """Greedy clustering in order: the first cluster, by creation, whose moving centroid lies within the radius, else a new one."""
-
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("seq", kind="stable")
-        lat, lon = np.radians(rows["latitude"].to_numpy()), np.radians(rows["longitude"].to_numpy())
-        n = len(rows)
-        sums, counts, leaders = np.zeros((n, 2)), np.zeros(n), np.zeros(n, np.int64)
-        made, seqs, out = 0, rows["seq"].to_numpy(), np.zeros(n, np.int64)
-        for i in range(n):
-            c = sums[:made] / counts[:made, None]
-            a = np.sin((c[:, 0] - lat[i]) / 2) ** 2 + np.cos(lat[i]) * np.cos(c[:, 0]) * np.sin((c[:, 1] - lon[i]) / 2) ** 2
-            near = np.flatnonzero(2 * EARTH_M * np.arcsin(np.minimum(1, np.sqrt(a))) <= radius)
-            k = int(near[0]) if near.size else made
-            if k == made:
-                leaders[k] = seqs[i]
-                made += 1
-            sums[k] += (lat[i], lon[i])
-            counts[k] += 1
-            out[i] = leaders[k]
-        return pd.DataFrame({"seq": seqs, "latitude": rows["latitude"], "longitude": rows["longitude"], "cluster": out})
+    """Over rows in order of part and seq: a part's clusters are dropped when the next part begins, and rows stream through."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, leaders = None, _Leaders(radius)
+        for rows in batches:
+            out = []
+            for r, c, seq, lat, lon in rows[["r", "c", "seq", "latitude", "longitude"]].itertuples(index=False):
+                if (r, c) != part:
+                    part, leaders = (r, c), _Leaders(radius)
+                out.append(leaders.add(seq, lat, lon))
+            yield pd.DataFrame({"seq": rows["seq"], "latitude": rows["latitude"], "longitude": rows["longitude"], "cluster": np.array(out, np.int64)})
 
     return run
 
@@ -44,21 +86,24 @@ def leader_clusters(points: DataFrame, radius: float = 5.0) -> DataFrame:
     """points(seq, latitude, longitude), in order of seq: adds ``cluster``, the seq of the cluster's first point.
 
     A point joins a cluster only within twice the radius of a point that is in it, so parts of the map that no chain of
-    such steps links never meet: they are found on a grid of that width and clustered apart, with the same result.
+    such steps links never meet: they are found on a grid of that width and clustered apart, with the same result. Inside a
+    part each point moves a centroid that the next one is measured against, so a part is one pass in order of seq: its
+    rows stream through a task that holds its clusters only, in time linear in the rows.
     """
     p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL AND seq IS NOT NULL").select("seq", "latitude", "longitude")
     far = p.agg(F.max(F.abs("latitude"))).first()[0]
     if far is None:
         return p.withColumn("cluster", F.col("seq"))
     step = 2 * radius * 1.000001 / (EARTH_M * math.pi / 180)
-    wide = step / max(math.cos(math.radians(min(far, 89.9))), 1e-3)
-    cell = F.struct(F.floor(F.col("latitude") / step).alias("r"), F.floor(F.col("longitude") / wide).alias("c"))
+    columns = max(1, int(360 * max(math.cos(math.radians(min(far, 89.9))), 1e-3) / step))
+    cell = F.struct(F.floor(F.col("latitude") / step).alias("r"), F.pmod(F.floor((F.col("longitude") + 180) / 360 * columns), F.lit(columns)).cast("long").alias("c"))
     placed = p.withColumn("node", cell)
     cells = placed.select("node").distinct()
-    around = F.array(*[F.struct((F.col("node.r") + i).alias("r"), (F.col("node.c") + j).alias("c")) for i in (0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0)])
+    around = F.array(*[F.struct((F.col("node.r") + i).alias("r"), F.pmod(F.col("node.c") + j, F.lit(columns)).cast("long").alias("c")) for i in (0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0)])
     edges = cells.select(F.col("node").alias("a"), F.explode(around).alias("b")).join(cells.withColumnRenamed("node", "b"), "b", "left_semi")
     parts = components(cells, edges)
-    return placed.join(parts, "node").groupBy("label").applyInPandas(lambda g: _lead(radius)(g), "seq long, latitude double, longitude double, cluster long")
+    ordered = placed.join(parts, "node").select(F.col("label.r").alias("r"), F.col("label.c").alias("c"), "seq", "latitude", "longitude").repartition("r", "c").sortWithinPartitions("r", "c", "seq")
+    return ordered.mapInPandas(_lead(radius), "seq long, latitude double, longitude double, cluster long")
 
 
 def batch_stats(points: DataFrame, done: DataFrame, radius: float = 5.0) -> DataFrame:
@@ -139,19 +184,15 @@ def boundaries(points: DataFrame, clusters: DataFrame) -> DataFrame:
 
 
 def overlap_pairs(clusters: DataFrame, metres: float = 10.0) -> DataFrame:
-    """Pairs of centres within the distance, smaller id first; a grid makes it an equi join."""
-    step = metres / (EARTH_M * math.pi / 180)
-    c = clusters.select("cluster_id", F.col("center_latitude").alias("la"), F.col("center_longitude").alias("lo"))
-    # longitude cells have one width within a band of a degree of latitude
-    width = F.lit(step) / F.cos(F.radians(F.least(F.greatest(F.abs("band"), F.abs(F.col("band") + 1)) + 1, F.lit(89))))
-    c = c.withColumn("band", F.floor("la")).withColumn("wide", width)
-    left = c.select(F.col("cluster_id").alias("a"), F.col("la").alias("la1"), F.col("lo").alias("lo1"), "band", F.floor(F.col("la") / step).alias("r"), F.floor(F.col("lo") / F.col("wide")).alias("k"))
-    near = c.withColumn("band", F.explode(F.array_distinct(F.array(F.floor(F.col("la") - 2 * step), F.floor(F.col("la") + 2 * step)))))
-    near = near.withColumn("wide", width)
-    near = near.select(F.col("cluster_id").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), "band", F.explode(F.array(*[F.floor(F.col("la") / step) + i for i in (-1, 0, 1)])).alias("r"), F.floor(F.col("lo") / F.col("wide")).alias("k0"))
-    near = near.withColumn("k", F.explode(F.array(F.col("k0") - 1, F.col("k0"), F.col("k0") + 1))).drop("k0")
+    """Pairs of centres within the distance, smaller id first; a grid, which goes on over the date line, makes it an equi join."""
+    step = metres * 1.000001 / (EARTH_M * math.pi / 180)
+    row = F.floor(F.col("center_latitude") / step)
+    c = clusters.select("cluster_id", F.col("center_latitude").alias("la"), F.col("center_longitude").alias("lo"), row.alias("r"))
+    left = c.select(F.col("cluster_id").alias("a"), F.col("la").alias("la1"), F.col("lo").alias("lo1"), "r", lon_cell(F.col("lo"), F.col("r"), step).alias("k"))
+    near = c.withColumn("r", F.explode(F.array(*[F.col("r") + i for i in (-1, 0, 1)])))
+    near = near.select(F.col("cluster_id").alias("b"), F.col("la").alias("la2"), F.col("lo").alias("lo2"), "r", F.explode(F.array_distinct(F.array(*[lon_cell(F.col("lo"), F.col("r"), step, d) for d in (-1, 0, 1)]))).alias("k"))
     distance = haversine_m(F.col("la1"), F.col("lo1"), F.col("la2"), F.col("lo2"))
-    return left.join(near, ["band", "r", "k"]).filter("a < b").withColumn("d", distance).filter(F.col("d") <= metres).select("a", "b", F.round("d", 6).alias("distance_m"))
+    return left.join(near, ["r", "k"]).filter("a < b").withColumn("d", distance).filter(F.col("d") <= metres).select("a", "b", F.round("d", 6).alias("distance_m"))
 
 
 def overlap_groups(clusters: DataFrame, metres: float = 10.0) -> DataFrame:

@@ -24,7 +24,7 @@ C = "cluster_id, cluster_name, point_count, center_latitude, center_longitude"
 pick = lambda c: c.select("cluster_id", "cluster_name", "point_count", "center_latitude", "center_longitude")
 with_clusters("named_clusters", f"SELECT {C} FROM clusters WHERE is_named")(lambda o, c: pick(c.filter("is_named")).orderBy("cluster_name"))
 with_clusters("all_clusters", f"SELECT {C} FROM clusters")(lambda o, c: pick(c).orderBy("cluster_id"))
-with_clusters("cluster_by_name", f"SELECT {C} FROM clusters WHERE cluster_name = 'CANADA'")(lambda o, c: pick(c.filter("cluster_name = 'CANADA'")))
+with_clusters("cluster_by_name", f"SELECT {C} FROM clusters WHERE cluster_name = 'NATION_3'")(lambda o, c: pick(c.filter("cluster_name = 'NATION_3'")))
 with_clusters("cluster_by_id", f"SELECT {C} FROM clusters WHERE cluster_id = 'cluster_012'")(lambda o, c: pick(c.filter("cluster_id = 'cluster_012'")))
 FIRST = f"(SELECT cluster_id, string_agg(observation_id, ',' ORDER BY k) AS sample_ids FROM (SELECT cluster_id, observation_id, row_number() OVER (PARTITION BY cluster_id ORDER BY timestamp, observation_id) AS k FROM observations WHERE {GPS}) WHERE k <= 5 GROUP BY 1)"
 UNKNOWN = f"SELECT c.cluster_id, point_count, first_seen, last_seen, sample_ids FROM clusters c LEFT JOIN {FIRST} f ON c.cluster_id = f.cluster_id WHERE NOT is_named"

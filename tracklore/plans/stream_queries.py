@@ -83,10 +83,10 @@ query("scan_predictions_jsonl", "manifest predictions", "SELECT p.crop_path, p.l
     lambda m, p: _with_bad_lines(p.join(m.select("crop_path", "seq"), "crop_path"), "crop_path string, label string, confidence double", "crop_path,label,confidence")
 )
 def _record_lists(o: DataFrame) -> DataFrame:
-    """A file per day, each holding one JSON list of records."""
+    """Files by day, each one JSON list of at most 5,000 records."""
     path = place(o)
-    day = writers.iso_times(few(o)).withColumn("day", F.substring("timestamp", 1, 10))
-    day.groupBy("day").agg(F.to_json(F.collect_list(F.struct(*KEEP))).alias("value")).repartition("day").write.partitionBy("day").text(path)
+    day = writers.iso_times(o.select("seq", *KEEP)).withColumn("day", F.substring("timestamp", 1, 10))
+    day.groupBy("day", F.floor(F.col("seq") / 5000).alias("part")).agg(F.to_json(F.collect_list(F.struct(*KEEP))).alias("value")).repartition("day", "part").write.partitionBy("day", "part").text(path)
     return readers.records(o.sparkSession, path, SCHEMA).select(*KEEP)
 
 
@@ -152,8 +152,9 @@ def _files(o: DataFrame) -> str:
     return path
 
 
-query("file_inventory", OBS)(lambda o: readers.file_inventory(o.sparkSession, _files(o), (".txt",)).select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes", "extension", "media_type"))
-query("find_files_glob", OBS)(lambda o: readers.find_files(o.sparkSession, _files(o), "*.txt").select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes"))
+SIZES = "SELECT camera_id, cast(sum(length(observation_id) + 1) AS bigint) AS size_bytes{0} FROM observations GROUP BY camera_id"
+query("file_inventory", OBS, SIZES.format(", '.txt' AS extension, 'other' AS media_type"))(lambda o: readers.file_inventory(o.sparkSession, _files(o), (".txt",)).select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes", "extension", "media_type"))
+query("find_files_glob", OBS, SIZES.format(""))(lambda o: readers.find_files(o.sparkSession, _files(o), "*.txt").select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes"))
 
 # --- streams -----------------------------------------------------------------------------------------------------------
 
@@ -187,8 +188,8 @@ def _validated(d: DataFrame) -> DataFrame:
     path = place(d)
     d.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(f"{path}/in")
     stream = streams.read_parquet(d.sparkSession, f"{path}/in", d.schema)
-    stream.writeStream.option("checkpointLocation", f"{path}/state").foreachBatch(lambda b, n: streams.split_valid(b, RULES, f"{path}/good", f"{path}/bad")).trigger(availableNow=True).start().awaitTermination()
-    good, bad = (d.sparkSession.read.parquet(f"{path}/{k}").select("event_id", F.lit(k).alias("side")) for k in ("good", "bad"))
+    stream.writeStream.option("checkpointLocation", f"{path}/state").foreachBatch(lambda b, n: streams.split_valid(b, n, RULES, f"{path}/good", f"{path}/bad")).trigger(availableNow=True).start().awaitTermination()
+    good, bad = (d.sparkSession.read.parquet(f"{path}/{k}/batch_*").select("event_id", F.lit(k).alias("side")) for k in ("good", "bad"))
     return good.unionByName(bad)
 
 

@@ -7,9 +7,9 @@ batch operator; in production the same plans run under a processing-time trigger
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,44 +78,59 @@ def species_counts(obs: DataFrame) -> DataFrame:
     return obs.groupBy("top_label").agg(F.count("observation_id").alias("total_detections"), mean("top_confidence").alias("avg_confidence"), count_true("needs_review").alias("needs_review_count"))
 
 
-def split_valid(batch: DataFrame, rules: tuple[Rule, ...], good: str, bad: str) -> None:
-    """For foreachBatch: rows that break no rule go to one table, the others to another, with the rules' names."""
+def split_valid(batch: DataFrame, number: int, rules: tuple[Rule, ...], good: str, bad: str) -> None:
+    """For foreachBatch: rows that break no rule go to one table, the others to another, with the rules' names.
+
+    Every batch is one folder of each, so a batch that runs again after a failure overwrites its own rows.
+    """
     marked = violations(batch, rules).persist()
-    marked.filter(F.size("broken") == 0).drop("broken").write.mode("append").parquet(good)
-    marked.filter(F.size("broken") > 0).write.mode("append").parquet(bad)
+    marked.filter(F.size("broken") == 0).drop("broken").write.mode("overwrite").parquet(f"{good}/batch_{number:09d}")
+    marked.filter(F.size("broken") > 0).write.mode("overwrite").parquet(f"{bad}/batch_{number:09d}")
     marked.unpersist()
 
 
 EPISODE = "camera_id string, species string, start_time timestamp, end_time timestamp, frame_count long, max_confidence double"
 
 
+HELD = "opened boolean, first long, last long, frames long, best double, times binary, confidences binary"
+
+
 def compress(rows: DataFrame, minutes: float = 10, least_seconds: float = 5, late: str = "1 hour") -> DataFrame:
     """Anchored episodes of a stream of (camera_id, label, timestamp, confidence).
 
     Rows of a key are held until the watermark has passed them, then folded in order of time; an episode is given out when
-    the watermark passes the end of its window. State per key: the open episode, and the rows not yet passed.
+    the watermark passes the end of its window. State per key: the open episode, and the rows not yet passed (16 bytes
+    each, no more than arrive within the lateness allowed).
     """
     window = int(minutes * 60_000_000)
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_, held = json.loads(state.get[0]) if state.exists else (None, [])
+        open_, times, confidences = None, [], []
+        if state.exists:
+            opened, *episode, held_times, held_confidences = state.get
+            open_ = episode if opened else None
+            times, confidences = [np.frombuffer(held_times, np.int64)], [np.frombuffer(held_confidences, np.float64)]
         for batch in batches:
-            held += [[int(pd.Timestamp(t).value // 1000), float(c)] for t, c in zip(batch["timestamp"], batch["confidence"], strict=True)]
+            times.append(batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64))
+            confidences.append(batch["confidence"].to_numpy(np.float64))
+        times, confidences = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.int64, times), (np.float64, confidences)))
+        order = np.lexsort((confidences, times))
+        times, confidences = times[order], confidences[order]
         passed = state.getCurrentWatermarkMs() * 1000
-        held.sort()
+        ready = int(np.searchsorted(times, passed, side="right"))
         done = []
-        while held and held[0][0] <= passed:
-            t, c = held.pop(0)
+        for t, c in zip(times[:ready].tolist(), confidences[:ready].tolist(), strict=True):
             if open_ and t - open_[0] > window:
                 done.append(open_)
                 open_ = None
             open_ = [open_[0], t, open_[2] + 1, max(open_[3], c)] if open_ else [t, t, 1, c]
+        times, confidences = times[ready:], confidences[ready:]
         if open_ and open_[0] + window < passed:
             done.append(open_)
             open_ = None
-        if open_ or held:
-            state.update((json.dumps([open_, held]),))
-            due = min([open_[0] + window] if open_ else [held[0][0]]) if not held else min(held[0][0], open_[0] + window if open_ else held[0][0])
+        if open_ or len(times):
+            state.update((open_ is not None, *(open_ or (0, 0, 0, 0.0)), times.tobytes(), confidences.tobytes()))
+            due = min(([open_[0] + window] if open_ else []) + times[:1].tolist())
             state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:
             state.remove()
@@ -124,4 +139,4 @@ def compress(rows: DataFrame, minutes: float = 10, least_seconds: float = 5, lat
         yield pd.DataFrame([(key[0], key[1], stamp(a), stamp(b), n, m) for a, b, n, m in out], columns=["camera_id", "species", "start_time", "end_time", "frame_count", "max_confidence"])
 
     keyed = timed(rows.filter("timestamp IS NOT NULL"), late)
-    return keyed.groupBy("camera_id", "label").applyInPandasWithState(lambda k, b, s: run(k, b, s), EPISODE, "held string", "append", GroupStateTimeout.EventTimeTimeout)
+    return keyed.groupBy("camera_id", "label").applyInPandasWithState(lambda k, b, s: run(k, b, s), EPISODE, HELD, "append", GroupStateTimeout.EventTimeTimeout)
