@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tracklore.llm import decontaminate, language_model, mixing, near_dedup, nearest, pii, quality, token_count, toxicity, url_filter
@@ -12,7 +11,6 @@ from tracklore.llm import decontaminate, language_model, mixing, near_dedup, nea
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "pipeline": corpus_pipeline.run,
         "op1_token_count": token_count.op1_token_count,
         "op2_pii": pii.op2_pii,
         "op3_decontaminate": decontaminate.op3_decontaminate,
