@@ -25,32 +25,57 @@ def test_query_against_brute_force(spark):
         assert r["base_score"] == pytest.approx(sum(math.log10((c[x] + 1) / (total + len(c) + 1)) for x in w), rel=1e-9)
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(c[x] > 0 for x in w), total)
     mine = [r for r in got.values() if r["held_out"]]
-    assert sum(r["score"] for r in mine) > sum(r["base_score"] for r in mine)
+    gain = sum(r["score"] - r["base_score"] for r in mine) / sum(r["n_tokens"] for r in mine)
+    assert gain > 0.05
 
 
 def test_probabilities_sum_to_one():
     rng = np.random.default_rng(1)
-    p = m.Parameters(np.full(m.SYMBOLS, 1 / m.SYMBOLS))
-    p.bias = rng.normal(size=m.SYMBOLS).astype(np.float32)
-    z = p.log_normalisers()
-    for a, b in ((0, 0), (5, 900), (m.START, m.START)):
-        scores = (p.near[a] + p.far[b]) @ p.after.T + p.bias
-        assert np.exp(scores - z[a, b]).sum() == pytest.approx(1, abs=1e-3)
+    words = [f"w{i}".encode() for i in range(700)]
+    groups = m.Groups(words, rng.integers(1, 5000, 700 + 1 + m.CLASSES).astype(float))
+    p = m.Parameters(groups)
+    p.group_bias, p.bias = (rng.normal(size=x.shape).astype(np.float32) for x in (p.group_bias, p.bias))
+    n = len(groups.place)
+    assert sorted(groups.place) == list(range(n)) and groups.share.sum() == pytest.approx(1)
+    for a, b in ((0, 0), (5, 600), (n, n)):
+        log_p = p.log_probabilities(groups, np.full(n, a), np.full(n, b), np.arange(n))
+        assert np.exp(log_p).sum() == pytest.approx(1, abs=1e-5)
 
 
 def test_training_raises_the_likelihood():
     rng = np.random.default_rng(2)
-    target = np.tile(np.arange(40), 2000) % 40
-    unigram = np.full(m.SYMBOLS, 1e-6)
-    unigram[:40] = 1 / 40
-    trainer = m.Trainer(unigram / unigram.sum())
+    words = [f"w{i:02d}".encode() for i in range(40)]
+    groups = m.Groups(words, np.r_[np.full(40, 1000.0), 1.0, np.ones(m.CLASSES)])
+    target = groups.place[np.tile(np.arange(40), 2000)]
     near, far, t = np.r_[0, target[:-1]], np.r_[0, 0, target[:-2]], target
+    trainer = m.Trainer(groups)
+    before = trainer.p.log_probabilities(groups, near, far, t).mean()
     for _ in range(60):
         k = rng.integers(0, len(t), 4000)
         trainer.step(near[k], far[k], t[k])
-    z = trainer.p.log_normalisers()
-    log_p = ((trainer.p.near[near] + trainer.p.far[far]) * trainer.p.after[t]).sum(1) + trainer.p.bias[t] - z[near, far]
-    assert log_p.mean() > math.log(1 / 40) + 0.5
+    assert trainer.p.log_probabilities(groups, near, far, t).mean() > before + 0.5
+    again = m.Trainer(groups)
+    again.fill(trainer.flat())
+    assert (again.flat() == trainer.flat()).all()
+
+
+def test_contexts():
+    near, far, target = m.contexts(np.array([1, 2, 3, 4, 5, 6]), np.array([1, 3, 2]), 9)
+    assert near.tolist() == [9, 9, 2, 3, 9, 5] and far.tolist() == [9, 9, 9, 2, 9, 9] and target.tolist() == [1, 2, 3, 4, 5, 6]
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    learning = F.col("doc_id") % 3 != 0
+    one, many = ({r["doc_id"]: r["score"] for r in m.score(docs.repartition(n), learning, 2, 20_000).collect()} for n in (1, 9))
+    assert one.keys() == many.keys() and all(one[i] == pytest.approx(many[i], rel=1e-4) for i in one)
+
+
+def test_long_texts_and_many_symbols(spark):
+    text = " ".join(f"w{i % 97}" for i in range(120_000))
+    docs = spark.createDataFrame([(1, text), (2, "w1 w2 never"), (3, text)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in m.score(docs, F.col("doc_id") < 3).collect()}
+    assert got[1]["n_tokens"] == 120_001 and got[1]["score"] == got[3]["score"] > got[1]["base_score"] and got[2]["n_known"] == 4
 
 
 def test_cases(spark):

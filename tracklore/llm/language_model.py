@@ -1,20 +1,25 @@
 """Language-model scoring: a log-bilinear neural model, trained in numpy by noise-contrastive estimation.
 
-Tokens are runs of non-space characters, A-Z lower-cased, and an end token per text. The model predicts one of
-``SYMBOLS`` symbols: the commonest words, the end, and classes of all other words by their last bytes. The two symbols before it
-each add a vector, the sum is matched with every symbol's vector, and the score is made a probability by the sum
-over all symbols, which one batched matrix product per tile of contexts gives for every context beforehand. A word of a
-class then has the add-one share of its class, one share being kept for unseen words, so all probabilities sum to one.
-
-Corpus statistics cover every training text: word counts are summed by Spark. Each partition trains on all of its training
-tokens from one common start; the parameters are averaged, weighted by tokens.
+Tokens are runs of non-space characters, A-Z lower-cased, and an end token per text. Symbols are the words with a count of
+at least ``least_count`` (which rises with the root of the corpus, so symbols, and the model, grow with it), the end, and
+classes of all other words by their last bytes. Symbols are dealt into groups, about as many as a group has members. The two
+symbols before a token each add a vector; the sum is matched with a vector and bias of every group, and with those of every
+member of the token's group, and both are made probabilities by batched matrix products over groups and over members. A
+word of a class then has the add-one share of its class, one share being kept for unseen words, so the probabilities of
+all tokens sum to one.
+
+Training: word counts over every training text are summed by Spark. Training texts are encoded once and dealt by hash into shards
+of about ``SHARD`` tokens. In each of ``ROUNDS`` rounds every shard learns from the common parameters, over all of its tokens
+in order of hash, by noise-contrastive estimation of the group and of the member in its group; the parameters are then
+averaged, weighted by tokens. Shards, their order and their random numbers depend on the rows alone, so scores do not
+depend on how the input is split (but for the rounding of sums).
 
 Defined cases: null and empty texts are one end token; repeated rows are counted and scored each; null ids are in the fold of the empty
 text; without training tokens every count is 0. Extra columns are not read.
 
-Scale: three passes over the texts. Counts of the ``HEAD`` commonest words are broadcast (a fixed bound); rarer words,
-about one token in ten, meet their counts in a shuffle join by word, summed per text first. Parameters and normalisers are of
-fixed size.
+Scale: three passes over the texts, and one over the encoded shards for each round. Counts of the ``HEAD`` commonest words, or
+of all symbols where these are more, are broadcast with the parameters (``4 * WIDTH`` bytes a symbol); rarer words, about one
+token in ten, meet their counts in a shuffle join by word, summed per text first.
 """
 
 from __future__ import annotations
@@ -24,24 +29,32 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklore.llm.common import fold, map_chunks, materialise, table
 
-SYMBOLS = 1024
 CLASSES = 128
-WORDS = SYMBOLS - CLASSES - 2
-END, START = WORDS, WORDS + 1
 DIM = 16
+#: Numbers of a symbol: its vectors as last, second last and predicted one, and its bias.
+WIDTH = 3 * DIM + 1
 HEAD = 100_000
-NOISE = 64
-BATCH = 8_192
+#: Noise groups of a batch, and noise members of each group in it.
+NOISE = 16
+BATCH = 16_384
+ROUNDS = 3
+SHARD = 2_000_000
 HELD_OUT = (7, 2)
 #: Distinct words that a task counts before it hands them on.
 FLUSH = 250_000
 
 
+def least_count(total: int) -> int:
+    """Count that makes a word a symbol, in a corpus of so many words."""
+    return max(8, math.ceil(math.sqrt(total) / 32))
+
+
 def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
@@ -72,184 +85,309 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
 
 
+class Groups:
+    """Symbols dealt into groups of about equal count, words in order of spelling. A symbol's place is its rank by group."""
+
+    def __init__(self, words: list[bytes], counts: np.ndarray):
+        n = len(counts)
+        by_word = np.array([*sorted(range(len(words)), key=words.__getitem__), *range(len(words), n)])
+        reach = (np.cumsum(counts[by_word]) - counts[by_word] / 2) / counts.sum()
+        group = np.minimum((reach * max(1, round(math.sqrt(n)))).astype(np.int64), n - 1)
+        self.of_place = np.unique(group, return_inverse=True)[1]
+        self.n = int(self.of_place[-1]) + 1
+        self.starts = np.searchsorted(self.of_place, np.arange(self.n + 1))
+        self.place = np.empty(n, np.int32)
+        self.place[by_word] = np.arange(n)
+        share = counts[by_word] / counts.sum()
+        self.share = np.add.reduceat(share, self.starts[:-1])
+        #: share of each place in its group
+        self.inside = share / self.share[self.of_place]
+
+
 class Parameters:
-    """before: vectors of the last and the second last symbol; after, bias: of the predicted one."""
+    """near, far: vectors of the last and second last symbol, by place, and the start; member, bias: of the predicted place;
+    group, group_bias: of its group."""
+
+    NAMES = ("near", "far", "member", "bias", "group", "group_bias")
 
-    def __init__(self, unigram: np.ndarray, seed: int = 11):
-        rng = np.random.default_rng(seed)
-        self.near, self.far, self.after = (rng.normal(0, 0.1, (SYMBOLS, DIM)).astype(np.float32) for _ in range(3))
-        self.bias = np.log(unigram).astype(np.float32)
+    def __init__(self, groups: Groups, seed: int = 11):
+        rng, n = np.random.default_rng(seed), len(groups.place)
+        draw = lambda rows: rng.normal(0, 0.1, (rows, DIM)).astype(np.float32)
+        self.near, self.far, self.member, self.group = draw(n + 1), draw(n + 1), draw(n), draw(groups.n)
+        self.bias, self.group_bias = np.log(groups.inside).astype(np.float32), np.log(groups.share).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.near, self.far, self.after, self.bias[:, None]], axis=1)
-
-    @classmethod
-    def of(cls, flat: np.ndarray, unigram: np.ndarray) -> Parameters:
-        p = cls(unigram)
-        p.near, p.far, p.after, p.bias = (np.ascontiguousarray(x, np.float32) for x in (flat[:, :DIM], flat[:, DIM : 2 * DIM], flat[:, 2 * DIM : 3 * DIM], flat[:, -1]))
-        return p
-
-    def log_normalisers(self, tile: int = 4096) -> np.ndarray:
-        """Natural log of the sum over symbols, for each pair (last, second last)."""
-        out = np.empty((SYMBOLS, SYMBOLS), np.float32)
-        rows = max(1, tile // SYMBOLS)
-        for at in range(0, SYMBOLS, rows):
-            context = (self.near[at : at + rows, None, :] + self.far[None, :, :]).reshape(-1, DIM)
-            scores = context @ self.after.T
-            scores += self.bias
-            top = scores.max(1, keepdims=True)
-            scores -= top
-            np.exp(scores, out=scores)
-            out[at : at + rows] = (np.log(scores.sum(1)) + top[:, 0]).reshape(-1, SYMBOLS)
+        return np.concatenate([getattr(self, x).ravel() for x in self.NAMES])
+
+    def fill(self, flat: np.ndarray) -> None:
+        at = 0
+        for x in self.NAMES:
+            old = getattr(self, x)
+            setattr(self, x, np.ascontiguousarray(flat[at : at + old.size].reshape(old.shape), np.float32))
+            at += old.size
+
+    def log_probabilities(self, groups: Groups, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural log of the probability of each target, all given by place."""
+        out = np.empty(len(target), np.float64)
+        tile = max(1024, 4_000_000 // max(groups.n, 1))
+        for at in range(0, len(target), tile):
+            g = groups.of_place[target[at : at + tile]]
+            order = np.argsort(g, kind="stable")
+            g, t = g[order], target[at : at + tile][order]
+            context = self.near[near[at : at + tile][order]] + self.far[far[at : at + tile][order]]
+            log_p = _log_softmax_at(context @ self.group.T + self.group_bias, g)
+            ends = np.searchsorted(g, np.arange(groups.n + 1))
+            for k in np.flatnonzero(np.diff(ends)):
+                rows, members = slice(ends[k], ends[k + 1]), slice(groups.starts[k], groups.starts[k + 1])
+                log_p[rows] += _log_softmax_at(context[rows] @ self.member[members].T + self.bias[members], t[rows] - members.start)
+            out[at : at + tile][order] = log_p
         return out
 
 
-def _scatter(into: np.ndarray, at: np.ndarray, values: np.ndarray, squares: np.ndarray, rate: float) -> None:
-    """Adagrad step with the values summed by row."""
-    order = np.argsort(at, kind="stable")
-    sorted_at = at[order]
-    first = np.flatnonzero(np.r_[True, sorted_at[1:] != sorted_at[:-1]])
-    summed, rows = np.add.reduceat(values[order], first, axis=0), sorted_at[first]
-    squares[rows] += summed**2
+def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    picked = scores[np.arange(len(at)), at].astype(np.float64)
+    top = scores.max(1, keepdims=True)
+    scores -= top
+    np.exp(scores, out=scores)
+    return picked - np.log(scores.sum(1, dtype=np.float64)) - top[:, 0]
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _step(into: np.ndarray, squares: np.ndarray, rows, summed: np.ndarray, rate: float) -> None:
+    """Adagrad step of some rows."""
+    squares[rows] += summed * summed
     into[rows] += rate * summed / np.sqrt(squares[rows] + 1e-6)
 
 
+def _scatter(into: np.ndarray, squares: np.ndarray, at: np.ndarray, values: np.ndarray, rate: float) -> None:
+    """Adagrad step with the values summed by row."""
+    order = np.argsort(at.astype(np.uint16) if len(into) < 65_536 else at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    _step(into, squares, at[first], np.add.reduceat(values[order], first, axis=0), rate)
+
+
 class Trainer:
-    """Noise-contrastive estimation with noise drawn from the unigram shares and shared within a batch."""
+    """Noise-contrastive estimation; noise is drawn from the shares of groups, and of members in their group, once a batch."""
 
-    def __init__(self, unigram: np.ndarray, rate: float = 0.1, seed: int = 5):
-        self.p, self.unigram, self.rate = Parameters(unigram), unigram, rate
+    def __init__(self, groups: Groups, seed: int = 5, rate: float = 0.1, bias_rate: float = 0.02):
+        self.p, self.groups, self.rate, self.bias_rate = Parameters(groups), groups, rate, bias_rate
         self.rng = np.random.default_rng(seed)
-        self.log_noise = (np.log(NOISE) + np.log(unigram)).astype(np.float32)
-        self.squares = [np.zeros((SYMBOLS, DIM), np.float32) for _ in range(3)] + [np.zeros((SYMBOLS, 1), np.float32)]
+        self.squares = {x: np.zeros_like(getattr(self.p, x)) for x in Parameters.NAMES}
+        self.log_group, self.log_inside = (np.log(NOISE * x).astype(np.float32) for x in (groups.share, groups.inside))
+        self.bounds = np.cumsum(groups.share), np.cumsum(groups.inside)
         self.seen = 0
 
+    def flat(self) -> np.ndarray:
+        return np.concatenate([self.p.flat(), *(self.squares[x].ravel() for x in Parameters.NAMES)])
+
+    def fill(self, flat: np.ndarray) -> None:
+        half = len(flat) // 2
+        self.p.fill(flat[:half])
+        at = half
+        for x, old in self.squares.items():
+            self.squares[x] = np.ascontiguousarray(flat[at : at + old.size].reshape(old.shape), np.float32)
+            at += old.size
+
     def step(self, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> None:
-        p = self.p
+        """One batch, all given by place."""
+        p, groups, n = self.p, self.groups, len(target)
+        g = groups.of_place[target]
+        order = np.argsort(g.astype(np.uint16) if groups.n < 65_536 else g, kind="stable")
+        g, target, near, far = g[order], target[order], near[order], far[order]
         context = p.near[near] + p.far[far]
-        noise = self.rng.choice(SYMBOLS, NOISE, p=self.unigram)
-        q = p.after[target]
-        true = 1 - 1 / (1 + np.exp(-np.clip((context * q).sum(1) + p.bias[target] - self.log_noise[target], -30, 30)))
-        false = -1 / (1 + np.exp(-np.clip(context @ p.after[noise].T + p.bias[noise] - self.log_noise[noise], -30, 30)))
-        back = (true[:, None] * q + false @ p.after[noise]) / len(target)
-        pull = np.concatenate([true[:, None] * context, false.T @ context]) / len(target)
-        lift = np.concatenate([true, false.sum(0)])[:, None] / len(target)
-        both = np.concatenate([target, noise])
-        _scatter(p.near, near, back, self.squares[0], self.rate)
-        _scatter(p.far, far, back, self.squares[1], self.rate)
-        _scatter(p.after, both, pull, self.squares[2], self.rate)
-        bias = p.bias[:, None]
-        _scatter(bias, both, lift, self.squares[3], 0.02)
-        self.seen += len(target)
-
-
-def contexts(symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Last symbol, second last symbol and symbol at each place of all sequences; each is preceded by two starts."""
-    whole = np.concatenate([np.concatenate([np.full(2, START, np.int32), s]) for s in symbols]) if symbols else np.zeros(0, np.int32)
-    lengths = np.array([len(s) + 2 for s in symbols])
-    starts = np.cumsum(lengths) - lengths
-    real = np.ones(len(whole), bool)
-    real[starts] = real[starts + 1] = False
-    at = np.flatnonzero(real)
-    return whole[at - 1], whole[at - 2], whole[at]
+        # the group
+        noise = np.minimum(np.searchsorted(self.bounds[0], self.rng.random(NOISE)), groups.n - 1)
+        true = 1 - _sigmoid((context * p.group[g]).sum(1) + p.group_bias[g] - self.log_group[g])
+        false = -_sigmoid(context @ p.group[noise].T + (p.group_bias[noise] - self.log_group[noise]))
+        back = true[:, None] * p.group[g] + false @ p.group[noise]
+        ends = np.searchsorted(g, np.arange(groups.n + 1))
+        there = np.flatnonzero(np.diff(ends))
+        pull, lift = np.zeros_like(p.group), np.zeros_like(p.group_bias)
+        pull[there] = np.add.reduceat(true[:, None] * context, ends[there], axis=0)
+        lift[there] = np.add.reduceat(true, ends[there])
+        np.add.at(pull, noise, false.T @ context)
+        np.add.at(lift, noise, false.sum(0))
+        # the member in its group
+        own = p.member[target]
+        true = 1 - _sigmoid((context * own).sum(1) + p.bias[target] - self.log_inside[target])
+        back += true[:, None] * own
+        draws = self.rng.random((groups.n, NOISE)) + np.arange(groups.n)[:, None]
+        noises = np.minimum(np.searchsorted(self.bounds[1], draws), groups.starts[1:, None] - 1)
+        pulls, lifts = np.zeros((len(there), NOISE, DIM), np.float32), np.zeros((len(there), NOISE), np.float32)
+        for i, k in enumerate(there):
+            rows, noise = slice(ends[k], ends[k + 1]), noises[k]
+            vectors, x = p.member[noise], context[rows]
+            false = -_sigmoid(x @ vectors.T + (p.bias[noise] - self.log_inside[noise]))
+            back[rows] += false @ vectors
+            pulls[i] = false.T @ x
+            lifts[i] = false.sum(0)
+        at = np.concatenate([target, noises[there].ravel()])
+        member = np.concatenate([true[:, None] * context, pulls.reshape(-1, DIM)])
+        bias = np.concatenate([true, lifts.ravel()])[:, None]
+        back /= n
+        _scatter(p.near, self.squares["near"], near, back, self.rate)
+        _scatter(p.far, self.squares["far"], far, back, self.rate)
+        _scatter(p.member, self.squares["member"], at, member / n, self.rate)
+        _scatter(p.bias[:, None], self.squares["bias"][:, None], at, bias / n, self.bias_rate)
+        every = slice(None)
+        _step(p.group, self.squares["group"], every, pull / n, self.rate)
+        _step(p.group_bias, self.squares["group_bias"], every, lift / n, self.bias_rate)
+        self.seen += n
+
+
+def contexts(places: np.ndarray, lengths: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of the last symbol, of the second last and of the symbol itself, for the symbols of sequences laid end to end;
+    each sequence is preceded by two starts."""
+    near, far = np.empty_like(places), np.empty_like(places)
+    near[1:], far[2:] = places[:-1], places[:-2]
+    first = (np.cumsum(lengths) - lengths)[lengths > 0]
+    near[first] = far[first] = start
+    second = first[lengths[lengths > 0] > 1] + 1
+    far[second] = start
+    return near, far, places
 
 
 class Vocabulary:
-    """Counts of the commonest words, the words that are symbols, and per class the count of its tokens and words."""
+    """Counts of the commonest words, which of them are symbols, and per class the count of its tokens and words."""
 
-    def __init__(self, head: list[tuple[bytes, int]], class_tokens: np.ndarray, class_words: np.ndarray, texts: int):
+    def __init__(self, head: list[tuple[bytes, int]], symbols: int, class_tokens: np.ndarray, class_words: np.ndarray, texts: int):
         self.index = {w: i for i, (w, _) in enumerate(head)}
         self.counts = np.array([n for _, n in head], np.int64)
-        self.symbol = np.array([i if i < WORDS else END + 2 + class_of(w) for i, (w, _) in enumerate(head)], np.int32)
-        self.class_tokens, self.class_words, self.texts = class_tokens, class_words, texts
-        self.total = int(self.counts[:WORDS].sum() + class_tokens.sum()) + texts
-        self.distinct = int(min(len(head), WORDS) + class_words.sum()) + (1 if texts else 0)
-        counts = np.zeros(SYMBOLS)
-        counts[: min(len(head), WORDS)] = self.counts[:WORDS]
-        counts[END] = texts
-        counts[END + 2 :] = class_tokens
-        counts += 1
-        counts[START] = 1e-3
-        self.unigram = counts / counts.sum()
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Place of each word in the head (-1: not there), the symbols with the end, and the words not there."""
+        self.class_tokens, self.class_words, self.texts, self.words = class_tokens, class_words, texts, symbols
+        self.total = int(self.counts[:symbols].sum() + class_tokens.sum()) + texts
+        self.distinct = int(symbols + class_words.sum()) + (1 if texts else 0)
+        counts = np.concatenate([self.counts[:symbols], [texts], class_tokens]).astype(np.float64) + 1
+        self.groups = Groups([w for w, _ in head[:symbols]], counts)
+        self.start = len(counts)
+        #: class of each word of the head that is no symbol, else -1
+        self.head_class = np.array([-1 if i < symbols else class_of(w) for i, (w, _) in enumerate(head)], np.int64)
+        symbol = np.where(self.head_class < 0, np.arange(len(head)), symbols + 1 + self.head_class)
+        self.place = self.groups.place[symbol] if len(head) else np.zeros(0, np.int32)
+        self.end_place = int(self.groups.place[symbols])
+        self.class_place = self.groups.place[symbols + 1 :]
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
+        """Index of each word in the head (-1: not there), the places with the end, and the words not there with their classes."""
         get = self.index.get
         at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-        symbols = np.empty(len(words) + 1, np.int32)
-        symbols[:-1] = self.symbol[at] if len(self.symbol) else 0
-        symbols[-1] = END
+        places = np.empty(len(words) + 1, np.int32)
+        places[:-1] = self.place[at] if len(self.place) else 0
+        places[-1] = self.end_place
         missing = np.flatnonzero(at < 0)
         rare = [words[i] for i in missing]
-        symbols[missing] = [END + 2 + class_of(w) for w in rare]
-        return at, symbols, rare
+        classes = np.array([class_of(w) for w in rare], np.int64)
+        places[missing] = self.class_place[classes] if rare else 0
+        return at, places, rare, classes
 
 
 def learn_vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
-    """The head is every word over a count that at most HEAD words pass, found from a histogram of counts, so that tasks send
-    the driver no more than it keeps."""
+    """The head is every symbol, and every word over a count that at most HEAD words pass, found from a histogram of counts, so
+    that tasks send the driver no more than it keeps."""
     step = F.floor(F.log2(F.col("n").cast("double")) * 8)
+    rows = counts.groupBy(step.alias("b")).agg(F.count("*").alias("k"), F.sum("n").alias("n")).collect()
+    least = least_count(sum(r["n"] for r in rows))
     over, bound = 0, None
-    for r in sorted(counts.groupBy(step.alias("b")).agg(F.count("*").alias("k")).collect(), reverse=True):
+    for r in sorted(rows, reverse=True):
         if over + r["k"] > HEAD:
             break
         over, bound = over + r["k"], r["b"]
-    top = counts.select("word", "n").filter(step >= bound if bound is not None else F.lit(False)).toArrow()
+    kept = (F.col("n") >= least) | (step >= bound if bound is not None else F.lit(False))
+    top = counts.select("word", "n").filter(kept).toArrow()
     head = sorted(zip(top.column("word").to_pylist(), top.column("n").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
-    last = F.lit(None)
-    if len(head) > WORDS:
-        last = F.struct(F.lit(-head[WORDS - 1][1]).alias("m"), F.lit(bytearray(head[WORDS - 1][0])).alias("word"))
-        rest = counts.filter(F.struct((-F.col("n")).alias("m"), F.col("word")) > last)
-    elif bound is None:
-        rest = counts
-    else:
-        rest = counts.filter(step < bound)
     tokens_, words_ = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-    for r in rest.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
+    for r in counts.filter(F.col("n") < least).groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("k")).collect():
         tokens_[r["class"]], words_[r["class"]] = r["n"], r["k"]
-    return Vocabulary(head, tokens_, words_, texts)
+    return Vocabulary(head, sum(n >= least for _, n in head), tokens_, words_, texts)
 
 
-def train(docs: DataFrame, shared, unigram: np.ndarray) -> Parameters:
-    """Average of what every partition learns from its own training texts. shared: the broadcast vocabulary."""
+def encode_shards(docs: DataFrame, shared, shards: int) -> DataFrame:
+    """shard and places of every text, written to the shared folder, each shard in one file and in order of hash."""
 
-    def run(batches):
-        trainer = Trainer(unigram)
-        waiting: list[np.ndarray] = []
-        size = 0
+    def work(batch: pa.RecordBatch):
+        places = [shared.value.encode(tokens(t))[1] for t in batch.column("text").to_pylist()]
+        ends = np.cumsum([0, *map(len, places)])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *places])))
+        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("key"), lists], names=["shard", "key", "places"])
+
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select("text", key.alias("key"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
+    encoded = map_chunks(keyed, work, "shard int, key long, places array<int>")
+    return materialise(encoded.repartition(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "places"))
+
+
+def train(encoded: DataFrame, shared, rounds: int = ROUNDS) -> Parameters:
+    """Rounds of learning in every shard and averaging. encoded: of encode_shards; shared: the broadcast vocabulary."""
+    groups = shared.value.groups
+    state = Trainer(groups).flat()
+    spark = encoded.sparkSession
+    for number in range(rounds):
+        common = spark.sparkContext.broadcast(state.astype(np.float32))
+
+        def run(batches, number=number, common=common):
+            groups, start = shared.value.groups, shared.value.start
+            total, weight = np.zeros(len(common.value)), 0
+            trainer, shard = None, None
+            waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+            def go():
+                near, far, target = contexts(np.concatenate([w[0] for w in waiting]), np.concatenate([w[1] for w in waiting]), start)
+                for at in range(0, len(target), BATCH):
+                    part = slice(at, at + BATCH)
+                    trainer.step(near[part], far[part], target[part])
+                waiting.clear()
+
+            def close():
+                nonlocal weight, total
+                if waiting:
+                    go()
+                if trainer is not None and trainer.seen:
+                    total += trainer.flat().astype(np.float64) * trainer.seen
+                    weight += trainer.seen
+
+            for batch in batches:
+                numbers = np.asarray(batch.column("shard"))
+                for at in range(0, len(numbers), 256):
+                    for k in np.unique(numbers[at : at + 256]):
+                        if k != shard:
+                            close()
+                            trainer, shard = Trainer(groups, seed=int(k) * 1000 + number), k
+                            trainer.fill(common.value)
+                        lists = batch.column("places").slice(at, 256).filter(pa.array(numbers[at : at + 256] == k))
+                        waiting.append((np.asarray(lists.flatten(), np.int32), np.asarray(lists.value_lengths(), np.int64)))
+                        if sum(len(w[0]) for w in waiting) > 8 * BATCH:
+                            go()
+            close()
+            if weight:
+                rows = -(-len(total) // 1024)
+                padded = np.pad(total, (0, rows * 1024 - len(total))).reshape(rows, 1024)
+                yield pa.RecordBatch.from_arrays([pa.array(range(rows), pa.int32()), pa.array(list(padded), pa.list_(pa.float64())), pa.array([weight] * rows, pa.int64())], names=["row", "values", "weight"])
+
+        def add(rows: pa.Table) -> pa.Table:
+            summed = np.stack(rows.column("values").to_numpy()).sum(0)
+            return pa.table({"row": rows.column("row")[:1], "values": pa.array([summed], pa.list_(pa.float64())), "weight": pa.array([pc.sum(rows.column("weight")).as_py()], pa.int64())})
+
+        # a part of the parameters from each task meets in one group
+        schema = "row int, values array<double>, weight long"
+        got = encoded.mapInArrow(run, schema).groupBy("row").applyInArrow(add, schema).toArrow()
+        if not got.num_rows:
+            break
+        mean = np.stack(got.column("values").to_numpy()) / np.asarray(got.column("weight"))[:, None]
+        state = mean[np.argsort(np.asarray(got.column("row")))].ravel()[: len(state)]
+        common.unpersist()
+    out = Parameters(groups)
+    out.fill(state[: len(state) // 2])
+    return out
 
-        def go():
-            near, far, target = contexts(waiting)
-            for at in range(0, len(target), BATCH):
-                part = slice(at, at + BATCH)
-                trainer.step(near[part], far[part], target[part])
-            waiting.clear()
 
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                waiting.append(shared.value.encode(tokens(text))[1])
-                size += len(waiting[-1])
-                if size > 8 * BATCH:
-                    go()
-                    size = 0
-        if waiting:
-            go()
-        if trainer.seen:
-            flat = trainer.p.flat() * trainer.seen
-            yield pa.RecordBatch.from_arrays([pa.array(range(SYMBOLS), pa.int32()), pa.array(list(flat.astype(np.float64)), pa.list_(pa.float64())), pa.array([trainer.seen] * SYMBOLS, pa.int64())], names=["row", "values", "weight"])
-
-    width = 3 * DIM + 1
-    parts = docs.select("text").mapInArrow(run, "row int, values array<double>, weight long")
-    rows = parts.groupBy("row").agg(F.array(*[F.sum(F.element_at("values", i + 1)) for i in range(width)]).alias("values"), F.sum("weight").alias("weight")).collect()
-    if not rows:
-        return Parameters(unigram)
-    flat = np.zeros((SYMBOLS, width))
-    for r in rows:
-        flat[r["row"]] = np.array(r["values"]) / r["weight"]
-    return Parameters.of(flat, unigram)
-
-
-def score(docs: DataFrame, learning) -> DataFrame:
+def score(docs: DataFrame, learning, rounds: int = ROUNDS, shard: int = SHARD) -> DataFrame:
     """Scores of every row of docs(doc_id, text). learning: a condition on doc_id for the rows to learn from."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -257,35 +395,31 @@ def score(docs: DataFrame, learning) -> DataFrame:
     counts = materialise(count_words(training))
     vocabulary = learn_vocabulary(counts, training.select(F.lit(1)).count())
     shared = spark.sparkContext.broadcast(vocabulary)
-    parameters = train(training, shared, vocabulary.unigram)
-    model = spark.sparkContext.broadcast((parameters, parameters.log_normalisers()))
+    shards = max(1, -(-vocabulary.total // shard))
+    model = spark.sparkContext.broadcast(train(encode_shards(training, shared, shards), shared, rounds))
     total, distinct = vocabulary.total, vocabulary.distinct
 
     def work(batch: pa.RecordBatch):
         v = shared.value
-        p, log_z = model.value
         log_count = np.log10(v.counts + 1)
-        in_class = np.log10(v.counts + 1) - np.where(v.symbol > START, np.log10((v.class_tokens + v.class_words + 1)[np.maximum(v.symbol - START - 1, 0)]), np.log10(v.counts + 1))
         class_log = np.log10(v.class_tokens + v.class_words + 1)
+        # share of a word in its class; symbols stand for themselves
+        in_class = np.where(v.head_class >= 0, log_count - class_log[np.maximum(v.head_class, 0)], 0.0)
         base_end = math.log10(v.texts + 1)
         rows, sequences = [], []
         for text in batch.column("text").to_pylist():
             words = tokens(text)
-            at, symbols, rare = v.encode(words)
+            at, places, rare, classes = v.encode(words)
             known = at[at >= 0]
             tail: dict[bytes, int] = {}
             for w in rare:
                 tail[w] = tail.get(w, 0) + 1
-            rare_log = class_log[symbols[:-1][at < 0] - START - 1].sum()
-            rows.append((len(words) + 1, len(known) + (1 if v.texts else 0), float(log_count[known].sum()) + base_end, float(in_class[known].sum() - rare_log), tail))
-            sequences.append(symbols)
-        near, far, target = contexts(sequences)
-        log_p = np.empty(len(target), np.float64)
-        for s in range(0, len(target), 200_000):
-            a, b, t = near[s : s + 200_000], far[s : s + 200_000], target[s : s + 200_000]
-            log_p[s : s + 200_000] = ((p.near[a] + p.far[b]) * p.after[t]).sum(1) + p.bias[t] - log_z[a, b]
-        ends = np.cumsum([len(x) for x in sequences])
-        sums = np.add.reduceat(log_p, np.r_[0, ends[:-1]]) / math.log(10)
+            rows.append((len(words) + 1, len(known) + (1 if v.texts else 0), float(log_count[known].sum()) + base_end, float(in_class[known].sum() - class_log[classes].sum()), tail))
+            sequences.append(places)
+        lengths = np.array([len(x) for x in sequences], np.int64)
+        near, far, target = contexts(np.concatenate([np.zeros(0, np.int32), *sequences]), lengths, v.start)
+        log_p = model.value.log_probabilities(v.groups, near, far, target)
+        sums = np.add.reduceat(log_p, np.cumsum(lengths) - lengths) / math.log(10) if len(log_p) else []
         tails = [r[4] for r in rows]
         yield pa.RecordBatch.from_arrays(
             [
