@@ -25,7 +25,8 @@ class; rows that repeat a doc_id share its class, and where their texts differ t
 empty results. Extra columns are not read by ``near_duplicate_classes`` and are kept by ``drop_near_duplicates``.
 
 Scale: one Python pass over the texts; after it only ids, signatures (160 bytes a text) and the texts of candidate pairs
-are shuffled, in joins that Spark can split where a key is hot. Nothing is broadcast and nothing but counts is collected.
+are shuffled, in joins that Spark can split where a key is hot. Broadcast are tables of at most MOST_BROADCAST_IDS ids and
+the SLOTS counts of the exact join; nothing else is collected.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ ROWS = 4
 BANDS = REGISTERS // ROWS
 THRESHOLD = (4, 5)
 SMALL = 24
+#: Slots by which the exact join counts shingles, for their order only (8 bytes each, broadcast).
+SLOTS = 1 << 21
 #: Parts that the texts of one common shingle are dealt into by the exact join.
 SALTS = 16
 #: Members of a large mixed bucket that its other members are compared with in one further round.
@@ -274,41 +277,69 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
     return grouped.select(F.explode(pair).alias("p")).select("p.a", "p.b")
 
 
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's multiset of shingles as a set: a token is a shingle with its occurrence in the text. Tokens, and their text."""
+    h, at = shingles(word_lists(texts))
+    order = np.lexsort((h, at))
+    h, at = h[order], at[order]
+    first = np.ones(len(h), bool)
+    first[1:] = (h[1:] != h[:-1]) | (at[1:] != at[:-1])
+    starts = np.flatnonzero(first)
+    occurrence = (np.arange(len(h)) - np.repeat(starts, np.diff(np.append(starts, len(h))))).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        return _mix(h + occurrence * _P[2]), at
+
+
+def _slot_counts(texts: DataFrame) -> np.ndarray:
+    """How many tokens of texts(label, text) fall into each of SLOTS slots by their hash; 0 where all are of one class."""
+
+    def run(batches):
+        n, lo, hi = np.zeros(SLOTS, np.int64), np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
+        for batch in batches:
+            labels = np.asarray(batch.column("label"), np.int64)
+            for k in range(0, batch.num_rows, 200):
+                token, at = _tokens(batch.column("text").slice(k, 200).to_pylist())
+                slot = (token % np.uint64(SLOTS)).astype(np.int64)
+                n += np.bincount(slot, minlength=SLOTS)
+                np.minimum.at(lo, slot, labels[k + at])
+                np.maximum.at(hi, slot, labels[k + at])
+        there = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there]), pa.array(lo[there]), pa.array(hi[there])], names=["slot", "n", "lo", "hi"])
+
+    counted = texts.select("label", "text").mapInArrow(run, "slot long, n long, lo long, hi long").groupBy("slot").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    got = counted.filter("lo <> hi").select("slot", "n").toArrow()
+    out = np.zeros(SLOTS, np.int64)
+    out[np.asarray(got.column("slot"))] = np.asarray(got.column("n"))
+    return out
+
+
 def _prefixes(texts: DataFrame) -> DataFrame:
-    """token, rep, label, n, rest, f: the rarest shingles of each text of texts(rep, label, key, text), enough that two texts
-    which overlap by the threshold have their first common one among them.
+    """token, rep, label, n, rest, f: the rarest tokens of each text of texts(rep, label, text), enough that two texts of
+    different classes which overlap by the threshold have their first common one among them.
 
-    A token is a shingle with its occurrence in the text, so multisets are sets of n tokens. Tokens are put in one order: those
-    that only one class has, which no pair across classes has in common, then the others by their number f of texts; rest is
-    the number of tokens from this one on that other classes have too. Of n tokens at least 4/5 n must be common, so the
-    first n - 4/5 n + 1 cannot all be missing in the other text.
+    All tokens are put in one order, by the count f of their slot, which is at least their own number of texts; first those
+    whose slot only one class has, which no pair across classes has in common. Of n tokens at least 4/5 n must be common, so
+    the first n - 4/5 n + 1 cannot all be missing in the other text. rest is the number of tokens from this one on.
     """
+    counts = texts.sparkSession.sparkContext.broadcast(_slot_counts(texts))
 
     def work(batch: pa.RecordBatch):
-        h, at = shingles(word_lists(batch.column("text").to_pylist()))
-        order = np.lexsort((h, at))
-        h, at = h[order], at[order]
-        first = np.ones(len(h), bool)
-        first[1:] = (h[1:] != h[:-1]) | (at[1:] != at[:-1])
-        starts = np.flatnonzero(first)
-        occurrence = (np.arange(len(h)) - np.repeat(starts, np.diff(np.append(starts, len(h))))).astype(np.uint64)
-        with np.errstate(over="ignore"):
-            token = _mix(h + occurrence * _P[2]).view(np.int64)
+        token, at = _tokens(batch.column("text").to_pylist())
+        f = counts.value[(token % np.uint64(SLOTS)).astype(np.int64)]
+        order = np.lexsort((token, f, at))
+        token, at, f = token[order], at[order], f[order]
         n = np.bincount(at, minlength=batch.num_rows)
-        owner = pa.array(at)
-        yield pa.RecordBatch.from_arrays([batch.column(c).take(owner) for c in ("rep", "label", "key")] + [pa.array(n[at], pa.int64()), pa.array(token)], names=["rep", "label", "key", "n", "token"])
+        place = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        n = n[at]
+        keep = (f > 0) & (place < n - -(-4 * n // 5) + 1)
+        owner = pa.array(at[keep])
+        yield pa.RecordBatch.from_arrays([pa.array(token[keep].view(np.int64)), *(batch.column(c).take(owner) for c in ("rep", "label")), *(pa.array(x[keep]) for x in (n, n - place, f))], names=["token", "rep", "label", "n", "rest", "f"])
 
-    tokens = materialise(map_chunks(texts, work, "rep long, label long, key long, n long, token long"))
-    common = tokens.groupBy("token").agg(F.count("*").alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("token", "f")
-    # tokens of one class alone come first in the order and need no place in the list
-    listed = tokens.join(common, "token").groupBy("rep", "label", "key", "n").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("m"))
-    length = F.expr("CAST(n - (4 * n + 4) DIV 5 + 1 - (n - size(m)) AS INT)")
-    prefix = listed.filter(length > 0).select("rep", "label", "n", F.size("m").alias("size"), F.posexplode(F.slice("m", F.lit(1), length)).alias("i", "t"))
-    return prefix.select(F.col("t.token").alias("token"), "rep", "label", "n", (F.col("size") - F.col("i")).alias("rest"), F.col("t.f").alias("f"))
+    return map_chunks(texts.select("rep", "label", "text"), work, "token long, rep long, label long, n long, rest long, f long")
 
 
 def _exact_pairs(texts: DataFrame) -> DataFrame:
-    """Pairs across classes of texts(rep, label, key, text), among them every pair that overlaps by the threshold.
+    """Pairs across classes of texts(rep, label, text), among them every pair that overlaps by the threshold.
 
     At the first common token of a pair no more than the smaller rest can be common, which must be 4/9 of both sizes. Tokens
     of many texts are salted: one side is dealt out, the other copied.
@@ -350,8 +381,8 @@ def _wide_pairs(members: DataFrame, main: DataFrame, docs: DataFrame) -> DataFra
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = filter_by_ids(texts, materialise(wide.select("doc_id")), "doc_id", "left_semi").join(wide, "doc_id")
     # a repeated doc_id brings all its texts, each once
-    texts = texts.select(F.col("doc_id").alias("rep"), "label", F.xxhash64("text").alias("key"), "text").dropDuplicates(["rep", "key"])
-    return _exact_pairs(texts)
+    texts = texts.select(F.col("doc_id").alias("rep"), "label", F.sha2("text", 256).alias("key"), "text").dropDuplicates(["rep", "key"])
+    return _exact_pairs(materialise(texts.drop("key")))
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
