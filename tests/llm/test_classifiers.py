@@ -1,9 +1,16 @@
+import bisect
+import collections
+import math
+import re
+import zlib
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from tracklore.llm import quality, toxicity
 
 SF = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
 
 
 def measured(spark, df, column):
@@ -22,6 +29,65 @@ def test_toxicity_held_out(spark):
     assert area > 0.85 and not any(r["predicted"] for r in rows if r["y"] == 0)
 
 
+def plain_figures(text):
+    """The figures, character by character."""
+    raw = (text or "").encode()
+    words, lines, n = raw.split(), raw.split(b"\n"), len(raw)
+    share = lambda chars: sum(b in chars for b in raw) / max(n, 1)
+    k = max(len(words), 1)
+    most = max(collections.Counter(words).values(), default=0)
+    return [
+        math.log1p(n), math.log1p(len(words)), (n - len(lines)) / k, share(bytes(range(65, 91))), share(b"0123456789"), share(b" \t"), share(b"\n"), share(b"."), share(b","), share(b"!?"), share(b"|"),
+        share(b"*$#%&=<>{}[]\\^~_@"), share(b"-:;/+()"), share(bytes(range(128, 256))), len(set(words)) / k, most / k, len(set(lines)) / len(lines), math.log1p(n / len(lines)),
+        math.log1p(max(map(len, words), default=0)), share(b"\"'"),
+    ]
+
+
+def test_quality_query_against_brute_force(spark):
+    """Every score is the logistic of the bins' sum, looked up one by one, and every row is there."""
+    docs, labels = spark.read.parquet(f"{SMALL}/documents.parquet"), spark.read.parquet(f"{SMALL}/labels.parquet")
+    model = quality.train(docs, labels, keep=quality.fold(F.col("doc_id"), 5) != 0)
+    got = {r["doc_id"]: r for r in quality.op8_quality(spark, SMALL).collect()}
+    texts = docs.select("doc_id", "text").collect()
+    assert got.keys() == {d["doc_id"] for d in texts} and model.pairs
+    for d in texts:
+        x = plain_figures(d["text"])
+        bins = [bisect.bisect_right(list(e), v) for e, v in zip(model.edges, x, strict=True)]
+        total = model.base + sum(t[b] for t, b in zip(model.tables, bins, strict=True))
+        coarse = [b * quality.COARSE // (len(e) + 1) for b, e in zip(bins, model.edges, strict=True)]
+        total += sum(t[coarse[i], coarse[j]] for (i, j), t in zip(model.pairs, model.pair_tables, strict=True))
+        r = got[d["doc_id"]]
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, total))))) < 1e-6
+        assert r["predicted"] == (r["score"] >= 0.3) and r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 5 == 0)
+
+
+def test_toxicity_query_against_brute_force(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = toxicity.train(docs, labels, keep=quality.fold(F.col("doc_id"), 3) != 1)
+    got = {r["doc_id"]: r for r in toxicity.op9_toxicity(spark, SF).collect()}
+    assert model.weights
+    for d in docs.select("doc_id", "text").collect():
+        words = set(re.findall(r"[a-z0-9'\x80-\xff]+", re.sub("[A-Z]", lambda m: m[0].lower(), (d["text"] or "").encode().decode("latin-1"))))
+        found = {w.encode("latin-1") for w in words} | {w[:n].encode("latin-1") + b"*" for w in words for n in (4, 5, 6) if len(w) > n}
+        total = model.base + sum(w for t, w in model.weights.items() if t in found)
+        r = got[d["doc_id"]]
+        assert abs(r["score"] - 1 / (1 + math.exp(-max(-30, min(30, total))))) < 1e-9
+        assert r["predicted"] == (r["score"] >= 0.7) and r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 3 == 1)
+
+
+def test_repeated_ids_and_long_texts(spark):
+    """A labelled id with many texts is learnt once; a long text is read to its end."""
+    rows = [(i, f"{'bad idiot' if i % 2 else 'kind words'} w{i % 7} " * 3) for i in range(200)]
+    labels = spark.createDataFrame([(i, 1 - i % 2, i % 2) for i in range(200)], "doc_id long, quality int, toxic int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    many = spark.createDataFrame(rows + [rows[7]] * 300, "doc_id long, text string")
+    probe = ["kind " * 100_000 + "idiot", "kind " * 100_000, None]
+    assert np.allclose(*(toxicity.train(x, labels).score(probe) for x in (once, many)))
+    held = toxicity.train(once, labels).score(probe)
+    assert held[0] > held[1]
+    assert np.allclose(*(quality.train(x, labels).score(quality.figure_matrix(probe)) for x in (once, many)))
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(0)
     x = rng.uniform(-1, 1, (4000, 3))

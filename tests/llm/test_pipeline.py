@@ -35,5 +35,26 @@ def test_empty_documents(spark):
         assert docs.count() == 0
 
 
+def test_cases_in_every_stage(spark):
+    """Nulls in any column, repeated rows, a very long text and clashing names: kept rows keep all their columns."""
+    base = spark.read.parquet(f"{SF}/documents.parquet")
+    fine = base.join(spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1"), "doc_id").select(base.columns).orderBy("doc_id").limit(3).collect()
+    long = " ".join(f"w{i % 1013}x{i}" for i in range(60_000))
+    rows = [tuple(r) for r in fine] + [tuple(fine[0])] + [(None, fine[1]["text"] + " end", None, None, None), (900_001, None, None, None, None), (900_002, "", "en", "a", 0), (900_003, long, "en", None, len(long))]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], base.schema.add("copy", "int"))
+    for k, (_, stage) in enumerate(c.STAGES):
+        out = stage(spark, docs, SF)
+        got = out.collect()
+        assert out.columns == (docs.columns if k < 4 else [*docs.columns, "_copy"])
+        names = {r["copy"] for r in got}
+        assert names <= set(range(len(rows)))
+        if k == 1:  # of the repeated row one stays; rows without an id, or without words, all stay
+            assert len(names & {0, 3}) == 1 and names >= {1, 2, 4, 5, 6, 7}
+        if k == 2:
+            assert names == set(range(len(rows)))
+        if k == 3:
+            assert len(got) == len(rows) and [r["text"] for r in got if r["copy"] == 5] == [None]
+
+
 def test_run(spark):
     assert c.run(spark, SF).count() > 0

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from tests.compare import SF
 from tracklore.llm import token_count as t
 
 PIECES = ["a", "B", "é", "'", " ", "  ", "\n", "9", "!", "'ll", "the", " \t", "ß", "12", "...", "'r", "e"]
@@ -38,3 +39,34 @@ def test_stored_trees_are_edited(spark):
     assert got["text"] == "call <n> now" and got["n_tokens"] == len(t.PieceCounts(ranks).encoding.encode_ordinary("call <n> now"))
     assert {r["doc_id"]: r["n_tokens"] for r in trees.collect()}[2] == 0
     assert t.count_before_and_after(docs.filter("false"), ranks).count() == 0
+
+
+def test_query_against_plain_counts(spark):
+    """Both counts of the query, by encoding the text and the masked text whole."""
+    import tiktoken
+
+    from tests.llm.test_pii import plain
+
+    encode = t.PieceCounts(t.tokenizer_file()).encoding.encode_ordinary
+    assert isinstance(t.PieceCounts(t.tokenizer_file()).encoding, tiktoken.Encoding)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r["doc_id"]: r for r in t.op1_token_count(spark, SF).collect()}
+    assert got.keys() == {d["doc_id"] for d in docs}
+    for d in docs:
+        text = d["text"] or ""
+        parts, at, edits = [], 0, 0
+        for kind, s, e in sorted(plain(text), key=lambda x: (x[1], -x[2])):
+            if s >= at:
+                parts += [text[at:s], f"<{kind}>"]
+                at, edits = e, edits + 1
+        r = got[d["doc_id"]]
+        assert (r["n_chars"], r["n_tokens"], r["n_edits"], r["n_tokens_after"]) == (len(text), len(encode(text)), edits, len(encode("".join([*parts, text[at:]]))))
+
+
+def test_repeats_nulls_and_clashing_columns(spark):
+    rows = [(1, "mail a@b.org now", 5), (1, "mail a@b.org now", 5), (None, "x", 1), (2, None, 0), (3, "", 0), (4, "word " * 200_000, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    got = t.count_before_and_after(docs, t.tokenizer_file()).collect()
+    assert len(got) == 6 and [r["n_tokens"] for r in got if r["doc_id"] in (2, 3)] == [0, 0]
+    assert len({(r["n_tokens"], r["n_tokens_after"]) for r in got if r["doc_id"] == 1}) == 1
+    assert [r["n_tokens"] for r in got if r["doc_id"] == 4][0] >= 200_000

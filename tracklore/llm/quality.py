@@ -8,9 +8,10 @@ Training reads a bounded sample of labelled rows (``max_rows``, those with the s
 tables hold a few thousand values only; every text is scored whole, where it lies, without a shuffle.
 
 Defined cases: null and empty texts have the figures of an empty text and get a score; labels that are null, name no
-document or are not 0 or 1 are left out; of several labels for a document the largest counts; with no usable label, or
-one class only, the score is the smoothed share of label 1. Repeated rows are scored alike; null doc_id rows are scored,
-and never trained on. Extra columns are not read.
+document or are not 0 or 1 are left out; of several labels for a document the largest counts, and of several texts under one
+labelled doc_id the one with the least figures is learnt; with no usable label, or one class only, the score is the
+smoothed share of label 1. Repeated rows are scored alike; null doc_id rows are scored, and never trained on. Very long
+texts are read whole. Extra columns are not read by ``score_texts`` and are kept by ``keep_good``.
 """
 
 from __future__ import annotations
@@ -187,8 +188,10 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", keep=None
         x = figure_matrix(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
-    rows = map_chunks(labelled_texts(docs, labelled_sample(labels, target, keep, max_rows)), work, "doc_id long, y int, x array<double>").collect()
-    rows.sort(key=lambda r: (r["doc_id"], r["x"]))
+    found = map_chunks(labelled_texts(docs, labelled_sample(labels, target, keep, max_rows)), work, "doc_id long, y int, x array<double>")
+    # one row an id, so that at most max_rows come here
+    rows = found.groupBy("doc_id").agg(F.min("y").alias("y"), F.min("x").alias("x")).collect()
+    rows.sort(key=lambda r: r["doc_id"])
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FIGURES))
     return fit(x, np.array([r["y"] for r in rows], np.float64))
 

@@ -8,11 +8,13 @@ family: the words and beginnings that leave the sentence and those that come in.
 always candidates, so that the penalty, not their absence, keeps their weights alike: a neutral mention must not raise
 a score.
 
-Training reads a bounded sample of labelled rows (``max_rows``, smallest hash of the id first); their distinct words
-are counted by Spark, and at most ``max_words`` of them become weights. Every text is scored whole where it lies.
+Training reads a bounded sample of labelled rows (``max_rows``, smallest hash of the id first); their distinct words are
+counted by Spark, and at most ``max_words`` terms that ``least`` sampled texts hold, and whose share among toxic texts is
+``z`` standard errors off, become weights beside the group terms. Every text is scored whole where it lies.
 
 Defined cases: as in the quality classifier (null and empty texts have no words and score the base rate; unusable labels
-are left out; one class or no label gives the smoothed share; repeated rows score alike; extra columns are not read).
+are left out; of several texts under one labelled doc_id the one with the least SHA-256 is learnt; one class or no label
+gives the smoothed share; repeated rows score alike; very long texts are read whole; extra columns are not read).
 """
 
 from __future__ import annotations
@@ -145,6 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "toxic", keep=None,
     """
     keep = F.lit(True) if keep is None else keep
     sample = labelled_texts(docs, labelled_sample(labels, target, keep, max_rows))
+    # one text an id: at most max_rows are learnt from, and shuffled
+    sample = materialise(sample.groupBy("doc_id").agg(F.min("y").alias("y"), F.min_by("text", F.sha2("text", 256)).alias("text")))
 
     def split(batch: pa.RecordBatch):
         ys = batch.column("y").to_pylist()
