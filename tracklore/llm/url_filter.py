@@ -21,8 +21,9 @@ prefixes meet the lists in a shuffle join instead, with the same verdicts.
 
 from __future__ import annotations
 
+import json
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,37 +72,48 @@ def _passes(key: Column, level: int, bits: int, hashes: int, words: list[int]) -
     return out
 
 
-def _level(keys: DataFrame, level: int, n: int, rate: float) -> tuple[int, int, list[int]]:
-    hashes = max(1, math.ceil(-math.log2(rate)))
-    bits = max(64, math.ceil(n * hashes / math.log(2) / 64) * 64)
-    at = keys.select(F.explode(F.array(*[_bit(F.col("key"), level, j, bits) for j in range(hashes)])).alias("at"))
-    set_ = at.groupBy(F.floor(F.col("at") / 64).alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int"))).alias("value"))
-    words = [0] * (bits // 64)
-    for r in set_.collect():
-        words[r["word"]] = r["value"]
-    return bits, hashes, words
-
-
-def build_cascade(listed: DataFrame, universe: DataFrame, most_levels: int = 40) -> Cascade:
-    """listed(key) and universe(key), both distinct; the universe may or may not hold the listed keys."""
-    n, total = listed.count(), universe.count()
-    if n == 0:
-        return Cascade([])
-    inside, outside = listed, None
-    counts = n
-    levels: list[tuple[int, int, list[int]]] = []
-    while len(levels) < most_levels:
-        i = len(levels)
-        rate = min(0.5, n / (math.sqrt(2) * max(total, 1))) if i == 0 else 0.5
-        levels.append(_level(inside, i, counts, rate))
-        wrong = (universe if i == 0 else outside).filter(_passes(F.col("key"), i, *levels[i]))
-        # the first false positives are told from listed keys once, while the cascade is built
-        wrong = materialise(wrong.join(listed, "key", "left_anti") if i == 0 else wrong)
-        counts = wrong.count()
-        if counts == 0:
-            return Cascade(levels)
+def _by_kind(of: dict[str, Column]) -> Column:
+    """The column of the row's kind; null for other kinds."""
+    return F.coalesce(*[F.when(F.col("kind") == k, c) for k, c in of.items()])
+
+
+def _counts(keys: DataFrame) -> dict[str, int]:
+    return {r["kind"]: r["count"] for r in keys.groupBy("kind").count().collect()}
+
+
+def build_cascades(listed: DataFrame, universe: DataFrame, most_levels: int = 40) -> dict[str, Cascade]:
+    """A cascade for each kind. listed(kind, key) and universe(kind, key), both distinct; a universe may or may not hold the
+    listed keys. All kinds are built together, level by level."""
+    counts, totals = _counts(listed), _counts(universe)
+    levels: dict[str, list[tuple[int, int, list[int]]]] = {k: [] for k in counts}
+    inside, outside = listed, universe
+    for i in range(most_levels):
+        if not counts:
+            return {k: Cascade(v) for k, v in levels.items()}
+        shapes = {}
+        for k, n in counts.items():
+            rate = min(0.5, n / (math.sqrt(2) * max(totals.get(k, 0), 1))) if i == 0 else 0.5
+            hashes = max(1, math.ceil(-math.log2(rate)))
+            shapes[k] = (max(64, math.ceil(n * hashes / math.log(2) / 64) * 64), hashes)
+        at = inside.select("kind", F.explode(_by_kind({k: F.array(*[_bit(F.col("key"), i, j, bits) for j in range(hashes)]) for k, (bits, hashes) in shapes.items()})).alias("at"))
+        value = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("at", F.lit(64)).cast("int")))
+        words = {k: [0] * (bits // 64) for k, (bits, _) in shapes.items()}
+        for r in at.groupBy("kind", F.floor(F.col("at") / 64).alias("word")).agg(value.alias("value")).collect():
+            words[r["kind"]][r["word"]] = r["value"]
+        for k in counts:
+            levels[k].append((*shapes[k], words[k]))
+        wrong = outside.filter(F.coalesce(_by_kind({k: _passes(F.col("key"), i, *levels[k][i]) for k in counts}), F.lit(False)))
+        # the first false positives are told from listed keys once, while the cascades are built
+        wrong = materialise(wrong.join(listed, ["kind", "key"], "left_anti") if i == 0 else wrong)
+        counts = _counts(wrong)
         inside, outside = wrong, inside
-    raise ValueError("the cascade does not end")
+    raise ValueError("the cascades do not end")
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
+    """One cascade of listed(key) and universe(key)."""
+    one = lambda keys: keys.select(F.lit("").alias("kind"), "key")
+    return build_cascades(one(listed), one(universe)).get("", Cascade([]))
 
 
 def with_host_and_path(pages: DataFrame, url: str = "url") -> DataFrame:
@@ -126,14 +138,23 @@ def _shapes(keys: Sequence[tuple[str, str]]) -> list[tuple[int, int]]:
     return sorted({(len(h.split(".")), len(p)) for h, p in keys})
 
 
-def _lookup(urls: DataFrame, keys: Sequence[tuple[str, str]]):
-    """A function from a key column to whether it is listed, exact for the keys that urls can give."""
-    spark = urls.sparkSession
-    texts = sorted({h + p for h, p in keys})
-    if not texts:
-        return lambda key: F.lit(False)
-    universe = materialise(urls.select(F.explode(F.array(*[key_of(*s) for s in _shapes(keys)])).alias("key")).filter("key IS NOT NULL").distinct())
-    return build_cascade(spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in texts])).alias("key")), universe).contains
+def _listed(spark: SparkSession, keys: set[tuple[str, str]]) -> DataFrame:
+    """kind and key as a table, from one constant."""
+    text = json.dumps([{"kind": k, "key": key} for k, key in sorted(keys)])
+    return spark.range(1).select(F.explode(F.from_json(F.lit(text), "array<struct<kind:string,key:string>>")).alias("k")).select("k.*")
+
+
+def _lookups(urls: DataFrame, lists: dict[str, Sequence[tuple[str, str]]]) -> dict[str, Callable[[Column], Column]]:
+    """By kind, a function from a key column to whether it is listed, exact for the keys that urls can give; one pass over urls."""
+    out = {k: lambda key: F.lit(False) for k in lists}
+    lists = {k: keys for k, keys in lists.items() if keys}
+    if not lists:
+        return out
+    pair = lambda k, key: F.struct(F.lit(k).alias("kind"), key.alias("key"))
+    given = urls.select(F.explode(F.array(*[pair(k, key_of(*shape)) for k, keys in lists.items() for shape in _shapes(keys)])).alias("k")).select("k.*")
+    universe = materialise(given.filter("key IS NOT NULL").distinct())
+    listed = _listed(urls.sparkSession, {(k, h + p) for k, keys in lists.items() for h, p in keys})
+    return out | {k: c.contains for k, c in build_cascades(listed, universe).items()}
 
 
 #: A fitting rule; structs compare by their first fields.
@@ -152,8 +173,7 @@ def _verdicts(best: DataFrame, by_host: Column) -> DataFrame:
 def _judge_by_join(urls: DataFrame, rules: Sequence[tuple[str, str, str]], hosts: Sequence[str]) -> DataFrame:
     """The lists as tables: the distinct hosts and paths are taken apart into keys once, joined with the lists, and the best
     rule of each goes back to its urls. A host and path that many urls share is one row of that join."""
-    spark = urls.sparkSession
-    listed = spark.createDataFrame(sorted({(h + p, v) for v, h, p in rules} | {(h, "host") for h in hosts}), "key string, kind string")
+    listed = _listed(urls.sparkSession, {(v, h + p) for v, h, p in rules} | {("host", h) for h in hosts})
     shapes = [(k, n, False) for k, n in _shapes([(h, p) for _, h, p in rules])] + [(k, 0, True) for k, _ in _shapes([(h, "") for h in hosts])]
     places = urls.select("host", "path").distinct()
     of = F.array(*[F.struct(key_of(k, n).alias("key"), F.lit(h).alias("of_host"), _found(k, n, F.lit("")).alias("found")) for k, n, h in shapes])
@@ -170,13 +190,12 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, hosts
     if len({h + p for _, h, p in rules} | set(hosts)) > max_listed:
         return _judge_by_join(urls, rules, hosts)
     names = {v: [(h, p) for kind, h, p in rules if kind == v] for v in ("allow", "block")}
-    listed = {v: _lookup(urls, names[v]) for v in names}
-    in_hosts = _lookup(urls, [(h, "") for h in hosts])
+    listed = _lookups(urls, {**names, "host": [(h, "") for h in hosts]})
     found = [F.when(listed[v](key_of(k, n)), _found(k, n, F.lit(v))) for v in ("allow", "block") for k, n in _shapes(names[v])]
     best = urls.withColumn("__best", F.array_max(F.array_compact(F.array(F.lit(None).cast(FOUND), *found))))
     by_host = F.lit(False)
     for k, _ in _shapes([(h, "") for h in hosts]):
-        by_host = by_host | F.coalesce(in_hosts(key_of(k, 0)), F.lit(False))
+        by_host = by_host | F.coalesce(listed["host"](key_of(k, 0)), F.lit(False))
     return _verdicts(best, by_host)
 
 
