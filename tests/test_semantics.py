@@ -80,6 +80,20 @@ def test_leader_clusters_equal_sequential(spark, places):
     assert {r["seq"]: r["cluster"] for r in got} == _sequential(points, 5.0)
 
 
+def test_leader_clusters_go_on_from_an_earlier_run(spark):
+    import random
+
+    r = random.Random(8)
+    points = [(i, 59.0 + r.randrange(4000) / 1e7, 18.0 + r.randrange(8000) / 1e7) for i in range(120)]
+    df = spark.createDataFrame(points, "seq long, latitude double, longitude double")
+    first = space.leader_clusters(df.filter("seq < 70"))
+    later = space.leader_clusters(df.filter("seq >= 70"), earlier=space.centres(first))
+    assert {g["seq"]: g["cluster"] for g in first.unionByName(later).collect()} == _sequential(points, 5.0)
+    stats = space.batch_stats(df, df.filter("seq < 70")).first()
+    old = {g["cluster"] for g in first.collect()}
+    assert (stats["processed"], stats["clustered"], stats["errors"]) == (50, 50, 0) and stats["new_clusters"] == len({g["cluster"] for g in later.collect()} - old)
+
+
 def test_hull_area_and_perimeter(spark):
     square = [("a", x, y) for x in (0.0, 0.5, 1.0) for y in (0.0, 0.5, 1.0)]
     got = space.convex_hull(spark.createDataFrame(square, "cluster_id string, latitude double, longitude double")).select(F.size("ring").alias("n"), geo.ring_area_m2(F.col("ring")).alias("a"), geo.ring_perimeter_m(F.col("ring")).alias("p")).first()

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklore.functions.geo import EARTH_M, haversine_m, ring_area_m2, ring_perimeter_m
-from tracklore.operators.graph import components
+from tracklore.operators.graph import components, stored
 from tracklore.operators.joins import lon_cell, proximity
 from tracklore.operators.reports import count_true, mean
 
@@ -36,6 +36,12 @@ class _Leaders:
         n = self._columns(row)
         return row, math.floor((lon + 180) / 360 * n) % n
 
+    def start(self, cluster: int, lat: float, lon: float, count: int) -> None:
+        """A cluster that is there already, with its centre and number of points."""
+        cell = self._cell(lat, lon)
+        self.cells.setdefault(cell, []).append(len(self.clusters))
+        self.clusters.append([math.radians(lat) * count, math.radians(lon) * count, count, cluster, cell])
+
     def add(self, seq: int, lat: float, lon: float) -> int:
         row = math.floor(lat / self.step)
         near: set[int] = set()
@@ -73,44 +79,58 @@ def _lead(radius: float):
         part, leaders = None, _Leaders(radius)
         for rows in batches:
             out = []
-            for r, c, seq, lat, lon in rows[["r", "c", "seq", "latitude", "longitude"]].itertuples(index=False):
+            for r, c, count, seq, lat, lon in rows[["r", "c", "count", "seq", "latitude", "longitude"]].itertuples(index=False):
                 if (r, c) != part:
                     part, leaders = (r, c), _Leaders(radius)
-                out.append(leaders.add(seq, lat, lon))
-            yield pd.DataFrame({"seq": rows["seq"], "latitude": rows["latitude"], "longitude": rows["longitude"], "cluster": np.array(out, np.int64)})
+                out.append(leaders.start(seq, lat, lon, count) if count else leaders.add(seq, lat, lon))
+            points = (rows["count"] == 0).to_numpy()
+            yield pd.DataFrame({"seq": rows["seq"], "latitude": rows["latitude"], "longitude": rows["longitude"]})[points].assign(cluster=np.array([k for k, p in zip(out, points, strict=True) if p], np.int64))
 
     return run
 
 
-def leader_clusters(points: DataFrame, radius: float = 5.0) -> DataFrame:
+def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame | None = None) -> DataFrame:
     """points(seq, latitude, longitude), in order of seq: adds ``cluster``, the seq of the cluster's first point.
 
-    A point joins a cluster only within twice the radius of a point that is in it, so parts of the map that no chain of
-    such steps links never meet: they are found on a grid of that width and clustered apart, with the same result. Inside a
-    part each point moves a centroid that the next one is measured against, so a part is one pass in order of seq: its
-    rows stream through a task that holds its clusters only, in time linear in the rows.
+    earlier(cluster, latitude, longitude, point_count): clusters of earlier runs, in order of ``cluster``; points join them and
+    move their centres as if their points had come first.
+
+    A point joins a cluster only within twice the radius of a point that is in it, or of an earlier centre, so parts of the map
+    that no chain of such steps links never meet: they are found on a grid of that width and clustered apart, with the same
+    result. Inside a part each point moves a centroid that the next one is measured against, so a part is one pass in order
+    of seq: its rows stream through a task that holds its clusters only, in time linear in the rows.
     """
     p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL AND seq IS NOT NULL").select("seq", "latitude", "longitude")
-    far = p.agg(F.max(F.abs("latitude"))).first()[0]
+    every = p.withColumn("count", F.lit(0).cast("long"))
+    if earlier is not None:
+        every = every.unionByName(earlier.select(F.col("cluster").alias("seq"), "latitude", "longitude", F.col("point_count").cast("long").alias("count")))
+    far = every.agg(F.max(F.abs("latitude"))).first()[0]
     if far is None:
         return p.withColumn("cluster", F.col("seq"))
     step = 2 * radius * 1.000001 / (EARTH_M * math.pi / 180)
     columns = max(1, int(360 * max(math.cos(math.radians(min(far, 89.9))), 1e-3) / step))
     cell = F.struct(F.floor(F.col("latitude") / step).alias("r"), F.pmod(F.floor((F.col("longitude") + 180) / 360 * columns), F.lit(columns)).cast("long").alias("c"))
-    placed = p.withColumn("node", cell)
+    placed = every.withColumn("node", cell)
     cells = placed.select("node").distinct()
     around = F.array(*[F.struct((F.col("node.r") + i).alias("r"), F.pmod(F.col("node.c") + j, F.lit(columns)).cast("long").alias("c")) for i in (0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0)])
     edges = cells.select(F.col("node").alias("a"), F.explode(around).alias("b")).join(cells.withColumnRenamed("node", "b"), "b", "left_semi")
     parts = components(cells, edges)
-    ordered = placed.join(parts, "node").select(F.col("label.r").alias("r"), F.col("label.c").alias("c"), "seq", "latitude", "longitude").repartition("r", "c").sortWithinPartitions("r", "c", "seq")
-    return ordered.mapInPandas(_lead(radius), "seq long, latitude double, longitude double, cluster long")
+    dealt = placed.join(parts, "node").select(F.col("label.r").alias("r"), F.col("label.c").alias("c"), "count", "seq", "latitude", "longitude").repartition("r", "c")
+    return dealt.sortWithinPartitions("r", "c", F.col("count") == 0, "seq").mapInPandas(_lead(radius), "seq long, latitude double, longitude double, cluster long")
+
+
+def centres(clustered: DataFrame) -> DataFrame:
+    """cluster, latitude, longitude and point_count of the result of leader_clusters: what a later run starts from."""
+    return clustered.groupBy("cluster").agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"), F.count("*").alias("point_count"))
 
 
 def batch_stats(points: DataFrame, done: DataFrame, radius: float = 5.0) -> DataFrame:
-    """Counts of a run: rows without place or id are errors, rows already assigned are skipped."""
+    """Counts of a run over points of which ``done`` are assigned already: those are skipped, but their clusters are there for
+    the others to join; rows without place or id are errors."""
     todo = points.join(done.select("seq"), "seq", "left_anti")
-    clustered = leader_clusters(todo, radius)
-    made = clustered.agg(F.count("*").alias("clustered"), F.countDistinct("cluster").alias("new_clusters"))
+    old = stored(centres(leader_clusters(done, radius)))
+    clustered = leader_clusters(todo, radius, old)
+    made = clustered.join(old.select("cluster", F.lit(1).alias("old")), "cluster", "left").agg(F.count("*").alias("clustered"), F.countDistinct(F.when(F.col("old").isNull(), F.col("cluster"))).alias("new_clusters"))
     bad = F.col("latitude").isNull() | F.col("longitude").isNull() | F.col("seq").isNull()
     return todo.agg(F.count("*").alias("processed"), count_true(bad).alias("errors")).join(F.broadcast(made))
 
