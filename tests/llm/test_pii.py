@@ -92,6 +92,9 @@ def test_the_field_reads_all_kinds_in_whole_texts(monkeypatch):
     assert [(k, text[s:e]) for k, s, e in spans] == want
     monkeypatch.setattr(pii, "PIECE", 500)
     assert pii.added_spans(["", text, "x"], field) == [[], spans, []]
+    one_line = "mill " * 900 + "token = \"9b0b3c6a43eb78aa99cbd7049c572391524f37a8\" end"
+    assert [(k, one_line[s:e]) for k, s, e in pii.added_spans([one_line], field)[0]] == [("secret", "9b0b3c6a43eb78aa99cbd7049c572391524f37a8")]
+    assert "".join(p for _, p in pii._pieces("a" * 5000)) == "a" * 5000 and len(pii._pieces("a" * 5000)) > 4
     assert not pii.added_spans(["Der Der Der Der Der. In 1984 the Council of Europe met at 12 in Rome. " + "The " * 40], field)[0]
 
 

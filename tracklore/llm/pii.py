@@ -9,7 +9,8 @@ Adam on the exact likelihood, and decoded by Viterbi in numpy over all lines of
 
 Defined cases: null and empty texts have no spans; repeated rows each get a row; null doc_id stays null; a labelled table
 with no usable row trains a field that tags nothing. Extra columns are not read by ``find_pii`` and are kept by ``redact``.
-Very long texts are decoded in pieces that end at line ends, with the same spans (one line is never cut).
+Very long texts are decoded in pieces that end at line ends, with the same spans; a line of over two million characters is
+two chains or more, cut at white space after each million.
 
 Scale: each text is read once where it lies, with no shuffle; only the field's weights (FEATURES x kinds) are broadcast.
 Patterns and field run in time linear in the text.
@@ -83,6 +84,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 TAGS = ("O", *KINDS)
 FEATURES = 1 << 14
 TOKEN = re.compile(r"[^\W\d_]+|\d+|\s+|.", re.DOTALL)
+BLANK = re.compile(r"\s")
 #: Texts are decoded in pieces of about so many characters, cut at line ends.
 PIECE = 1_000_000
 #: Longest word that is a feature of its own; longer ones by their first letters.
@@ -439,12 +441,13 @@ def plausible(kind: str, part: str) -> bool:
 
 
 def _pieces(text: str) -> list[tuple[int, str]]:
-    """The text in pieces of about PIECE characters that end at line ends, each with its place."""
+    """The text in pieces of PIECE characters or a little more that end at line ends, each with its place."""
     out, at = [], 0
-    while len(text) - at > PIECE:
-        cut = text.find("\n", at + PIECE)
+    while len(text) - at > 2 * PIECE:
+        cut = text.find("\n", at + PIECE, at + 2 * PIECE)
         if cut < 0:
-            break
+            m = BLANK.search(text, at + PIECE, at + 2 * PIECE)
+            cut = m.start() if m else at + 2 * PIECE - 1
         out.append((at, text[at : cut + 1]))
         at = cut + 1
     return [*out, (at, text[at:] if at else text)]
