@@ -93,6 +93,18 @@ def test_template_family_with_planted_pairs(spark):
     assert {x["doc_id"]: x["class_id"] for x in got} == want
 
 
+def test_slot_counts(spark):
+    rows = [(i % 3, f"a b c d e f g w{i} h i j k l m n o p q") for i in range(50)] + [(7, "only here in this one text of mine ok"), (8, ""), (9, "one two")]
+    df = spark.createDataFrame(rows, "label long, text string")
+    want, labels = collections.Counter(), collections.defaultdict(set)
+    for token, at in zip(*n._tokens([t for _, t in rows]), strict=True):
+        want[int(token % np.uint64(n.SLOTS))] += 1
+        labels[int(token % np.uint64(n.SLOTS))].add(rows[at][0])
+    got = n._slot_counts(df.repartition(4))
+    assert {int(k): int(got[k]) for k in np.flatnonzero(got)} == {k: c for k, c in want.items() if len(labels[k]) > 1}
+    assert not n._slot_counts(df.filter("false")).any()
+
+
 def test_links_of_every_text_of_a_repeated_id(spark):
     r = random.Random(7)
     texts = [[f"w{r.randrange(10**6)}" for _ in range(100)] for _ in range(6)]

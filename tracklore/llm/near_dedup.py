@@ -49,6 +49,8 @@ THRESHOLD = (4, 5)
 SMALL = 24
 #: Slots by which the exact join counts shingles, for their order only (8 bytes each, broadcast).
 SLOTS = 1 << 21
+#: Slots in a row of a task's counts.
+SLOT_BLOCK = 1 << 13
 #: Parts that the texts of one common shingle are dealt into by the exact join.
 SALTS = 16
 #: Members of a large mixed bucket that its other members are compared with in one further round.
@@ -291,7 +293,11 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _slot_counts(texts: DataFrame) -> np.ndarray:
-    """How many tokens of texts(label, text) fall into each of SLOTS slots by their hash; 0 where all are of one class."""
+    """How many tokens of texts(label, text) fall into each of SLOTS slots by their hash; 0 where all are of one class.
+
+    A task counts all of its texts before it hands on anything: a row for each block of slots, with those of them that it met.
+    """
+    names = ["slots", "n", "lo", "hi"]
 
     def run(batches):
         n, lo, hi = np.zeros(SLOTS, np.int64), np.full(SLOTS, np.iinfo(np.int64).max), np.full(SLOTS, np.iinfo(np.int64).min)
@@ -304,12 +310,22 @@ def _slot_counts(texts: DataFrame) -> np.ndarray:
                 np.minimum.at(lo, slot, labels[k + at])
                 np.maximum.at(hi, slot, labels[k + at])
         there = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(n[there]), pa.array(lo[there]), pa.array(hi[there])], names=["slot", "n", "lo", "hi"])
-
-    counted = texts.select("label", "text").mapInArrow(run, "slot long, n long, lo long, hi long").groupBy("slot").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    got = counted.filter("lo <> hi").select("slot", "n").toArrow()
+        ends = np.flatnonzero(np.diff(there // SLOT_BLOCK, append=-1)) + 1
+        lists = [pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(x, pa.int64())) for x in (there, n[there], lo[there], hi[there])]
+        yield pa.RecordBatch.from_arrays([pa.array(there[ends - 1] // SLOT_BLOCK if len(there) else there), *(lists if len(there) else [x.slice(0, 0) for x in lists])], names=["block", *names])
+
+    def add(rows: pa.Table) -> pa.Table:
+        slots, n, lo, hi = (np.concatenate([np.zeros(0, np.int64), *rows.column(c).to_numpy()]) for c in names)
+        order = np.argsort(slots, kind="stable")
+        first = np.flatnonzero(np.diff(slots[order], prepend=-1))
+        n, lo, hi = np.add.reduceat(n[order], first), np.minimum.reduceat(lo[order], first), np.maximum.reduceat(hi[order], first)
+        mixed = lo < hi
+        return pa.table({"slots": pa.array([slots[order][first][mixed]], pa.list_(pa.int64())), "n": pa.array([n[mixed]], pa.list_(pa.int64()))})
+
+    counted = texts.select("label", "text").mapInArrow(run, "block long, slots array<long>, n array<long>, lo array<long>, hi array<long>")
     out = np.zeros(SLOTS, np.int64)
-    out[np.asarray(got.column("slot"))] = np.asarray(got.column("n"))
+    for r in counted.groupBy("block").applyInArrow(add, "slots array<long>, n array<long>").toArrow().to_batches():
+        out[np.asarray(r.column("slots").flatten(), np.int64)] = np.asarray(r.column("n").flatten(), np.int64)
     return out
 
 
