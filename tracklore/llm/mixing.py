@@ -104,7 +104,6 @@ def balance(sizes: DataFrame, targets: dict[str, DataFrame], cap: float = CAP, m
     spark = sizes.sparkSession
     # the groupings of one column each, and of each pair of columns for the curvature
     sets = [(c,) for c in columns] + [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    level = ", ".join("(" + ", ".join(f"`{c}`" for c in one) + ")" for one in sets)
     steps, gap = 0, np.zeros(0)
     while len(index):
         held = cells
@@ -113,10 +112,7 @@ def balance(sizes: DataFrame, targets: dict[str, DataFrame], cap: float = CAP, m
             held = held.join(F.broadcast(now), F.col(c).eqNullSafe(F.col("__group"))).drop("__group")
         rate = F.exp(sum((F.col(f"__m_{c}") for c in columns), F.lit(0.0)))
         held = held.withColumn("__r", F.least(rate, F.lit(cap)) * F.col("mass")).withColumn("__free", F.when(rate < cap, rate * F.col("mass")).otherwise(0.0))
-        held.createOrReplaceTempView("__balance")
-        names = ", ".join(f"`{c}`" for c in columns)
-        sums = spark.sql(f"SELECT {names}, {', '.join(f'grouping(`{c}`) AS `__g_{c}`' for c in columns)}, sum(__r) AS r, sum(__free) AS free FROM __balance GROUP BY GROUPING SETS ({level})").collect()
-        spark.catalog.dropTempView("__balance")
+        sums = held.groupingSets([[F.col(c) for c in one] for one in sets], *columns).agg(F.sum("__r").alias("r"), F.sum("__free").alias("free"), *[F.grouping(c).alias(f"__g_{c}") for c in columns]).collect()
         reached = np.zeros(len(index))
         curve = np.zeros((len(index), len(index))) if len(columns) > 1 else np.zeros(len(index))
         for row in sums:
