@@ -80,26 +80,27 @@ query(
     f"SELECT observation_id, cluster_id, timestamp, b.a AS at_matched, b.w AS wid, b.t AS temp_c FROM ({NEAREST.replace('o.cluster_id = r.cluster_id', 'o.cluster_id = r.cluster_id AND r.at >= cast(\'2024-01-16 00:00:00\' AS timestamp)')})",
     more=READINGS,
 )(lambda o, w: _nearest(o, w.filter("hour_offset >= 360")))
-SITES = "sites AS (SELECT cluster_id AS site, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude FROM observations WHERE gps_latitude IS NOT NULL GROUP BY 1 HAVING cluster_id < 'cluster_008')"
+SITES = "sites AS (SELECT cluster_id AS site, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude FROM observations WHERE gps_latitude IS NOT NULL AND cluster_id IN (SELECT cluster_id FROM cluster_names) GROUP BY 1)"
 POINTS = "(SELECT observation_id, gps_latitude AS latitude, gps_longitude AS longitude FROM observations)"
 KM = "2 * asin(least(sqrt(pow(sin(radians(s.latitude - p.latitude) / 2), 2) + cos(radians(p.latitude)) * cos(radians(s.latitude)) * pow(sin(radians(s.longitude - p.longitude) / 2), 2)), 1.0e0)) * 6371.0e0"
 
 
-def _sites(o):
-    return r.cluster_means(o).filter("cluster_id < 'cluster_008'").select(F.col("cluster_id").alias("site"), "latitude", "longitude")
+def _sites(o, n):
+    """Known sites are the clusters with a name."""
+    return r.cluster_means(o).join(n, "cluster_id", "left_semi").select(F.col("cluster_id").alias("site"), "latitude", "longitude")
 
 
-def _near(o, km):
-    return j.proximity(o.select("observation_id", F.col("gps_latitude").alias("latitude"), F.col("gps_longitude").alias("longitude")), _sites(o), km, "observation_id", "site")
+def _near(o, n, km):
+    return j.proximity(o.select("observation_id", F.col("gps_latitude").alias("latitude"), F.col("gps_longitude").alias("longitude")), _sites(o, n), km, "observation_id", "site")
 
 
 PROBE = f"SELECT p.observation_id, p.latitude, p.longitude, b.s AS near_site, round(b.d, 6) AS distance_km FROM {POINTS} p LEFT JOIN (SELECT p.observation_id, arg_min(struct_pack(s := s.site, d := {KM}), ({KM}, s.site)) AS b FROM {POINTS} p JOIN sites s ON {KM} <= {{0}} GROUP BY 1) m ON p.observation_id = m.observation_id"
-query("proximity_weather_join", "observations", PROBE.format("10"), more=SITES)(lambda o: _near(o, 10.0))
-query("proximity_probe", "observations", f"SELECT observation_id, near_site IS NOT NULL AS found, near_site, round(distance_km, 2) AS distance_km FROM ({PROBE.format('0.5')})", more=SITES)(
-    lambda o: _near(o, 0.5).select("observation_id", F.col("near_site").isNotNull().alias("found"), "near_site", F.round("distance_km", 2).alias("distance_km"))
+query("proximity_weather_join", NAMED, PROBE.format("10"), more=SITES)(lambda o, n: _near(o, n, 10.0))
+query("proximity_probe", NAMED, f"SELECT observation_id, near_site IS NOT NULL AS found, near_site, round(distance_km, 2) AS distance_km FROM ({PROBE.format('0.5')})", more=SITES)(
+    lambda o, n: _near(o, n, 0.5).select("observation_id", F.col("near_site").isNotNull().alias("found"), "near_site", F.round("distance_km", 2).alias("distance_km"))
 )
-query("proximity_then_exact_then_miss", "observations", f"SELECT CASE WHEN near_site IS NOT NULL THEN 'proximity' WHEN observation_id IN (SELECT observation_id FROM observations WHERE needs_review) THEN 'exact' ELSE 'miss' END AS source, count(*) AS n FROM ({PROBE.format('0.5')}) GROUP BY 1", more=SITES)(
-    lambda o: j.proximity_then_exact_then_miss(_near(o, 0.5), o.filter("needs_review"), "observation_id", "site")
+query("proximity_then_exact_then_miss", NAMED, f"SELECT CASE WHEN near_site IS NOT NULL THEN 'proximity' WHEN observation_id IN (SELECT observation_id FROM observations WHERE needs_review) THEN 'exact' ELSE 'miss' END AS source, count(*) AS n FROM ({PROBE.format('0.5')}) GROUP BY 1", more=SITES)(
+    lambda o, n: j.proximity_then_exact_then_miss(_near(o, n, 0.5), o.filter("needs_review"), "observation_id", "site")
 )
 query("is_within_proximity", "observations", f"SELECT p.observation_id, {KM} <= 30 AS near FROM {POINTS} p, (SELECT 59.0e0 AS latitude, 18.0e0 AS longitude) s")(
     lambda o: o.select("observation_id", within(F.col("gps_latitude"), F.col("gps_longitude"), F.lit(59.0), F.lit(18.0), 30).alias("near"))

@@ -76,11 +76,11 @@ query("cluster_locations", OBS, f"SELECT observation_id AS id, gps_latitude AS l
 query("cluster_mean", OBS, f"SELECT cluster_id, round(avg(gps_latitude), 9) AS latitude, round(avg(gps_longitude), 9) AS longitude, count(*) AS point_count FROM observations WHERE {GPS} AND cluster_id = 'cluster_004' GROUP BY 1")(lambda o: r.cluster_means(o.filter("cluster_id = 'cluster_004'")))
 query(
     "location_classify",
-    OBS,
+    "observations cluster_names",
     f"""SELECT p.observation_id, coalesce(b, 'review') AS location, CASE WHEN b IS NULL THEN 'review' ELSE 'known' END AS status FROM (SELECT observation_id, gps_latitude AS latitude, gps_longitude AS longitude FROM observations) p
     LEFT JOIN (SELECT p.observation_id, arg_min(s.site, ({KM}, s.site)) AS b FROM (SELECT observation_id, gps_latitude AS latitude, gps_longitude AS longitude FROM observations) p JOIN sites s ON {KM} <= 1 GROUP BY 1) m ON p.observation_id = m.observation_id""",
     more=SITES,
-)(lambda o: s.location_classify(o.select("observation_id", F.col("gps_latitude").alias("latitude"), F.col("gps_longitude").alias("longitude")), _sites(o), 1.0, "observation_id"))
+)(lambda o, n: s.location_classify(o.select("observation_id", F.col("gps_latitude").alias("latitude"), F.col("gps_longitude").alias("longitude")), _sites(o, n), 1.0, "observation_id"))
 query("haversine_m", "points", f"SELECT seq, round({KM} * 1000, 6) AS m FROM points p, (SELECT 59.0e0 AS latitude, 18.0e0 AS longitude) s")(lambda p: p.select("seq", F.round(geo.haversine_m(F.col("latitude"), F.col("longitude"), F.lit(59.0), F.lit(18.0)), 6).alias("m")))
 MORE = (("cluster_001", "North gate"), ("cluster_016", "Ridge"), ("cluster_020", "Ford"))
 with_clusters("batch_name_clusters", f"SELECT c.cluster_id, n AS new_name FROM clusters c JOIN (VALUES {', '.join(map(str, MORE))}) u(i, n) ON c.cluster_id = i")(
