@@ -29,7 +29,6 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,12 +118,14 @@ class Parameters:
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, x).ravel() for x in self.NAMES])
 
-    def fill(self, flat: np.ndarray) -> None:
+    def fill(self, flat: np.ndarray) -> int:
+        """Take the parameters from the first numbers of flat, and say how many those were."""
         at = 0
         for x in self.NAMES:
             old = getattr(self, x)
-            setattr(self, x, np.ascontiguousarray(flat[at : at + old.size].reshape(old.shape), np.float32))
+            setattr(self, x, np.array(flat[at : at + old.size].reshape(old.shape), np.float32))
             at += old.size
+        return at
 
     def log_probabilities(self, groups: Groups, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each target, all given by place."""
@@ -161,8 +162,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _step(into: np.ndarray, squares: np.ndarray, rows, summed: np.ndarray, rate: float) -> None:
-    """Adagrad step of some rows."""
-    squares[rows] += summed * summed
+    """Adagrad step of some rows, with one scale a row."""
+    squares[rows] += (summed * summed).mean(1, keepdims=True)
     into[rows] += rate * summed / np.sqrt(squares[rows] + 1e-6)
 
 
@@ -180,7 +181,7 @@ class Trainer:
     def __init__(self, groups: Groups, seed: int = 5, rate: float = 0.1, bias_rate: float = 0.02):
         self.p, self.groups, self.rate, self.bias_rate = Parameters(groups), groups, rate, bias_rate
         self.rng = np.random.default_rng(seed)
-        self.squares = {x: np.zeros_like(getattr(self.p, x)) for x in Parameters.NAMES}
+        self.squares = {x: np.zeros((len(getattr(self.p, x)), 1), np.float32) for x in Parameters.NAMES}
         self.log_group, self.log_inside = (np.log(NOISE * x).astype(np.float32) for x in (groups.share, groups.inside))
         self.bounds = np.cumsum(groups.share), np.cumsum(groups.inside)
         self.seen = 0
@@ -189,11 +190,9 @@ class Trainer:
         return np.concatenate([self.p.flat(), *(self.squares[x].ravel() for x in Parameters.NAMES)])
 
     def fill(self, flat: np.ndarray) -> None:
-        half = len(flat) // 2
-        self.p.fill(flat[:half])
-        at = half
+        at = self.p.fill(flat)
         for x, old in self.squares.items():
-            self.squares[x] = np.ascontiguousarray(flat[at : at + old.size].reshape(old.shape), np.float32)
+            self.squares[x] = np.array(flat[at : at + old.size].reshape(old.shape), np.float32)
             at += old.size
 
     def step(self, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> None:
@@ -236,10 +235,10 @@ class Trainer:
         _scatter(p.near, self.squares["near"], near, back, self.rate)
         _scatter(p.far, self.squares["far"], far, back, self.rate)
         _scatter(p.member, self.squares["member"], at, member / n, self.rate)
-        _scatter(p.bias[:, None], self.squares["bias"][:, None], at, bias / n, self.bias_rate)
+        _scatter(p.bias[:, None], self.squares["bias"], at, bias / n, self.bias_rate)
         every = slice(None)
         _step(p.group, self.squares["group"], every, pull / n, self.rate)
-        _step(p.group_bias, self.squares["group_bias"], every, lift / n, self.bias_rate)
+        _step(p.group_bias[:, None], self.squares["group_bias"], every, lift[:, None] / n, self.bias_rate)
         self.seen += n
 
 
@@ -367,23 +366,23 @@ def train(encoded: DataFrame, shared, rounds: int = ROUNDS) -> Parameters:
             close()
             if weight:
                 rows = -(-len(total) // 1024)
-                padded = np.pad(total, (0, rows * 1024 - len(total))).reshape(rows, 1024)
-                yield pa.RecordBatch.from_arrays([pa.array(range(rows), pa.int32()), pa.array(list(padded), pa.list_(pa.float64())), pa.array([weight] * rows, pa.int64())], names=["row", "values", "weight"])
+                mean = np.pad(total / weight, (0, rows * 1024 - len(total))).astype(np.float32).reshape(rows, 1024)
+                yield pa.RecordBatch.from_arrays([pa.array(range(rows), pa.int32()), pa.array(list(mean), pa.list_(pa.float32())), pa.array([weight] * rows, pa.int64())], names=["row", "values", "weight"])
 
         def add(rows: pa.Table) -> pa.Table:
-            summed = np.stack(rows.column("values").to_numpy()).sum(0)
-            return pa.table({"row": rows.column("row")[:1], "values": pa.array([summed], pa.list_(pa.float64())), "weight": pa.array([pc.sum(rows.column("weight")).as_py()], pa.int64())})
+            weights = np.asarray(rows.column("weight"), np.float64)
+            mean = np.average(np.stack(rows.column("values").to_numpy()), axis=0, weights=weights)
+            return pa.table({"row": rows.column("row")[:1], "values": pa.array([mean], pa.list_(pa.float64()))})
 
         # a part of the parameters from each task meets in one group
-        schema = "row int, values array<double>, weight long"
-        got = encoded.mapInArrow(run, schema).groupBy("row").applyInArrow(add, schema).toArrow()
+        parts = encoded.mapInArrow(run, "row int, values array<float>, weight long")
+        got = parts.groupBy("row").applyInArrow(add, "row int, values array<double>").toArrow()
         if not got.num_rows:
             break
-        mean = np.stack(got.column("values").to_numpy()) / np.asarray(got.column("weight"))[:, None]
-        state = mean[np.argsort(np.asarray(got.column("row")))].ravel()[: len(state)]
+        state = np.stack(got.column("values").to_numpy())[np.argsort(np.asarray(got.column("row")))].ravel()[: len(state)]
         common.unpersist()
     out = Parameters(groups)
-    out.fill(state[: len(state) // 2])
+    out.fill(state)
     return out
 
 
