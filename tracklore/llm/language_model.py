@@ -136,11 +136,11 @@ class Parameters:
             order = np.argsort(g, kind="stable")
             g, t = g[order], target[at : at + tile][order]
             context = self.near[near[at : at + tile][order]] + self.far[far[at : at + tile][order]]
-            log_p = _log_softmax_at(context @ self.group.T + self.group_bias, g)
+            log_p = _log_softmax_at(_product(context, self.group.T) + self.group_bias, g)
             ends = np.searchsorted(g, np.arange(groups.n + 1))
             for k in np.flatnonzero(np.diff(ends)):
                 rows, members = slice(ends[k], ends[k + 1]), slice(groups.starts[k], groups.starts[k + 1])
-                log_p[rows] += _log_softmax_at(context[rows] @ self.member[members].T + self.bias[members], t[rows] - members.start)
+                log_p[rows] += _log_softmax_at(_product(context[rows], self.member[members].T) + self.bias[members], t[rows] - members.start)
             out[at : at + tile][order] = log_p
         return out
 
@@ -153,6 +153,28 @@ def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return picked - np.log(scores.sum(1, dtype=np.float64)) - top[:, 0]
 
 
+#: Multiplications of one matrix product: so small that the library does not start threads beside Spark's tasks.
+SMALL = 200_000
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a @ b, a batch of small products over slices of the rows of a."""
+    rows = max(1, SMALL // b.size)
+    whole = len(a) // rows * rows
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    np.matmul(a[:whole].reshape(-1, rows, a.shape[1]), b, out=out[:whole].reshape(-1, rows, b.shape[1]))
+    np.matmul(a[whole:], b, out=out[whole:])
+    return out
+
+
+def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b for matrices of few columns, likewise."""
+    rows = max(1, SMALL // (a.shape[1] * b.shape[1]))
+    whole = len(a) // rows * rows
+    out = np.matmul(a[:whole].reshape(-1, rows, a.shape[1]).transpose(0, 2, 1), b[:whole].reshape(-1, rows, b.shape[1])).sum(0)
+    return out + a[whole:].T @ b[whole:]
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     np.clip(x, -30, 30, out=x)
     np.negative(x, out=x)
@@ -205,14 +227,14 @@ class Trainer:
         # the group
         noise = np.minimum(np.searchsorted(self.bounds[0], self.rng.random(NOISE)), groups.n - 1)
         true = 1 - _sigmoid((context * p.group[g]).sum(1) + p.group_bias[g] - self.log_group[g])
-        false = -_sigmoid(context @ p.group[noise].T + (p.group_bias[noise] - self.log_group[noise]))
-        back = true[:, None] * p.group[g] + false @ p.group[noise]
+        false = -_sigmoid(_product(context, p.group[noise].T) + (p.group_bias[noise] - self.log_group[noise]))
+        back = true[:, None] * p.group[g] + _product(false, p.group[noise])
         ends = np.searchsorted(g, np.arange(groups.n + 1))
         there = np.flatnonzero(np.diff(ends))
         pull, lift = np.zeros_like(p.group), np.zeros_like(p.group_bias)
         pull[there] = np.add.reduceat(true[:, None] * context, ends[there], axis=0)
         lift[there] = np.add.reduceat(true, ends[there])
-        np.add.at(pull, noise, false.T @ context)
+        np.add.at(pull, noise, _sums(false, context))
         np.add.at(lift, noise, false.sum(0))
         # the member in its group
         own = p.member[target]
@@ -224,9 +246,9 @@ class Trainer:
         for i, k in enumerate(there):
             rows, noise = slice(ends[k], ends[k + 1]), noises[k]
             vectors, x = p.member[noise], context[rows]
-            false = -_sigmoid(x @ vectors.T + (p.bias[noise] - self.log_inside[noise]))
-            back[rows] += false @ vectors
-            pulls[i] = false.T @ x
+            false = -_sigmoid(_product(x, vectors.T) + (p.bias[noise] - self.log_inside[noise]))
+            back[rows] += _product(false, vectors)
+            pulls[i] = _sums(false, x)
             lifts[i] = false.sum(0)
         at = np.concatenate([target, noises[there].ravel()])
         member = np.concatenate([true[:, None] * context, pulls.reshape(-1, DIM)])
