@@ -9,8 +9,8 @@ Adam on the exact likelihood, and decoded by Viterbi in numpy over all lines of
 
 Defined cases: null and empty texts have no spans; repeated rows each get a row; null doc_id stays null; a labelled table
 with no usable row trains a field that tags nothing. Extra columns are not read by ``find_pii`` and are kept by ``redact``.
-Very long texts are decoded in pieces that end at line ends, with the same spans; a line of over two million characters is
-two chains or more, cut at white space after each million.
+Very long texts are decoded in pieces that end at line ends, with the same spans; a line of over ``2 * PIECE`` characters is
+two chains or more, cut at white space.
 
 Scale: each text is read once where it lies, with no shuffle; only the field's weights (FEATURES x kinds) are broadcast.
 Patterns and field run in time linear in the text.
@@ -83,14 +83,15 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 TAGS = ("O", *KINDS)
 FEATURES = 1 << 14
-TOKEN = re.compile(r"[^\W\d_]+|\d+|\s+|.", re.DOTALL)
+#: A word, a run of digits or a single mark, with the white space before it; or what white space ends a text.
+TOKEN = re.compile(r"\s*(?:[^\W\d_]+|\d+|\S)|\s+")
 BLANK = re.compile(r"\s")
 #: Texts are decoded in pieces of about so many characters, cut at line ends.
-PIECE = 1_000_000
+PIECE = 200_000
 #: Longest word that is a feature of its own; longer ones by their first letters.
 WORD = 12
 
-_M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
+_M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)]
 
 
 def _shape(token: str) -> str:
@@ -104,48 +105,55 @@ def _shape(token: str) -> str:
 
 
 class _Codes(dict):
-    """Of a token: the hash of its shape in the high half, of its word in the low half; 0 for white space."""
+    """Of a token as TOKEN finds it: 26 bits of the hash of its shape, 26 of its word, whether there is a line end before it,
+    and how much white space (LONG: that much or more); 0 for white space alone."""
 
-    def __missing__(self, token: str) -> int:
+    def __missing__(self, found: str) -> int:
         if len(self) > 300_000:
             self.clear()
-        code = 0 if token.isspace() else (zlib.crc32(_shape(token).encode()) << 32) | zlib.crc32(token[:WORD].lower().encode())
-        self[token] = code
+        token = found.lstrip()
+        lead = len(found) - len(token)
+        code = 0
+        if token:
+            code = (zlib.crc32(_shape(token).encode()) >> 6) << 38 | (zlib.crc32(token[:WORD].lower().encode()) >> 6) << 12 | ("\n" in found[:lead]) << 11 | min(lead, LONG)
+        self[found] = code
         return code
 
 
+LONG = 2047
 _codes = _Codes()
 #: The last words at this distance or less are features; between words of text, marks count as words.
 CUES = 3
 
 
 def _features(shape: np.ndarray, word: np.ndarray, gap: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """Hashed features of each token, a row each: its shape, word and the gap before it, and those around it in its line."""
+    """Hashed features of the tokens, a row for each kind of feature: a token's shape, word and the gap before it, and those around it in its line."""
     n = len(shape)
 
     def at(x: np.ndarray, d: int) -> np.ndarray:
         """x of the token d places on; 1 beyond the line's ends."""
-        out = np.ones(n, np.uint64)
+        out = np.ones(n, np.uint32)
         here, there = (slice(0, n - d), slice(d, n)) if d > 0 else (slice(-d, n), slice(0, n + d))
-        if d and abs(d) < n:
-            same = line[here] == line[there]
-            out[here] = np.where(same, x[there], out[here])
-        return out if d else x
+        if abs(d) < n:
+            out[here] = np.where(line[here] == line[there], x[there], np.uint32(1))
+        return out
 
     joined = shape * _M[3] + gap
-    s = {d: at(joined, d) for d in (-2, -1, 0, 1, 2)}
-    parts = [(s[0],), (s[-1],), (s[-2],), (s[1],), (s[2],), (s[-1], s[0]), (s[0], s[1]), (s[-1], s[0], s[1]), (s[-2], s[-1], s[0]), (word,), (at(word, 1), s[0])]
-    # words before this one, each also with this one's shape
+    left, right, second = at(joined, -1), at(joined, 1), at(joined, 2)
     cues = [at(word, -d) for d in range(1, CUES + 1)]
+    parts = [(joined,), (left,), (right,), (left, joined), (joined, right), (left, joined, right), (at(joined, -2), left, joined), (joined, right, second), (word,), (at(word, 1), joined)]
+    # words before this one, each with this one's shape
     parts += [(c, shape) for c in cues] + [(cues[1], cues[0])]
-    out = np.empty((n, len(parts)), np.int64)
-    with np.errstate(over="ignore"):
-        for j, part in enumerate(parts):
-            h = np.full(n, np.uint64(j + 1)) * _M[0]
-            for x in part:
-                h = (h ^ x) * _M[1]
-                h ^= h >> np.uint64(29)
-            out[:, j] = (h * _M[2]) >> np.uint64(64 - 14)
+    out = np.empty((len(parts), n), np.uint32)
+    for j, part in enumerate(parts):
+        h = out[j]
+        h[:] = (j + 1) * int(_M[0]) & 0xFFFFFFFF
+        for x in part:
+            h ^= x
+            h *= _M[1]
+            h ^= h >> np.uint32(15)
+        h *= _M[2]
+        h >>= np.uint32(32 - 14)
     return out
 
 
@@ -157,20 +165,17 @@ class Tokens:
         flat = list(itertools.chain.from_iterable(pieces))
         code = np.fromiter(map(_codes.__getitem__, flat), np.uint64, len(flat))
         size = np.fromiter(map(len, flat), np.int64, len(flat))
+        lead = (code & np.uint64(LONG)).astype(np.int64)
+        for i in np.flatnonzero(lead == LONG):
+            lead[i] = size[i] - len(flat[i].lstrip())
         text = np.repeat(np.arange(len(texts)), [len(p) for p in pieces])
-        ends = np.cumsum(size)
         lengths = np.array([len(t) for t in texts], np.int64)
-        offset = (np.cumsum(lengths) - lengths)[text] if len(text) else ends
-        blank = code == 0
-        broken = np.zeros(len(flat), bool)
-        broken[blank] = [("\n" in flat[i]) for i in np.flatnonzero(blank)]
-        line = np.cumsum(broken | np.r_[False, text[1:] != text[:-1]]) if len(flat) else np.zeros(0, np.int64)
-        gap = np.r_[False, blank[:-1]] if len(flat) else blank
-        keep = ~blank
-        self.text, self.start, self.end, self.line = text[keep], (ends - size - offset)[keep], (ends - offset)[keep], line[keep]
+        ends = np.cumsum(size) - (np.cumsum(lengths) - lengths)[text]
+        line = np.cumsum((code >> np.uint64(11) & np.uint64(1)).astype(bool) | np.r_[False, text[1:] != text[:-1]]) if len(flat) else text
+        keep = code != 0
+        self.text, self.start, self.end, self.line = text[keep], (ends - size + lead)[keep], ends[keep], line[keep]
         code = code[keep]
-        with np.errstate(over="ignore"):
-            self.features = _features((code >> np.uint64(32)) + np.uint64(2), (code & np.uint64(0xFFFFFFFF)) + np.uint64(2), gap[keep].astype(np.uint64), self.line)
+        self.features = _features((code >> np.uint64(38)).astype(np.uint32), (code >> np.uint64(12) & np.uint64((1 << 26) - 1)).astype(np.uint32), (lead[keep] > 0).astype(np.uint32), self.line)
         #: first token of each line
         self.first = np.flatnonzero(np.r_[True, self.line[1:] != self.line[:-1]]) if len(self.line) else np.zeros(0, np.int64)
 
@@ -182,23 +187,41 @@ class Field:
         self.emit, self.step = emit.astype(np.float32), step.astype(np.float32)
 
     def scores(self, features: np.ndarray) -> np.ndarray:
-        out = self.emit[features[:, 0]]
-        for j in range(1, features.shape[1]):
-            out += self.emit[features[:, j]]
+        out = self.emit[features[0]]
+        for row in features[1:]:
+            out += self.emit[row]
         return out
 
     def decode(self, tokens: Tokens) -> np.ndarray:
-        """The best tag of every token: Viterbi over all lines at once, longest first, each step over the lines not yet ended."""
-        n, k = len(tokens.line), len(TAGS)
+        """The best tag of every token, by Viterbi over each line.
+
+        Where O outscores every other tag by more than any change of the two steps beside it could win back, the best path
+        has O there; so lines fall into the stretches between such tokens, and all stretches are decoded at once, longest
+        first, each step over those not yet ended.
+        """
+        n = len(tokens.line)
         tags = np.zeros(n, np.int8)
         if not n:
             return tags
-        lengths = np.diff(np.append(tokens.first, n))
-        order = np.argsort(-lengths, kind="stable")
-        first, lengths = tokens.first[order], lengths[order]
         scores = self.scores(tokens.features)
-        back = np.zeros((n, k), np.int8)
-        best = scores[first]
+        into = np.maximum((self.step - self.step[:, :1]).max(0), 0)
+        onward = np.maximum((self.step - self.step[:1]).max(1), 0)
+        unsure = np.flatnonzero((scores[:, 1:] + (into + onward)[1:]).max(1) >= scores[:, 0])
+        if not len(unsure):
+            return tags
+        line = tokens.line[unsure]
+        begins = np.r_[True, (unsure[1:] != unsure[:-1] + 1) | (line[1:] != line[:-1])]
+        first = unsure[begins]
+        lengths = np.diff(np.append(np.flatnonzero(begins), len(unsure)))
+        order = np.argsort(-lengths, kind="stable")
+        first, lengths = first[order], lengths[order]
+        last = first + lengths - 1
+        after = (last + 1 < n) & (tokens.line[np.minimum(last + 1, n - 1)] == tokens.line[last])
+        before = (first > 0) & (tokens.line[first - 1] == tokens.line[first])
+        # the sure tokens beside a stretch have tag O
+        scores[last] += np.where(after[:, None], self.step[:, 0], 0)
+        best = scores[first] + np.where(before[:, None], self.step[0], 0)
+        back = np.zeros((n, len(TAGS)), np.int8)
         live = np.searchsorted(-lengths, -np.arange(lengths[0] + 1), side="left")
         for t in range(1, lengths[0]):
             m = live[t]
@@ -207,7 +230,7 @@ class Field:
             back[at] = reach.argmax(1)
             best[:m] = reach.max(1) + scores[at]
         tag = best.argmax(1)
-        tags[first + lengths - 1] = tag
+        tags[last] = tag
         for t in range(lengths[0] - 1, 0, -1):
             m = live[t]
             at = first[:m] + t
@@ -231,7 +254,7 @@ def fit(rows: list[tuple[str, list[tuple[int, int, str]]]], steps: int = 100, ri
     mask = np.arange(length) < lengths[:, None]
     gold = np.zeros((n, length), int)
     gold[mask] = gold_of
-    feature = tokens.features
+    feature = tokens.features.T.astype(np.int64)
     seen = np.stack([np.bincount(feature.ravel(), np.repeat((gold_of == j).astype(float), feature.shape[1]), FEATURES) for j in range(k)], 1)
     pairs = np.zeros((k, k))
     np.add.at(pairs, (gold[:, :-1][mask[:, 1:]], gold[:, 1:][mask[:, 1:]]), 1)
