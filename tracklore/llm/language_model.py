@@ -40,9 +40,11 @@ DIM = 16
 WIDTH = 3 * DIM + 1
 HEAD = 100_000
 #: Noise groups of a batch, and noise members of each group in it.
-NOISE = 16
+NOISE = 8
 BATCH = 16_384
-ROUNDS = 3
+#: Rows of a block of one group's tokens in a batch.
+HEIGHT = 64
+ROUNDS = 2
 SHARD = 2_000_000
 HELD_OUT = (7, 2)
 #: Distinct words that a task counts before it hands them on.
@@ -136,7 +138,10 @@ class Parameters:
             order = np.argsort(g, kind="stable")
             g, t = g[order], target[at : at + tile][order]
             context = self.near[near[at : at + tile][order]] + self.far[far[at : at + tile][order]]
-            log_p = _log_softmax_at(_product(context, self.group.T) + self.group_bias, g)
+            log_p = np.empty(len(g))
+            for r in range(0, len(g), 2048):
+                some = slice(r, r + 2048)
+                log_p[some] = _log_softmax_at(_product(context[some], self.group.T) + self.group_bias, g[some])
             ends = np.searchsorted(g, np.arange(groups.n + 1))
             for k in np.flatnonzero(np.diff(ends)):
                 rows, members = slice(ends[k], ends[k + 1]), slice(groups.starts[k], groups.starts[k + 1])
@@ -242,14 +247,21 @@ class Trainer:
         back += true[:, None] * own
         draws = self.rng.random((groups.n, NOISE)) + np.arange(groups.n)[:, None]
         noises = np.minimum(np.searchsorted(self.bounds[1], draws), groups.starts[1:, None] - 1)
-        pulls, lifts = np.zeros((len(there), NOISE, DIM), np.float32), np.zeros((len(there), NOISE), np.float32)
-        for i, k in enumerate(there):
-            rows, noise = slice(ends[k], ends[k + 1]), noises[k]
-            vectors, x = p.member[noise], context[rows]
-            false = -_sigmoid(_product(x, vectors.T) + (p.bias[noise] - self.log_inside[noise]))
-            back[rows] += _product(false, vectors)
-            pulls[i] = _sums(false, x)
-            lifts[i] = false.sum(0)
+        # the rows of a group in blocks of one height, so that all groups are one batch of products
+        counts = np.diff(ends)
+        blocks = -(-counts // HEIGHT)
+        offset = np.cumsum(blocks) - blocks
+        of_block = np.repeat(np.arange(groups.n), blocks)
+        place = np.arange(n) + np.repeat(offset * HEIGHT - ends[:-1], counts)
+        x, there_rows = np.zeros((len(of_block) * HEIGHT, DIM), np.float32), np.zeros((len(of_block) * HEIGHT, 1), np.float32)
+        x[place], there_rows[place] = context, 1
+        x = x.reshape(-1, HEIGHT, DIM)
+        vectors = p.member[noises[of_block]]
+        scores = np.matmul(x, vectors.transpose(0, 2, 1)) + (p.bias - self.log_inside)[noises[of_block]][:, None, :]
+        false = -_sigmoid(scores) * there_rows.reshape(-1, HEIGHT, 1)
+        back += np.matmul(false, vectors).reshape(-1, DIM)[place]
+        pulls = np.add.reduceat(np.matmul(false.transpose(0, 2, 1), x), offset[there], axis=0)
+        lifts = np.add.reduceat(false.sum(1), offset[there], axis=0)
         at = np.concatenate([target, noises[there].ravel()])
         member = np.concatenate([true[:, None] * context, pulls.reshape(-1, DIM)])
         bias = np.concatenate([true, lifts.ravel()])[:, None]
