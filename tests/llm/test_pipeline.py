@@ -1,5 +1,7 @@
 import collections
 
+from pyspark.sql.types import IntegerType, StructField, StructType
+
 import corpus_pipeline as c
 from tests.compare import SF
 from tests.llm.test_decontaminate import brute as leaks
@@ -41,7 +43,7 @@ def test_cases_in_every_stage(spark):
     fine = base.join(spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1"), "doc_id").select(base.columns).orderBy("doc_id").limit(3).collect()
     long = " ".join(f"w{i % 1013}x{i}" for i in range(60_000))
     rows = [tuple(r) for r in fine] + [tuple(fine[0])] + [(None, fine[1]["text"] + " end", None, None, None), (900_001, None, None, None, None), (900_002, "", "en", "a", 0), (900_003, long, "en", None, len(long))]
-    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], base.schema.add("copy", "int"))
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], StructType([*base.schema.fields, StructField("copy", IntegerType())]))
     for k, (_, stage) in enumerate(c.STAGES):
         out = stage(spark, docs, SF)
         got = out.collect()
