@@ -109,7 +109,7 @@ class _Codes(dict):
     and how much white space (LONG: that much or more); 0 for white space alone."""
 
     def __missing__(self, found: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         token = found.lstrip()
         lead = len(found) - len(token)
