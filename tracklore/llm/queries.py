@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracklore.llm import decontaminate, language_model, merkle, mixing, near_dedup, nearest, pii, quality, token_count, toxicity, url_filter
+from tracklore.llm import chat, decontaminate, language_model, lexical, merkle, mixing, near_dedup, nearest, pii, quality, token_count, toxicity, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,9 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_toxicity": toxicity.op9_toxicity,
         "op10_nearest": nearest.op10_nearest,
+        "op11_chat": chat.op11_chat,
         "op12_merkle": merkle.op12_merkle,
+        "op13_lexical": lexical.op13_lexical,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontaminate.SQL, "op4_url_filter": url_filter.SQL, "op12_merkle": merkle.SQL}
+    return {"op3_decontaminate": decontaminate.SQL, "op4_url_filter": url_filter.SQL, "op11_chat": chat.SQL, "op12_merkle": merkle.SQL, "op13_lexical": lexical.SQL}
