@@ -24,6 +24,18 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return _angle(lat1, lon1, lat2, lon2) * EARTH_M
 
 
+def unit_vector(lat: Column, lon: Column) -> tuple[Column, Column, Column]:
+    """The place as a direction from the centre of the earth."""
+    a, o = F.radians(lat), F.radians(lon)
+    return F.cos(a) * F.cos(o), F.cos(a) * F.sin(o), F.sin(a)
+
+
+def mean_place(lat: str, lon: str) -> tuple[Column, Column]:
+    """Aggregates: latitude and longitude of the mean direction of places, whatever side of the date line they lie on."""
+    x, y, z = (F.avg(v) for v in unit_vector(F.col(lat), F.col(lon)))
+    return F.degrees(F.atan2(z, F.sqrt(x * x + y * y))), F.degrees(F.atan2(y, x))
+
+
 def within(lat1: Column, lon1: Column, lat2: Column, lon2: Column, km: float) -> Column:
     return haversine_km(lat1, lon1, lat2, lon2) <= km
 

@@ -45,10 +45,10 @@ def _lasts(window: int, span: int):
         count = min(len(times), int(np.searchsorted(times, block * span + window)) + 1)
         # the chain from any time passes one of the window before its end: last anchors by places, from the back
         onward = np.searchsorted(times, times + window, side="right")
-        last = np.arange(len(times))
-        for i in range(len(times) - 1, -1, -1):
-            if onward[i] < len(times):
-                last[i] = last[onward[i]]
+        ahead = np.where(onward < len(times), onward, np.arange(len(times)))
+        last = ahead
+        while not np.array_equal(further := last[last], last):  # each step doubles the reach of the jumps
+            last = further
         last = last[:count]
         ends = np.flatnonzero(np.r_[last[1:] != last[:-1], True])
         return pd.DataFrame({"camera_id": rows["camera_id"].iloc[0], "label": rows["label"].iloc[0], "block": block, "until": times[ends], "last": times[last[ends]]})
@@ -134,16 +134,22 @@ def compress(rows: DataFrame, minutes: float = 10, least_seconds: float = 5) ->
     )
 
 
+#: Weights of earlier episodes are under 2^-60 of the last one's: less than a double tells apart.
+LAST_EPISODES = 60
+
+
 def report_species(episodes: DataFrame) -> DataFrame:
     """Per species: count, total duration, best and mean confidence, and the decayed mean (each step halves what came before).
 
-    The running half-average over episodes in time order has a closed form, the i-th of n weighing 2^-(n-i+1), so it is a
-    weighted sum over a window instead of a loop.
+    The running half-average over episodes in time order has a closed form, the k-th from the end weighing 2^-k, so only the
+    last ones count: each task keeps those of its rows before the shuffle, and no task sees all episodes of a hot species.
     """
-    order = Window.partitionBy("species").orderBy("start_time", "camera_id")
-    ranked = episodes.withColumn("i", F.row_number().over(order)).withColumn("n", F.count("*").over(Window.partitionBy("species")))
-    weight = F.pow(F.lit(0.5), (F.col("n") - F.col("i") + 1).cast("double"))
-    return ranked.groupBy("species").agg(F.count("*").alias("count"), F.round(F.sum("duration_seconds"), 6).alias("total_duration"), F.max("max_confidence").alias("max_confidence"), mean("avg_confidence").alias("avg_confidence"), F.round(F.sum(F.col("avg_confidence") * weight), 9).alias("avg_confidence_decayed"))
+    last = Window.partitionBy("species").orderBy(F.desc("start_time"), F.desc("camera_id"))
+    tail = episodes.select("species", "start_time", "camera_id", "avg_confidence").withColumn("k", F.row_number().over(last)).filter(F.col("k") <= LAST_EPISODES)
+    decayed = tail.groupBy("species").agg(F.round(F.sum(F.col("avg_confidence") * F.pow(F.lit(0.5), F.col("k").cast("double"))), 9).alias("avg_confidence_decayed"))
+    whole = episodes.groupBy("species").agg(F.count("*").alias("count"), F.round(F.sum("duration_seconds"), 6).alias("total_duration"), F.max("max_confidence").alias("max_confidence"), mean("avg_confidence").alias("avg_confidence"))
+    d = decayed.withColumnRenamed("species", "__species")
+    return whole.join(d, F.col("species").eqNullSafe(F.col("__species"))).drop("__species")
 
 
 def report_camera(episodes: DataFrame) -> DataFrame:

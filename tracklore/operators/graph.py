@@ -1,4 +1,4 @@
-"""Connected components by least label, for small graphs such as occupied grid cells."""
+"""Graphs in rounds: connected components by least label, and the first free nodes in order."""
 
 from __future__ import annotations
 
@@ -45,3 +45,37 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
         if changed:
             return labels
+
+
+def first_free(edges: DataFrame) -> DataFrame:
+    """edges(a, b), a < b: (node, free) of all nodes; in order of node, one is free unless a free one before it is joined to it.
+
+    Each round settles the nodes that no open one comes before, and with them every chain of nodes of which each has one open
+    node before it: they are free and taken in turn, so jumps that double in length tell which. A free node takes those after
+    it. A chain of any length is one round; what is left grows by how often nodes with several open ones before them follow
+    one another.
+    """
+    open_edges = stored(edges.select("a", "b").distinct())
+    done = None
+    every = open_edges.select(F.col("a").alias("node")).union(open_edges.select("b")).distinct()
+    left = stored(every)
+    while True:
+        before = open_edges.groupBy(F.col("b").alias("node")).agg(F.count("*").alias("n"), F.min("a").alias("up"))
+        heads = left.join(before, "node", "left_anti")
+        chain = stored(before.filter("n = 1").select("node", "up", F.lit(1).alias("steps")))
+        while True:
+            ahead = chain.select(F.col("node").alias("up"), F.col("up").alias("__up"), F.col("steps").alias("__steps"))
+            wider = stored(chain.join(ahead, "up", "left").select("node", F.coalesce("__up", "up").alias("up"), (F.col("steps") + F.coalesce("__steps", F.lit(0))).alias("steps"), F.col("__up").isNotNull().alias("moved")))
+            chain = wider.drop("moved")
+            if wider.filter("moved").isEmpty():
+                break
+        settled = heads.select("node", F.lit(True).alias("free")).union(chain.join(heads.withColumnRenamed("node", "up"), "up", "left_semi").select("node", F.col("steps") % 2 == 0))
+        settled = stored(settled)
+        taken = open_edges.join(settled.filter("free").select(F.col("node").alias("a")), "a", "left_semi").select(F.col("b").alias("node")).distinct()
+        settled = stored(settled.union(taken.join(settled, "node", "left_anti").select("node", F.lit(False).alias("free"))))
+        done = settled if done is None else stored(done.union(settled))
+        left = stored(left.join(settled, "node", "left_anti"))
+        if left.isEmpty():
+            return done
+        gone = settled.select("node")
+        open_edges = stored(open_edges.join(gone.withColumnRenamed("node", "a"), "a", "left_anti").join(gone.withColumnRenamed("node", "b"), "b", "left_anti"))

@@ -3,125 +3,22 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracklore.functions.geo import EARTH_M, haversine_m, ring_area_m2, ring_perimeter_m
-from tracklore.operators.graph import components, stored
+from tracklore.functions.geo import EARTH_M, haversine_m, mean_place, ring_area_m2, ring_perimeter_m
+from tracklore.operators.graph import first_free, stored
+from tracklore.operators.leaders import leader_clusters
 from tracklore.operators.joins import lon_cell, proximity
 from tracklore.operators.reports import count_true, mean
 
 
-class _Leaders:
-    """Greedy clustering in order: the first cluster, by creation, whose moving centroid lies within the radius, else a new one.
-
-    Centroids lie in a grid of cells at least a radius wide, so a point looks at the few around it only.
-    """
-
-    def __init__(self, radius: float):
-        self.radius, self.step = radius, radius * 1.000001 / (EARTH_M * math.pi / 180)
-        self.clusters: list[list] = []
-        self.cells: dict[tuple[int, int], list[int]] = {}
-
-    def _columns(self, row: int) -> int:
-        edge = min(max(abs(row * self.step), abs((row + 1) * self.step)), 89.9)
-        return max(1, int(360 / self.step * math.cos(math.radians(edge))))
-
-    def _cell(self, lat: float, lon: float) -> tuple[int, int]:
-        row = math.floor(lat / self.step)
-        n = self._columns(row)
-        return row, math.floor((lon + 180) / 360 * n) % n
-
-    def start(self, cluster: int, lat: float, lon: float, count: int) -> None:
-        """A cluster that is there already, with its centre and number of points."""
-        cell = self._cell(lat, lon)
-        self.cells.setdefault(cell, []).append(len(self.clusters))
-        self.clusters.append([math.radians(lat) * count, math.radians(lon) * count, count, cluster, cell])
-
-    def add(self, seq: int, lat: float, lon: float) -> int:
-        row = math.floor(lat / self.step)
-        near: set[int] = set()
-        for r in (row - 1, row, row + 1):
-            n = self._columns(r)
-            c = math.floor((lon + 180) / 360 * n)
-            for k in {(c - 1) % n, c % n, (c + 1) % n}:
-                near.update(self.cells.get((r, k), ()))
-        a, o = math.radians(lat), math.radians(lon)
-        for k in sorted(near):
-            x, y, count, _, _ = self.clusters[k]
-            h = math.sin((x / count - a) / 2) ** 2 + math.cos(a) * math.cos(x / count) * math.sin((y / count - o) / 2) ** 2
-            if 2 * EARTH_M * math.asin(min(1.0, math.sqrt(h))) <= self.radius:
-                break
-        else:
-            k = len(self.clusters)
-            self.clusters.append([0.0, 0.0, 0, seq, None])
-        one = self.clusters[k]
-        if one[2]:  # over the date line, longitudes go on from the centroid's side
-            o += 2 * math.pi * round((one[1] / one[2] - o) / (2 * math.pi))
-        one[0], one[1], one[2] = one[0] + a, one[1] + o, one[2] + 1
-        cell = self._cell(math.degrees(one[0] / one[2]), math.degrees(one[1] / one[2]))
-        if cell != one[4]:
-            if one[4] is not None:
-                self.cells[one[4]].remove(k)
-            self.cells.setdefault(cell, []).append(k)
-            one[4] = cell
-        return one[3]
-
-
-def _lead(radius: float):
-    """Over rows in order of part and seq: a part's clusters are dropped when the next part begins, and rows stream through."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, leaders = None, _Leaders(radius)
-        for rows in batches:
-            out = []
-            for r, c, count, seq, lat, lon in rows[["r", "c", "count", "seq", "latitude", "longitude"]].itertuples(index=False):
-                if (r, c) != part:
-                    part, leaders = (r, c), _Leaders(radius)
-                out.append(leaders.start(seq, lat, lon, count) if count else leaders.add(seq, lat, lon))
-            points = (rows["count"] == 0).to_numpy()
-            yield pd.DataFrame({"seq": rows["seq"], "latitude": rows["latitude"], "longitude": rows["longitude"]})[points].assign(cluster=np.array([k for k, p in zip(out, points, strict=True) if p], np.int64))
-
-    return run
-
-
-def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame | None = None) -> DataFrame:
-    """points(seq, latitude, longitude), in order of seq: adds ``cluster``, the seq of the cluster's first point.
-
-    earlier(cluster, latitude, longitude, point_count): clusters of earlier runs, in order of ``cluster``; points join them and
-    move their centres as if their points had come first.
-
-    A point joins a cluster only within twice the radius of a point that is in it, or of an earlier centre, so parts of the map
-    that no chain of such steps links never meet: they are found on a grid of that width and clustered apart, with the same
-    result. Inside a part each point moves a centroid that the next one is measured against, so a part is one pass in order
-    of seq: its rows stream through a task that holds its clusters only, in time linear in the rows.
-    """
-    p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL AND seq IS NOT NULL").select("seq", "latitude", "longitude")
-    every = p.withColumn("count", F.lit(0).cast("long"))
-    if earlier is not None:
-        every = every.unionByName(earlier.select(F.col("cluster").alias("seq"), "latitude", "longitude", F.col("point_count").cast("long").alias("count")))
-    far = every.agg(F.max(F.abs("latitude"))).first()[0]
-    if far is None:
-        return p.withColumn("cluster", F.col("seq"))
-    step = 2 * radius * 1.000001 / (EARTH_M * math.pi / 180)
-    columns = max(1, int(360 * max(math.cos(math.radians(min(far, 89.9))), 1e-3) / step))
-    cell = F.struct(F.floor(F.col("latitude") / step).alias("r"), F.pmod(F.floor((F.col("longitude") + 180) / 360 * columns), F.lit(columns)).cast("long").alias("c"))
-    placed = every.withColumn("node", cell)
-    cells = placed.select("node").distinct()
-    around = F.array(*[F.struct((F.col("node.r") + i).alias("r"), F.pmod(F.col("node.c") + j, F.lit(columns)).cast("long").alias("c")) for i in (0, 1) for j in (-1, 0, 1) if (i, j) > (0, 0)])
-    edges = cells.select(F.col("node").alias("a"), F.explode(around).alias("b")).join(cells.withColumnRenamed("node", "b"), "b", "left_semi")
-    parts = components(cells, edges)
-    dealt = placed.join(parts, "node").select(F.col("label.r").alias("r"), F.col("label.c").alias("c"), "count", "seq", "latitude", "longitude").repartition("r", "c")
-    return dealt.sortWithinPartitions("r", "c", F.col("count") == 0, "seq").mapInPandas(_lead(radius), "seq long, latitude double, longitude double, cluster long")
-
-
 def centres(clustered: DataFrame) -> DataFrame:
     """cluster, latitude, longitude and point_count of the result of leader_clusters: what a later run starts from."""
-    return clustered.groupBy("cluster").agg(F.avg("latitude").alias("latitude"), F.avg("longitude").alias("longitude"), F.count("*").alias("point_count"))
+    latitude, longitude = mean_place("latitude", "longitude")
+    return clustered.groupBy("cluster").agg(latitude.alias("latitude"), longitude.alias("longitude"), F.count("*").alias("point_count"))
 
 
 def batch_stats(points: DataFrame, done: DataFrame, radius: float = 5.0) -> DataFrame:
@@ -138,12 +35,12 @@ def batch_stats(points: DataFrame, done: DataFrame, radius: float = 5.0) -> Data
 def process_observations(obs: DataFrame, radius: float = 5.0) -> DataFrame:
     """Clusters of observations: centre and number of points."""
     p = leader_clusters(obs.select("seq", F.col("gps_latitude").alias("latitude"), F.col("gps_longitude").alias("longitude")), radius)
-    return p.groupBy("cluster").agg(mean("latitude").alias("latitude"), mean("longitude").alias("longitude"), F.count("*").alias("point_count"))
+    return centres(p).select("cluster", F.round("latitude", 9).alias("latitude"), F.round("longitude", 9).alias("longitude"), "point_count")
 
 
 def assignments(clustered: DataFrame) -> DataFrame:
     """Each point with its distance to its cluster's centre."""
-    centre = clustered.groupBy("cluster").agg(F.avg("latitude").alias("la"), F.avg("longitude").alias("lo"))
+    centre = centres(clustered).select("cluster", F.col("latitude").alias("la"), F.col("longitude").alias("lo"))
     return clustered.join(centre, "cluster").select("seq", "cluster", F.round(haversine_m(F.col("latitude"), F.col("longitude"), F.col("la"), F.col("lo")), 6).alias("distance_m"))
 
 
@@ -216,25 +113,17 @@ def overlap_pairs(clusters: DataFrame, metres: float = 10.0) -> DataFrame:
 
 
 def overlap_groups(clusters: DataFrame, metres: float = 10.0) -> DataFrame:
-    """Groups in order of id: the first cluster not yet taken leads, and takes all free clusters near it."""
-    pairs = overlap_pairs(clusters, metres)
-    parts = components(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), pairs)
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        near: dict[str, list[tuple[str, float]]] = {}
-        for a, b, d in rows.sort_values(["a", "b"])[["a", "b", "distance_m"]].itertuples(index=False):
-            near.setdefault(a, []).append((b, d))
-        taken: set[str] = set()
-        out = []
-        for a in sorted(set(rows["a"]) | set(rows["b"])):
-            free = [(b, d) for b, d in near.get(a, []) if b not in taken]
-            if a not in taken and free:
-                taken |= {a, *(b for b, _ in free)}
-                out.append((a, ",".join(b for b, _ in free), len(free) + 1, min(d for _, d in free)))
-            taken.add(a)
-        return pd.DataFrame(out, columns=["leader", "members", "size", "overlap_distance_m"])
-
-    return pairs.join(parts, F.col("a") == F.col("node")).groupBy("label").applyInPandas(lambda g: greedy(g), "leader string, members string, size long, overlap_distance_m double")
+    """Groups in order of id: the first cluster not yet taken leads, and takes all free clusters near it.
+
+    A cluster is taken if one before it, near it, is not: the others lead. A taken one belongs to the first leader near it.
+    """
+    pairs = stored(overlap_pairs(clusters, metres))
+    leads = first_free(pairs.select("a", "b")).filter("free").select(F.col("node").alias("a"))
+    own = pairs.join(leads, "a").join(leads.withColumnRenamed("a", "b"), "b", "left_anti")
+    taken = own.groupBy("b").agg(F.min(F.struct("a", "distance_m")).alias("first")).select("b", "first.a", "first.distance_m")
+    return taken.groupBy(F.col("a").alias("leader")).agg(
+        F.array_join(F.array_sort(F.collect_list("b")), ",").alias("members"), (F.count("*") + 1).alias("size"), F.min("distance_m").alias("overlap_distance_m")
+    )
 
 
 def unknown_clusters(obs: DataFrame, clusters: DataFrame, samples: int = 5) -> DataFrame:

@@ -12,11 +12,12 @@ from tracklore.operators import reports as r
 from tracklore.operators import space as s
 from tracklore.operators.episodes import compress
 from tracklore.operators.graph import shared_folder
+from tracklore.operators.joins import scd2
 from tracklore.plans.episode_queries import common, rows_of
 from tracklore.plans.registry import query
 from tracklore.plans.report_queries import GPS
 from tracklore.plans.space_queries import points_of
-from tracklore.sources import readers, schemas, writers
+from tracklore.sources import metadata, readers, schemas, writers
 from tracklore.streaming import streams
 
 OBS = "observations"
@@ -136,8 +137,67 @@ def _enriched_files(o: DataFrame, n: DataFrame) -> DataFrame:
 
 
 query("batch_enrich_files", NAMED, "SELECT camera_id AS file, count(*) AS n, count(c.cluster_id) AS named FROM observations o LEFT JOIN cluster_names c ON o.cluster_id = c.cluster_id GROUP BY 1")(_enriched_files)
-query("append_effective_record", "exif_corrections", "SELECT camera_id, correction_id, concat_ws('_', 'exif', camera_id, cast(cast(epoch(effective_from) AS bigint) AS varchar)) AS record_id FROM exif_corrections")(lambda x: writers.effective_record(x, "exif").select("camera_id", "correction_id", "record_id"))
-query("sink_versioned_metadata", "exif_corrections", "SELECT count(*) AS n, '3' AS version FROM exif_corrections")(lambda x: writers.versioned(x, place(x), "3").select("n", "version"))
+NOW = "2024-06-01 12:00:00"
+#: Records that are there, and new ones that say no more than their camera, shift and start; every third not even its start.
+HAVE = "SELECT correction_id, camera_id, delta_seconds, effective_from, effective_to, rule_id, cast('2024-01-01 00:00:00' AS timestamp) AS created_at FROM exif_corrections WHERE created_seq < 15"
+ADDED = f"SELECT camera_id, delta_seconds, CASE WHEN created_seq % 3 = 0 THEN cast('{NOW}' AS timestamp) ELSE effective_from END AS effective_from FROM exif_corrections WHERE created_seq >= 15"
+APPENDED = f"""appended AS ({HAVE} UNION ALL SELECT concat_ws('_', 'correction', camera_id, cast(cast(epoch(effective_from) AS bigint) AS varchar)), camera_id, delta_seconds, effective_from, NULL, 'manual_correction', cast('{NOW}' AS timestamp) FROM ({ADDED}))"""
+
+
+def _appended(x: DataFrame) -> DataFrame:
+    have = x.filter("created_seq < 15").select("correction_id", "camera_id", "delta_seconds", "effective_from", "effective_to", "rule_id", F.lit("2024-01-01").cast("timestamp").alias("created_at"))
+    added = x.filter("created_seq >= 15").select("camera_id", "delta_seconds", F.when(F.col("created_seq") % 3 != 0, F.col("effective_from")).alias("effective_from"))
+    return metadata.append_effective(have, added, "correction", NOW)
+
+
+query("append_effective_record", "exif_corrections", "SELECT * FROM appended", more=APPENDED)(_appended)
+query(
+    "effective_overlaps",
+    "exif_corrections",
+    """SELECT a.*, b.correction_id AS meets FROM appended a JOIN appended b ON a.camera_id = b.camera_id AND (b.effective_from, b.correction_id) < (a.effective_from, a.correction_id) AND (b.effective_to IS NULL OR b.effective_to >= a.effective_from)
+    QUALIFY row_number() OVER (PARTITION BY a.camera_id, a.effective_from, a.correction_id ORDER BY b.effective_to IS NULL DESC, b.effective_to DESC, b.correction_id DESC) = 1""",
+    more=APPENDED,
+)(lambda x: metadata.overlaps(_appended(x), "camera_id", "correction_id"))
+query(
+    "append_then_look_up",
+    "observations exif_corrections",
+    "SELECT o.observation_id, o.timestamp, o.camera_id, c.correction_id, c.delta_seconds FROM observations o LEFT JOIN appended c ON o.camera_id = c.camera_id AND c.effective_from <= cast(o.timestamp AS timestamp) AND (c.effective_to IS NULL OR cast(o.timestamp AS timestamp) <= c.effective_to) QUALIFY row_number() OVER (PARTITION BY o.observation_id ORDER BY c.created_at DESC NULLS LAST, c.correction_id DESC) = 1",
+    more=APPENDED,
+)(
+    lambda o, x: scd2(
+        o.select("observation_id", "camera_id", "timestamp"), _appended(x).withColumn("created_seq", F.struct("created_at", "correction_id")), "camera_id", "timestamp", ["correction_id", "delta_seconds"], "observation_id"
+    )
+)
+RECORD = "correction_id, camera_id, delta_seconds, effective_from, effective_to"
+
+
+def _versions(x: DataFrame) -> DataFrame:
+    """Three versions, of which the second is published, a third one only staged, and then the first made current again."""
+    spark, path, rows = x.sparkSession, place(x), x.select(*RECORD.split(", "), "created_seq")
+    metadata.publish(rows.filter("created_seq < 10"), path, "1")
+    metadata.publish(rows, path, "2")
+    second = metadata.read_version(spark, path)
+    metadata.stage(rows.filter("created_seq < 3"), path, "3")
+    out = second.withColumn("read_as", F.lit("current")).unionByName(metadata.read_version(spark, path, "1").withColumn("read_as", F.lit("v1")))
+    metadata.point(spark, path, "1")
+    return out.unionByName(metadata.read_version(spark, path).withColumn("read_as", F.lit("rolled back"))).drop("created_seq")
+
+
+query("sink_versioned_metadata", "exif_corrections", f"SELECT {RECORD}, read_as FROM exif_corrections, (VALUES ('current', 1000), ('v1', 10), ('rolled back', 10)) v(read_as, below) WHERE created_seq < below")(_versions)
+
+
+def _manifests(x: DataFrame) -> DataFrame:
+    """Of three versions: rows, whether the stored rows still have the manifest's checksum, and which one is current."""
+    spark, path = x.sparkSession, place(x)
+    for k in (1, 2, 3):
+        metadata.publish(x.filter(F.col("created_seq") < 8 * k), path, str(k))
+    metadata.point(spark, path, "2")
+    current = metadata.manifest_of(spark, path)["version"]
+    sound = [k for k in "123" if metadata.verify(spark, path, k)]
+    return metadata.manifests(spark, path).select("version", "n", F.col("version").isin(sound).alias("sound"), (F.col("version") == current).alias("current"))
+
+
+query("metadata_manifests", "exif_corrections", "SELECT cast(v AS varchar) AS version, count(*) AS n, true AS sound, v = 2 AS current FROM exif_corrections, (VALUES (1), (2), (3)) t(v) WHERE created_seq < 8 * v GROUP BY v")(_manifests)
 query("metadata_export_parquet", "exif_corrections", "SELECT camera_id, correction_id, effective_from, effective_to FROM exif_corrections")(
     lambda x: _through(writers.parquet, lambda d, p: d.sparkSession.read.parquet(p))(x.select("camera_id", "correction_id", "effective_from", "effective_to"))
 )
@@ -148,12 +208,12 @@ query("sort_reports_by_time", OBS, "SELECT camera_id, max(timestamp) AS at FROM
 
 def _files(o: DataFrame) -> str:
     path = place(o)
-    o.select("camera_id", F.col("observation_id").alias("value")).repartition("camera_id").write.partitionBy("camera_id").text(path)
+    o.select("camera_id", F.col("observation_id").alias("value")).repartition("camera_id").sortWithinPartitions("camera_id", "value").write.partitionBy("camera_id").text(path)
     return path
 
 
 SIZES = "SELECT camera_id, cast(sum(length(observation_id) + 1) AS bigint) AS size_bytes{0} FROM observations GROUP BY camera_id"
-query("file_inventory", OBS, SIZES.format(", '.txt' AS extension, 'other' AS media_type"))(lambda o: readers.file_inventory(o.sparkSession, _files(o), (".txt",)).select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes", "extension", "media_type"))
+query("file_inventory", OBS, SIZES.format(", '.txt' AS extension, 'other' AS media_type, sha256(string_agg(observation_id || chr(10), '' ORDER BY observation_id)) AS sha256"))(lambda o: readers.file_inventory(o.sparkSession, _files(o), (".txt",)).select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes", "extension", "media_type", "sha256"))
 query("find_files_glob", OBS, SIZES.format(""))(lambda o: readers.find_files(o.sparkSession, _files(o), "*.txt").select(F.regexp_extract("path", "camera_id=([^/]+)", 1).alias("camera_id"), "size_bytes"))
 
 # --- streams -----------------------------------------------------------------------------------------------------------
@@ -215,7 +275,8 @@ def _compressed(m: DataFrame, p: DataFrame) -> DataFrame:
     last = rows.limit(1).select(F.lit("end").alias("camera_id"), F.lit("end").alias("label"), F.expr("timestamp'2030-01-01 00:00:00'").alias("timestamp"), F.lit(1.0).alias("confidence"))
     last.write.mode("append").parquet(f"{path}/in")
     stream = streams.read_parquet(m.sparkSession, f"{path}/in", rows.schema, 2)
-    out = _drain(streams.compress(stream, 360, late="40 days"), "append", m)
+    with streams.rocksdb_state(m.sparkSession):
+        out = _drain(streams.compress(stream, 360, late="40 days"), "append", m)
     return out.select("camera_id", "species", F.col("start_time").cast("timestamp_ntz").alias("start_time"), F.col("end_time").cast("timestamp_ntz").alias("end_time"), "frame_count", "max_confidence")
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import hashlib
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,6 +13,9 @@ from pyspark.sql import types as T
 from tracklore.functions.scalars import extension, media_type
 from tracklore.operators.joins import last_wins
 
+#: Bytes of a file that are hashed at a time.
+PIECE = 4_000_000
+
 
 def observations(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Parquet; filters and column choice on the result reach the scan."""
@@ -60,16 +65,44 @@ def time_corrections(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return last_wins(placed, "camera_id", "__at").select(*names)
 
 
+def _open(path: str):
+    """A stream over a file's bytes: local ones by name, others through the file system of their scheme."""
+    if path.startswith("file:"):
+        return open("/" + path[len("file:") :].lstrip("/"), "rb")
+    from pyarrow import fs
+
+    store, name = fs.FileSystem.from_uri(path)
+    return store.open_input_stream(name)
+
+
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for files in batches:
+        found = []
+        for path in files["path"]:
+            digest = hashlib.sha256()
+            with _open(path) as stream:
+                while piece := stream.read(PIECE):
+                    digest.update(piece)
+            found.append(digest.hexdigest())
+        yield files.assign(sha256=found)
+
+
 def file_inventory(spark: SparkSession, path: str, suffixes: Iterable[str] = (), most_depth: int | None = None) -> DataFrame:
-    """Path, size, time, content hash and kind of all files below a path."""
+    """Path, size, time, content hash and kind of all files below a path.
+
+    Files are listed without their content, those not asked for are dropped, and the others are hashed in pieces by the tasks they are
+    dealt to, so a file may have any size and costs a task PIECE bytes of memory.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    out = files.select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), F.sha2("content", 256).alias("sha256"), extension(F.col("path")).alias("extension"), media_type(F.col("path")).alias("media_type"))
+    out = files.select("path", F.col("length").alias("size_bytes"), F.col("modificationTime").alias("modified"), extension(F.col("path")).alias("extension"), media_type(F.col("path")).alias("media_type"))
     if suffixes:
         out = out.filter(F.col("extension").isin(*[x.lower() for x in suffixes]))
     if most_depth is not None:
         base = len(path.rstrip("/").split("/"))
         out = out.filter(F.size(F.split(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), "/")) - base <= most_depth)
-    return out
+    # a fixed number of parts: the list is small, the files need not be
+    dealt = out.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path")
+    return dealt.mapInPandas(_digests, T.StructType([*out.schema.fields, T.StructField("sha256", T.StringType())]))
 
 
 def find_files(spark: SparkSession, path: str, pattern: str, recursive: bool = True) -> DataFrame:

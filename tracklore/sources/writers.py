@@ -71,21 +71,7 @@ def names_from_json(rows: DataFrame, column: str) -> DataFrame:
     return rows.select(F.explode(F.from_json(column, "map<string,string>")).alias("cluster_id", "cluster_name"))
 
 
-def effective_record(rows: DataFrame, kind: str) -> DataFrame:
-    """Adds the id ``<kind>_<camera>_<epoch of from>``."""
-    return rows.withColumn("record_id", F.concat_ws("_", F.lit(kind), "camera_id", F.unix_seconds(F.col("effective_from").cast("timestamp")).cast("string")))
-
-
 def checksum(rows: DataFrame) -> DataFrame:
     """Number of rows and an order-free checksum over their JSON."""
     digest = F.conv(F.substring(F.sha2(F.to_json(F.struct(*sorted(rows.columns))), 256), 1, 12), 16, 10).cast("decimal(38,0)")
     return rows.agg(F.count("*").alias("n"), F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("checksum"))
-
-
-def versioned(rows: DataFrame, path: str, version: str) -> DataFrame:
-    """Write a snapshot under ``v<version>`` and as ``current``; returns the manifest row."""
-    rows.write.mode("overwrite").parquet(f"{path}/v{version}")
-    rows.sparkSession.read.parquet(f"{path}/v{version}").write.mode("overwrite").parquet(f"{path}/current")
-    manifest = checksum(rows).withColumn("version", F.lit(version))
-    manifest.write.mode("overwrite").json(f"{path}/manifest")
-    return manifest

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tracklore.operators.contracts import Rule, violations
 from tracklore.operators.reports import count_true, enrich_cluster_names, mean
@@ -92,51 +93,102 @@ def split_valid(batch: DataFrame, number: int, rules: tuple[Rule, ...], good: st
 EPISODE = "camera_id string, species string, start_time timestamp, end_time timestamp, frame_count long, max_confidence double"
 
 
-HELD = "opened boolean, first long, last long, frames long, best double, times binary, confidences binary"
+class _Episodes(StatefulProcessor):
+    """Of one camera and label. State: the open episode; the rows that the watermark has not passed, as they came, in chunks by bucket
+    of time and arrival; and how many chunks a bucket has. A batch writes its own rows only, and a bucket is read once, when
+    its time is over."""
+
+    def __init__(self, window: int, least: int):
+        self.window, self.least = window, least
+        self.size = max(window // 8, 60_000_000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getValueState("open", "first long, last long, frames long, best double")
+        self.chunks = handle.getMapState("chunks", "bucket long, part long", "times binary, confidences binary")
+        self.parts = handle.getMapState("parts", "bucket long", "n long")
+
+    def _timer(self, us: int) -> None:
+        """Wake up when the watermark has passed the bucket that holds this time."""
+        self.handle.registerTimer((us // self.size + 1) * self.size // 1000 + 1)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        for batch in rows:
+            times = batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64)
+            confidences = batch["confidence"].to_numpy(np.float64)
+            buckets = times // self.size
+            for bucket in np.unique(buckets).tolist():
+                own = buckets == bucket
+                n = self.parts.getValue((bucket,))[0] if self.parts.containsKey((bucket,)) else 0
+                self.chunks.updateValue((bucket, n), (times[own].tobytes(), confidences[own].tobytes()))
+                self.parts.updateValue((bucket,), (n + 1,))
+                if n == 0:
+                    self._timer(bucket * self.size)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        over = timerValues.getCurrentWatermarkInMs() * 1000 // self.size  # buckets before this one are over
+        now = tuple(self.open.get()) if self.open.exists() else None
+        done = []
+        for bucket, n in sorted((k[0], v[0]) for k, v in self.parts.iterator()):
+            if bucket >= over:
+                continue
+            held = [self.chunks.getValue((bucket, i)) for i in range(n)]
+            times, confidences = (np.concatenate([np.frombuffer(h[i], kind) for h in held]) for i, kind in ((0, np.int64), (1, np.float64)))
+            order = np.argsort(times, kind="stable")
+            now = self._fold(now, times[order], confidences[order], done)
+            for i in range(n):
+                self.chunks.removeKey((bucket, i))
+            self.parts.removeKey((bucket,))
+        if now and now[0] + self.window < over * self.size:
+            done.append(now)
+            now = None
+        if now:
+            self.open.update(now)
+            self._timer(now[0] + self.window)
+        elif self.open.exists():
+            self.open.clear()
+        out = [d for d in done if d[1] - d[0] >= self.least]
+        if out:
+            stamp = lambda v: dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=v)
+            yield pd.DataFrame([(key[0], key[1], stamp(a), stamp(b), n, m) for a, b, n, m in out], columns=["camera_id", "species", "start_time", "end_time", "frame_count", "max_confidence"])
+
+    def _fold(self, now: tuple | None, times: np.ndarray, confidences: np.ndarray, done: list[tuple]) -> tuple | None:
+        """The open episode after rows in order of time; episodes that end meanwhile go to done."""
+        at = 0
+        while at < len(times):
+            first = now[0] if now else int(times[at])
+            end = int(np.searchsorted(times, first + self.window, side="right"))
+            if end > at:
+                best = float(confidences[at:end].max())
+                now = (first, int(times[end - 1]), (now[2] if now else 0) + end - at, max(now[3], best) if now else best)
+                at = end
+            if at < len(times):
+                done.append(now)
+                now = None
+        return now
+
+    def close(self) -> None:
+        pass
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """State with timers needs the RocksDB store: streams that start inside use it; the session's own setting comes back after."""
+    name, before = "spark.sql.streaming.stateStore.providerClass", spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def compress(rows: DataFrame, minutes: float = 10, least_seconds: float = 5, late: str = "1 hour") -> DataFrame:
     """Anchored episodes of a stream of (camera_id, label, timestamp, confidence).
 
-    Rows of a key are held until the watermark has passed them, then folded in order of time; an episode is given out when
-    the watermark passes the end of its window. State per key: the open episode, and the rows not yet passed (16 bytes
-    each, no more than arrive within the lateness allowed).
+    Rows of a key are held, in buckets of time, until the watermark has passed their bucket, then folded in order; an episode
+    is given out when the buckets that its window reaches into are over. Start it inside ``rocksdb_state``.
     """
-    window = int(minutes * 60_000_000)
-
-    def run(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        open_, times, confidences = None, [], []
-        if state.exists:
-            opened, *episode, held_times, held_confidences = state.get
-            open_ = episode if opened else None
-            times, confidences = [np.frombuffer(held_times, np.int64)], [np.frombuffer(held_confidences, np.float64)]
-        for batch in batches:
-            times.append(batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64))
-            confidences.append(batch["confidence"].to_numpy(np.float64))
-        times, confidences = (np.concatenate([np.zeros(0, t), *x]) for t, x in ((np.int64, times), (np.float64, confidences)))
-        order = np.lexsort((confidences, times))
-        times, confidences = times[order], confidences[order]
-        passed = state.getCurrentWatermarkMs() * 1000
-        ready = int(np.searchsorted(times, passed, side="right"))
-        done = []
-        for t, c in zip(times[:ready].tolist(), confidences[:ready].tolist(), strict=True):
-            if open_ and t - open_[0] > window:
-                done.append(open_)
-                open_ = None
-            open_ = [open_[0], t, open_[2] + 1, max(open_[3], c)] if open_ else [t, t, 1, c]
-        times, confidences = times[ready:], confidences[ready:]
-        if open_ and open_[0] + window < passed:
-            done.append(open_)
-            open_ = None
-        if open_ or len(times):
-            state.update((open_ is not None, *(open_ or (0, 0, 0, 0.0)), times.tobytes(), confidences.tobytes()))
-            due = min(([open_[0] + window] if open_ else []) + times[:1].tolist())
-            state.setTimeoutTimestamp(max(due // 1000 + 1, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        out = [d for d in done if d[1] - d[0] >= least_seconds * 1e6]
-        stamp = lambda v: dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=v)
-        yield pd.DataFrame([(key[0], key[1], stamp(a), stamp(b), n, m) for a, b, n, m in out], columns=["camera_id", "species", "start_time", "end_time", "frame_count", "max_confidence"])
-
     keyed = timed(rows.filter("timestamp IS NOT NULL"), late)
-    return keyed.groupBy("camera_id", "label").applyInPandasWithState(lambda k, b, s: run(k, b, s), EPISODE, HELD, "append", GroupStateTimeout.EventTimeTimeout)
+    work = _Episodes(int(minutes * 60_000_000), int(least_seconds * 1_000_000))
+    return keyed.groupBy("camera_id", "label").transformWithStateInPandas(work, EPISODE, "append", "eventTime")
