@@ -45,14 +45,14 @@ def clustered(spark, points, radius=5.0, earlier=None, **options):
 
 
 def test_one_dense_part_over_blocks_and_tiles(spark, monkeypatch):
-    monkeypatch.setattr(leaders, "TILE_RADII", 6)
+    monkeypatch.setattr(leaders, "TILE_RADII", 9)
     r = random.Random(5)
     # one part of 90 metres a side, with a hot spot: many tiles, the hot ones in blocks of seq
-    points = [(i, 59.0 + r.uniform(0, 8e-4), 18.0 + r.uniform(0, 16e-4)) for i in range(700)]
-    points += [(i, 59.0004 + r.gauss(0, 3e-5), 18.0008 + r.gauss(0, 6e-5)) for i in range(700, 1500)]
+    points = [(i, 59.0 + r.uniform(0, 8e-4), 18.0 + r.uniform(0, 16e-4)) for i in range(500)]
+    points += [(i, 59.0004 + r.gauss(0, 3e-5), 18.0008 + r.gauss(0, 6e-5)) for i in range(500, 1200)]
     r.shuffle(points)
     points = [(k, lat, lon) for k, (_, lat, lon) in enumerate(points)]
-    assert clustered(spark, points, tile_points=60) == loop(points, 5.0)
+    assert clustered(spark, points, tile_points=200) == loop(points, 5.0)
 
 
 def test_a_hot_spot_on_a_tile_border(spark, monkeypatch):

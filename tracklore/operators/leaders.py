@@ -29,7 +29,7 @@ from tracklore.operators.graph import stored
 
 #: Width of a tile, in radii.
 TILE_RADII = 64
-#: A tile with more points is cut into blocks of seq, of which there are at most BUCKETS.
+#: A tile with more points is cut into blocks of seq: one for every TILE_POINTS of the table, and at most BUCKETS.
 TILE_POINTS = 50_000
 BUCKETS = 128
 
@@ -174,8 +174,8 @@ def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame |
     tile = [_tile(c, width).alias(t) for c, t in zip("xyz", ("ti", "tj", "tk"), strict=True)]
     vectors = lambda df: df.select("*", *[(v * EARTH_M).alias(c) for c, v in zip("xyz", unit_vector(F.col("latitude"), F.col("longitude")), strict=True)])
     own = vectors(placed)
-    total = placed.count()
-    ends = sorted(set(placed.approxQuantile("seq", [i / BUCKETS for i in range(1, BUCKETS)], 0.1 / BUCKETS))) if total > tile_points else []
+    buckets = min(BUCKETS, -(-placed.count() // tile_points))
+    ends = sorted(set(placed.approxQuantile("seq", [i / buckets for i in range(1, buckets)], 0.1 / buckets))) if buckets > 1 else []
     own = own.withColumn("bucket", _bucket(ends).cast("int"))
     current = stored(own.select("seq", "latitude", "longitude", "x", "y", "z", "bucket", *tile, F.lit(None).cast("int").alias("kind"), F.lit(None).cast("long").alias("cluster")))
     before = None
