@@ -88,7 +88,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_inventory(spark: SparkSession, path: str, suffixes: Iterable[str] = (), most_depth: int | None = None) -> DataFrame:
-    """Path, size, time, content hash and kind of all files below a path.
+    """Path, size, time, content hash and kind of all files below a path that are not empty (Spark's file sources pass over those).
 
     Files are listed without their content, those not asked for are dropped, and the others are hashed in pieces by the tasks they are
     dealt to, so a file may have any size and costs a task PIECE bytes of memory.

@@ -93,6 +93,10 @@ def split_valid(batch: DataFrame, number: int, rules: tuple[Rule, ...], good: st
 EPISODE = "camera_id string, species string, start_time timestamp, end_time timestamp, frame_count long, max_confidence double"
 
 
+#: Rows of a key (16 bytes each) that become one set of chunks.
+CHUNK_ROWS = 1_000_000
+
+
 class _Episodes(StatefulProcessor):
     """Of one camera and label. State: the open episode; the rows that the watermark has not passed, as they came, in chunks by bucket
     of time and arrival; and how many chunks a bucket has. A batch writes its own rows only, and a bucket is read once, when
@@ -113,19 +117,28 @@ class _Episodes(StatefulProcessor):
         self.handle.registerTimer((us // self.size + 1) * self.size // 1000 + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in rows:
-            times = batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64)
-            confidences = batch["confidence"].to_numpy(np.float64)
-            buckets = times // self.size
-            for bucket in np.unique(buckets).tolist():
-                own = buckets == bucket
-                n = self.parts.getValue((bucket,))[0] if self.parts.containsKey((bucket,)) else 0
-                self.chunks.updateValue((bucket, n), (times[own].tobytes(), confidences[own].tobytes()))
-                self.parts.updateValue((bucket,), (n + 1,))
-                if n == 0:
-                    self._timer(bucket * self.size)
+            held.append((batch["timestamp"].to_numpy("datetime64[us]").astype(np.int64), batch["confidence"].to_numpy(np.float64)))
+            if sum(len(t) for t, _ in held) >= CHUNK_ROWS:
+                self._hold(held)
+                held = []
+        if held:
+            self._hold(held)
         return iter(())
 
+    def _hold(self, held: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        """One more chunk for every bucket that has rows among these."""
+        times, confidences = (np.concatenate(x) for x in zip(*held, strict=True))
+        buckets = times // self.size
+        for bucket in np.unique(buckets).tolist():
+            own = buckets == bucket
+            n = self.parts.getValue((bucket,))[0] if self.parts.containsKey((bucket,)) else 0
+            self.chunks.updateValue((bucket, n), (times[own].tobytes(), confidences[own].tobytes()))
+            self.parts.updateValue((bucket,), (n + 1,))
+            if n == 0:
+                self._timer(bucket * self.size)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         over = timerValues.getCurrentWatermarkInMs() * 1000 // self.size  # buckets before this one are over
         now = tuple(self.open.get()) if self.open.exists() else None
