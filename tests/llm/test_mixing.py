@@ -48,6 +48,30 @@ def test_cases(spark):
     assert m.mixed_documents(docs.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("ids", ["distinct", "null", "one", "equal rows", "equal rows of one source"])
+def test_targets_are_met_whatever_the_ids(spark, ids):
+    """3,000 rows of ten words in three sources: targets of 5,000, 10,000 and 15,000 words."""
+    doc_id = {"distinct": lambda i: i, "null": lambda i: None}.get(ids, lambda i: 7)
+    word = lambda i: "same" if ids == "equal rows" or ids.endswith("source") and i % 3 == 1 else str(i)
+    docs = spark.createDataFrame([(doc_id(i), f"{word(i)} " * 10, f"s{i % 3}", i % 5) for i in range(3000)], "doc_id long, text string, source string, more int").repartition(6)
+    got = m.mix(docs).groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.min("target").alias("target"), F.count("*").alias("n")).collect()
+    assert all(abs(r["taken"] - r["target"]) <= 0.02 * r["target"] and r["n"] == 1000 for r in got) and len(got) == 3
+    mixed = {r["source"]: r["n"] for r in m.mixed_documents(docs).groupBy("source").agg((F.count("*") * 10).alias("n")).collect()}
+    assert mixed == {r["source"]: r["taken"] for r in got}
+    key = lambda: sorted((r["source"], r["doc_id"] or 0, r["copies"]) for r in m.mix(docs.repartition(3)).collect())
+    assert key() == key()
+
+
+def test_many_equal_rows_by_formula(spark, monkeypatch):
+    docs = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.lit("a b c").alias("text"), F.when(F.col("id") < 3000, "x").otherwise("y").alias("source"))
+    want = sorted(tuple(r) for r in m.mix(docs).groupBy("source", "copies").count().collect())
+    monkeypatch.setattr(m, "FEW_ROWS", 10**9)
+    monkeypatch.setattr(m, "SPREAD", 70)
+    assert sorted(tuple(r) for r in m.mix(docs).groupBy("source", "copies").count().collect()) == want
+    taken = {s: sum(3 * c * n for t, c, n in want if t == s) for s in "xy"}
+    assert taken["x"] == pytest.approx(5000, rel=0.01) and taken["y"] == pytest.approx(10000, rel=0.01)
+
+
 def test_two_groupings_meet_their_targets(spark):
     sizes = spark.createDataFrame([("a", "en", 500), ("a", "de", 300), ("b", "en", 200), ("b", "de", 400)], "source string, lang string, size long")
     targets = {"source": spark.createDataFrame([("a", 700.0), ("b", 700.0)], "source string, target double"), "lang": spark.createDataFrame([("en", 600.0), ("de", 800.0)], "lang string, target double")}

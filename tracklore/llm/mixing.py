@@ -6,16 +6,20 @@ multipliers of zero, and each document's rate is the exponential of the sum of i
 Sources are one grouping; further groupings with targets of their own may be balanced at once. Each Newton step reads the
 words reached and their curvature, which Spark sums over cells (one row per combination of groups).
 
-Rates become whole copies: a document gets floor(rate) copies, and one more if its hashed number lies low enough. The bound is set
+Rates become whole copies: a document gets floor(rate) copies, and one more if its number in [0, 1) lies low enough. The bound is set
 per source and size class from a histogram, largest texts first, each class making good what the last one missed, so
 that a source's words come within about one small document of its target, without sorting any source.
 
+The number of a row is hashed from its doc_id and text. Rows of a source that agree in both share their hash u, and are c in number; they have
+the numbers (u + j) / c for j from 0 to c - 1, spread evenly, so that a repeated row rises and falls with nothing but itself,
+and how many of the c get one more copy is a formula.
+
 Defined cases: a null source is a source of its own, last in order; null or empty texts have size 0 and take 0 words;
-repeated rows get equal copies; rows with a null doc_id are mixed like others; an empty table gives an empty table.
+repeated rows differ by at most one copy; null and repeated doc_ids are mixed like others; an empty table gives an empty table.
 Extra columns are not read by ``mix`` and are carried along by ``mixed_documents``, whose number of the copy is named
 ``copy``, with underscores before it while the table has such a column.
 
-Scale: texts are read where they lie. Sums per source, cell and histogram bucket are shuffled, nothing else. The driver
+Scale: texts are read where they lie. A row of numbers per document, and sums per source, cell and histogram bucket, are shuffled. The driver
 holds one row per source, of which more than ``MAX_SOURCES`` are refused with an error; the plan by source and size class
 is a stored table, broadcast while it has at most ``MOST_BROADCAST`` rows and joined by shuffle beyond, with the same result.
 """
@@ -27,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tracklore.llm.common import materialise, table
@@ -47,9 +51,19 @@ def size_of(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SIZE)), F.lit(0)).cast("long")
 
 
-def number_of(doc_id: Column) -> Column:
-    """A hashed number in [0, 1), the same in each run."""
-    return F.shiftrightunsigned(F.xxhash64(doc_id.cast("string"), F.lit("mix")), 11).cast("double") * F.lit(2.0**-53)
+def key_of(doc_id: Column, text: Column) -> Column:
+    return F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("")), doc_id.isNull(), F.coalesce(text, F.lit("")), F.lit("mix"))
+
+
+def number_of(key: Column, place: Column, n: Column) -> Column:
+    """A number in [0, 1), the same in each run: of the place-th of n rows of a key."""
+    return (F.shiftrightunsigned(key, 11).cast("double") * F.lit(2.0**-53) + place) / n
+
+
+def below(key: Column, n: Column, end: Column) -> Column:
+    """How many of the n rows of a key have a number under end."""
+    u = F.shiftrightunsigned(key, 11).cast("double") * F.lit(2.0**-53)
+    return F.least(F.greatest(F.ceil(end * n - u).cast("long"), F.lit(0).cast("long")), n)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = CAP) -> DataFrame:
@@ -144,6 +158,24 @@ def bucket_of(number: Column, rate: Column) -> Column:
     return F.floor((number - (rate - F.floor(rate)) + 1) * F.lit(BUCKETS / 2)).cast("int")
 
 
+def number_under(bucket: Column, rate: Column) -> Column:
+    """Numbers under this lie in buckets before the given one."""
+    return bucket * F.lit(2.0 / BUCKETS) + (rate - F.floor(rate)) - 1
+
+
+#: Up to so many rows of a key are put into the histogram one by one, more of them bucket by bucket.
+FEW_ROWS = 64
+
+
+def _pieces() -> Column:
+    """Buckets of a key's rows, and how many of them lie in each."""
+    one_by_one = F.transform(F.sequence(F.lit(0).cast("long"), F.least("n", F.lit(FEW_ROWS)) - 1), lambda j: F.struct(bucket_of(number_of(F.col("key"), j, F.col("n")), F.col("rate")).alias("bucket"), F.lit(1).cast("long").alias("rows")))
+    ends = F.sequence(bucket_of(F.lit(0.0), F.col("rate")), bucket_of(F.lit(1.0), F.col("rate")))
+    inside = lambda b: below(F.col("key"), F.col("n"), number_under(b + 1, F.col("rate"))) - below(F.col("key"), F.col("n"), number_under(b, F.col("rate")))
+    by_bucket = F.transform(ends, lambda b: F.struct(b.alias("bucket"), inside(b).alias("rows")))
+    return F.when(F.col("n") <= FEW_ROWS, one_by_one).otherwise(by_bucket)
+
+
 def _bounds(rows: pd.DataFrame) -> pd.DataFrame:
     """Per size class of one source: the bucket below which documents get one more copy."""
     out, carry = [], 0.0
@@ -160,16 +192,16 @@ def plan_mix(sizes: DataFrame, cap: float = CAP) -> DataFrame:
     """source, class, source_size, target, rate, bound: all that turns a document's size and number into copies; a stored table
     with a row for every size class that a source has."""
     spark = sizes.sparkSession
-    found = source_targets(sizes, cap=cap)
-    rates = {g: min(cap, math.exp(m)) for g, m in balance(sizes, {"source": found.select("source", "target")}, cap).multipliers["source"]}
+    words = sizes.withColumn("size", F.col("size") * F.col("n"))
+    found = source_targets(words, cap=cap)
+    rates = {g: min(cap, math.exp(m)) for g, m in balance(words, {"source": found.select("source", "target")}, cap).multipliers["source"]}
     plan = spark.createDataFrame([(r["source"], r["source_size"], r["target"], rates.get(r["source"], 0.0)) for r in found.collect()], "source string, source_size long, target double, rate double")
     classed = sizes.withColumn("class", size_class(F.col("size")))
     named = plan.select(F.col("source").alias("__source"), "rate")
     # one row per source: at most MAX_SOURCES are broadcast
     placed = classed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("__source"))).filter((F.col("size") > 0) & (F.col("rate") < cap))
-    histogram = placed.groupBy("source", "class", bucket_of(F.col("number"), F.col("rate")).alias("bucket")).agg(
-        F.sum("size").cast("double").alias("words"), F.sum(F.col("size") * (F.col("rate") - F.floor("rate"))).alias("due")
-    )
+    dealt = placed.select("source", "class", "size", "rate", F.inline(_pieces())).filter("rows > 0").withColumn("size", F.col("size") * F.col("rows"))
+    histogram = dealt.groupBy("source", "class", "bucket").agg(F.sum("size").cast("double").alias("words"), F.sum(F.col("size") * (F.col("rate") - F.floor("rate"))).alias("due"))
     bounds = histogram.groupBy("source").applyInPandas(_bounds, "source string, class int, bound int")
     every = classed.select("source", "class").distinct()
     full = every.join(F.broadcast(plan.withColumnRenamed("source", "__source")), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
@@ -183,7 +215,9 @@ def copies(size: Column, number: Column, rate: Column, bound: Column, cap: float
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), number_of(F.col("doc_id")).alias("number"))
+    """doc_id, source, size, key and n, the number of rows that are alike; stored."""
+    rows = docs.select(F.col("doc_id"), F.col("source").cast("string").alias("source"), size_of(F.col("text")).alias("size"), key_of(F.col("doc_id"), F.col("text")).alias("key"))
+    return materialise(rows.groupBy("source", "key", "size", "doc_id").agg(F.count("*").alias("n")))
 
 
 def _joined(docs: DataFrame, plan: DataFrame, source: str, size: str, most: int) -> DataFrame:
@@ -193,19 +227,53 @@ def _joined(docs: DataFrame, plan: DataFrame, source: str, size: str, most: int)
     return docs.join(F.broadcast(named) if plan.count() <= most else named.hint("shuffle_hash"), on, "left")
 
 
+#: Rows that are alike are given out in groups of so many.
+SPREAD = 10_000
+
+
 def mix(docs: DataFrame, cap: float = CAP, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies of each document. docs(doc_id, text, source)."""
-    sizes = materialise(measured(docs))
-    out = _joined(sizes, plan_mix(sizes, cap), "source", "size", most_broadcast)
-    return out.select("doc_id", "source", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__rate").alias("rate"), copies(F.col("size"), F.col("number"), F.col("__rate"), F.col("__bound"), cap).alias("copies"))
+    sizes = measured(docs)
+    # rows that are alike come from one row of the table, in groups that are dealt out before they become rows
+    groups = sizes.withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {SPREAD}"))))
+    if not sizes.filter(F.col("n") > SPREAD).isEmpty():
+        groups = groups.repartition(docs.sparkSession.sparkContext.defaultParallelism * 4, "key", "group")
+    rows = groups.withColumn("place", F.explode(F.sequence(F.col("group") * SPREAD, F.least((F.col("group") + 1) * SPREAD, F.col("n")) - 1)))
+    out = _joined(rows, plan_mix(sizes, cap), "source", "size", most_broadcast)
+    number = number_of(F.col("key"), F.col("place"), F.col("n"))
+    return out.select("doc_id", "source", "size", F.col("__source_size").alias("source_size"), F.col("__target").alias("target"), F.col("__rate").alias("rate"), copies(F.col("size"), number, F.col("__rate"), F.col("__bound"), cap).alias("copies"))
+
+
+def _places(docs: DataFrame, alike: DataFrame) -> DataFrame:
+    """The rows of docs that others are alike to, with __place and __n. Rows are numbered as they are stored; counts by stored
+    part and key give each row its place, so many rows of one key are many groups."""
+    own = materialise(docs.join(F.broadcast(alike) if alike.count() <= MOST_BROADCAST else alike, (F.col("__key") == F.col("__k")) & F.col("source").cast("string").eqNullSafe(F.col("__s"))).drop("__k", "__s").withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    narrow = own.select("__at", part.alias("__part"), "__key", F.col("source").cast("string").alias("__s"))
+    parts = narrow.groupBy("__s", "__key", "__part").agg(F.count("*").alias("__c"))
+    before = Window.partitionBy("__s", "__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("__s").alias("__ps"), F.col("__key").alias("__pk"), F.col("__part").alias("__pp"), F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__first"))
+    inside = narrow.withColumn("__i", F.row_number().over(Window.partitionBy("__s", "__key", "__part").orderBy("__at")) - 1)
+    placed = inside.join(parts, F.col("__s").eqNullSafe(F.col("__ps")) & (F.col("__key") == F.col("__pk")) & (F.col("__part") == F.col("__pp")))
+    return own.join(placed.select("__at", (F.col("__first") + F.col("__i")).alias("__place")), "__at").drop("__at")
 
 
 def mixed_documents(docs: DataFrame, cap: float = CAP, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """The mix itself: each document as often as it has copies, with a column ``copy`` from 1. Texts are not shuffled while the
-    plan is small."""
-    sizes = materialise(measured(docs))
-    sized = docs.withColumn("__size", size_of(F.col("text"))).withColumn("__number", number_of(F.col("doc_id")))
-    out = _joined(sized, plan_mix(sizes, cap), "source", "__size", most_broadcast).withColumn("__copies", copies(F.col("__size"), F.col("__number"), F.col("__rate"), F.col("__bound"), cap))
+    plan is small, but for those of rows that others are alike to."""
+    sizes = measured(docs)
+    keyed = docs.withColumn("__key", key_of(F.col("doc_id"), F.col("text")))
+    alike = materialise(sizes.filter("n > 1").select(F.col("key").alias("__k"), F.col("source").alias("__s"), F.col("n").alias("__n")))
+    sized = keyed.withColumn("__n", F.lit(1).cast("long")).withColumn("__place", F.lit(0).cast("long"))
+    few = alike.count()
+    if few:
+        own = alike.select("__k", "__s")
+        alone = keyed.join(F.broadcast(own) if few <= MOST_BROADCAST else own, (F.col("__key") == F.col("__k")) & F.col("source").cast("string").eqNullSafe(F.col("__s")), "left_anti")
+        sized = alone.withColumn("__n", F.lit(1).cast("long")).withColumn("__place", F.lit(0).cast("long")).unionByName(_places(keyed, alike))
+    sized = sized.withColumn("__size", size_of(F.col("text")))
+    out = _joined(sized, plan_mix(sizes, cap), "source", "__size", most_broadcast)
+    number = number_of(F.col("__key"), F.col("__place"), F.col("__n"))
+    out = out.withColumn("__copies", copies(F.col("__size"), number, F.col("__rate"), F.col("__bound"), cap))
     name = "copy"
     while name in docs.columns:
         name = f"_{name}"
