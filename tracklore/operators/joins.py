@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklore.functions.geo import haversine_km
+from tracklore.operators.graph import stored
 from tracklore.operators.reports import enrich_cluster_names
 
 
@@ -59,16 +60,6 @@ def unknown_ids(rows: DataFrame, names: DataFrame, key: str = "cluster_id") -> D
     return rows.select(key).filter(F.col(key).isNotNull()).distinct().join(names, key, "left_anti")
 
 
-def not_yet(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    return rows.join(done.select(key), key, "left_anti")
-
-
-def already_counts(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """How many rows were done before and how many were not."""
-    marked = rows.join(done.select(key).distinct().withColumn("there", F.lit(True)), key, "left")
-    return marked.agg(F.count("there").alias("already"), F.count(F.when(F.col("there").isNull(), 1)).alias("pending"))
-
-
 def asof_nearest(left: DataFrame, right: DataFrame, by: str, left_time: str, right_time: str, columns: list[str], tie: str, block_seconds: int = 86_400) -> DataFrame:
     """Each left row with the right row of the same ``by`` that is nearest in time; ties go to the earlier, then the smaller ``tie``.
 
@@ -130,22 +121,48 @@ def lon_cell(lon: Column, row: Column, step: float, beside: int = 0) -> Column:
     return F.pmod(F.floor((lon + 180) / 360 * n) + beside, n)
 
 
-def proximity(points: DataFrame, sites: DataFrame, radius_km: float, point_key: str, site_key: str) -> DataFrame:
+#: Pairs of points and sites of a cell up to which the cell is one group.
+CELL_PAIRS = 1_000_000
+#: Crowded cells (24 bytes each) up to which they are broadcast.
+MOST_CELLS = 500_000
+
+
+def _crowded(p: DataFrame, s: DataFrame, most_pairs: int) -> DataFrame:
+    """Cells with more pairs than that, and into how many parts their points have to be dealt."""
+    cells = p.groupBy("__r", "__c").agg(F.count("*").alias("__n")).join(s.groupBy("__r", "__c").agg(F.count("*").alias("__m")), ["__r", "__c"])
+    parts = F.least(F.ceil(F.col("__n") * F.col("__m") / most_pairs), F.col("__n")).cast("int")
+    return cells.filter(F.col("__n") * F.col("__m") > most_pairs).select("__r", "__c", parts.alias("__parts"))
+
+
+def proximity(points: DataFrame, sites: DataFrame, radius_km: float, point_key: str, site_key: str, most_pairs: int = CELL_PAIRS) -> DataFrame:
     """Nearest site within the radius for each point (ties to the smaller key): grid cells make it an equi join.
 
     points(point_key, latitude, longitude), sites(site_key, latitude, longitude). A site is entered in its own cell row and
     the two beside it, under that row's longitude cells, so each point looks in one cell only; cells go on over the date line.
+    Points of one place look once. A cell with more than ``most_pairs`` pairs is counted beforehand: its points are dealt to
+    as many parts as it takes, and its sites go to each of them, so that no task has more than about that many.
     """
     step = radius_km / KM_PER_DEGREE
-    p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col(point_key).alias("__pk"), F.col("latitude").alias("__la"), F.col("longitude").alias("__lo"))
+    p = points.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col("latitude").alias("__la"), F.col("longitude").alias("__lo")).distinct()
     p = p.withColumn("__r", F.floor(F.col("__la") / step)).withColumn("__c", lon_cell(F.col("__lo"), F.col("__r"), step))
     s = sites.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col(site_key).alias("__sk"), F.col("latitude").alias("__sla"), F.col("longitude").alias("__slo"))
     s = s.withColumn("__r", F.explode(F.array(*[F.floor(F.col("__sla") / step) + d for d in (-1, 0, 1)])))
     s = s.withColumn("__c", F.explode(F.array_distinct(F.array(*[lon_cell(F.col("__slo"), F.col("__r"), step, d) for d in (-1, 0, 1)]))))
+    p, s = stored(p), stored(s)
+    crowded = stored(_crowded(p, s, most_pairs))
+    n = crowded.count()
+    parts = F.lit(1)
+    if n:
+        small = F.broadcast(crowded) if n <= MOST_CELLS else crowded
+        p, s = p.join(small, ["__r", "__c"], "left"), s.join(small, ["__r", "__c"], "left")
+        parts = F.coalesce("__parts", F.lit(1))
+    p = p.withColumn("__part", F.pmod(F.xxhash64("__la", "__lo"), parts).cast("int"))
+    s = s.withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1)))
     distance = haversine_km(F.col("__la"), F.col("__lo"), F.col("__sla"), F.col("__slo"))
-    near = p.join(s, ["__r", "__c"]).withColumn("__d", distance).filter(F.col("__d") <= radius_km)
-    best = near.groupBy("__pk").agg(F.min(F.struct("__d", "__sk")).alias("m"))
-    return points.join(best.withColumnRenamed("__pk", point_key), point_key, "left").select(*points.columns, F.col("m.__sk").alias(f"near_{site_key}"), F.round("m.__d", 6).alias("distance_km"))
+    near = p.join(s, ["__r", "__c", "__part"]).withColumn("__d", distance).filter(F.col("__d") <= radius_km)
+    best = near.groupBy("__la", "__lo").agg(F.min(F.struct("__d", "__sk")).alias("m"))
+    # rows without a place meet nothing
+    return points.join(best, (F.col("latitude") == F.col("__la")) & (F.col("longitude") == F.col("__lo")), "left").select(*points.columns, F.col("m.__sk").alias(f"near_{site_key}"), F.round("m.__d", 6).alias("distance_km"))
 
 
 def proximity_then_exact_then_miss(probed: DataFrame, exact: DataFrame, point_key: str, site_key: str) -> DataFrame:
