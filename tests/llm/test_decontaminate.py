@@ -67,3 +67,35 @@ def test_dropping_is_the_same_in_parts(spark):
     for bound in (10**6, 5):
         got = d.drop_contaminated(docs, items, max_item_chars=bound)
         assert got.columns == docs.columns and sorted(r["y"] for r in got.collect()) == [8, 10, 11, 13, 13]
+
+
+def test_an_automaton_at_the_bound_fits_in_memory():
+    """In a process of its own: the memory that the largest automaton takes."""
+    import subprocess
+    import sys
+
+    code = """
+import random
+from tracklore.llm.decontaminate import MAX_ITEM_CHARS, Scanner
+r = random.Random(1)
+vocabulary = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randrange(2, 11))) for _ in range(50_000)]
+items, chars = [], 0
+while chars < MAX_ITEM_CHARS:
+    items.append((len(items), " ".join(r.choices(vocabulary, k=60))))
+    chars += len(items[-1][1])
+resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+before = resident()
+scanner = Scanner(items, 10)
+assert scanner.scan("x " + items[7][1] + " y")[2] == [7]
+print((resident() - before) / 1e6)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=str(__import__("pathlib").Path(__file__).parents[2]), check=True)
+    assert float(out.stdout) < 300
+
+
+def test_very_long_texts(spark):
+    items = [(1, " ".join(f"k{i}" for i in range(12))), (2, "lone pair")]
+    text = "filler word " * 150_000 + items[0][1] + " more" * 200_000 + " lone pair"
+    got = d.find_contamination(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).first()
+    assert (got["n_words"], got["items"], len(got["hit_words"])) == (500_014, [1, 2], 14)
+    assert [text[s["start"] : s["end"]] for s in got["spans"]] == [items[0][1], "lone pair"]

@@ -9,7 +9,7 @@ item_id stays null (a null item_id still marks words but is not named in ``items
 Extra columns of either table are not read.
 
 Scale: documents are scanned where they lie, with no shuffle. The items are broadcast only while their text is at most
-``max_item_chars``; a larger item table is read in parts of at most that size (a single longer item is a part), each with
+``max_item_chars``, which bounds a worker's automaton; a larger item table is read in parts of at most that size (a single longer item is a part), each with
 an automaton and a pass of its own, and what the parts find is merged by the text's SHA-256, which alone decides: by a
 shuffle of digests, word positions and items. Both ways give the same rows.
 """
@@ -32,6 +32,10 @@ from tracklore.llm.common import filter_by_ids, map_chunks, materialise
 WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
+#: Characters of items that go into one automaton. Each word begins a window of its own, a path of some 65 nodes, and an automaton
+#: takes about 420 bytes a character: 250 MB for every Python worker at this bound.
+MAX_ITEM_CHARS = 600_000
+
 HITS = "doc_id long, n_words long, hit_words array<int>, items array<long>, spans array<struct<start:int,end:int>>"
 
 
@@ -167,7 +171,7 @@ def _hits_of_parts(docs: DataFrame, items: DataFrame, window: int, max_item_char
     return materialise(found.groupBy("key").agg(union("hit_words"), union("items")))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = 32_000_000) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = MAX_ITEM_CHARS) -> DataFrame:
     """Per document: number of words, positions of hit words, ids of the items found and hit stretches of the text.
 
     docs(doc_id, text), benchmark(item_id, text). See the module for the cases.
@@ -196,7 +200,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
     return map_chunks(joined.select("doc_id", "text", "hit_words", "items"), work, HITS)
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = 32_000_000) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, max_item_chars: int = MAX_ITEM_CHARS) -> DataFrame:
     """The documents without any hit word, with all their columns: each row is judged by its own text, whatever its doc_id.
 
     Each text is tested where it lies (one pass, no join); over max_item_chars one pass a part, and an anti join by the
