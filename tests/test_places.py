@@ -143,3 +143,12 @@ def test_groups_equal_the_loop(spark):
     pairs = [tuple(p) for p in space.overlap_pairs(df, 3.0).select("a", "b", "distance_m").collect()]
     got = sorted(tuple(x) for x in space.overlap_groups(df, 3.0).select("leader", "members", "size", "overlap_distance_m").collect())
     assert len(pairs) > 100 and got == groups(pairs)
+
+
+def test_numbers_over_the_whole_table(spark):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g")).repartition(6)
+    got = graph.numbered(rows, F.desc("g"), F.asc("k")).orderBy("n").collect()
+    assert [(r["g"], r["k"]) for r in got] == sorted(((r["g"], r["k"]) for r in got), key=lambda x: (-x[0], x[1])) and [r["n"] for r in got] == list(range(1, 5001))
+    assert graph.numbered(rows.filter("false"), F.asc("k")).count() == 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, *order: Column, name: str = "n") -> DataFrame:
+    """Rows with their number, from 1, in the given order over the whole table.
+
+    Rows are sorted in ranges, each range by a task of its own, and stored; a range's numbers start after the rows of the ranges
+    before it, a sum over one row a range.
+    """
+    ranged = stored(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftright("__at", 33)
+    ranges = ranged.groupBy(part.alias("__part")).agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = ranges.select("__part", (before - F.col("__first")).alias("__shift"))
+    # one row for each range, of which there are as many as shuffle partitions
+    return ranged.join(F.broadcast(starts), part == F.col("__part")).withColumn(name, F.col("__at") + F.col("__shift") + 1).drop("__at", "__part", "__shift")
+
+
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """nodes(node), edges(a, b): (node, label), the label being the least node of its component.
 

@@ -157,10 +157,10 @@ def _every(rows: DataFrame, earlier: DataFrame | None) -> DataFrame:
 def _starts(seen: DataFrame) -> DataFrame:
     """For each block of a cut tile, where the clusters that are seen there stood when it began: the last sum before it, once
     for each later block up to the cluster's next row."""
-    last = seen.filter("hot AND n IS NOT NULL").groupBy("vi", "vj", "vk", "kind", "cluster", F.col("bucket").alias("at")).agg(F.max_by(F.struct(*SUM), "seq").alias("s"))
+    last = seen.filter("hot AND n IS NOT NULL").groupBy("vi", "vj", "vk", "begin", "kind", "cluster", F.col("bucket").alias("at")).agg(F.max_by(F.struct(*SUM), "seq").alias("s"))
     follow = F.lead("at").over(Window.partitionBy("vi", "vj", "vk", "kind", "cluster").orderBy("at"))
-    until = last.withColumn("until", F.coalesce(follow, F.lit(BUCKETS))).filter("until > at")
-    return until.select("vi", "vj", "vk", F.explode(F.sequence(F.col("at") + 1, F.col("until"))).alias("block"), "kind", "cluster", "s.*")
+    until = last.withColumn("until", F.coalesce(follow, F.lit(BUCKETS))).withColumn("from", F.greatest(F.col("at") + 1, F.col("begin"))).filter("until >= from")
+    return until.select("vi", "vj", "vk", F.explode(F.sequence("from", "until")).alias("block"), "kind", "cluster", "s.*")
 
 
 def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame | None = None, tile_points: int = TILE_POINTS) -> DataFrame:
@@ -198,7 +198,7 @@ def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame |
         return views.withColumn("block", F.when(F.col("hot"), F.col("bucket")).otherwise(0))
 
     def walk(seen: DataFrame) -> DataFrame:
-        events = seen.filter("NOT hot OR bucket >= 0").withColumn("stage", (F.col("bucket") >= 0).cast("int"))
+        events = seen.filter("NOT hot OR bucket >= begin AND bucket >= 0").withColumn("stage", (F.col("bucket") >= 0).cast("int"))
         if cut:
             events = events.unionByName(_starts(seen).withColumn("stage", F.lit(0)).withColumn("own", F.lit(False)), allowMissingColumns=True)
         # a row without a cluster has kind -1; no column is null, so that whole numbers stay whole in pandas
@@ -211,7 +211,7 @@ def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame |
     fresh = [F.lit(None).cast("double").alias(s) for s in SUM]
     first = seen_of(current.select("*", *fresh)) if before is None else seen_of(current.select("*", *fresh).unionByName(before))
     # a first answer: tiles by themselves, cut tiles by their first block
-    answered = stored(walk(first.filter("(own OR bucket < 0) AND (NOT hot OR bucket <= first)")))
+    answered = stored(walk(first.filter("(own OR bucket < 0) AND (NOT hot OR bucket <= first)").withColumn("begin", F.lit(-1))))
     if cut:
         rest = seen_of(current.select("*", *fresh)).filter("own AND hot AND bucket > first").select(columns)
         current = stored(answered.select(columns).unionByName(rest))
@@ -223,14 +223,17 @@ def leader_clusters(points: DataFrame, radius: float = 5.0, earlier: DataFrame |
         if changed is None:
             touched = seen_of(current)
         else:
-            touched = seen_of(current).join(changed, ["kind", "cluster"], "left_semi")
-        active = stored(touched.filter("bucket >= 0 AND (hot OR NOT own)").select("vi", "vj", "vk").distinct())
+            touched = seen_of(current).join(changed, ["kind", "cluster"]).filter("bucket >= since")
+        # what comes before a change in a cut tile stays as it is
+        begin = F.min(F.when(F.col("hot"), F.col("bucket")).otherwise(-1)).alias("begin")
+        active = stored(touched.filter("bucket >= 0 AND (hot OR NOT own)").groupBy("vi", "vj", "vk").agg(begin))
         if active.isEmpty():
             return current.select("seq", "latitude", "longitude", "cluster")
-        answered = stored(walk(seen_of(_every(current, before)).join(active, ["vi", "vj", "vk"], "left_semi")))
+        answered = stored(walk(seen_of(_every(current, before)).join(active, ["vi", "vj", "vk"])))
         moved = answered.filter("kind <> old_kind OR cluster <> old_cluster")
-        changed = stored(moved.select("kind", "cluster").union(moved.filter("old_kind >= 0").select("old_kind", "old_cluster")).distinct())
+        labels = moved.select("kind", "cluster", "bucket").union(moved.filter("old_kind >= 0").select("old_kind", "old_cluster", "bucket"))
+        changed = stored(labels.groupBy("kind", "cluster").agg(F.min("bucket").alias("since")))
         if changed.isEmpty():
             return current.select("seq", "latitude", "longitude", "cluster")
-        kept = current.join(active.select(F.col("vi").alias("ti"), F.col("vj").alias("tj"), F.col("vk").alias("tk")), ["ti", "tj", "tk"], "left_anti")
+        kept = current.join(active.select(F.col("vi").alias("ti"), F.col("vj").alias("tj"), F.col("vk").alias("tk"), "begin"), ["ti", "tj", "tk"], "left").filter("begin IS NULL OR bucket < begin")
         current = stored(answered.select(columns).unionByName(kept.select(columns)))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracklore.operators.graph import numbered
+
 
 def mean(c: str | Column) -> Column:
     return F.round(F.avg(c), 9)
@@ -274,8 +276,13 @@ def species_by_cluster_profile(obs: DataFrame) -> DataFrame:
     """Diversity, dominant species (ties to the smaller name) and activity tercile of each cluster, 1 the least active."""
     counted = obs.filter("top_label IS NOT NULL").groupBy("cluster_id", "top_label").agg(F.count("*").alias("n"))
     per = counted.groupBy("cluster_id").agg(F.count("*").alias("diversity"), F.sum("n").alias("observations"), F.min_by("top_label", F.struct(-F.col("n"), F.col("top_label"))).alias("dominant_species"))
-    # one row per cluster: the small table may be ordered as a whole
-    return per.withColumn("activity", F.ntile(3).over(Window.orderBy("observations", "cluster_id")))
+    ranked = numbered(per, F.asc("observations"), F.asc("cluster_id"))
+    # the first rows % 3 terciles have one row more
+    sized = ranked.join(F.broadcast(ranked.agg(F.max("n").alias("__rows"))))
+    share, more = F.expr("__rows div 3"), F.col("__rows") % 3
+    long = more * (share + 1)
+    tercile = F.when(F.col("n") <= long, F.floor((F.col("n") - 1) / (share + 1)) + 1).otherwise(more + F.floor((F.col("n") - 1 - long) / F.greatest(share, F.lit(1))) + 1)
+    return sized.withColumn("activity", tercile.cast("int")).drop("n", "__rows")
 
 
 def cluster_aware_report(obs: DataFrame, clusters: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracklore.functions.geo import EARTH_M, haversine_m, mean_place, ring_area_m2, ring_perimeter_m
-from tracklore.operators.graph import first_free, stored
+from tracklore.operators.graph import first_free, numbered, stored
 from tracklore.operators.leaders import leader_clusters
 from tracklore.operators.joins import lon_cell, proximity
 from tracklore.operators.reports import count_true, mean
@@ -135,9 +135,9 @@ def unknown_clusters(obs: DataFrame, clusters: DataFrame, samples: int = 5) -> D
 
 
 def unknown_labels(clusters: DataFrame) -> DataFrame:
-    """Generated names by rank; the cluster table is small, so one order over all of it is fine."""
-    rank = F.row_number().over(Window.orderBy(F.desc("point_count"), "cluster_id"))
-    return clusters.filter(~F.col("is_named")).select("cluster_id", F.concat(F.lit("Unknown_Cluster_"), rank).alias("generated_name"), F.lit(True).alias("labeling_required"))
+    """Generated names by rank among the unnamed clusters, most points first."""
+    ranked = numbered(clusters.filter(~F.col("is_named")).select("cluster_id", "point_count"), F.desc("point_count"), F.asc("cluster_id"))
+    return ranked.select("cluster_id", F.concat(F.lit("Unknown_Cluster_"), "n").alias("generated_name"), F.lit(True).alias("labeling_required"))
 
 
 def name_clusters(clusters: DataFrame, updates: DataFrame) -> DataFrame:
