@@ -85,3 +85,44 @@ def test_cases(spark):
     none = m.score(docs, F.col("doc_id").isNull() & F.lit(False)).collect()
     assert all(r["n_known"] == 0 and r["base_score"] == 0 and r["train_tokens"] == 0 for r in none)
     assert m.score(docs.filter("false"), F.lit(True)).count() == 0
+
+
+def test_scores_recomputed_token_by_token(spark, monkeypatch):
+    """The model's own parameters, but every probability by plain loops: group among groups, member in its group, word in its class."""
+    kept = {}
+    train, learn = m.train, m.learn_vocabulary
+    monkeypatch.setattr(m, "train", lambda *a: kept.setdefault("p", train(*a)))
+    monkeypatch.setattr(m, "learn_vocabulary", lambda *a: kept.setdefault("v", learn(*a)))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: r for r in m.score(docs, F.col("doc_id") % 3 != 0).collect()}
+    p, v, texts = kept["p"], kept["v"], {r["doc_id"]: r["text"] for r in docs.collect()}
+    words = collections.Counter(w for i, t in texts.items() if i % 3 for w in m.tokens(t))
+    least = m.least_count(sum(words.values()))
+    symbols = [w for w, n in sorted(words.items(), key=lambda x: (-x[1], x[0])) if n >= least]
+    number = {w: i for i, w in enumerate(symbols)}
+    inside = collections.Counter()
+    for w, n in words.items():
+        if w not in number:
+            inside[m.class_of(w)] += n + 1
+    place, of_place = v.groups.place, v.groups.of_place
+    members = [[k for k in range(len(place)) if of_place[k] == g] for g in range(v.groups.n)]
+
+    def log_share(scores, k):
+        top = max(scores)
+        return scores[k] - top - math.log(sum(math.exp(s - top) for s in scores))
+
+    short = sorted(got, key=lambda i: len(texts[i] or ""))[:25]
+    assert {i % 3 for i in short} == {0, 1, 2} and symbols
+    for i in short:
+        near = far = len(place)
+        total = 0.0
+        for w in [*m.tokens(texts[i]), None]:
+            k = place[len(symbols) if w is None else number[w] if w in number else len(symbols) + 1 + m.class_of(w)]
+            context = p.near[near].astype(float) + p.far[far]
+            g = int(of_place[k])
+            total += log_share([float(context @ p.group[x] + p.group_bias[x]) for x in range(v.groups.n)], g)
+            total += log_share([float(context @ p.member[x] + p.bias[x]) for x in members[g]], members[g].index(k))
+            if w is not None and w not in number:
+                total += math.log((words[w] + 1) / (inside[m.class_of(w)] + 1))
+            near, far = k, near
+        assert got[i]["score"] == pytest.approx(total / math.log(10), rel=1e-4)

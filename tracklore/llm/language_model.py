@@ -40,11 +40,11 @@ DIM = 16
 WIDTH = 3 * DIM + 1
 HEAD = 100_000
 #: Noise groups of a batch, and noise members of each group in it.
-NOISE = 8
+NOISE = 16
 BATCH = 16_384
 #: Rows of a block of one group's tokens in a batch.
 HEIGHT = 64
-ROUNDS = 2
+ROUNDS = 3
 SHARD = 2_000_000
 HELD_OUT = (7, 2)
 #: Distinct words that a task counts before it hands them on.
