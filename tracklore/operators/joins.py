@@ -148,7 +148,6 @@ def proximity(points: DataFrame, sites: DataFrame, radius_km: float, point_key:
     s = sites.filter("latitude IS NOT NULL AND longitude IS NOT NULL").select(F.col(site_key).alias("__sk"), F.col("latitude").alias("__sla"), F.col("longitude").alias("__slo"))
     s = s.withColumn("__r", F.explode(F.array(*[F.floor(F.col("__sla") / step) + d for d in (-1, 0, 1)])))
     s = s.withColumn("__c", F.explode(F.array_distinct(F.array(*[lon_cell(F.col("__slo"), F.col("__r"), step, d) for d in (-1, 0, 1)]))))
-    p, s = stored(p), stored(s)
     crowded = stored(_crowded(p, s, most_pairs))
     n = crowded.count()
     parts = F.lit(1)

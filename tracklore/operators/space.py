@@ -49,18 +49,25 @@ def cell_clusters(points: DataFrame, step: float = 0.0001) -> DataFrame:
     return points.groupBy(F.floor(F.col("latitude") / step).alias("r"), F.floor(F.col("longitude") / step).alias("c")).agg(F.count("*").alias("n"), mean("latitude").alias("latitude"), mean("longitude").alias("longitude"))
 
 
+#: Degrees (a tenth of a micrometre) by which a point may lie off a side and still be on it: what doubles cannot tell.
+ON_SIDE = 1e-12
+
+
 def _hull(rows: pd.DataFrame) -> list[tuple[float, float]]:
-    """Convex hull by monotone chains, counter-clockwise in (longitude, latitude), from the least point."""
+    """Convex hull by monotone chains, counter-clockwise in (longitude, latitude), from the least point; points on a side are no corners."""
     pts = sorted(set(zip(rows["longitude"], rows["latitude"], strict=True)))
     if len(pts) < 3:
         return pts
     chains = []
     for order in (pts, pts[::-1]):
         chain: list[tuple[float, float]] = []
-        for p in order:
-            while len(chain) > 1 and (chain[-1][0] - chain[-2][0]) * (p[1] - chain[-2][1]) <= (chain[-1][1] - chain[-2][1]) * (p[0] - chain[-2][0]):
+        for x, y in order:
+            while len(chain) > 1:
+                (ax, ay), (bx, by) = chain[-2:]
+                if (bx - ax) * (y - ay) - (by - ay) * (x - ax) > ON_SIDE * (abs(x - ax) + abs(y - ay)):
+                    break
                 chain.pop()
-            chain.append(p)
+            chain.append((x, y))
         chains += chain[:-1]
     return chains
 

@@ -91,8 +91,8 @@ RING = f"""spots AS (SELECT DISTINCT cluster_id, gps_latitude AS la, gps_longitu
   WHERE NOT EXISTS (SELECT 1 FROM spots c WHERE c.cluster_id = a.cluster_id AND (c.la, c.lo) <> (a.la, a.lo) AND (c.la, c.lo) <> (b.la, b.lo)
    AND ((b.lo - a.lo) * (c.la - a.la) - (b.la - a.la) * (c.lo - a.lo) < -1e-13 OR abs((b.lo - a.lo) * (c.la - a.la) - (b.la - a.la) * (c.lo - a.lo)) <= 1e-13 AND (c.lo - a.lo) * (c.lo - b.lo) + (c.la - a.la) * (c.la - b.la) > 0))),
  hulls AS (SELECT cluster_id, count(*) AS corners, abs(sum((la1 - 59) * (lo2 - 18) - (la2 - 59) * (lo1 - 18))) / 2 * 111320.0e0 * 111320.0e0 * cos(radians(avg(la1))) AS area, sum(2 * 6371000.0e0 * asin(least(1.0e0, sqrt(pow(sin(radians(la2 - la1) / 2), 2) + cos(radians(la1)) * cos(radians(la2)) * pow(sin(radians(lo2 - lo1) / 2), 2))))) AS perimeter FROM sides GROUP BY cluster_id)"""
-query("boundary_figures", "observations cluster_names", "SELECT c.cluster_id, is_named, point_count, corners, round(area, 0) AS area_m2, round(perimeter, 2) AS perimeter_m FROM clusters c LEFT JOIN hulls h ON c.cluster_id = h.cluster_id", more=f"{CLUSTERS}, {RING}")(
-    lambda o, n: s.boundaries(points_of(o), r.cluster_table(o, n)).select("cluster_id", "is_named", "point_count", F.col("corners").cast("long").alias("corners"), F.round("area_m2", 0).alias("area_m2"), F.round("perimeter_m", 2).alias("perimeter_m"))
+query("boundary_figures", "observations cluster_names", "SELECT c.cluster_id, is_named, point_count, corners, round(area, 0) AS area_m2, round(perimeter, 1) AS perimeter_m FROM clusters c LEFT JOIN hulls h ON c.cluster_id = h.cluster_id", more=f"{CLUSTERS}, {RING}")(
+    lambda o, n: s.boundaries(points_of(o), r.cluster_table(o, n)).select("cluster_id", "is_named", "point_count", F.col("corners").cast("long").alias("corners"), F.round("area_m2", 0).alias("area_m2"), F.round("perimeter_m", 1).alias("perimeter_m"))
 )
 query("all_cluster_boundaries", "observations cluster_names")(lambda o, n: s.boundaries(points_of(o), r.cluster_table(o, n)))
 NEAR = "cells AS (SELECT concat('p', cast(floor(latitude / 0.00002e0) AS bigint), '_', cast(floor(longitude / 0.00002e0) AS bigint)) AS cluster_id, avg(latitude) AS latitude, avg(longitude) AS longitude FROM points GROUP BY 1)"
