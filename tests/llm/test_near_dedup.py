@@ -79,6 +79,28 @@ def test_large_group_of_near_copies_and_cases(spark):
     assert n.near_duplicate_classes(frame.filter("false")).count() == 0 and n.drop_near_duplicates(frame.filter("false")).count() == 0
 
 
+def test_hot_keys_meet_their_group(spark, monkeypatch):
+    monkeypatch.setattr(n, "DEALT", 8)
+    monkeypatch.setattr(n, "MOST_HOT", 50)
+    keys = [i % 40 for i in range(200)] + [7] * 500 + [11] * 9 + [99]
+    rows = n.materialise(spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k long, i long"))
+    count = collections.Counter(keys)
+    groups = n.materialise(spark.createDataFrame([(k, c, -k) for k, c in count.items()], "k long, n long, g long"))
+    assert sorted(tuple(r) for r in n._meet(rows, groups, "k").select("k", "i", "n", "g").collect()) == sorted((k, i, count[k], -k) for i, k in enumerate(keys))
+    assert n._meet(rows.filter("false"), groups.filter("false"), "k").count() == 0
+    # many copies of a text, near copies of it, and two other families
+    r = random.Random(3)
+    families = [[f"w{r.randrange(10**6)}" for _ in range(120)] for _ in range(3)]
+    docs = [(i, " ".join(families[0])) for i in range(60)] + [(1000, "alone in its class"), (1001, "")]
+    for f, words in enumerate(families):
+        for i in range(40):
+            w = list(words)
+            w[r.randrange(120)] = f"x{f}_{i}"
+            docs.append((100 * (f + 1) + i, " ".join(w)))
+    got = n.near_duplicate_classes(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    assert len(got) == len(docs) and {x["doc_id"]: x["class_id"] for x in got} == brute(docs)
+
+
 def test_template_family_with_planted_pairs(spark):
     r = random.Random(5)
     base = [f"b{i}" for i in range(180)]

@@ -25,8 +25,9 @@ class; rows that repeat a doc_id share its class, and where their texts differ t
 empty results. Extra columns are not read by ``near_duplicate_classes`` and are kept by ``drop_near_duplicates``.
 
 Scale: one Python pass over the texts; after it only ids, signatures (160 bytes a text) and the texts of candidate pairs
-are shuffled, in joins that Spark can split where a key is hot. Broadcast are tables of at most MOST_BROADCAST_IDS ids and
-the SLOTS counts of the exact join; nothing else is collected.
+are shuffled. Copies of one text are combined in their task, and find their class by broadcast where they are many; the
+texts of a hub are dealt out; other joins are such as Spark can split where a key is hot. Broadcast are tables of at most
+MOST_BROADCAST_IDS ids, the at most MOST_HOT hot keys of a join, and the SLOTS counts of the exact join; nothing else is collected.
 """
 
 from __future__ import annotations
@@ -57,8 +58,10 @@ SALTS = 16
 HUBS = 4
 #: A further round follows while one merges at least this share of the classes that large mixed buckets hold.
 GOOD_SHARE = 0.1
-#: Pairs of one hot text that are verified together.
+#: Pairs of one hot text that are verified together, and rows of a key below which it is never hot.
 DEALT = 512
+#: A key is hot with more than one in so many rows, so there are at most so many hot keys.
+MOST_HOT = 10_000
 #: Signature agreement under which a pair at the threshold is all but impossible (5.6 standard deviations).
 LEAST_AGREEMENT = 0.55
 
@@ -207,6 +210,20 @@ def _sketch(docs: DataFrame) -> DataFrame:
     return map_chunks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id IS NOT NULL AND text IS NOT NULL"), work, "doc_id long, digest binary, bands array<long>, codes binary")
 
 
+def _meet(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """rows joined with groups(key, n, ...), both stored; one row a key, n being the number of rows that it meets.
+
+    Rows of hot keys stay where they lie and get their group by broadcast, of at most MOST_HOT rows; no key that is shuffled
+    holds more than one in MOST_HOT of the rows, or DEALT rows.
+    """
+    total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = groups.filter(F.col("n") > max(DEALT, total // MOST_HOT))
+    if hot.isEmpty():
+        return rows.join(groups, key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups, key)
+    return rest.unionByName(rows.join(F.broadcast(hot), key))
+
+
 def _agree(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) whose register codes agree often enough to be worth verifying."""
     side = lambda n: sketches.select(F.col("doc_id").alias(n), F.col("codes").alias(f"codes_{n}"))
@@ -230,9 +247,9 @@ def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     pairs = materialise(pairs)
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     texts = filter_by_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), ids, "doc_id", "left_semi")
-    groups = pairs.groupBy("a").agg((F.floor(F.count("*") / DEALT) + 1).alias("groups"))
-    dealt = pairs.join(groups, "a").withColumn("deal", F.pmod(F.xxhash64("b"), F.col("groups"))).drop("groups")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(groups, "a").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    groups = materialise(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumn("groups", F.floor(F.col("n") / DEALT) + 1))
+    dealt = _meet(pairs, groups, "a").withColumn("deal", F.pmod(F.xxhash64("b"), F.col("groups"))).drop("groups", "n")
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")).join(groups.drop("n"), "a").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
     right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
     both = dealt.join(right, "b").join(left, ["a", "deal"]).select("a", "b", "text_a", "text_b")
 
@@ -376,19 +393,20 @@ def _main_classes(members: DataFrame) -> DataFrame:
 
 
 def _hub_pairs(members: DataFrame, main: DataFrame, seed: int) -> DataFrame:
-    """Pairs across classes of HUBS central members of each bucket of main with its other members. members has weight."""
+    """Pairs across classes of HUBS central members, as a, of each bucket of main with its other members. members has weight."""
     mixed = members.join(main.select("bucket"), "bucket", "left_semi")
     part = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(HUBS))
     hubs = mixed.groupBy("bucket", part.alias("part")).agg(F.max_by(F.struct("rep", "label"), F.struct(F.col("weight"), -F.col("rep"))).alias("hub"))
     both = mixed.join(hubs.select("bucket", "hub"), "bucket").filter("label <> hub.label")
-    return both.select(F.least("rep", "hub.rep").alias("a"), F.greatest("rep", "hub.rep").alias("b")).distinct()
+    return both.select(F.col("hub.rep").alias("a"), F.col("rep").alias("b")).distinct()
 
 
 def _large_pairs(members: DataFrame, main: DataFrame) -> DataFrame:
-    """Pairs across classes in large buckets with few members outside the main class: those against all others."""
-    large = members.filter(F.col("n") > SMALL)
-    outside = large.join(main.filter(F.col("rest") <= SMALL).select("bucket", "main"), "bucket").filter("label <> main").select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
-    return large.join(outside, "bucket").filter("label <> la").select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b"))
+    """Pairs across classes in large buckets with few members outside the main class: those, as a, against all others."""
+    large = members.filter(F.col("n") > SMALL).join(main.filter(F.col("rest") <= SMALL).select("bucket", "main"), "bucket")
+    outside = large.filter("label <> main").select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
+    # two members outside are one pair
+    return large.join(outside, "bucket").filter("label <> la AND (label = main OR a < rep)").select("a", F.col("rep").alias("b"))
 
 
 def _wide_pairs(members: DataFrame, main: DataFrame, docs: DataFrame) -> DataFrame:
@@ -415,11 +433,12 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     """doc_id and class_id for each row of docs(doc_id, text)."""
     sketches = materialise(_sketch(docs))
-    groups = sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    owners = materialise(sketches.select("doc_id", "digest").join(groups, "digest").select("doc_id", "rep"))
+    # equal texts have equal sketches, so each task combines its own copies before anything is shuffled
+    groups = materialise(sketches.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("codes").alias("codes")))
+    owners = materialise(_meet(sketches.select("doc_id", "digest"), groups.select("digest", "rep", "n"), "digest").select("doc_id", "rep"))
     members = owners.groupBy("doc_id").agg(F.min("rep").alias("rep"), F.max("rep").alias("rep2"))
     # a doc_id that is the least of several texts keeps a sketch of each, so that links of any of them are its links
-    unique = materialise(groups.select(F.col("rep").alias("doc_id"), "digest").join(sketches, ["doc_id", "digest"]).dropDuplicates(["doc_id", "digest"]).select("doc_id", "bands", "codes"))
+    unique = groups.select(F.col("rep").alias("doc_id"), "bands", "codes")
     in_bucket = unique.select(F.col("doc_id").alias("rep"), F.explode("bands").alias("bucket")).distinct()
     shared = in_bucket.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     # a text's weight is the number of neighbours it meets over its at most BANDS buckets
@@ -453,8 +472,10 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
         rest = rest.unionByName(_wide_pairs(tagged, main, texts)).distinct()
     named = _merged(labels, materialise(_verify(rest, texts)))
     classes = members.join(named.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("label", "rep").alias("class_id"))
-    # rows of a repeated doc_id meet one class row
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    # rows of a repeated doc_id meet one class row; those of a null one have none to meet
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    told = ids.filter("doc_id IS NOT NULL").join(classes, "doc_id", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return told.unionByName(ids.filter("doc_id IS NULL").withColumn("class_id", F.lit(None).cast("long")))
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
