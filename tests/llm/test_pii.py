@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -83,6 +84,43 @@ def test_viterbi_equals_brute_force():
             assert value(got[a:b]) == pytest.approx(max(map(value, itertools.product(range(len(pii.TAGS)), repeat=b - a))), abs=1e-4)
 
 
+def one_by_one(scores, step):
+    best, back = scores[0].astype(float), []
+    for row in scores[1:]:
+        way = best[:, None] + step
+        back.append(way.argmax(0))
+        best = way.max(0) + row
+    tags = [int(best.argmax())]
+    for b in reversed(back):
+        tags.append(int(b[tags[-1]]))
+    return tags[::-1]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 10, 63, 64, 65, 500, 1023])
+def test_blocks_equal_viterbi_one_by_one(n):
+    r = np.random.default_rng(n)
+    for spread in (0.3, 3):
+        field = pii.Field(np.zeros((pii.FEATURES, len(pii.TAGS))), r.normal(size=(len(pii.TAGS), len(pii.TAGS))) * spread)
+        scores = r.normal(size=(n, len(pii.TAGS))).astype(np.float32)
+        assert field._in_blocks(scores).tolist() == one_by_one(scores, field.step)
+
+
+def test_long_lines(monkeypatch):
+    r = np.random.default_rng(4)
+    field = pii.Field(r.normal(size=(pii.FEATURES, len(pii.TAGS))), r.normal(size=(len(pii.TAGS), len(pii.TAGS))))
+    tokens = pii.Tokens(["12 ab, " * 700 + "\n3 4 5\n" + "x " * 40, "9." * 600, "q"])
+    monkeypatch.setattr(pii, "LONG_STRETCH", 10**9)
+    want = field.decode(tokens)
+    monkeypatch.setattr(pii, "LONG_STRETCH", 50)
+    assert (field.decode(tokens) == want).mean() == 1.0
+    monkeypatch.undo()
+    real = pii.fit(pii.written_rows() + pii.example_rows())
+    for text in ("+1 " * 300_000, "1." * 300_000):
+        start = time.process_time()
+        pii.added_spans([text], real)
+        assert time.process_time() - start < 10
+
+
 def test_the_field_reads_all_kinds_in_whole_texts(monkeypatch):
     field = pii.fit(pii.written_rows() + pii.example_rows())
     filler = "The old road went on and on past the mill.\n" * 300
@@ -98,6 +136,17 @@ def test_the_field_reads_all_kinds_in_whole_texts(monkeypatch):
     assert not pii.added_spans(["Der Der Der Der Der. In 1984 the Council of Europe met at 12 in Rome. " + "The " * 40], field)[0]
 
 
+def test_secrets_are_whole():
+    field = pii.fit(pii.written_rows() + pii.example_rows())
+    key = "16C7e42F292c6912E7710c838347Ae178B4a"
+    texts = ["key sk_live_51H8abcDEFghiJKLmnop end", f"token: ghp_{key}", f"token: ghp_{key}_10.0.0.1 x", f"token: {key}-{key} token: {key}"]
+    got = [[(kind, t[s:e]) for kind, s, e in spans] for t, (_, spans) in zip(texts, pii.all_spans(texts, field), strict=True)]
+    assert got[:3] == [[("secret", "sk_live_51H8abcDEFghiJKLmnop")], [("secret", f"ghp_{key}")], [("ip", "10.0.0.1"), ("secret", f"ghp_{key}_")]]
+    assert got[3] == [("secret", f"{key}-{key}"), ("secret", key)]
+    places = pii.added_spans(texts[3:], field)[0]
+    assert all(a[2] <= b[1] for a, b in itertools.pairwise(places))
+
+
 def test_query_columns(spark):
     field = pii.train(pii.example_table(spark))
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()

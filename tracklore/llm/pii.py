@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import bisect
 import itertools
+import math
 import re
 import zlib
 
@@ -88,6 +89,8 @@ TOKEN = re.compile(r"\s*(?:[^\W\d_]+|\d+|\S)|\s+")
 BLANK = re.compile(r"\s")
 #: Texts are decoded in pieces of about so many characters, cut at line ends.
 PIECE = 200_000
+#: A stretch of more tokens in a row that may bear a tag is decoded in blocks.
+LONG_STRETCH = 1_000
 #: Longest word that is a feature of its own; longer ones by their first letters.
 WORD = 12
 
@@ -197,7 +200,7 @@ class Field:
 
         Where O outscores every other tag by more than any change of the two steps beside it could win back, the best path
         has O there; so lines fall into the stretches between such tokens, and all stretches are decoded at once, longest
-        first, each step over those not yet ended.
+        first, each step over those not yet ended. A stretch of more than LONG_STRETCH tokens is decoded by itself, its blocks at once.
         """
         n = len(tokens.line)
         tags = np.zeros(n, np.int8)
@@ -220,7 +223,14 @@ class Field:
         before = (first > 0) & (tokens.line[first - 1] == tokens.line[first])
         # the sure tokens beside a stretch have tag O
         scores[last] += np.where(after[:, None], self.step[:, 0], 0)
-        best = scores[first] + np.where(before[:, None], self.step[0], 0)
+        scores[first] += np.where(before[:, None], self.step[0], 0)
+        long = lengths > LONG_STRETCH
+        for a, m in zip(first[long], lengths[long], strict=True):
+            tags[a : a + m] = self._in_blocks(scores[a : a + m])
+        first, last, lengths = first[~long], last[~long], lengths[~long]
+        if not len(first):
+            return tags
+        best = scores[first]
         back = np.zeros((n, len(TAGS)), np.int8)
         live = np.searchsorted(-lengths, -np.arange(lengths[0] + 1), side="left")
         for t in range(1, lengths[0]):
@@ -239,6 +249,63 @@ class Field:
         return tags
 
 
+    def _in_blocks(self, scores: np.ndarray) -> np.ndarray:
+        """The best path through the tokens of one stretch, all of its blocks at once.
+
+        First every block finds, for each tag before it, the best score with which it ends in each tag; a pass over blocks makes
+        these the best scores at the block ends. From there every block goes through its tokens as usual and notes the way
+        back; it tells for each tag at its end the tag before the block, a pass back over blocks picks the true one, and every
+        block follows it.
+        """
+        n, k = scores.shape
+        size = math.isqrt(n)
+        blocks = n // size
+        by_step = np.ascontiguousarray(scores[: blocks * size].reshape(blocks, size, k).transpose(1, 0, 2))
+        # reach[tag before, block, tag]; the first block has none before it
+        reach = self.step[:, None, :] + by_step[0]
+        reach[:, 0] = by_step[0, 0]
+        for t in range(1, size):
+            new = reach[:, :, :1] + self.step[0]
+            for j in range(1, k):
+                np.maximum(new, reach[:, :, j, None] + self.step[j], out=new)
+            reach = np.add(new, by_step[t], out=new)
+        start = np.zeros((blocks, k), np.float32)
+        for b in range(1, blocks):
+            start[b] = (start[b - 1][:, None] + reach[:, b - 1]).max(0)
+            start[b] -= start[b].max()
+        back = np.zeros((size, blocks, k), np.int8)
+        best, origin = start, np.broadcast_to(np.arange(k, dtype=np.int8), (blocks, k))
+        for t in range(size):
+            top = best[:, :1] + self.step[0]
+            for j in range(1, k):
+                way = best[:, j, None] + self.step[j]
+                back[t][way > top] = j
+                np.maximum(top, way, out=top)
+            best = top + by_step[t]
+            if t == 0:
+                best[0] = by_step[0, 0]
+            origin = np.take_along_axis(origin, back[t].astype(np.int64), 1)
+        # the tokens after the last whole block, one by one
+        final, rest = best[-1], []
+        for row in scores[blocks * size :]:
+            way = final[:, None] + self.step
+            rest.append(way.argmax(0))
+            final = way.max(0) + row
+        tail = [int(final.argmax())]
+        for way_back in reversed(rest):
+            tail.append(int(way_back[tail[-1]]))
+        ends = np.zeros(blocks, np.int64)
+        ends[-1] = tail.pop()
+        for b in range(blocks - 1, 0, -1):
+            ends[b - 1] = origin[b, ends[b]]
+        out = np.zeros((size, blocks), np.int8)
+        rows, tag = np.arange(blocks), ends
+        for t in range(size - 1, -1, -1):
+            out[t] = tag
+            tag = back[t][rows, tag].astype(np.int64)
+        return np.concatenate([out.T.ravel(), np.array(tail[::-1], np.int8)])
+
+
 def fit(rows: list[tuple[str, list[tuple[int, int, str]]]], steps: int = 100, ridge: float = 0.05, rate: float = 0.1) -> Field:
     """Adam on the exact log-likelihood, all lines in one padded batch. rows: text and its spans."""
     k = len(TAGS)
@@ -463,6 +530,25 @@ def plausible(kind: str, part: str) -> bool:
     return {"phone": 7, "address": 1, "number": 6, "birth": 5}[kind] <= digits and len(part) >= 6
 
 
+SECRET_TAIL = re.compile(r"[A-Za-z0-9_-]*")
+
+
+def whole_secret(text: str, start: int, end: int, least: int) -> tuple[int, int]:
+    """A stretch of a secret with the letters, digits, - and _ that adjoin it, from least on, so that none is left half masked.
+
+    It grows up to spans of the patterns, not into them.
+    """
+    s, e = start, SECRET_TAIL.match(text, end).end()
+    while s > least and SECRET_TAIL.fullmatch(text, s - 1, s):
+        s -= 1
+    if (s, e) != (start, end):
+        base = base_spans(text[max(0, s - 100) : e + 100])
+        base = [(max(0, s - 100) + x, max(0, s - 100) + y) for _, x, y in base]
+        s = max([s, *(y for _, y in base if y <= start)])
+        e = min([e, *(x for x, _ in base if x >= end)])
+    return s, e
+
+
 def _pieces(text: str) -> list[tuple[int, str]]:
     """The text in pieces of PIECE characters or a little more that end at line ends, each with its place."""
     out, at = [], 0
@@ -491,7 +577,12 @@ def added_spans(texts: list[str], field: Field) -> list[list[tuple[str, int, int
             a, b = begin[i], finish[i]
             which, offset, text = waiting[tokens.text[a]]
             s, e = int(tokens.start[a]), int(tokens.end[b])
-            if plausible(kind := TAGS[tags[a]], text[s:e]):
+            # what a secret before it has taken with it is not found again
+            least = max(0, out[which][-1][2] - offset if out[which] else 0)
+            s = max(s, least)
+            if s < e and (kind := TAGS[tags[a]]) == "secret":
+                s, e = whole_secret(text, s, e, least)
+            if s < e and plausible(kind, text[s:e]):
                 out[which].append((kind, offset + s, offset + e))
         waiting.clear()
 
