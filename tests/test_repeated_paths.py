@@ -37,3 +37,10 @@ def test_the_last_of_a_path_is_joined_on_request(spark):
     p = spark.createDataFrame([("a", 0.9), ("a", 0.4), ("b", 0.9)], "crop_path string, confidence double")
     assert sorted(r["timestamp"] for r in joins.stage3_inner_join(m, p).collect()) == ["x", "y"]
     assert [r["timestamp"] for r in joins.stage3_inner_join(m, p, seq="seq").collect()] == ["y"]
+
+
+def test_rows_of_one_seq_have_one_winner_in_any_order(spark):
+    given = [("a", 1, x) for x in "badc"] + [("b", None, "x"), ("b", 0, "a"), ("c", None, "y")]
+    for rows_ in (given, given[::-1]):
+        df = spark.createDataFrame(rows_, "k string, seq int, v string").coalesce(1)
+        assert {r["k"]: r["v"] for r in joins.last_wins(df, "k", "seq").collect()} == {"a": "d", "b": "a", "c": "y"}
