@@ -152,3 +152,42 @@ def test_numbers_over_the_whole_table(spark):
     got = graph.numbered(rows, F.desc("g"), F.asc("k")).orderBy("n").collect()
     assert [(r["g"], r["k"]) for r in got] == sorted(((r["g"], r["k"]) for r in got), key=lambda x: (-x[0], x[1])) and [r["n"] for r in got] == list(range(1, 5001))
     assert graph.numbered(rows.filter("false"), F.asc("k")).count() == 0
+
+
+def _query_points(n):
+    """What the points view gives for keys from 0 on, as vectors in metres."""
+    import numpy as np
+
+    k = np.arange(n)
+    a, o = np.radians((590000000 + k * 7919 % 2000) / 1e7), np.radians((180000000 + k * 104729 % 4000) / 1e7)
+    return k, np.column_stack([np.cos(a) * np.cos(o), np.cos(a) * np.sin(o), np.sin(a)]) * EARTH_M
+
+
+@pytest.mark.parametrize("kind", ["dense", "wide", "drift", "same", "pole"])
+def test_guessed_runs_equal_one_by_one(kind):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    n = 12_000
+    if kind == "dense":
+        seqs, xyz = _query_points(n)
+    else:
+        lat = {"wide": 59 + rng.uniform(0, 1e-3, n), "drift": 59 + np.arange(n) * 2e-8 + rng.normal(0, 2e-5, n), "same": np.full(n, 59.0), "pole": 90 - np.abs(rng.normal(0, 3e-5, n))}[kind]
+        lon = {"wide": 18 + rng.uniform(0, 2e-3, n), "drift": 18 + rng.normal(0, 2e-5, n), "same": np.full(n, 18.0), "pole": rng.uniform(-180, 180, n)}[kind]
+        a, o = np.radians(lat), np.radians(lon)
+        seqs, xyz = np.arange(n), np.column_stack([np.cos(a) * np.cos(o), np.cos(a) * np.sin(o), np.sin(a)]) * EARTH_M
+    one, run = leaders._Centres(5.0), leaders._Centres(5.0)
+    want = [one.add(s, *p) for s, p in zip(seqs.tolist(), xyz.tolist(), strict=True)]
+    got = [c for at in range(0, n, 5000) for c in run.add_all(seqs[at : at + 5000], xyz[at : at + 5000])]
+    assert got == want and run.sums == one.sums
+
+
+def test_a_dense_part_takes_no_round_for_every_few_points(spark, monkeypatch):
+    n, kept = 120_000, []
+    plain = leaders.stored
+    monkeypatch.setattr(leaders, "stored", lambda df: kept.append(1) or plain(df))
+    df = spark.range(n).selectExpr("id AS seq", "(590000000 + id * 7919 % 2000) / 1e7D AS latitude", "(180000000 + id * 104729 % 4000) / 1e7D AS longitude")
+    got = {r["seq"]: r["cluster"] for r in leaders.leader_clusters(df).collect()}
+    one = leaders._Centres(5.0)
+    assert [got[k] for k in range(n)] == [one.add(k, *p)[1] for k, p in enumerate(_query_points(n)[1].tolist())]
+    assert len(kept) <= 4

@@ -29,9 +29,12 @@ from tracklore.operators.graph import stored
 
 #: Width of a tile, in radii.
 TILE_RADII = 64
-#: A tile with more points is cut into blocks of seq: one for every TILE_POINTS of the table, and at most BUCKETS.
-TILE_POINTS = 50_000
+#: A tile with more points is cut into blocks of seq: one for every TILE_POINTS of the table, and at most BUCKETS. In a dense part each round
+#: settles little more than a block, so blocks are as long as a task goes through in some seconds.
+TILE_POINTS = 1_000_000
 BUCKETS = 128
+#: Points that are guessed at once, and how often a guess is looked at again.
+FIRST_RUN, LONGEST_RUN, LOOKS = 256, 4096, 8
 
 SUM = ["sx", "sy", "sz", "n"]
 _OUT = "seq long, latitude double, longitude double, x double, y double, z double, bucket int, ti long, tj long, tk long, kind int, cluster long, old_kind int, old_cluster long"
@@ -40,14 +43,24 @@ _CARRIED = ["seq", "latitude", "longitude", "x", "y", "z", "bucket", "ti", "tj",
 
 
 class _Centres:
-    """Clusters near one tile; a grid of cells a radius wide finds those near a point."""
+    """Clusters near one tile; a grid of cells finds those near a point.
+
+    Points come one at a time, or as a run. A run is guessed and checked: clusters are guessed for all its points, from which
+    follow the exact centres before each point, and from these the clusters again. Up to the first point where both differ, and
+    with it, they are those of the one by one way, by induction. In dense parts, where centres hardly move any more, a second or third
+    look agrees everywhere.
+    """
 
     def __init__(self, radius: float):
         self.reach = 2 * EARTH_M * math.sin(min(radius / (2 * EARTH_M), math.pi / 2))
-        self.step = self.reach * 1.000001 + 1e-9
+        # cells are wider than the reach, so that the 27 around a point still hold all it can meet when centres have moved by slack
+        self.slack = self.reach / 4
+        self.step = (self.reach + self.slack) * 1.000001 + 1e-8
         self.sums: dict[tuple[int, int], tuple] = {}
         self.places: dict[tuple[int, int], tuple] = {}
         self.cells: dict[tuple[int, int, int], set] = {}
+        self.near: dict[tuple[int, int, int], list] = {}
+        self.size, self.wait, self.alone, self.groups = FIRST_RUN, 0, FIRST_RUN, 0
 
     def put(self, own: tuple[int, int], x: float, y: float, z: float, n: float) -> None:
         """The cluster's sum of vectors is (x, y, z), of n points."""
@@ -59,27 +72,117 @@ class _Centres:
             if before is not None:
                 self.cells[before[1]].discard(own)
             self.cells.setdefault(cell, set()).add(own)
+            self.near.clear()
         self.sums[own], self.places[own] = (x, y, z, n), (place, cell)
 
+    def around(self, cell: tuple[int, int, int]) -> list[tuple[int, int]]:
+        """Clusters in the cell and the 26 beside it, in order of creation."""
+        found = self.near.get(cell)
+        if found is None:
+            i, j, k = cell
+            found = self.near[cell] = sorted(own for a in (i - 1, i, i + 1) for b in (j - 1, j, j + 1) for c in (k - 1, k, k + 1) for own in self.cells.get((a, b, c), ()))
+        return found
+
     def add(self, seq: int, x: float, y: float, z: float) -> tuple[int, int]:
         """The cluster that the point joins."""
-        i, j, k = (math.floor(v / self.step) for v in (x, y, z))
-        best = None
-        for a in (i - 1, i, i + 1):
-            for b in (j - 1, j, j + 1):
-                for c in (k - 1, k, k + 1):
-                    for own in self.cells.get((a, b, c), ()):
-                        if best is None or own < best:
-                            (u, v, w), _ = self.places[own]
-                            if (u - x) ** 2 + (v - y) ** 2 + (w - z) ** 2 <= self.reach**2:
-                                best = own
-        if best is None:
-            best = (1, seq)
-            self.put(best, x, y, z, 1)
-        else:
-            sx, sy, sz, n = self.sums[best]
-            self.put(best, sx + x, sy + y, sz + z, n + 1)
-        return best
+        for best in self.around(tuple(math.floor(v / self.step) for v in (x, y, z))):
+            (u, v, w), _ = self.places[best]
+            if (u - x) ** 2 + (v - y) ** 2 + (w - z) ** 2 <= self.reach**2:
+                sx, sy, sz, n = self.sums[best]
+                self.put(best, sx + x, sy + y, sz + z, n + 1)
+                return best
+        self.put((1, seq), x, y, z, 1)
+        return (1, seq)
+
+    def add_all(self, seqs: np.ndarray, xyz: np.ndarray) -> list[tuple[int, int]]:
+        """The clusters that the points join, one after the other."""
+        out: list[tuple[int, int]] = []
+        while (at := len(out)) < len(seqs):
+            if self.wait or len(seqs) - at < FIRST_RUN:
+                # guesses failed, or there is little to guess: points one at a time, for longer after each failure
+                out.append(self.add(int(seqs[at]), *xyz[at].tolist()))
+                self.wait = max(self.wait - 1, 0)
+                continue
+            tried = xyz[at : at + self.size]
+            done = self._guess(tried)
+            out += done
+            if len(done) == len(tried):
+                self.size = min(2 * self.size, LONGEST_RUN)
+            else:
+                self.size = max(FIRST_RUN, min(self.size, 2 * len(done)))
+            if 2 * len(done) >= FIRST_RUN + 4 * self.groups:
+                self.alone, self.wait = FIRST_RUN, int(len(done) < len(tried))
+            else:
+                self.alone = self.wait = min(2 * self.alone, 8 * LONGEST_RUN)
+        return out
+
+    def _guess(self, xyz: np.ndarray) -> list[tuple[int, int]]:
+        """Clusters of the first points of a run, as far as they can be told at once: up to one that starts a cluster, or moves a
+        centre by more than the slack. The sums are then those after these points."""
+        cells, which = np.unique(np.floor(xyz / self.step), axis=0, return_inverse=True)
+        lists = [self.around((int(i), int(j), int(k))) for i, j, k in cells.tolist()]
+        names = sorted({own for one in lists for own in one})
+        if not names:
+            return []
+        self.groups = len(names)
+        number = {own: i for i, own in enumerate(names)}
+        # candidates of each cell in order of creation, padded with a place that nothing is near
+        table = np.full((len(lists), max(map(len, lists))), len(names))
+        for i, one in enumerate(lists):
+            table[i, : len(one)] = [number[own] for own in one]
+        candidates = table[which.reshape(-1)]
+        places = np.array([self.places[own][0] for own in names] + [(np.inf,) * 3])
+        apart = np.sqrt(sum((places[candidates, i] - xyz[:, i, None]) ** 2 for i in range(3)))
+        within = apart <= self.reach
+        off = np.abs(apart - self.reach)
+        start = np.array([self.sums[own] for own in names])
+        every = np.arange(len(xyz))
+
+        def first(hits: np.ndarray) -> np.ndarray:
+            """Of each point the first candidate that it is within reach of, or -1."""
+            place = hits.argmax(axis=1)
+            return np.where(hits[every, place], candidates[every, place], -1)
+
+        guess, good = first(within), 0
+        for _ in range(LOOKS):
+            # points by cluster and order, and each cluster's sums after 0, 1, .. of them, one addition after the other
+            order = np.argsort(guess, kind="stable")
+            order = order[np.searchsorted(guess[order], 0) :]
+            groups, begins, counts = np.unique(guess[order], return_index=True, return_counts=True)
+            moved, early = np.zeros(len(names) + 1), len(xyz)
+            traces = {}
+            for c, a, b in zip(groups.tolist(), begins.tolist(), (begins + counts).tolist(), strict=True):
+                sums = np.cumsum(np.vstack([start[c, :3], xyz[order[a:b]]]), axis=0)
+                norm = np.sqrt((sums * sums).sum(axis=1))
+                centres = sums * (EARTH_M / np.where(norm == 0, 1.0, norm))[:, None]
+                far = np.sqrt(((centres - places[c]) ** 2).sum(axis=1))
+                moved[c] = far.max()
+                if moved[c] > self.slack:
+                    early = min(early, int(order[a:b][np.argmax(far > self.slack) - 1]) + 1)
+                traces[c] = (order[a:b], sums, centres)
+            # only pairs that are about a reach apart can differ from the guess by where the centres stood at first
+            points, columns = np.nonzero(off <= moved[candidates] + 1e-6)
+            hits, own = within.copy(), candidates[points, columns]
+            for c, (members, _, centres) in traces.items():
+                mine = own == c
+                if mine.any():
+                    p = points[mine]
+                    at = centres[np.searchsorted(members, p)]  # after the members before p
+                    hits[p, columns[mine]] = ((at - xyz[p]) ** 2).sum(axis=1) <= self.reach**2
+            again = first(hits)
+            differ = again != guess
+            same = int(differ.argmax()) if differ.any() else len(xyz)
+            none = again < 0
+            stop = min(int(none.argmax()) if none.any() else len(xyz), early)
+            good = min(same, stop)
+            if same >= stop:
+                break
+            guess = again
+        for c, (members, sums, _) in traces.items():
+            n = int(np.searchsorted(members, good))
+            if n:
+                self.put(names[c], *sums[n].tolist(), float(start[c, 3] + n))
+        return [names[c] for c in (again[:good]).tolist()]
 
 
 def _walk(radius: float):
@@ -88,19 +191,25 @@ def _walk(radius: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         unit, centres = None, _Centres(radius)
         for rows in batches:
-            kinds, clusters = [], []
-            for ti, tj, tk, block, own, seq, x, y, z, kind, cluster, sx, sy, sz, n in rows[["vi", "vj", "vk", "block", "own", "seq", "x", "y", "z", "kind", "cluster", *SUM]].itertuples(index=False):
-                if (ti, tj, tk, block) != unit:
-                    unit, centres = (ti, tj, tk, block), _Centres(radius)
-                if own:
-                    one = centres.add(seq, x, y, z)
-                    kinds.append(one[0])
-                    clusters.append(one[1])
-                elif n > 0:
-                    centres.put((kind, cluster), sx, sy, sz, n)
-            mine = rows[rows["own"]]
+            found: list[tuple[int, int]] = []
+            units, own = rows[["vi", "vj", "vk", "block"]].to_numpy(), rows["own"].to_numpy(bool)
+            seqs, xyz = rows["seq"].to_numpy(), rows[["x", "y", "z"]].to_numpy()
+            names, sums = rows[["kind", "cluster"]].to_numpy(), rows[SUM].to_numpy()
+            ends = np.flatnonzero((units[1:] != units[:-1]).any(axis=1) | (own[1:] != own[:-1])) + 1
+            for a, b in zip([0, *ends.tolist()], [*ends.tolist(), len(rows)], strict=True):
+                if a == b:
+                    continue
+                if (one := tuple(units[a].tolist())) != unit:
+                    unit, centres = one, _Centres(radius)
+                if own[a]:
+                    found += centres.add_all(seqs[a:b], xyz[a:b])
+                else:
+                    for name, (sx, sy, sz, n) in zip(names[a:b].tolist(), sums[a:b].tolist(), strict=True):
+                        if n > 0:
+                            centres.put(tuple(name), sx, sy, sz, n)
+            mine = rows[own]
             out = mine[_CARRIED].copy()
-            out["bucket"], out["kind"], out["cluster"] = out["bucket"].astype("int32"), np.array(kinds, "int32"), np.array(clusters, "int64")
+            out["bucket"], out["kind"], out["cluster"] = out["bucket"].astype("int32"), np.array([k for k, _ in found], "int32"), np.array([c for _, c in found], "int64")
             out["old_kind"], out["old_cluster"] = mine["kind"].astype("int32"), mine["cluster"]
             yield out
 
