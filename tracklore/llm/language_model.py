@@ -24,6 +24,8 @@ token in ten, meet their counts in a shuffle join by word, summed per text first
 
 from __future__ import annotations
 
+import collections
+import itertools
 import math
 import zlib
 
@@ -43,7 +45,11 @@ HEAD = 100_000
 NOISE = 16
 BATCH = 16_384
 #: Rows of a block of one group's tokens in a batch.
-HEIGHT = 64
+HEIGHT = 32
+#: Tokens times groups of a tile that is scored at once.
+TILE = 32_000_000
+#: Bytes of an array that is freed once, so that the C library keeps freed arrays of up to this size for the next ones.
+KEPT = 31 << 20
 ROUNDS = 3
 SHARD = 2_000_000
 HELD_OUT = (7, 2)
@@ -68,7 +74,7 @@ def count_words(docs: DataFrame) -> DataFrame:
     """word, class, n over all texts of docs; counted in each task first, at most FLUSH words at a time."""
 
     def run(batches):
-        counts: dict[bytes, int] = {}
+        counts: collections.Counter[bytes] = collections.Counter()
 
         def out():
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([class_of(w) for w in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "class", "n"])
@@ -76,8 +82,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                for w in tokens(text):
-                    counts[w] = counts.get(w, 0) + 1
+                counts.update(tokens(text))
                 if len(counts) > FLUSH:
                     yield from out()
         if counts:
@@ -132,30 +137,57 @@ class Parameters:
     def log_probabilities(self, groups: Groups, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each target, all given by place."""
         out = np.empty(len(target), np.float64)
-        tile = max(1024, 4_000_000 // max(groups.n, 1))
+        tile = max(1024, TILE // max(groups.n, 1))
+        member, group = np.c_[self.member, self.bias], np.c_[self.group, self.group_bias]
+        lengths = np.sqrt(np.einsum("ij,ij->i", member, member))
         for at in range(0, len(target), tile):
-            g = groups.of_place[target[at : at + tile]]
-            order = np.argsort(g, kind="stable")
-            g, t = g[order], target[at : at + tile][order]
-            context = self.near[near[at : at + tile][order]] + self.far[far[at : at + tile][order]]
-            log_p = np.empty(len(g))
-            for r in range(0, len(g), 2048):
-                some = slice(r, r + 2048)
-                log_p[some] = _log_softmax_at(_product(context[some], self.group.T) + self.group_bias, g[some])
-            ends = np.searchsorted(g, np.arange(groups.n + 1))
+            order = np.argsort(target[at : at + tile], kind="stable")
+            a, b, t = (x[at : at + tile][order] for x in (near, far, target))
+            g = groups.of_place[t]
+            context = np.ones((len(t), DIM + 1), np.float32)
+            np.add(self.near.take(a, axis=0), self.far.take(b, axis=0), out=context[:, :DIM])
+            log_p = np.einsum("ij,ij->i", context, group.take(g, axis=0), dtype=np.float64) - self._log_totals(group, a, b)
+            reach = np.sqrt(np.einsum("ij,ij->i", context, context))
+            ends = np.searchsorted(t, groups.starts)
             for k in np.flatnonzero(np.diff(ends)):
-                rows, members = slice(ends[k], ends[k + 1]), slice(groups.starts[k], groups.starts[k + 1])
-                log_p[rows] += _log_softmax_at(_product(context[rows], self.member[members].T) + self.bias[members], t[rows] - members.start)
+                members = slice(groups.starts[k], groups.starts[k + 1])
+                for r in range(ends[k], ends[k + 1], 2048):
+                    rows = slice(r, min(r + 2048, ends[k + 1]))
+                    most = reach[rows].max() * lengths[members].max()
+                    log_p[rows] += _log_softmax_at(_product(context[rows], member[members].T), t[rows] - members.start, most)
             out[at : at + tile][order] = log_p
         return out
 
-
-def _log_softmax_at(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    def _log_totals(self, group: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
+        """Natural log of the sum over groups of exp(score). A score is a sum of what the two symbols add, so its exp is a product:
+        it is taken once for each different symbol, and each pair of symbols is one sum of products."""
+        (a, of_a), (b, of_b) = (np.unique(x, return_inverse=True) for x in (near, far))
+        first, second = _product(self.near[a], group[:, :DIM].T), _product(self.far[b], group[:, :DIM].T) + group[:, DIM]
+        tops = first.max(1, keepdims=True), second.max(1, keepdims=True)
+        for x, top in zip((first, second), tops, strict=True):
+            x -= top
+            np.exp(x, out=x)
+        pair, of_pair = np.unique(of_a.astype(np.int64) * len(b) + of_b, return_inverse=True)
+        x, y = pair // len(b), pair % len(b)
+        total = np.concatenate([np.einsum("ij,ij->i", first.take(x[r : r + 1024], axis=0), second.take(y[r : r + 1024], axis=0)) for r in range(0, len(pair), 1024)]).astype(np.float64)
+        # two symbols that favour different groups, so that the product is too small for a float: from the scores themselves
+        low = np.flatnonzero(total < 1e-25)
+        total = np.log(np.maximum(total, 1e-25)) + tops[0][x, 0] + tops[1][y, 0]
+        if len(low):
+            scores = (self.near[a[x[low]]] + self.far[b[y[low]]]).astype(np.float64) @ group[:, :DIM].T + group[:, DIM]
+            total[low] = np.logaddexp.reduce(scores, axis=1)
+        return total[of_pair]
+
+
+def _log_softmax_at(scores: np.ndarray, at: np.ndarray, most: float) -> np.ndarray:
+    """most: a bound of the scores' size; up to 80 their exponentials add up as they are."""
     picked = scores[np.arange(len(at)), at].astype(np.float64)
-    top = scores.max(1, keepdims=True)
-    scores -= top
+    top = 0
+    if not most <= 80:
+        top = scores.max(1)
+        scores -= top[:, None]
     np.exp(scores, out=scores)
-    return picked - np.log(scores.sum(1, dtype=np.float64)) - top[:, 0]
+    return picked - np.log((scores @ np.ones(scores.shape[1], np.float32)).astype(np.float64)) - top
 
 
 #: Multiplications of one matrix product: so small that the library does not start threads beside Spark's tasks.
@@ -172,34 +204,35 @@ def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sums(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a.T @ b for matrices of few columns, likewise."""
-    rows = max(1, SMALL // (a.shape[1] * b.shape[1]))
-    whole = len(a) // rows * rows
-    out = np.matmul(a[:whole].reshape(-1, rows, a.shape[1]).transpose(0, 2, 1), b[:whole].reshape(-1, rows, b.shape[1])).sum(0)
-    return out + a[whole:].T @ b[whole:]
+def _keep_memory() -> None:
+    """Batches make and free the same arrays again and again; the system would take each back and clear it anew."""
+    np.empty(KEPT, np.uint8)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.clip(x, -30, 30, out=x)
-    np.negative(x, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+def _sigmoid_of_twice(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-2 * x)), in place."""
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
-def _step(into: np.ndarray, squares: np.ndarray, rows, summed: np.ndarray, rate: float) -> None:
+def _step(into: np.ndarray, squares: np.ndarray, rows: np.ndarray, summed: np.ndarray, rate: float) -> None:
     """Adagrad step of some rows, with one scale a row."""
-    squares[rows] += (summed * summed).mean(1, keepdims=True)
-    into[rows] += rate * summed / np.sqrt(squares[rows] + 1e-6)
+    now = squares.take(rows, axis=0) + np.einsum("ij,ij->i", summed, summed)[:, None] / np.float32(summed.shape[1])
+    squares[rows] = now
+    into[rows] = into.take(rows, axis=0) + summed * (np.float32(rate) / np.sqrt(now + np.float32(1e-6)))
 
 
-def _scatter(into: np.ndarray, squares: np.ndarray, at: np.ndarray, values: np.ndarray, rate: float) -> None:
-    """Adagrad step with the values summed by row."""
-    order = np.argsort(at.astype(np.uint16) if len(into) < 65_536 else at, kind="stable")
-    at = at[order]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    _step(into, squares, at[first], np.add.reduceat(values[order], first, axis=0), rate)
+def _sum_by(at: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of at, all less than below, and for each the sum of its rows of values."""
+    there = np.zeros(below, bool)
+    there[at] = True
+    rows = np.flatnonzero(there)
+    number, width = np.empty(below, np.int64), values.shape[1]
+    number[rows] = np.arange(len(rows)) * width
+    cells = number.take(at)[:, None] + np.arange(width)
+    return rows, np.bincount(cells.ravel(), values.ravel(), len(rows) * width).astype(np.float32).reshape(-1, width)
 
 
 class Trainer:
@@ -224,55 +257,68 @@ class Trainer:
 
     def step(self, near: np.ndarray, far: np.ndarray, target: np.ndarray) -> None:
         """One batch, all given by place."""
-        p, groups, n = self.p, self.groups, len(target)
-        g = groups.of_place[target]
-        order = np.argsort(g.astype(np.uint16) if groups.n < 65_536 else g, kind="stable")
-        g, target, near, far = g[order], target[order], near[order], far[order]
-        context = p.near[near] + p.far[far]
-        # the group
+        p, groups, n, squares = self.p, self.groups, len(target), self.squares
+        symbols = len(groups.place)
+        order = np.argsort(target.astype(np.uint16) if symbols <= 65_536 else target, kind="stable")
+        near, far, target = near[order], far[order], target[order]
+        ends = np.searchsorted(target, groups.starts)
         noise = np.minimum(np.searchsorted(self.bounds[0], self.rng.random(NOISE)), groups.n - 1)
-        true = 1 - _sigmoid((context * p.group[g]).sum(1) + p.group_bias[g] - self.log_group[g])
-        false = -_sigmoid(_product(context, p.group[noise].T) + (p.group_bias[noise] - self.log_group[noise]))
-        back = true[:, None] * p.group[g] + _product(false, p.group[noise])
-        ends = np.searchsorted(g, np.arange(groups.n + 1))
-        there = np.flatnonzero(np.diff(ends))
-        pull, lift = np.zeros_like(p.group), np.zeros_like(p.group_bias)
-        pull[there] = np.add.reduceat(true[:, None] * context, ends[there], axis=0)
-        lift[there] = np.add.reduceat(true, ends[there])
-        np.add.at(pull, noise, _sums(false, context))
-        np.add.at(lift, noise, false.sum(0))
-        # the member in its group
-        own = p.member[target]
-        true = 1 - _sigmoid((context * own).sum(1) + p.bias[target] - self.log_inside[target])
-        back += true[:, None] * own
         draws = self.rng.random((groups.n, NOISE)) + np.arange(groups.n)[:, None]
         noises = np.minimum(np.searchsorted(self.bounds[1], draws), groups.starts[1:, None] - 1)
+        # a row has its context and a one for the bias; the last row, of zeros, fills blocks up and adds nothing
+        context = np.ones((n + 1, DIM + 1), np.float32)
+        np.add(p.near.take(near, axis=0), p.far.take(far, axis=0), out=context[:n, :DIM])
+        context[n] = 0
         # the rows of a group in blocks of one height, so that all groups are one batch of products
         counts = np.diff(ends)
         blocks = -(-counts // HEIGHT)
         offset = np.cumsum(blocks) - blocks
         of_block = np.repeat(np.arange(groups.n), blocks)
         place = np.arange(n) + np.repeat(offset * HEIGHT - ends[:-1], counts)
-        x, there_rows = np.zeros((len(of_block) * HEIGHT, DIM), np.float32), np.zeros((len(of_block) * HEIGHT, 1), np.float32)
-        x[place], there_rows[place] = context, 1
-        x = x.reshape(-1, HEIGHT, DIM)
-        vectors = p.member[noises[of_block]]
-        scores = np.matmul(x, vectors.transpose(0, 2, 1)) + (p.bias - self.log_inside)[noises[of_block]][:, None, :]
-        false = -_sigmoid(scores) * there_rows.reshape(-1, HEIGHT, 1)
-        back += np.matmul(false, vectors).reshape(-1, DIM)[place]
-        pulls = np.add.reduceat(np.matmul(false.transpose(0, 2, 1), x), offset[there], axis=0)
-        lifts = np.add.reduceat(false.sum(1), offset[there], axis=0)
-        at = np.concatenate([target, noises[there].ravel()])
-        member = np.concatenate([true[:, None] * context, pulls.reshape(-1, DIM)])
-        bias = np.concatenate([true, lifts.ravel()])[:, None]
-        back /= n
-        _scatter(p.near, self.squares["near"], near, back, self.rate)
-        _scatter(p.far, self.squares["far"], far, back, self.rate)
-        _scatter(p.member, self.squares["member"], at, member / n, self.rate)
-        _scatter(p.bias[:, None], self.squares["bias"], at, bias / n, self.bias_rate)
-        every = slice(None)
-        _step(p.group, self.squares["group"], every, pull / n, self.rate)
-        _step(p.group_bias[:, None], self.squares["group_bias"], every, lift[:, None] / n, self.bias_rate)
+        row_at = np.full(len(of_block) * HEIGHT, n)
+        row_at[place] = np.arange(n)
+        x = context.take(row_at, axis=0).reshape(-1, HEIGHT, DIM + 1)
+        # a group is matched with noise members, noise groups and itself, in this order
+        against = np.empty((groups.n, DIM + 1, 2 * NOISE + 1), np.float32)
+        against[:, :DIM, :NOISE], against[:, DIM, :NOISE] = p.member[noises].transpose(0, 2, 1), (p.bias - self.log_inside)[noises]
+        against[:, :DIM, NOISE:-1], against[:, DIM, NOISE:-1] = p.group[noise].T, (p.group_bias - self.log_group)[noise]
+        against[:, :DIM, -1], against[:, DIM, -1] = p.group, p.group_bias - self.log_group
+        vectors = np.ascontiguousarray(against[:, :DIM].transpose(0, 2, 1))
+        against *= 0.5
+        # what is too much: all of the noise, and of the group what is missing to one
+        over = _sigmoid_of_twice(np.matmul(x, against.take(of_block, axis=0)))
+        over[:, :, -1] -= 1
+        back = np.matmul(over, vectors.take(of_block, axis=0)).reshape(-1, DIM).take(place, axis=0)
+        parts = np.matmul(x.transpose(0, 2, 1), over)
+        pulls = np.zeros((groups.n, DIM + 1, 2 * NOISE + 1), np.float32)
+        for k in range(blocks.max()):
+            more = np.flatnonzero(blocks > k)
+            pulls[more] -= parts.take(offset[more] + k, axis=0)
+        pulls = np.ascontiguousarray(pulls.transpose(0, 2, 1))
+        # the member itself
+        context = context[:n]
+        own = p.member.take(target, axis=0)
+        missing = 1 - _sigmoid_of_twice((np.einsum("ij,ij->i", context[:, :DIM], own) + (p.bias - self.log_inside).take(target)) / 2)
+        own *= missing[:, None]
+        back = (own - back) / n
+        for name, at in (("near", near), ("far", far)):
+            into = getattr(p, name)
+            _step(into, squares[name], *_sum_by(at, back, len(into)), self.rate)
+        there = np.flatnonzero(counts)
+        at, pull = _sum_by(
+            np.concatenate([target, noises[there].ravel()]),
+            np.concatenate([context * missing[:, None], pulls[there, :NOISE].reshape(-1, DIM + 1)]),
+            symbols,
+        )
+        pull /= n
+        _step(p.member, squares["member"], at, pull[:, :DIM], self.rate)
+        _step(p.bias[:, None], squares["bias"], at, pull[:, DIM:], self.bias_rate)
+        pull = pulls[:, -1]
+        np.add.at(pull, noise, pulls[:, NOISE:-1].sum(0))
+        pull = pull / n
+        every = np.arange(groups.n)
+        _step(p.group, squares["group"], every, pull[:, :DIM], self.rate)
+        _step(p.group_bias[:, None], squares["group_bias"], every, pull[:, DIM:], self.bias_rate)
         self.seen += n
 
 
@@ -309,8 +355,7 @@ class Vocabulary:
 
     def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
         """Index of each word in the head (-1: not there), the places with the end, and the words not there with their classes."""
-        get = self.index.get
-        at = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+        at = np.fromiter(map(self.index.get, words, itertools.repeat(-1)), np.int64, len(words))
         places = np.empty(len(words) + 1, np.int32)
         places[:-1] = self.place[at] if len(self.place) else 0
         places[-1] = self.end_place
@@ -353,18 +398,22 @@ def encode_shards(docs: DataFrame, shared, shards: int) -> DataFrame:
     key = F.xxhash64("doc_id", "text")
     keyed = docs.select("text", key.alias("key"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
     encoded = map_chunks(keyed, work, "shard int, key long, places array<int>")
-    return materialise(encoded.repartition(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "places"))
+    return materialise(encoded.repartitionById(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "places"))
 
 
-def train(encoded: DataFrame, shared, rounds: int = ROUNDS) -> Parameters:
+def train(encoded: DataFrame, shared, rounds: int = ROUNDS, shard: int = SHARD) -> Parameters:
     """Rounds of learning in every shard and averaging. encoded: of encode_shards; shared: the broadcast vocabulary."""
     groups = shared.value.groups
     state = Trainer(groups).flat()
     spark = encoded.sparkSession
+    # each task hands on one set of parameters, so tasks grow with the machines and with the root of the shards only
+    shards = -(-shared.value.total // shard)
+    encoded = encoded.coalesce(max(2 * spark.sparkContext.defaultParallelism, math.isqrt(shards)))
     for number in range(rounds):
         common = spark.sparkContext.broadcast(state.astype(np.float32))
 
         def run(batches, number=number, common=common):
+            _keep_memory()
             groups, start = shared.value.groups, shared.value.start
             total, weight = np.zeros(len(common.value)), 0
             trainer, shard = None, None
@@ -429,10 +478,11 @@ def score(docs: DataFrame, learning, rounds: int = ROUNDS, shard: int = SHARD) -
     vocabulary = learn_vocabulary(counts, training.select(F.lit(1)).count())
     shared = spark.sparkContext.broadcast(vocabulary)
     shards = max(1, -(-vocabulary.total // shard))
-    model = spark.sparkContext.broadcast(train(encode_shards(training, shared, shards), shared, rounds))
+    model = spark.sparkContext.broadcast(train(encode_shards(training, shared, shards), shared, rounds, shard))
     total, distinct = vocabulary.total, vocabulary.distinct
 
     def work(batch: pa.RecordBatch):
+        _keep_memory()
         v = shared.value
         log_count = np.log10(v.counts + 1)
         class_log = np.log10(v.class_tokens + v.class_words + 1)
