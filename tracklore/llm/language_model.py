@@ -53,6 +53,8 @@ KEPT = 31 << 20
 ROUNDS = 3
 SHARD = 2_000_000
 HELD_OUT = (7, 2)
+#: Columns of an encoded text.
+ENCODED = {"places": "binary", "n_tokens": "long", "n_head": "long", "base_head": "double", "in_classes": "double", "tail": "array<struct<word:binary,n:long>>"}
 #: Distinct words that a task counts before it hands them on.
 FLUSH = 250_000
 
@@ -77,7 +79,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         counts: collections.Counter[bytes] = collections.Counter()
 
         def out():
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array([class_of(w) for w in counts], pa.int32()), pa.array(list(counts.values()), pa.int64())], names=["word", "class", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
             counts.clear()
 
         for batch in batches:
@@ -88,7 +90,8 @@ def count_words(docs: DataFrame) -> DataFrame:
         if counts:
             yield from out()
 
-    return docs.select("text").mapInArrow(run, "word binary, class int, n long").groupBy("word", "class").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return counted.select("word", (F.crc32(F.substring("word", -3, 3)) % CLASSES).cast("int").alias("class"), "n")
 
 
 class Groups:
@@ -141,12 +144,16 @@ class Parameters:
         member, group = np.c_[self.member, self.bias], np.c_[self.group, self.group_bias]
         lengths = np.sqrt(np.einsum("ij,ij->i", member, member))
         for at in range(0, len(target), tile):
-            order = np.argsort(target[at : at + tile], kind="stable")
-            a, b, t = (x[at : at + tile][order] for x in (near, far, target))
-            g = groups.of_place[t]
-            context = np.ones((len(t), DIM + 1), np.float32)
+            # each context, and each target after it, is worked out once in a tile, so equal ones have equal results
+            starts = len(self.near)
+            pair, of_pair = np.unique(near[at : at + tile].astype(np.int64) * starts + far[at : at + tile], return_inverse=True)
+            both, of_both = np.unique(target[at : at + tile].astype(np.int64) * len(pair) + of_pair, return_inverse=True)
+            t, x = both // len(pair), both % len(pair)
+            a, b = pair // starts, pair % starts
+            context = np.ones((len(pair), DIM + 1), np.float32)
             np.add(self.near.take(a, axis=0), self.far.take(b, axis=0), out=context[:, :DIM])
-            log_p = np.einsum("ij,ij->i", context, group.take(g, axis=0), dtype=np.float64) - self._log_totals(group, a, b)
+            totals, context = self._log_totals(group, a, b), context.take(x, axis=0)
+            log_p = np.einsum("ij,ij->i", context, group.take(groups.of_place.take(t), axis=0), dtype=np.float64) - totals.take(x)
             reach = np.sqrt(np.einsum("ij,ij->i", context, context))
             ends = np.searchsorted(t, groups.starts)
             for k in np.flatnonzero(np.diff(ends)):
@@ -155,28 +162,26 @@ class Parameters:
                     rows = slice(r, min(r + 2048, ends[k + 1]))
                     most = reach[rows].max() * lengths[members].max()
                     log_p[rows] += _log_softmax_at(_product(context[rows], member[members].T), t[rows] - members.start, most)
-            out[at : at + tile][order] = log_p
+            out[at : at + tile] = log_p.take(of_both)
         return out
 
     def _log_totals(self, group: np.ndarray, near: np.ndarray, far: np.ndarray) -> np.ndarray:
-        """Natural log of the sum over groups of exp(score). A score is a sum of what the two symbols add, so its exp is a product:
-        it is taken once for each different symbol, and each pair of symbols is one sum of products."""
-        (a, of_a), (b, of_b) = (np.unique(x, return_inverse=True) for x in (near, far))
+        """Natural log of the sum over groups of exp(score), for different pairs of symbols. A score is a sum of what the two add,
+        so its exp is a product: it is taken once for each different symbol, and each pair is one sum of products."""
+        (a, x), (b, y) = (_numbered(at, len(self.near)) for at in (near, far))
         first, second = _product(self.near[a], group[:, :DIM].T), _product(self.far[b], group[:, :DIM].T) + group[:, DIM]
-        tops = first.max(1, keepdims=True), second.max(1, keepdims=True)
-        for x, top in zip((first, second), tops, strict=True):
-            x -= top
-            np.exp(x, out=x)
-        pair, of_pair = np.unique(of_a.astype(np.int64) * len(b) + of_b, return_inverse=True)
-        x, y = pair // len(b), pair % len(b)
-        total = np.concatenate([np.einsum("ij,ij->i", first.take(x[r : r + 1024], axis=0), second.take(y[r : r + 1024], axis=0)) for r in range(0, len(pair), 1024)]).astype(np.float64)
+        tops = first.max(1), second.max(1)
+        for scores, top in zip((first, second), tops, strict=True):
+            scores -= top[:, None]
+            np.exp(scores, out=scores)
+        total = np.concatenate([np.einsum("ij,ij->i", first.take(x[r : r + 1024], axis=0), second.take(y[r : r + 1024], axis=0)) for r in range(0, len(x), 1024)]).astype(np.float64)
         # two symbols that favour different groups, so that the product is too small for a float: from the scores themselves
         low = np.flatnonzero(total < 1e-25)
-        total = np.log(np.maximum(total, 1e-25)) + tops[0][x, 0] + tops[1][y, 0]
+        total = np.log(np.maximum(total, 1e-25)) + tops[0].take(x) + tops[1].take(y)
         if len(low):
-            scores = (self.near[a[x[low]]] + self.far[b[y[low]]]).astype(np.float64) @ group[:, :DIM].T + group[:, DIM]
+            scores = (self.near[near[low]] + self.far[far[low]]).astype(np.float64) @ group[:, :DIM].T + group[:, DIM]
             total[low] = np.logaddexp.reduce(scores, axis=1)
-        return total[of_pair]
+        return total
 
 
 def _log_softmax_at(scores: np.ndarray, at: np.ndarray, most: float) -> np.ndarray:
@@ -224,15 +229,23 @@ def _step(into: np.ndarray, squares: np.ndarray, rows: np.ndarray, summed: np.nd
     into[rows] = into.take(rows, axis=0) + summed * (np.float32(rate) / np.sqrt(now + np.float32(1e-6)))
 
 
-def _sum_by(at: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
-    """The different numbers of at, all less than below, and for each the sum of its rows of values."""
+def _numbered(at: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of at, all less than below, ascending, and the rank of each of at among them."""
     there = np.zeros(below, bool)
     there[at] = True
     rows = np.flatnonzero(there)
-    number, width = np.empty(below, np.int64), values.shape[1]
-    number[rows] = np.arange(len(rows)) * width
-    cells = number.take(at)[:, None] + np.arange(width)
-    return rows, np.bincount(cells.ravel(), values.ravel(), len(rows) * width).astype(np.float32).reshape(-1, width)
+    number = np.empty(below, np.int64)
+    number[rows] = np.arange(len(rows))
+    return rows, number.take(at)
+
+
+def _sum_by(at: np.ndarray, values: np.ndarray, below: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different numbers of at, and for each the sum of its rows of values, whose even number of floats is added two by two."""
+    rows, number = _numbered(at, below)
+    pairs = values.view(np.complex64)
+    out = np.zeros(len(rows) * pairs.shape[1], np.complex64)
+    np.add.at(out, ((number * pairs.shape[1])[:, None] + np.arange(pairs.shape[1])).ravel(), pairs.ravel())
+    return rows, out.view(np.float32).reshape(-1, values.shape[1])
 
 
 class Trainer:
@@ -305,12 +318,12 @@ class Trainer:
             into = getattr(p, name)
             _step(into, squares[name], *_sum_by(at, back, len(into)), self.rate)
         there = np.flatnonzero(counts)
-        at, pull = _sum_by(
-            np.concatenate([target, noises[there].ravel()]),
-            np.concatenate([context * missing[:, None], pulls[there, :NOISE].reshape(-1, DIM + 1)]),
-            symbols,
-        )
-        pull /= n
+        at = np.concatenate([target, noises[there].ravel()])
+        pull = np.zeros((len(at), DIM + 2), np.float32)
+        np.multiply(context, missing[:, None], out=pull[:n, : DIM + 1])
+        pull[n:, : DIM + 1] = pulls[there, :NOISE].reshape(-1, DIM + 1)
+        at, pull = _sum_by(at, pull, symbols)
+        pull = pull[:, : DIM + 1] / n
         _step(p.member, squares["member"], at, pull[:, :DIM], self.rate)
         _step(p.bias[:, None], squares["bias"], at, pull[:, DIM:], self.bias_rate)
         pull = pulls[:, -1]
@@ -346,6 +359,8 @@ class Vocabulary:
         counts = np.concatenate([self.counts[:symbols], [texts], class_tokens]).astype(np.float64) + 1
         self.groups = Groups([w for w, _ in head[:symbols]], counts)
         self.start = len(counts)
+        #: of places as they are stored
+        self.kind = np.uint16 if self.start <= 65_536 else np.int32
         #: class of each word of the head that is no symbol, else -1
         self.head_class = np.array([-1 if i < symbols else class_of(w) for i, (w, _) in enumerate(head)], np.int64)
         symbol = np.where(self.head_class < 0, np.arange(len(head)), symbols + 1 + self.head_class)
@@ -386,19 +401,49 @@ def learn_vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
     return Vocabulary(head, sum(n >= least for _, n in head), tokens_, words_, texts)
 
 
-def encode_shards(docs: DataFrame, shared, shards: int) -> DataFrame:
-    """shard and places of every text, written to the shared folder, each shard in one file and in order of hash."""
+def encode_shards(docs: DataFrame, learning, shared, shards: int) -> DataFrame:
+    """Every text as its places and what does not depend on the model, written to the shared folder, each shard in one file and in
+    order of hash. docs: doc_id, text, key. learnt: whether the row is learnt from."""
 
     def work(batch: pa.RecordBatch):
-        places = [shared.value.encode(tokens(t))[1] for t in batch.column("text").to_pylist()]
-        ends = np.cumsum([0, *map(len, places)])
-        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int32), *places])))
-        yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("key"), lists], names=["shard", "key", "places"])
+        v = shared.value
+        log_count = np.log10(v.counts + 1)
+        class_log = np.log10(v.class_tokens + v.class_words + 1)
+        # share of a word in its class; symbols stand for themselves
+        in_class = np.where(v.head_class >= 0, log_count - class_log[np.maximum(v.head_class, 0)], 0.0)
+        base_end = math.log10(v.texts + 1)
+        rows, tail_words, tail_counts, tail_ends = [], [], [], [0]
+        for text in batch.column("text").to_pylist():
+            words = tokens(text)
+            at, places, rare, classes = v.encode(words)
+            known = at[at >= 0] if rare else at
+            score_head = float(in_class.take(known).sum() - class_log.take(classes).sum())
+            tail = collections.Counter(rare)
+            tail_words.extend(tail)
+            tail_counts.extend(tail.values())
+            tail_ends.append(len(tail_words))
+            rows.append((places.astype(v.kind).tobytes(), len(words) + 1, len(known) + (1 if v.texts else 0), float(log_count.take(known).sum()) + base_end, score_head))
+        kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+        pairs = pa.StructArray.from_arrays([pa.array(tail_words, pa.binary()), pa.array(tail_counts, pa.int64())], ["word", "n"])
+        made.append(pa.ListArray.from_arrays(pa.array(tail_ends, pa.int32()), pairs))
+        kept = ["doc_id", "key", "learnt", "hash", "shard"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), *made], names=[*kept, *ENCODED])
 
-    key = F.xxhash64("doc_id", "text")
-    keyed = docs.select("text", key.alias("key"), F.pmod(key, F.lit(shards)).cast("int").alias("shard"))
-    encoded = map_chunks(keyed, work, "shard int, key long, places array<int>")
-    return materialise(encoded.repartitionById(shards, "shard").sortWithinPartitions("shard", "key").select("shard", "places"))
+    dealt = F.xxhash64("doc_id", "text")
+    keyed = docs.select("doc_id", "key", "text", learning.alias("learnt"), dealt.alias("hash"), F.pmod(dealt, F.lit(shards)).cast("int").alias("shard"))
+    encoded = map_chunks(keyed, work, "doc_id long, key long, learnt boolean, hash long, shard int, " + ", ".join(f"{k} {v}" for k, v in ENCODED.items()))
+    return materialise(encoded.repartitionById(shards, "shard").sortWithinPartitions("shard", "hash").drop("hash"))
+
+
+def most_tasks(shards: int, cores: int) -> int:
+    return max(2 * cores, math.isqrt(shards))
+
+
+def _read(stored: pa.BinaryArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The places of texts laid end to end, and their numbers."""
+    parts = stored.to_pylist()
+    return np.frombuffer(b"".join(parts), kind).astype(np.int32), np.array([len(x) for x in parts], np.int64) // np.dtype(kind).itemsize
 
 
 def train(encoded: DataFrame, shared, rounds: int = ROUNDS, shard: int = SHARD) -> Parameters:
@@ -408,7 +453,7 @@ def train(encoded: DataFrame, shared, rounds: int = ROUNDS, shard: int = SHARD)
     spark = encoded.sparkSession
     # each task hands on one set of parameters, so tasks grow with the machines and with the root of the shards only
     shards = -(-shared.value.total // shard)
-    encoded = encoded.coalesce(max(2 * spark.sparkContext.defaultParallelism, math.isqrt(shards)))
+    encoded = encoded.filter("learnt").select("shard", "places").coalesce(most_tasks(shards, spark.sparkContext.defaultParallelism))
     for number in range(rounds):
         common = spark.sparkContext.broadcast(state.astype(np.float32))
 
@@ -442,8 +487,7 @@ def train(encoded: DataFrame, shared, rounds: int = ROUNDS, shard: int = SHARD)
                             close()
                             trainer, shard = Trainer(groups, seed=int(k) * 1000 + number), k
                             trainer.fill(common.value)
-                        lists = batch.column("places").slice(at, 256).filter(pa.array(numbers[at : at + 256] == k))
-                        waiting.append((np.asarray(lists.flatten(), np.int32), np.asarray(lists.value_lengths(), np.int64)))
+                        waiting.append(_read(batch.column("places").slice(at, 256).filter(pa.array(numbers[at : at + 256] == k)), shared.value.kind))
                         if sum(len(w[0]) for w in waiting) > 8 * BATCH:
                             go()
             close()
@@ -478,47 +522,24 @@ def score(docs: DataFrame, learning, rounds: int = ROUNDS, shard: int = SHARD) -
     vocabulary = learn_vocabulary(counts, training.select(F.lit(1)).count())
     shared = spark.sparkContext.broadcast(vocabulary)
     shards = max(1, -(-vocabulary.total // shard))
-    model = spark.sparkContext.broadcast(train(encode_shards(training, shared, shards), shared, rounds, shard))
+    encoded = encode_shards(texts.withColumn("key", F.monotonically_increasing_id()), learning, shared, shards)
+    model = spark.sparkContext.broadcast(train(encoded, shared, rounds, shard))
     total, distinct = vocabulary.total, vocabulary.distinct
 
     def work(batch: pa.RecordBatch):
         _keep_memory()
         v = shared.value
-        log_count = np.log10(v.counts + 1)
-        class_log = np.log10(v.class_tokens + v.class_words + 1)
-        # share of a word in its class; symbols stand for themselves
-        in_class = np.where(v.head_class >= 0, log_count - class_log[np.maximum(v.head_class, 0)], 0.0)
-        base_end = math.log10(v.texts + 1)
-        rows, sequences = [], []
-        for text in batch.column("text").to_pylist():
-            words = tokens(text)
-            at, places, rare, classes = v.encode(words)
-            known = at[at >= 0]
-            tail: dict[bytes, int] = {}
-            for w in rare:
-                tail[w] = tail.get(w, 0) + 1
-            rows.append((len(words) + 1, len(known) + (1 if v.texts else 0), float(log_count[known].sum()) + base_end, float(in_class[known].sum() - class_log[classes].sum()), tail))
-            sequences.append(places)
-        lengths = np.array([len(x) for x in sequences], np.int64)
-        near, far, target = contexts(np.concatenate([np.zeros(0, np.int32), *sequences]), lengths, v.start)
+        places, lengths = _read(batch.column("places"), v.kind)
+        near, far, target = contexts(places, lengths, v.start)
         log_p = model.value.log_probabilities(v.groups, near, far, target)
-        sums = np.add.reduceat(log_p, np.cumsum(lengths) - lengths) / math.log(10) if len(log_p) else []
-        tails = [r[4] for r in rows]
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"), batch.column("key"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                pa.array([r[2] for r in rows], pa.float64()), pa.array([r[3] + s for r, s in zip(rows, sums, strict=True)], pa.float64()),
-                pa.array([[{"word": w, "n": n} for w, n in t.items()] for t in tails], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
-            ],
-            names=["doc_id", "key", "n_tokens", "n_head", "base_head", "score_head", "tail"],
-        )
-
-    keyed = texts.withColumn("key", F.monotonically_increasing_id())
-    scored = materialise(map_chunks(keyed, work, "doc_id long, key long, n_tokens long, n_head long, base_head double, score_head double, tail array<struct<word:binary,n:long>>"))
+        sums = np.add.reduceat(log_p, np.cumsum(lengths) - lengths) / math.log(10) if len(log_p) else np.zeros(0)
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in ("doc_id", "key", "n_tokens", "n_head", "base_head")), pa.array(sums + np.asarray(batch.column("in_classes")))], names=["doc_id", "key", "n_tokens", "n_head", "base_head", "score_head"])
+
+    scored = map_chunks(encoded.select("doc_id", "key", "n_tokens", "n_head", "base_head", "in_classes", "places"), work, "doc_id long, key long, n_tokens long, n_head long, base_head double, score_head double", "places")
     # the head has its counts already; a rare word that no training text holds finds none and counts 0
-    tail = scored.select("key", F.explode("tail").alias("t")).select("key", "t.word", F.col("t.n").alias("tf"))
+    tail = encoded.select("key", F.explode("tail").alias("t")).select("key", "t.word", F.col("t.n").alias("tf"))
     met = tail.join(counts.select("word", F.col("n").alias("c")), "word").groupBy("key").agg(F.sum("tf").alias("n_tail"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("tail_log"))
-    joined = scored.drop("tail").join(met, "key", "left").na.fill(0, ["n_tail", "tail_log"])
+    joined = scored.join(met, "key", "left").na.fill(0, ["n_tail", "tail_log"])
     return joined.select(
         "doc_id",
         (~learning).alias("held_out"),
