@@ -126,3 +126,24 @@ def test_scores_recomputed_token_by_token(spark, monkeypatch):
                 total += math.log((words[w] + 1) / (inside[m.class_of(w)] + 1))
             near, far = k, near
         assert got[i]["score"] == pytest.approx(total / math.log(10), rel=1e-4)
+
+
+def test_each_shard_is_one_file_and_tasks_are_few(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.col("doc_id"))
+    vocabulary = m.learn_vocabulary(m.count_words(docs), docs.count())
+    encoded = m.encode_shards(docs, F.col("doc_id") % 3 != 0, spark.sparkContext.broadcast(vocabulary), 20)
+    files = encoded.groupBy(F.input_file_name().alias("file")).agg(F.countDistinct("shard").alias("n")).filter("n > 0").collect()
+    assert len(files) == 20 and {r["n"] for r in files} == {1}
+    assert [m.most_tasks(n, 6) for n in (1, 59, 3_500)] == [12, 12, 59]
+
+
+def test_totals_of_symbols_that_favour_different_groups():
+    groups = m.Groups([f"w{i:02d}".encode() for i in range(40)], np.r_[np.full(40, 1000.0), 1.0, np.ones(m.CLASSES)])
+    p = m.Parameters(groups)
+    p.group[:] = 0
+    p.group[0, 0], p.group[1, 0] = 1, -1
+    p.near[3], p.far[5] = 0, 0
+    p.near[3, 0], p.far[5, 0] = 90, -90
+    got = p._log_totals(np.c_[p.group, p.group_bias], np.array([3, 3]), np.array([5, 4]))
+    plain = [np.logaddexp.reduce(((p.near[3] + p.far[x]) @ p.group.T + p.group_bias).astype(float)) for x in (5, 4)]
+    assert got == pytest.approx(plain, rel=1e-5)

@@ -17,7 +17,7 @@ depend on how the input is split (but for the rounding of sums).
 Defined cases: null and empty texts are one end token; repeated rows are counted and scored each; null ids are in the fold of the empty
 text; without training tokens every count is 0. Extra columns are not read.
 
-Scale: three passes over the texts, and one over the encoded shards for each round. Counts of the ``HEAD`` commonest words, or
+Scale: two passes over the texts, one over the encoded shards for each round and one to score them. Counts of the ``HEAD`` commonest words, or
 of all symbols where these are more, are broadcast with the parameters (``4 * WIDTH`` bytes a symbol); rarer words, about one
 token in ten, meet their counts in a shuffle join by word, summed per text first.
 """
@@ -48,6 +48,8 @@ BATCH = 16_384
 HEIGHT = 32
 #: Tokens times groups of a tile that is scored at once.
 TILE = 32_000_000
+#: Rows of scores made at once, so few that they stay in a core's cache.
+ROWS = 512
 #: Bytes of an array that is freed once, so that the C library keeps freed arrays of up to this size for the next ones.
 KEPT = 31 << 20
 ROUNDS = 3
@@ -158,8 +160,8 @@ class Parameters:
             ends = np.searchsorted(t, groups.starts)
             for k in np.flatnonzero(np.diff(ends)):
                 members = slice(groups.starts[k], groups.starts[k + 1])
-                for r in range(ends[k], ends[k + 1], 2048):
-                    rows = slice(r, min(r + 2048, ends[k + 1]))
+                for r in range(ends[k], ends[k + 1], ROWS):
+                    rows = slice(r, min(r + ROWS, ends[k + 1]))
                     most = reach[rows].max() * lengths[members].max()
                     log_p[rows] += _log_softmax_at(_product(context[rows], member[members].T), t[rows] - members.start, most)
             out[at : at + tile] = log_p.take(of_both)
@@ -174,7 +176,7 @@ class Parameters:
         for scores, top in zip((first, second), tops, strict=True):
             scores -= top[:, None]
             np.exp(scores, out=scores)
-        total = np.concatenate([np.einsum("ij,ij->i", first.take(x[r : r + 1024], axis=0), second.take(y[r : r + 1024], axis=0)) for r in range(0, len(x), 1024)]).astype(np.float64)
+        total = np.concatenate([np.einsum("ij,ij->i", first.take(x[r : r + ROWS], axis=0), second.take(y[r : r + ROWS], axis=0)) for r in range(0, len(x), ROWS)]).astype(np.float64)
         # two symbols that favour different groups, so that the product is too small for a float: from the scores themselves
         low = np.flatnonzero(total < 1e-25)
         total = np.log(np.maximum(total, 1e-25)) + tops[0].take(x) + tops[1].take(y)
@@ -319,13 +321,13 @@ class Trainer:
             _step(into, squares[name], *_sum_by(at, back, len(into)), self.rate)
         there = np.flatnonzero(counts)
         at = np.concatenate([target, noises[there].ravel()])
-        pull = np.zeros((len(at), DIM + 2), np.float32)
-        np.multiply(context, missing[:, None], out=pull[:n, : DIM + 1])
-        pull[n:, : DIM + 1] = pulls[there, :NOISE].reshape(-1, DIM + 1)
+        pull = np.empty((len(at), DIM), np.float32)
+        np.multiply(context[:, :DIM], missing[:, None], out=pull[:n])
+        pull[n:] = pulls[there, :NOISE, :DIM].reshape(-1, DIM)
+        lift = np.bincount(at, np.concatenate([missing, pulls[there, :NOISE, DIM].ravel()]), symbols)
         at, pull = _sum_by(at, pull, symbols)
-        pull = pull[:, : DIM + 1] / n
-        _step(p.member, squares["member"], at, pull[:, :DIM], self.rate)
-        _step(p.bias[:, None], squares["bias"], at, pull[:, DIM:], self.bias_rate)
+        _step(p.member, squares["member"], at, pull / n, self.rate)
+        _step(p.bias[:, None], squares["bias"], at, (lift.take(at) / n).astype(np.float32)[:, None], self.bias_rate)
         pull = pulls[:, -1]
         np.add.at(pull, noise, pulls[:, NOISE:-1].sum(0))
         pull = pull / n
@@ -538,7 +540,7 @@ def score(docs: DataFrame, learning, rounds: int = ROUNDS, shard: int = SHARD) -
     scored = map_chunks(encoded.select("doc_id", "key", "n_tokens", "n_head", "base_head", "in_classes", "places"), work, "doc_id long, key long, n_tokens long, n_head long, base_head double, score_head double", "places")
     # the head has its counts already; a rare word that no training text holds finds none and counts 0
     tail = encoded.select("key", F.explode("tail").alias("t")).select("key", "t.word", F.col("t.n").alias("tf"))
-    met = tail.join(counts.select("word", F.col("n").alias("c")), "word").groupBy("key").agg(F.sum("tf").alias("n_tail"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("tail_log"))
+    met = tail.join(counts.select("word", F.col("n").alias("c")).hint("shuffle_hash"), "word").groupBy("key").agg(F.sum("tf").alias("n_tail"), F.sum(F.col("tf") * F.log10(F.col("c") + 1)).alias("tail_log"))
     joined = scored.join(met, "key", "left").na.fill(0, ["n_tail", "tail_log"])
     return joined.select(
         "doc_id",
