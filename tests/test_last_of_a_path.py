@@ -36,7 +36,7 @@ def got(spark, folder, name):
     return rows(df.columns, [tuple(r) for r in df.collect()])
 
 
-@pytest.mark.parametrize("name", ["materialize_left_join"])
+@pytest.mark.parametrize("name", ["materialize_left_join", "upsert_last_wins"])
 def test_of_one_seq_the_first_row_stays(spark, folders, name):
     assert got(spark, folders[0], name) == got(spark, folders[1], name) == ask(folders[0], catalogue.SQL[name])[1]
 
