@@ -2,10 +2,12 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import SF, rows
 from tracklore.operators import joins
 from tracklore.plans import catalogue
+from tracklore.plans.views import view
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +43,20 @@ def test_of_one_seq_the_first_row_stays(spark, folders, name):
     assert got(spark, folders[0], name) == got(spark, folders[1], name) == ask(folders[0], catalogue.SQL[name])[1]
 
 
+@pytest.mark.parametrize("name", ["stage3_inner_join"])
+def test_the_last_manifest_row_of_a_path_counts(spark, folders, name):
+    assert got(spark, folders[0], name) == got(spark, folders[1], name) == ask(folders[0], catalogue.SQL[name])[1]
+
+
+def test_a_prediction_is_joined_once(spark, folders):
+    """As many rows as confident predictions, each with the greatest seq of its path."""
+    p = view(spark, folders[0], "predictions").filter("confidence >= 0.5")
+    m = view(spark, folders[0], "manifest").groupBy("crop_path").agg(F.max_by(F.struct("camera_id", "timestamp"), "seq").alias("m"))
+    assert m.count() < view(spark, folders[0], "manifest").count()
+    expected = p.join(m, "crop_path").select("crop_path", "m.camera_id", "m.timestamp", "label", "confidence")
+    assert got(spark, folders[0], "stage3_inner_join") == rows(expected.columns, [tuple(r) for r in expected.collect()])
+
+
 def test_place_is_asked_before_other_columns(spark):
     given = [("a", 1, 3, "z"), ("a", 1, 2, "x"), ("a", 0, 1, "y"), ("b", None, 1, "p"), ("b", None, 0, "q"), ("c", 1, None, "n"), ("c", 1, 5, "m")]
     df = spark.createDataFrame(given, "k string, seq int, at int, v string")
